@@ -70,8 +70,15 @@ def label_value(metrics: DataFrame, median: DataFrame, column: str = "monetary")
         "customer_value", F.when(F.col(column) > threshold, 1).otherwise(0).cast("int"))
 
 
-def customer_features(lines: DataFrame, rel_error: float = 0.001) -> DataFrame:
+def customer_features(lines: DataFrame, rel_error: float = 0.001,
+                      materialize: bool = True) -> DataFrame:
+    """Customer metrics labelled against their median. The metrics are read
+    two or three times (median bracket, median, label), so by default they are
+    checkpointed once to the shared checkpoint folder: the line-level scan and
+    joins run once, and the lineage is cut."""
     metrics = customer_metrics(lines)
+    if materialize:
+        metrics = metrics.checkpoint()
     return label_value(metrics, median_monetary(metrics, rel_error))
 
 

@@ -1,14 +1,17 @@
 """Presentation views over reports: shares, flags, top-k, pivots, histograms.
 
-Inputs are small aggregated reports (one row per key of a bounded domain).
-Totals and maxima are scalar subqueries, never joins against the data;
-top-k lists are ``orderBy(..).limit(k)`` (a bounded TakeOrderedAndProject),
-and only those k-row lists are broadcast.
+Inputs are small aggregated reports (one row per key of a bounded domain:
+segments, payment methods, categories). A share's total is a window over
+those report rows, so the report is computed once and the window sees one
+row per key, never the data behind it. Top-k lists are
+``orderBy(..).limit(k)`` (a bounded TakeOrderedAndProject), and only those
+k-row lists are broadcast. A view that needs two passes over its input
+(pivot value discovery, histogram bounds) expects a materialised input.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.bands import band_order
 from ..functions.dates import month_name, weekday_name
@@ -18,6 +21,11 @@ from ..functions.money import as_money, mean, share_pct
 VALUE_LABELS = {1: "High value customer", 0: "General customer"}
 
 
+def _report():
+    """All rows of an aggregated report (one row per report key)."""
+    return Window.partitionBy()
+
+
 def _top(df: DataFrame, measure: str, key: str, n: int) -> DataFrame:
     return df.orderBy(F.desc(measure), F.asc(key)).limit(n)
 
@@ -25,7 +33,7 @@ def _top(df: DataFrame, measure: str, key: str, n: int) -> DataFrame:
 def segment_share(segments: DataFrame) -> DataFrame:
     """(customer_segment, count, share_pct)."""
     counts = segments.groupBy("customer_segment").count()
-    whole = segments.agg(F.count("*")).scalar()
+    whole = F.sum("count").over(_report())
     return (counts.select("customer_segment", "count", share_pct("count", whole).alias("share_pct"))
             .orderBy(F.desc("count"), "customer_segment"))
 
@@ -41,11 +49,11 @@ def age_spending(segments: DataFrame) -> DataFrame:
 def payment_share(payments: DataFrame) -> DataFrame:
     """(payment_method, transaction_count, share_pct, is_largest); the largest
     is the first by count, ties broken by method."""
-    whole = payments.agg(F.sum("transaction_count")).scalar()
-    largest = _top(payments, "transaction_count", "payment_method", 1).select("payment_method").scalar()
+    whole = F.sum("transaction_count").over(_report())
+    rank = F.row_number().over(_report().orderBy(F.desc("transaction_count"), F.asc("payment_method")))
     return (payments.select("payment_method", "transaction_count",
                             share_pct("transaction_count", whole).alias("share_pct"),
-                            F.coalesce(F.col("payment_method") == largest, F.lit(False)).alias("is_largest"))
+                            (rank == 1).alias("is_largest"))
             .orderBy(F.desc("transaction_count"), "payment_method"))
 
 
@@ -113,7 +121,7 @@ def pivot_age_payment(payment_age: DataFrame, methods=None) -> DataFrame:
 
 def value_counts(features: DataFrame) -> DataFrame:
     """(customer_value, value_label, count, percentage)."""
-    whole = features.agg(F.count("*")).scalar()
+    whole = F.sum("count").over(_report())
     label = F.when(F.col("customer_value") == 1, VALUE_LABELS[1]).otherwise(VALUE_LABELS[0])
     return (features.groupBy("customer_value").count()
             .select("customer_value", label.alias("value_label"), "count",
@@ -135,7 +143,7 @@ def gender_value_mix(features: DataFrame) -> DataFrame:
 def payment_top5_share(payments: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` most used methods and their share within those ``n``."""
     top = _top(payments, "transaction_count", "payment_method", n)
-    whole = top.agg(F.sum("transaction_count")).scalar()
+    whole = F.sum("transaction_count").over(_report())
     return (top.select("payment_method", "transaction_count",
                        share_pct("transaction_count", whole).alias("percentage"))
             .orderBy(F.desc("transaction_count"), "payment_method"))
@@ -143,7 +151,8 @@ def payment_top5_share(payments: DataFrame, n: int = 5) -> DataFrame:
 
 def monetary_histogram(features: DataFrame, bins: int = 30, column: str = "monetary") -> DataFrame:
     """Equal-width histogram between min and max (last bin closed):
-    (bin, bin_start, bin_end, count). Bounds are a scalar subquery."""
+    (bin, bin_start, bin_end, count). The bounds are a scalar subquery, a
+    second pass over ``features``: pass a materialised frame."""
     v = F.col(column)
     rng = features.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
     lo, hi = rng["lo"], rng["hi"]

@@ -22,6 +22,12 @@ SEGMENT_THRESHOLDS = dict(high_value=1_200_000.0, frequent=45, high_ticket=28_00
 CUSTOMER_COLS = ["invoice_no", "customer_id", "gender", "age", "quantity", "price"]
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (``spark.checkpoint.dir``) of an input that a view
+    reads more than once; the computation behind it then runs once."""
+    return df.checkpoint(eager=True)
+
+
 def lines(spark, sf, columns=None) -> DataFrame:
     return clean.enrich_shopping(shopping_from_tables(spark, sf, columns))
 
@@ -61,12 +67,11 @@ def value_lines(spark, sf, key=None) -> DataFrame:
 
 
 def metrics(spark, sf) -> DataFrame:
-    return value.customer_metrics(value_lines(spark, sf))
+    return materialized(value.customer_metrics(value_lines(spark, sf)))
 
 
 def features(spark, sf) -> DataFrame:
-    m = metrics(spark, sf)
-    return value.label_value(m, value.median_monetary(m, rel_error=0.0))
+    return value.customer_features(value_lines(spark, sf), rel_error=0.0)
 
 
 def behaviour(spark, sf) -> DataFrame:
@@ -74,7 +79,7 @@ def behaviour(spark, sf) -> DataFrame:
 
 
 def _model(spark, sf):
-    vectors = value.value_features(features(spark, sf))
+    vectors = materialized(value.value_features(features(spark, sf)))
     train, test = value.split_customers(vectors)
     return value.value_model(train), test
 
@@ -162,13 +167,14 @@ def queries() -> dict:
         "payment_share": lambda s, d: V.payment_share(payments(s, d)),
         "top_categories": lambda s, d: V.top_categories(categories(s, d)),
         "top_category_trend": lambda s, d: V.top_category_trend(monthly_categories(s, d), categories(s, d)),
-        "top_category_gender": lambda s, d: V.top_category_gender(preferences(s, d), categories(s, d)),
-        "category_bubble": lambda s, d: V.category_bubble(categories(s, d)),
+        "top_category_gender": lambda s, d: V.top_category_gender(
+            materialized(preferences(s, d)), categories(s, d)),
+        "category_bubble": lambda s, d: V.category_bubble(materialized(categories(s, d))),
         "weekday_pattern": lambda s, d: V.weekday_pattern(R.weekday_sales(dated(s, d))),
         "month_pattern": lambda s, d: V.month_pattern(R.month_sales(dated(s, d))),
-        "pivot_age_gender": lambda s, d: V.pivot_age_gender(R.age_gender(segments(s, d))),
-        "pivot_age_payment": lambda s, d: V.pivot_age_payment(
-            R.payment_by_age(lines(s, d, ["invoice_no", "age", "payment_method"]))),
+        "pivot_age_gender": lambda s, d: V.pivot_age_gender(materialized(R.age_gender(segments(s, d)))),
+        "pivot_age_payment": lambda s, d: V.pivot_age_payment(materialized(
+            R.payment_by_age(lines(s, d, ["invoice_no", "age", "payment_method"])))),
         "value_counts": lambda s, d: V.value_counts(features(s, d)),
         "gender_value_mix": lambda s, d: V.gender_value_mix(features(s, d)),
         "payment_top5_share": lambda s, d: V.payment_top5_share(
