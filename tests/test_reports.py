@@ -1,0 +1,97 @@
+from cartlens.operators import basket, clean, reports
+from cartlens.schemas import SHOPPING
+
+
+def shopping(spark, rows):
+    return spark.createDataFrame(rows, SHOPPING)
+
+
+def line(inv, cust, qty, price, cat="A", gender="F", age=30, pay="Cash", date="1/1/2022"):
+    return (inv, cust, gender, age, cat, qty, price, pay, date)
+
+
+def test_segment_thresholds_are_strict_and_applied_after_rounding(spark):
+    rows = [
+        line("i1", "c1", 1, 1000.0),                          # total 1000.00 -> not high value
+        line("i2", "c2", 1, 1000.01),                         # total 1000.01 -> high value
+        line("i3", "c3", 1, 1000.004),                        # rounds to 1000.00 -> not high value
+    ]
+    rows += [line(f"j{i}", "c4", 1, 1.0) for i in range(10)]   # count 10 -> not frequent
+    rows += [line(f"k{i}", "c5", 1, 1.0) for i in range(11)]   # count 11 -> frequent
+    rows += [line("m1", "c6", 1, 100.0)]                      # avg 100 -> general
+    rows += [line("m2", "c7", 1, 100.01)]                     # avg 100.01 -> high ticket
+    seg = reports.customer_segments(clean.enrich_shopping(shopping(spark, rows)))
+    got = {r.customer_id: r.customer_segment for r in seg.collect()}
+    assert got == {
+        "c1": "High Ticket Customer", "c2": "High Value Customer", "c3": "High Ticket Customer",
+        "c4": "General Customer", "c5": "Frequent Customer", "c6": "General Customer",
+        "c7": "High Ticket Customer"}
+
+
+def test_customer_stats_values(spark):
+    rows = [line("i1", "c1", 2, 10.005), line("i2", "c1", 1, 0.01), line(None, "c1", 1, 1.0)]
+    out = reports.customer_stats(clean.enrich_shopping(shopping(spark, rows))).first()
+    # 2 * 10.01 + 0.01 + 1.00 = 21.03 over 3 amounts; 2 invoices counted (null invoice skipped)
+    assert (out.transaction_count, out.total_spent, out.avg_transaction_value) == (2, 21.03, 7.01)
+
+
+def test_invalid_dates_are_excluded_from_time_reports(spark):
+    dates = ["5/8/2022", "05/08/2022", "31/12/2021", "13/13/2021", "x", None]
+    rows = [line(f"i{i}", "c1", 1, 10.0, date=d) for i, d in enumerate(dates)]
+    lines = clean.enrich_shopping(shopping(spark, rows))
+    assert lines.where("valid_date").count() == 3
+    assert lines.where("not valid_date and month is null and day_of_week is null").count() == 3
+    months = {r.month: r.transaction_count for r in reports.month_sales(lines).collect()}
+    assert months == {8: 2, 12: 1}
+    days = {r.day_of_week: r.transaction_count for r in reports.weekday_sales(lines).collect()}
+    assert days == {6: 3}  # 5 Aug 2022 and 31 Dec 2021 are Fridays (Sunday = 1)
+    by_year = reports.month_sales(lines, by_year=True).collect()
+    assert {(r.year, r.month) for r in by_year} == {(2022, 8), (2021, 12)}
+
+
+def test_category_and_payment_reports(spark):
+    rows = [line("i1", "c1", 2, 5.0, cat="A", pay="Card"), line("i1", "c1", 1, 3.0, cat="B", pay="Card"),
+            line("i2", "c2", 4, 5.0, cat="A", pay="Cash")]
+    lines = clean.enrich_shopping(shopping(spark, rows))
+    cats = [tuple(r) for r in reports.category_summary(lines).collect()]
+    assert cats == [("A", 6, 30.0, 2, 5.0), ("B", 1, 3.0, 1, 3.0)]
+    pays = [tuple(r) for r in reports.payment_summary(lines).collect()]
+    assert pays == [("Card", 2, 13.0, 6.5), ("Cash", 1, 20.0, 20.0)]
+
+
+def test_basket_pairs_counts_multiplicity_and_skips_singles_and_nulls(spark):
+    rows = [line("i1", "c1", 1, 1.0, cat="A"), line("i1", "c1", 1, 1.0, cat="A"),
+            line("i1", "c1", 1, 1.0, cat="B"), line("i2", "c2", 1, 1.0, cat="A"),
+            line("i3", "c3", 1, 1.0, cat=None), line("i3", "c3", 1, 1.0, cat="A")]
+    got = {(r.category1, r.category2): r["count"] for r in basket.basket_pairs(shopping(spark, rows)).collect()}
+    assert got == {("A", "B"): 2, ("B", "A"): 2}
+
+
+def test_basket_pairs_equal_brute_force_self_join(spark):
+    import random
+    rnd = random.Random(7)
+    rows = [line(f"i{rnd.randrange(30)}", "c", 1, 1.0, cat=rnd.choice("ABCDE")) for _ in range(400)]
+    # one hot invoice holding a third of all lines
+    rows += [line("hot", "c", 1, 1.0, cat=rnd.choice("ABCDE")) for _ in range(200)]
+    df = shopping(spark, rows)
+    fast = {(r.category1, r.category2): r["count"] for r in basket.basket_pairs(df).collect()}
+    a, b = df.alias("a"), df.alias("b")
+    slow = (a.join(b, (a.invoice_no == b.invoice_no) & (a.category != b.category))
+            .groupBy("a.category", "b.category").count().collect())
+    assert fast == {(r[0], r[1]): r[2] for r in slow}
+    assert all(fast[(x, y)] == fast[(y, x)] for x, y in fast)
+
+
+def test_fill_by_type(spark):
+    df = spark.createDataFrame(
+        [(None, None, None, None, None)], "i int, l bigint, d double, s string, b boolean")
+    out = clean.clean_fill(df).first()
+    assert tuple(out) == (0, 0, 0.0, "unknown", None)
+
+
+def test_drop_and_profiles(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "x int, y string")
+    assert clean.clean_drop(df).count() == 1
+    assert tuple(clean.profile_table(df).first()) == (3, 2)
+    assert {r.column_name: r.null_count for r in clean.profile_nulls(df).collect()} == {"x": 1, "y": 1}
+    assert [tuple(r) for r in clean.profile_ranges(df, ["x"]).collect()] == [("x", 1.0, 3.0)]
