@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.bands import band
 from ..functions.money import mean, total
+from ..session import checkpointed
 from .clean import clean_fill, enrich_shopping
 
 FEATURES = ["age", "frequency", "monetary", "avg_transaction"]
@@ -78,7 +79,7 @@ def customer_features(lines: DataFrame, rel_error: float = 0.001,
     joins run once, and the lineage is cut."""
     metrics = customer_metrics(lines)
     if materialize:
-        metrics = metrics.checkpoint()
+        metrics = checkpointed(metrics)
     return label_value(metrics, median_monetary(metrics, rel_error))
 
 

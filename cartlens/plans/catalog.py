@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import basket, clean, reports, value, views
 from ..schemas import SHOPPING
-from ..session import shared_path
+from ..session import checkpointed, shared_path
 from ..sources.files import read_report, write_report
 from ..sources.tables import behaviour_from_tables, shopping_from_tables
 from ..streaming.ingest import read_landed, run_ingest
@@ -25,7 +25,7 @@ CUSTOMER_COLS = ["invoice_no", "customer_id", "gender", "age", "quantity", "pric
 def materialized(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (``spark.checkpoint.dir``) of an input that a view
     reads more than once; the computation behind it then runs once."""
-    return df.checkpoint(eager=True)
+    return checkpointed(df)
 
 
 def lines(spark, sf, columns=None) -> DataFrame:

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
@@ -38,15 +38,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 
 
 def ensure_shared_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; set a private one only when it is unset."""
+    """Return ``spark.checkpoint.dir``. Only a local-mode session without one
+    gets a private folder; on a cluster a machine-local folder would not be
+    shared, so a missing setting is an error."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         current = tempfile.mkdtemp(prefix="cartlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable, eager checkpoint into the shared folder: the plan behind
+    ``df`` runs once and later readers start from the written files."""
+    ensure_shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path under the shared folder; ``unique`` appends a fresh run id."""
     root = ensure_shared_dir(spark).rstrip("/")

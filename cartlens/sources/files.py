@@ -32,10 +32,22 @@ def read_behaviour(spark: SparkSession, paths, keep_corrupt: bool = False) -> Da
                      *([CORRUPT] if keep_corrupt else []))
 
 
+def fixed_decimals(df: DataFrame, places: int = 2) -> DataFrame:
+    """Fractional columns (double, float, decimal) as fixed text with
+    ``places`` decimals and thousands grouping, e.g. ``1,234.50``."""
+    frac = (T.DoubleType, T.FloatType, T.DecimalType)
+    return df.select(*[F.format_number(F.col(f"`{f.name}`"), places).alias(f.name)
+                       if isinstance(f.dataType, frac) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False,
-                 mode: str = "overwrite", partition_by=None) -> None:
+                 mode: str = "overwrite", partition_by=None, decimals: int | None = None) -> None:
     """Write a report directory. ``single_file`` narrows the last stage to one
-    task, so use it only for reports whose size is bounded by their key domain."""
+    task, so use it only for reports whose size is bounded by their key domain.
+    ``decimals`` writes fractional columns as fixed text (``fixed_decimals``)."""
+    if decimals is not None:
+        df = fixed_decimals(df, decimals)
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode(mode)
     if partition_by:
@@ -67,7 +79,8 @@ def report_inventory(spark: SparkSession, root: str) -> DataFrame:
              .option("recursiveFileLookup", True)
              .load(root)
              .select("path", "length"))
-    rel = F.regexp_replace(F.col("path"), "^.*?" + root.rstrip("/").split("://")[-1] + "/", "")
+    base = root.rstrip("/").split("://")[-1]
+    rel = F.regexp_replace(F.col("path"), "^.*?\\Q" + base + "\\E/", "")
     return (files.select(F.split(rel, "/")[0].alias("report"), "length")
             .groupBy("report")
             .agg(F.count("*").alias("files"), F.sum("length").alias("bytes")))

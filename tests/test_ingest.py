@@ -49,3 +49,15 @@ def test_report_roundtrip_reads_all_parts(spark, scratch):
     single = os.path.join(scratch, "single")
     write_report(df, single, single_file=True)
     assert len([f for f in os.listdir(single) if f.startswith("part-")]) == 1
+
+
+def test_fixed_decimals_and_inventory(spark, scratch):
+    from cartlens.sources.files import fixed_decimals, report_inventory
+    df = spark.createDataFrame([(1234.5, 3, "x")], "v double, n int, s string")
+    assert tuple(fixed_decimals(df).first()) == ("1,234.50", 3, "x")
+    root = os.path.join(scratch, "reports")
+    write_report(df, f"{root}/a", decimals=2)
+    write_report(df.union(df).repartition(2), f"{root}/b")
+    inv = {r.report: r.files for r in report_inventory(spark, root).collect()}
+    assert inv["a"] >= 1 and inv["b"] >= 1
+    assert read_report(spark, f"{root}/a").first().v == "1,234.50"
