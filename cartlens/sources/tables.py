@@ -42,16 +42,19 @@ def shopping_from_tables(spark: SparkSession, sf_dir: str, columns=None) -> Data
     columns = list(columns or SHOPPING.fieldNames())
     need = {d for c in columns for d in _NEEDS[c]}
     df = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    if "part" in need:
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
+        df = df.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     if "orders" in need:
+        # Customer attributes are attached at order granularity (a quarter of
+        # the line count), so the line-sized side is shuffled once per join
+        # key (part, order) and never by customer.
         orders = table(spark, sf_dir, "orders").select(
             "o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+        if "customer" in need:
+            customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+            orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    if "customer" in need:
-        customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-        df = df.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-    if "part" in need:
-        part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
-        df = df.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     exprs = {
         "invoice_no": F.col("l_orderkey").cast("string"),
         "customer_id": F.col("o_custkey").cast("string") if "orders" in need else None,

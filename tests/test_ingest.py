@@ -61,3 +61,16 @@ def test_fixed_decimals_and_inventory(spark, scratch):
     inv = {r.report: r.files for r in report_inventory(spark, root).collect()}
     assert inv["a"] >= 1 and inv["b"] >= 1
     assert read_report(spark, f"{root}/a").first().v == "1,234.50"
+
+
+def test_spool_batches_and_archive(spark, scratch):
+    spool, bronze, ckpt, arch = (os.path.join(scratch, d) for d in ("spool", "bronze", "ckpt", "arch"))
+    os.makedirs(spool)
+    for i in range(4):
+        write(spool, f"f{i}.csv", f"i{i},c{i},F,30,A,1,1.0,Cash,1/1/2022\n")
+    q = run_ingest(spark, spool, bronze, ckpt, max_files_per_trigger=1, archive_dir=arch)
+    assert spark.read.parquet(bronze).count() == 4
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4  # one file per batch
+    archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".csv")]
+    assert 1 <= len(archived) <= 4      # files of committed batches are moved out of the spool
+    assert len(os.listdir(spool)) + len(archived) == 4
