@@ -1,7 +1,7 @@
 """Batch jobs: the three report runs as Spark applications.
 
 ``shopping_job``  enriches the shopping lines once, writes them as a Parquet
-                  table (partitioned by year and month) to the shared folder,
+                  table to the shared folder,
                   then builds every report and view from that table. The
                   table cuts the lineage: a lost executor re-reads files
                   instead of recomputing the parse, and each report prunes
@@ -31,15 +31,29 @@ SMALL = {"segment_counts", "age_gender", "category_analysis", "monthly_category_
          "daily_sales_pattern", "monthly_sales_pattern", "category_pairs"}
 
 
-def materialize_lines(spark: SparkSession, shopping: DataFrame, path: str | None = None) -> DataFrame:
+def materialize_lines(spark: SparkSession, shopping: DataFrame, path: str | None = None,
+                      partition_by=None) -> DataFrame:
     """Write enriched lines to ``path`` (default: a new folder under the
-    shared checkpoint dir) and return the table read back."""
+    shared checkpoint dir), register them as ``shopping_data`` and return the
+    table read back.
+
+    Written flat by default: one file per task, no shuffle. With
+    ``partition_by`` (e.g. ``("year", "month")``, for time-pruned readers) the
+    rows are first range-partitioned on those columns plus the invoice, so
+    each task holds a contiguous key range and writes one or two folders
+    instead of one file per folder per task; the invoice key spreads a hot
+    month over many tasks.
+    """
     path = path or shared_path(spark, "silver", "shopping_lines", unique=True)
-    (clean.enrich_shopping(shopping)
-     .write.mode("overwrite").partitionBy("year", "month").parquet(path))
-    lines = spark.read.parquet(path)
-    lines.createOrReplaceTempView("shopping_data")
-    return lines
+    lines = clean.enrich_shopping(shopping)
+    writer = lines.write.mode("overwrite")
+    if partition_by:
+        lines = lines.repartitionByRange(*partition_by, "invoice_no")
+        writer = lines.write.mode("overwrite").partitionBy(*partition_by)
+    writer.parquet(path)
+    table = spark.read.parquet(path)
+    table.createOrReplaceTempView("shopping_data")
+    return table
 
 
 def shopping_reports(lines: DataFrame, thresholds: dict | None = None,

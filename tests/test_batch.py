@@ -26,3 +26,13 @@ def test_value_and_behaviour_jobs(spark, scratch):
     bout = os.path.join(scratch, "behaviour")
     batch.behaviour_job(spark, behaviour_from_tables(spark, SF_SMALL), bout)
     assert read_report(spark, f"{bout}/city_segments", fmt="parquet").count() > 0
+
+
+def test_materialize_lines_partitioned(spark, scratch):
+    path = os.path.join(scratch, "silver")
+    lines = batch.materialize_lines(spark, shopping_from_tables(spark, SF_SMALL), path,
+                                    partition_by=("year", "month"))
+    assert lines.count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    assert spark.table("shopping_data").count() == lines.count()
+    months = [d for d in os.listdir(path) if d.startswith("year=")]
+    assert months and lines.where("year = 1995 and month = 1").count() > 0
