@@ -18,6 +18,15 @@ from ..functions.money import as_money, mean, total
 
 HIGH_VALUE, FREQUENT, HIGH_TICKET = 1000.0, 10, 100.0
 
+
+def require(df: DataFrame, *columns: str) -> DataFrame:
+    """Fail early, naming the missing columns, when a report is handed the
+    wrong table (e.g. shopping lines where behaviour rows are expected)."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns {missing}; got {df.columns}")
+    return df
+
 SEGMENT_LABELS = ("High Value Customer", "Frequent Customer",
                   "High Ticket Customer", "General Customer")
 
@@ -25,6 +34,7 @@ SEGMENT_LABELS = ("High Value Customer", "Frequent Customer",
 def customer_stats(lines: DataFrame) -> DataFrame:
     """Per (customer_id, gender, age): transaction_count, total_spent,
     avg_transaction_value (rounded to cents, half up)."""
+    require(lines, "customer_id", "gender", "age", "invoice_no", "total_amount")
     return (lines.groupBy("customer_id", "gender", "age")
             .agg(F.count("invoice_no").alias("transaction_count"),
                  total("total_amount").alias("total_spent"),
@@ -130,6 +140,7 @@ def consumption_by(lines: DataFrame, key: str) -> DataFrame:
 def membership_segments(behaviour: DataFrame) -> DataFrame:
     """Per (membership_type, age_group [3-way], city): avg_total_spend (6
     places, half up) and items_purchased. Nulls are dropped first."""
+    require(behaviour, "membership_type", "age", "city", "total_spend", "items_purchased")
     df = behaviour.na.drop().withColumn("age_group", band("age", "age3"))
     return (df.groupBy("membership_type", "age_group", "city")
             .agg(mean(as_money("total_spend"), 6).alias("avg_total_spend"),
@@ -138,6 +149,7 @@ def membership_segments(behaviour: DataFrame) -> DataFrame:
 
 
 def city_segments(behaviour: DataFrame) -> DataFrame:
+    require(behaviour, "city", "total_spend", "items_purchased")
     return (behaviour.na.drop().groupBy("city")
             .agg(mean(as_money("total_spend"), 6).alias("avg_total_spend"),
                  F.sum("items_purchased").alias("items_purchased"))
@@ -148,5 +160,6 @@ def at_risk_customers(behaviour: DataFrame, days: int = 30,
                       level: str = "Unsatisfied") -> DataFrame:
     """Complete rows whose last purchase is over ``days`` ago and whose
     satisfaction equals ``level``; all columns kept."""
+    require(behaviour, "days_since_last_purchase", "satisfaction_level")
     return behaviour.na.drop().where(
         (F.col("days_since_last_purchase") > days) & (F.col("satisfaction_level") == level))

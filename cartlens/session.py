@@ -42,13 +42,17 @@ def ensure_shared_dir(spark: SparkSession) -> str:
     gets a private folder; on a cluster a machine-local folder would not be
     shared, so a missing setting is an error."""
     current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session: the server owns the setting
+        sc = None
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         current = tempfile.mkdtemp(prefix="cartlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(current)
+    if sc is not None and sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(current)
     return current
 
 
