@@ -69,7 +69,9 @@ def shopping_from_tables(spark: SparkSession, sf_dir: str, columns=None) -> Data
         # the line count), so the line-sized side is shuffled once per join
         # key (part, order) and never by customer.
         orders = table(spark, sf_dir, "orders").select(
-            "o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+            "o_orderkey", "o_custkey", "o_orderpriority",
+            # the date text is made once per order, not once per line
+            F.date_format("o_orderdate", "d/M/yyyy").alias("o_orderdate_text"))
         if "customer" in need:
             customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
             orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
@@ -83,7 +85,7 @@ def shopping_from_tables(spark: SparkSession, sf_dir: str, columns=None) -> Data
         "quantity": F.col("l_quantity").cast("int"),
         "price": F.col("p_retailprice") if "part" in need else None,
         "payment_method": F.col("o_orderpriority") if "orders" in need else None,
-        "invoice_date": F.date_format("o_orderdate", "d/M/yyyy") if "orders" in need else None,
+        "invoice_date": F.col("o_orderdate_text") if "orders" in need else None,
     }
     types = {f.name: f.dataType for f in SHOPPING.fields}
     return df.select(*[exprs[c].cast(types[c]).alias(c) for c in columns])
