@@ -8,7 +8,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..functions.bands import band
 from ..functions.money import mean, total
 from ..session import checkpointed
 from .clean import clean_fill, enrich_shopping

@@ -25,11 +25,14 @@ def read_shopping(spark: SparkSession, paths, keep_corrupt: bool = False) -> Dat
     return _csv(spark, paths, SHOPPING, keep_corrupt)
 
 
+def snake_case_behaviour(df: DataFrame) -> DataFrame:
+    """Sheet header names (``Customer ID``) to snake case (``customer_id``)."""
+    return df.select(*[F.col(f"`{c}`").alias(BEHAVIOUR_RENAME.get(c, c)) for c in df.columns])
+
+
 def read_behaviour(spark: SparkSession, paths, keep_corrupt: bool = False) -> DataFrame:
     """Behaviour sheet from CSV; header names with spaces become snake case."""
-    df = _csv(spark, paths, BEHAVIOUR_RAW, keep_corrupt)
-    return df.select(*[F.col(f"`{k}`").alias(v) for k, v in BEHAVIOUR_RENAME.items()],
-                     *([CORRUPT] if keep_corrupt else []))
+    return snake_case_behaviour(_csv(spark, paths, BEHAVIOUR_RAW, keep_corrupt))
 
 
 def fixed_decimals(df: DataFrame, places: int = 2) -> DataFrame:

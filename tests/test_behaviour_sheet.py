@@ -1,0 +1,49 @@
+"""Behaviour reports on the full 350-row sample sheet, against the values in
+FIXTURES.md section 3. The sheet is not part of this repository: point
+BEHAVIOUR_SHEET at a copy to run this test."""
+
+import os
+
+import pytest
+
+from cartlens.operators import reports
+from cartlens.sources.files import read_behaviour
+
+SHEET = os.environ.get("BEHAVIOUR_SHEET")
+pytestmark = pytest.mark.skipif(not SHEET or not os.path.exists(SHEET),
+                                reason="BEHAVIOUR_SHEET not set")
+
+CITY = {  # city: (customers, mean spend, items)
+    "Chicago": (58, 499.882759, 546), "Houston": (56, 447.648214, 425),
+    "Los Angeles": (59, 805.491525, 689), "Miami": (58, 690.389655, 675),
+    "New York": (59, 1165.035593, 901), "San Francisco": (58, 1459.772414, 1160),
+}
+SEGMENTS = {
+    ("Bronze", "Between 35-50", "Chicago"): (499.882759, 546),
+    ("Bronze", "Between 35-50", "Houston"): (447.648214, 425),
+    ("Gold", "Between 35-50", "San Francisco"): (1420.8, 19),
+    ("Gold", "Under 35", "New York"): (1165.035593, 901),
+    ("Gold", "Under 35", "San Francisco"): (1460.45614, 1141),
+    ("Silver", "Between 35-50", "Los Angeles"): (814.65, 288),
+    ("Silver", "Under 35", "Los Angeles"): (799.211429, 401),
+    ("Silver", "Under 35", "Miami"): (690.389655, 675),
+}
+
+
+def test_sheet_counts(spark):
+    df = read_behaviour(spark, SHEET)
+    assert df.count() == 350
+    assert df.na.drop().count() == 348
+    assert reports.at_risk_customers(df).count() == 116
+
+
+def test_sheet_city_segments(spark):
+    got = {r.city: (r.avg_total_spend, r.items_purchased)
+           for r in reports.city_segments(read_behaviour(spark, SHEET)).collect()}
+    assert got == {c: (avg, items) for c, (_, avg, items) in CITY.items()}
+
+
+def test_sheet_membership_segments(spark):
+    got = {(r.membership_type, r.age_group, r.city): (r.avg_total_spend, r.items_purchased)
+           for r in reports.membership_segments(read_behaviour(spark, SHEET)).collect()}
+    assert got == SEGMENTS

@@ -1,6 +1,5 @@
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from cartlens.functions.bands import band, band_order
 from cartlens.functions.dates import month_name, parse_day_first, weekday_name
