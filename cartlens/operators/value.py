@@ -53,8 +53,10 @@ def median_monetary(metrics: DataFrame, rel_error: float = 0.001, column: str =
         F.percentile_approx("v", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("b"),
     ).alias("s")).scalar()
     lo, hi, k = stats["b"][0], stats["b"][1], F.floor((stats["n"] + 1) / 2)
+    # below the bracket -> one null group (a count); in it -> (value, count)
     grouped = (vals.where(F.col("v") <= hi)
-               .groupBy(F.when(F.col("v") < lo, None).otherwise(F.col("v")).alias("v"))
+               .select(F.when(F.col("v") < lo, None).otherwise(F.col("v")).alias("v"))
+               .groupBy("v")
                .agg(F.count("*").alias("c")))
     running = Window.orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     return (grouped.withColumn("cum", F.sum("c").over(running))

@@ -159,7 +159,7 @@ def monetary_histogram(features: DataFrame, bins: int = 30, column: str = "monet
     width = (hi - lo)
     idx = F.when(width == 0, 0).otherwise(
         F.least(F.floor((v - lo) / width * bins), F.lit(bins - 1))).cast("int")
-    counts = features.where(v.isNotNull()).groupBy(idx.alias("bin")).count()
+    counts = features.where(v.isNotNull()).select(idx.alias("bin")).groupBy("bin").count()
     return (counts.select("bin", (lo + F.col("bin") * width / bins).alias("bin_start"),
                           (lo + (F.col("bin") + 1) * width / bins).alias("bin_end"), "count")
             .orderBy("bin"))
