@@ -13,6 +13,7 @@ Reports are written as CSV (header) or Parquet directories; ``single_file``
 applies only to reports whose size is bounded by their key domain.
 
 usage: python -m cartlens.plans.batch shopping|value|behaviour INPUT OUTPUT
+       [--landed SOURCE_NAME] [--format parquet|csv]
 """
 
 from __future__ import annotations
@@ -23,7 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import basket, clean, reports, value, views
 from ..session import checkpointed, shared_path
-from ..sources.files import read_behaviour, read_report, read_shopping, write_report
+from ..schemas import BEHAVIOUR_RAW, SHOPPING
+from ..sources.files import (read_behaviour, read_report, read_shopping, snake_case_behaviour,
+                             write_report)
+from ..streaming.ingest import read_landed
 
 # Reports with one row per key of a small domain (safe to write as one file).
 SMALL = {"segment_counts", "age_gender", "category_analysis", "monthly_category_sales",
@@ -146,17 +150,28 @@ def behaviour_job(spark: SparkSession, behaviour: DataFrame, out_dir: str, fmt:
 
 
 def main(argv=None):
-    argv = argv or sys.argv[1:]
-    job, src, out = argv[:3]
-    spark = SparkSession.builder.appName(f"cartlens-{job}").getOrCreate()
-    if job == "shopping":
-        shopping_job(spark, read_shopping(spark, src), out)
-    elif job == "value":
-        value_job(spark, read_shopping(spark, src), out)
-    elif job == "behaviour":
-        behaviour_job(spark, read_behaviour(spark, src), out)
+    import argparse
+
+    ap = argparse.ArgumentParser(description="report jobs")
+    ap.add_argument("job", choices=["shopping", "value", "behaviour"])
+    ap.add_argument("input", help="CSV file/folder, or a bronze folder with --landed")
+    ap.add_argument("output")
+    ap.add_argument("--landed", metavar="SOURCE_NAME",
+                    help="read this landed source from the bronze folder instead of CSV")
+    ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    args = ap.parse_args(argv)
+    spark = SparkSession.builder.appName(f"cartlens-{args.job}").getOrCreate()
+    if args.job == "behaviour":
+        src = (snake_case_behaviour(read_landed(spark, args.input, BEHAVIOUR_RAW, args.landed))
+               if args.landed else read_behaviour(spark, args.input))
+        behaviour_job(spark, src, args.output, fmt=args.format)
+        return
+    src = (read_landed(spark, args.input, SHOPPING, args.landed) if args.landed
+           else read_shopping(spark, args.input))
+    if args.job == "shopping":
+        shopping_job(spark, src, args.output, fmt=args.format)
     else:
-        raise SystemExit(f"unknown job {job}")
+        value_job(spark, src, args.output, fmt=args.format)
 
 
 if __name__ == "__main__":

@@ -87,3 +87,28 @@ def read_landed(spark: SparkSession, bronze_dir: str, schema: T.StructType,
                            "source_file", "ingest_date")
     cols = [F.col("r").getField(f.name).alias(f.name) for f in schema.fields]
     return parsed.select(*cols, *(["source_file", "ingest_date"] if keep_source else []))
+
+
+def main(argv=None):
+    """``python -m cartlens.streaming.ingest SPOOL BRONZE CHECKPOINT [options]``"""
+    import argparse
+
+    ap = argparse.ArgumentParser(description="spool folder -> bronze Parquet")
+    ap.add_argument("spool")
+    ap.add_argument("bronze")
+    ap.add_argument("checkpoint")
+    ap.add_argument("--max-files-per-trigger", type=int)
+    ap.add_argument("--archive-dir")
+    ap.add_argument("--every", help="keep polling at this interval, e.g. '30 seconds'")
+    args = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("cartlens-ingest").getOrCreate()
+    opts = dict(max_files_per_trigger=args.max_files_per_trigger, archive_dir=args.archive_dir)
+    if args.every:
+        ingest_spool(spark, args.spool, args.bronze, args.checkpoint, available_now=False,
+                     processing_time=args.every, **opts).awaitTermination()
+    else:
+        run_ingest(spark, args.spool, args.bronze, args.checkpoint, **opts)
+
+
+if __name__ == "__main__":
+    main()
