@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import basket, clean, reports, value, views
-from ..schemas import SHOPPING
+from ..schemas import BEHAVIOUR_RENAME, SHOPPING
 from ..session import checkpointed, shared_path
-from ..sources.files import read_report, write_report
+from ..sources.files import read_behaviour, read_report, read_shopping, write_report
 from ..sources.tables import behaviour_from_tables, shopping_from_tables
 from ..streaming.ingest import read_landed, run_ingest
 
@@ -115,6 +115,24 @@ def q_ingest_roundtrip(spark, sf):
     return read_landed(spark, f"{base}/bronze", SHOPPING, source_like="part-%")
 
 
+def q_shopping_csv(spark, sf):
+    """Shopping lines written as CSV with a header and scanned back with the
+    explicit-schema reader."""
+    path = shared_path(spark, "csv", "shopping", unique=True)
+    write_report(shopping_from_tables(spark, sf), path)
+    return read_shopping(spark, path)
+
+
+def q_behaviour_csv(spark, sf):
+    """Behaviour rows written as CSV under the sheet's header names (with
+    spaces) and read back with the behaviour reader."""
+    path = shared_path(spark, "csv", "behaviour", unique=True)
+    raw = {v: k for k, v in BEHAVIOUR_RENAME.items()}
+    sheet = behaviour(spark, sf)
+    write_report(sheet.select(*[F.col(c).alias(raw[c]) for c in sheet.columns]), path)
+    return read_behaviour(spark, path)
+
+
 def q_report_roundtrip(spark, sf):
     """A multi-part report written as CSV and read back from all its parts."""
     path = shared_path(spark, "reports", "customer_segments", unique=True)
@@ -190,4 +208,6 @@ def queries() -> dict:
         # sources and sinks
         "ingest_roundtrip": q_ingest_roundtrip,
         "report_roundtrip": q_report_roundtrip,
+        "shopping_csv": q_shopping_csv,
+        "behaviour_csv": q_behaviour_csv,
     }

@@ -378,4 +378,6 @@ UNION ALL SELECT 'payment_share', payment_method, share_pct FROM pay
 UNION ALL SELECT 'monthly_revenue', CAST(month AS VARCHAR), total_revenue FROM monthly""",
         "ingest_roundtrip": f"WITH {SHOPPING} SELECT * FROM shopping",
         "report_roundtrip": f"WITH {STATS} SELECT {SEGMENT_COLS} FROM segments",
+        "shopping_csv": f"WITH {SHOPPING} SELECT * FROM shopping",
+        "behaviour_csv": f"WITH {BEHAVIOUR} SELECT {BEHAVIOUR_COLS} FROM behaviour_c",
     }

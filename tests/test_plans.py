@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 
 # Queries whose construction trains a model or writes files are covered elsewhere.
 SIDE_EFFECTS = {"value_predictions", "value_auc", "feature_importance", "ingest_roundtrip",
-                "report_roundtrip"}
+                "report_roundtrip", "shopping_csv", "behaviour_csv"}
 
 
 def plan_text(df):
