@@ -42,14 +42,19 @@ def test_category_report_reads_only_lines_and_parts(spark):
     plan = plan_text(E.queries()["category_summary"](spark, SF_SMALL))
     assert "lineitem.parquet" in plan and "part.parquet" in plan
     assert "customer.parquet" not in plan and "orders.parquet" not in plan
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
+    line_schema = re.search(r"lineitem\.parquet.*?ReadSchema: struct<([^>]*)>", plan).group(1)
+    assert {c.split(":")[0] for c in line_schema.split(",")} <= {
+        "l_orderkey", "l_partkey", "l_quantity", "l_linenumber"}   # linenumber: spread key
 
 
 def test_aggregates_are_partial_before_shuffle(spark, no_auto_broadcast):
     plan = plan_text(E.queries()["customer_stats"](spark, SF_SMALL))
     assert "partial_sum" in plan and "partial_count" in plan
     # lines are shuffled by part key and order key only; customers join orders first
-    keys = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    # (the small test table is also spread on its unique line key first; see tables.spread)
+    keys = [k for k in re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", plan)
+            if "l_linenumber" not in k]
+    keys = [re.sub(r"#\d+L?", "", k) for k in keys]
     assert "l_partkey" in keys and "l_orderkey" in keys and "o_custkey" in keys
     assert keys.count("l_orderkey") == 1
 
@@ -58,3 +63,13 @@ def test_basket_pre_aggregates_and_reuses_exchange(spark, no_auto_broadcast):
     plan = plan_text(E.queries()["basket_pairs"](spark, SF_SMALL))
     assert "ReusedExchange" in plan
     assert re.search(r"HashAggregate\(keys=\[invoice_no#\d+, category#\d+\]", plan)
+
+
+def test_spread_only_when_under_split(spark):
+    from cartlens.sources.tables import spread, table
+    small = table(spark, SF_SMALL, "lineitem")
+    assert small.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    assert spread(small, "l_orderkey", "l_linenumber").rdd.getNumPartitions() == \
+        spark.sparkContext.defaultParallelism
+    wide = small.repartition(spark.sparkContext.defaultParallelism * 2)
+    assert spread(wide, "l_orderkey", "l_linenumber") is wide
