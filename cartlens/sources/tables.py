@@ -42,19 +42,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *unique_key: str) -> DataFrame:
-    """Spread an input that arrives in fewer splits than the session has cores.
-
-    A large table arrives in many splits, so this is a no-op at scale and adds
-    no shuffle. A small one stored as a few large row groups would otherwise run
-    its joins and partial aggregates in a single task. Rows are hash-partitioned
-    on a unique key, so no value of any other column (a hot order, part or
-    customer) can gather in one partition.
+SPREAD_MAX_BYTES = 1 << 30
+
+
+def spread(df: DataFrame, *unique_key: str, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    """Spread a small input that arrives in fewer splits than the session has cores.
+
+    A small table stored as a few large row groups would otherwise run its
+    joins and partial aggregates in one task. Only inputs under ``max_bytes``
+    (Catalyst's size estimate) are spread: a large table arrives in many
+    splits, and reshuffling even a medium one to reach every core of a big
+    cluster would cost more than it gains. So at scale this is a no-op and adds
+    no shuffle. Rows are hash-partitioned on a unique key, so no value of any
+    other column (a hot order, part or customer) can gather in one partition.
     """
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() >= cores:
             return df
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size > max_bytes:
+            return df
     except Exception:  # noqa: BLE001 - no RDD view (remote session): leave as is
         return df
     return df.repartition(cores, *unique_key)

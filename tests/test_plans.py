@@ -73,3 +73,4 @@ def test_spread_only_when_under_split(spark):
         spark.sparkContext.defaultParallelism
     wide = small.repartition(spark.sparkContext.defaultParallelism * 2)
     assert spread(wide, "l_orderkey", "l_linenumber") is wide
+    assert spread(small, "l_orderkey", "l_linenumber", max_bytes=10) is small   # too big to spread
