@@ -102,7 +102,9 @@ def q_feature_importance(spark, sf):
 def q_enrich_dates(spark, sf):
     df = lines(spark, sf, ["invoice_no", "category", "age", "quantity", "price", "invoice_date"])
     return df.select("invoice_no", "category", "quantity", F.col("price").cast("double").alias("price"),
-                     F.col("total_amount").cast("double").alias("total_amount"), "invoice_date",
+                     F.col("total_amount").cast("double").alias("total_amount"),
+                     # ISO text: compares the same in any engine (timestamp units differ)
+                     F.date_format("invoice_date", "yyyy-MM-dd HH:mm:ss").alias("invoice_date"),
                      "valid_date", "month", "year", "day_of_week", "age_group")
 
 

@@ -271,7 +271,8 @@ def oracle_sql() -> dict:
         "month_sales": f"WITH {LINES}, {MONTHLY} SELECT * FROM monthly",
         "enrich_dates": f"""WITH {LINES}
 SELECT invoice_no, category, quantity, CAST(price_c AS DOUBLE) / 100 AS price,
-       CAST(amount_c AS DOUBLE) / 100 AS total_amount, ts AS invoice_date, valid_date, month, year,
+       CAST(amount_c AS DOUBLE) / 100 AS total_amount, strftime(ts, '%Y-%m-%d %H:%M:%S') AS invoice_date,
+       valid_date, month, year,
        day_of_week, age_group FROM lines""",
         "clean_fill": f"""WITH {VLINES}
 SELECT invoice_no, customer_id, gender, age, category, quantity, price, payment_method, invoice_date
