@@ -119,25 +119,28 @@ def shopping_job(spark: SparkSession, shopping: DataFrame, out_dir: str,
 
 
 def value_job(spark: SparkSession, shopping: DataFrame, out_dir: str, rel_error: float = 0.001,
-              fmt: str = "parquet") -> dict:
+              fmt: str = "parquet", features=value.FEATURES) -> dict:
+    """Value model run. ``features`` defaults to the source's four columns; note
+    that ``monetary`` also defines the label, so leave it out to measure how
+    well the other columns predict it."""
     lines = value.prepare_lines(shopping)
     for key in ("gender", "age_group", "payment_method"):
         write_report(reports.consumption_by(lines, key), f"{out_dir}/consumption_{key}", fmt=fmt,
                      single_file=True)
-    features = value.customer_features(lines, rel_error=rel_error)
-    write_report(features, f"{out_dir}/customer_features", fmt=fmt)
-    features = read_report(spark, f"{out_dir}/customer_features", fmt=fmt)
-    vectors = checkpointed(value.value_features(features))
+    write_report(value.customer_features(lines, rel_error=rel_error), f"{out_dir}/customer_features",
+                 fmt=fmt)
+    labelled = read_report(spark, f"{out_dir}/customer_features", fmt=fmt)
+    vectors = checkpointed(value.value_features(labelled, features))
     write_report(value.split_counts(vectors), f"{out_dir}/split_counts", fmt=fmt, single_file=True)
     train, test = value.split_customers(vectors)
     model = value.value_model(train)
     preds = value.value_predictions(model, test)
     write_report(value.value_auc(preds), f"{out_dir}/auc", fmt=fmt, single_file=True)
-    write_report(value.feature_importance(model), f"{out_dir}/feature_importance", fmt=fmt,
-                 single_file=True)
-    for name, df in (("value_counts", views.value_counts(features)),
-                     ("gender_value_mix", views.gender_value_mix(features)),
-                     ("monetary_histogram", views.monetary_histogram(features))):
+    write_report(value.feature_importance(model, features), f"{out_dir}/feature_importance",
+                 fmt=fmt, single_file=True)
+    for name, df in (("value_counts", views.value_counts(labelled)),
+                     ("gender_value_mix", views.gender_value_mix(labelled)),
+                     ("monetary_histogram", views.monetary_histogram(labelled))):
         write_report(df, f"{out_dir}/{name}", fmt=fmt, single_file=True)
     return {"model": model}
 

@@ -36,3 +36,11 @@ def test_materialize_lines_partitioned(spark, scratch):
     assert spark.table("shopping_data").count() == lines.count()
     months = [d for d in os.listdir(path) if d.startswith("year=")]
     assert months and lines.where("year = 1995 and month = 1").count() > 0
+
+
+def test_value_job_without_label_column(spark, scratch):
+    out = os.path.join(scratch, "value2")
+    batch.value_job(spark, shopping_from_tables(spark, SF_SMALL), out,
+                    features=["age", "avg_transaction"])
+    imp = read_report(spark, f"{out}/feature_importance", fmt="parquet").collect()
+    assert sorted(r.feature for r in imp) == ["age", "avg_transaction"]
