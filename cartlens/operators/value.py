@@ -52,15 +52,17 @@ def median_monetary(metrics: DataFrame, rel_error: float = 0.001, column: str =
         F.count("*").alias("n"),
         F.percentile_approx("v", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("b"),
     ).alias("s")).scalar()
-    lo, hi, k = stats["b"][0], stats["b"][1], F.floor((stats["n"] + 1) / 2)
-    # below the bracket -> one null group (a count); in it -> (value, count)
-    grouped = (vals.where(F.col("v") <= hi)
-               .select(F.when(F.col("v") < lo, None).otherwise(F.col("v")).alias("v"))
-               .groupBy("v")
-               .agg(F.count("*").alias("c")))
+    # The bracket is evaluated once (one projected column) and carried along.
+    lo, hi, k = F.col("s.b")[0], F.col("s.b")[1], F.floor((F.col("s.n") + 1) / 2)
+    bracket = (vals.select("v", stats.alias("s"))
+               .where(F.col("v") <= hi)
+               # below the bracket -> one null group (a count); in it -> (value, count)
+               .select(F.when(F.col("v") < lo, None).otherwise(F.col("v")).alias("v"),
+                       k.alias("k")))
+    grouped = bracket.groupBy("v").agg(F.count("*").alias("c"), F.max("k").alias("k"))
     running = Window.orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     return (grouped.withColumn("cum", F.sum("c").over(running))
-            .where(F.col("v").isNotNull() & (F.col("cum") >= k))
+            .where(F.col("v").isNotNull() & (F.col("cum") >= F.col("k")))
             .agg(F.min("v").cast("double").alias("median_monetary")))
 
 

@@ -45,7 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SPREAD_MAX_BYTES = 1 << 30
 
 
-def spread(df: DataFrame, *unique_key: str, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+def spread(df: DataFrame, *unique_key: str, max_bytes: int | None = None) -> DataFrame:
     """Spread a small input that arrives in fewer splits than the session has cores.
 
     A small table stored as a few large row groups would otherwise run its
@@ -56,6 +56,7 @@ def spread(df: DataFrame, *unique_key: str, max_bytes: int = SPREAD_MAX_BYTES) -
     no shuffle. Rows are hash-partitioned on a unique key, so no value of any
     other column (a hot order, part or customer) can gather in one partition.
     """
+    max_bytes = SPREAD_MAX_BYTES if max_bytes is None else max_bytes
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() >= cores:
