@@ -153,15 +153,19 @@ def monetary_histogram(features: DataFrame, bins: int = 30, column: str = "monet
     """Equal-width histogram between min and max (last bin closed):
     (bin, bin_start, bin_end, count). The bounds are a scalar subquery, a
     second pass over ``features``: pass a materialised frame."""
-    v = F.col(column)
     rng = features.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
-    lo, hi = rng["lo"], rng["hi"]
-    width = (hi - lo)
-    idx = F.when(width == 0, 0).otherwise(
-        F.least(F.floor((v - lo) / width * bins), F.lit(bins - 1))).cast("int")
-    counts = features.where(v.isNotNull()).select(idx.alias("bin")).groupBy("bin").count()
-    return (counts.select("bin", (lo + F.col("bin") * width / bins).alias("bin_start"),
-                          (lo + (F.col("bin") + 1) * width / bins).alias("bin_end"), "count")
+    # the bounds are evaluated once (one projected column) and carried along
+    tagged = features.where(F.col(column).isNotNull()).select(F.col(column).alias("v"),
+                                                              rng.alias("r"))
+    v, lo, hi = F.col("v"), F.col("r.lo"), F.col("r.hi")
+    idx = F.when(hi - lo == 0, 0).otherwise(
+        F.least(F.floor((v - lo) / (hi - lo) * bins), F.lit(bins - 1))).cast("int")
+    counts = (tagged.select(idx.alias("bin"), lo.alias("lo"), hi.alias("hi"))
+              .groupBy("bin")
+              .agg(F.count("*").alias("count"), F.max("lo").alias("lo"), F.max("hi").alias("hi")))
+    lo, hi = F.col("lo"), F.col("hi")
+    return (counts.select("bin", (lo + F.col("bin") * (hi - lo) / bins).alias("bin_start"),
+                          (lo + (F.col("bin") + 1) * (hi - lo) / bins).alias("bin_end"), "count")
             .orderBy("bin"))
 
 
