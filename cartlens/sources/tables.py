@@ -42,7 +42,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-SPREAD_MAX_BYTES = 1 << 30
+SPREAD_MAX_BYTES = 1 << 30    # inputs larger than this are never spread
+SPREAD_PART_BYTES = 1 << 20   # about this much (estimated, compressed) input per spread partition
 
 
 def spread(df: DataFrame, *unique_key: str, max_bytes: int | None = None) -> DataFrame:
@@ -50,23 +51,26 @@ def spread(df: DataFrame, *unique_key: str, max_bytes: int | None = None) -> Dat
 
     A small table stored as a few large row groups would otherwise run its
     joins and partial aggregates in one task. Only inputs under ``max_bytes``
-    (Catalyst's size estimate) are spread: a large table arrives in many
-    splits, and reshuffling even a medium one to reach every core of a big
-    cluster would cost more than it gains. So at scale this is a no-op and adds
-    no shuffle. Rows are hash-partitioned on a unique key, so no value of any
-    other column (a hot order, part or customer) can gather in one partition.
+    (Catalyst's size estimate) are spread, into at most one partition per core
+    and per ``SPREAD_PART_BYTES`` of input: a large table arrives in many
+    splits, and reshuffling even a medium one would cost more than it gains,
+    so at scale this is a no-op and adds no shuffle. Rows are hash-partitioned
+    on a unique key, so no value of any other column (a hot order, part or
+    customer) can gather in one partition.
     """
     max_bytes = SPREAD_MAX_BYTES if max_bytes is None else max_bytes
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
+        splits = df.rdd.getNumPartitions()
+        if splits >= cores:
             return df
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        if size > max_bytes:
+        target = min(cores, size // SPREAD_PART_BYTES)
+        if size > max_bytes or target <= splits:
             return df
     except Exception:  # noqa: BLE001 - no RDD view (remote session): leave as is
         return df
-    return df.repartition(cores, *unique_key)
+    return df.repartition(target, *unique_key)
 
 
 def _age(custkey: Column) -> Column:

@@ -66,11 +66,13 @@ def test_basket_pre_aggregates_and_reuses_exchange(spark, no_auto_broadcast):
 
 
 def test_spread_only_when_under_split(spark):
-    from cartlens.sources.tables import spread, table
-    small = table(spark, SF_SMALL, "lineitem")
-    assert small.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    assert spread(small, "l_orderkey", "l_linenumber").rdd.getNumPartitions() == \
-        spark.sparkContext.defaultParallelism
-    wide = small.repartition(spark.sparkContext.defaultParallelism * 2)
-    assert spread(wide, "l_orderkey", "l_linenumber") is wide
-    assert spread(small, "l_orderkey", "l_linenumber", max_bytes=10) is small   # too big to spread
+    from cartlens.sources import tables
+    small = tables.table(spark, "/root/testdata/sf0.1", "lineitem")   # ~10 MB, one row group
+    cores = spark.sparkContext.defaultParallelism
+    assert small.rdd.getNumPartitions() < cores
+    assert tables.spread(small, "l_orderkey", "l_linenumber").rdd.getNumPartitions() == cores
+    wide = small.repartition(cores * 2)
+    assert tables.spread(wide, "l_orderkey", "l_linenumber") is wide
+    assert tables.spread(small, "l_orderkey", "l_linenumber", max_bytes=10) is small  # too big
+    tiny = tables.table(spark, SF_SMALL, "lineitem")                   # ~100 KB: not worth it
+    assert tables.spread(tiny, "l_orderkey", "l_linenumber") is tiny
