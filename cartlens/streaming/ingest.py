@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import ddl
+from ..schemas import BRONZE, ddl
 
 
 def spool_lines(spark: SparkSession, spool_dir: str, max_files_per_trigger: int | None = None,
@@ -73,7 +73,7 @@ def read_landed(spark: SparkSession, bronze_dir: str, schema: T.StructType,
     """Typed rows of the landed lines of one source (exact ``source_name`` or a
     SQL ``LIKE`` pattern). Blank lines and header lines are dropped; a line that
     does not parse keeps nulls in the fields it could not fill."""
-    bronze = spark.read.parquet(bronze_dir)
+    bronze = spark.read.schema(BRONZE).parquet(bronze_dir)   # declared: no footer job
     if source_name is not None:
         bronze = bronze.where(F.col("source_name") == source_name)
     if source_like is not None:
