@@ -55,7 +55,7 @@ def materialize_lines(spark: SparkSession, shopping: DataFrame, path: str | None
         lines = lines.repartitionByRange(*partition_by, "invoice_no")
         writer = lines.write.mode("overwrite").partitionBy(*partition_by)
     writer.parquet(path)
-    table = spark.read.parquet(path)
+    table = spark.read.schema(lines.schema).parquet(path)
     table.createOrReplaceTempView("shopping_data")
     return table
 
