@@ -16,7 +16,12 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.bands import band
 from ..functions.money import as_money, mean, total
 
+# Default segment thresholds, the segment labels (first rule that
+# holds wins, in this order) and the at-risk rule's satisfaction level.
 HIGH_VALUE, FREQUENT, HIGH_TICKET = 1000.0, 10, 100.0
+SEGMENT_LABELS = ("High Value Customer", "Frequent Customer",
+                  "High Ticket Customer", "General Customer")
+AT_RISK_DAYS, AT_RISK_LEVEL = 30, "Unsatisfied"
 
 
 def require(df: DataFrame, *columns: str) -> DataFrame:
@@ -27,9 +32,6 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
         raise ValueError(f"missing columns {missing}; got {df.columns}")
     return df
 
-SEGMENT_LABELS = ("High Value Customer", "Frequent Customer",
-                  "High Ticket Customer", "General Customer")
-
 
 def customer_stats(lines: DataFrame) -> DataFrame:
     """Per (customer_id, gender, age): transaction_count, total_spent,
@@ -156,8 +158,8 @@ def city_segments(behaviour: DataFrame) -> DataFrame:
             .orderBy("city"))
 
 
-def at_risk_customers(behaviour: DataFrame, days: int = 30,
-                      level: str = "Unsatisfied") -> DataFrame:
+def at_risk_customers(behaviour: DataFrame, days: int = AT_RISK_DAYS,
+                      level: str = AT_RISK_LEVEL) -> DataFrame:
     """Complete rows whose last purchase is over ``days`` ago and whose
     satisfaction equals ``level``; all columns kept."""
     require(behaviour, "days_since_last_purchase", "satisfaction_level")
