@@ -78,12 +78,14 @@ def category_summary(lines: DataFrame) -> DataFrame:
             .orderBy(F.desc("total_revenue"), "category"))
 
 
-def month_category(lines: DataFrame) -> DataFrame:
-    """Revenue per (month, category) over valid dates; months pool all years."""
+def month_category(lines: DataFrame, by_year: bool = False) -> DataFrame:
+    """Revenue per (month, category) over valid dates; months pool all years
+    unless ``by_year``."""
+    keys = ["year", "month"] if by_year else ["month"]
     return (lines.where("valid_date")
-            .groupBy("month", "category")
+            .groupBy(*keys, "category")
             .agg(total("total_amount").alias("monthly_revenue"))
-            .orderBy("month", F.desc("monthly_revenue"), "category"))
+            .orderBy(*keys, F.desc("monthly_revenue"), "category"))
 
 
 def category_preferences(lines: DataFrame) -> DataFrame:

@@ -47,6 +47,8 @@ def test_invalid_dates_are_excluded_from_time_reports(spark):
     assert days == {6: 3}  # 5 Aug 2022 and 31 Dec 2021 are Fridays (Sunday = 1)
     by_year = reports.month_sales(lines, by_year=True).collect()
     assert {(r.year, r.month) for r in by_year} == {(2022, 8), (2021, 12)}
+    cats = reports.month_category(lines, by_year=True).collect()
+    assert {(r.year, r.month, r.category) for r in cats} == {(2022, 8, "A"), (2021, 12, "A")}
 
 
 def test_category_and_payment_reports(spark):
