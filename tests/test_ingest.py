@@ -74,3 +74,18 @@ def test_spool_batches_and_archive(spark, scratch):
     archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".csv")]
     assert 1 <= len(archived) <= 4      # files of committed batches are moved out of the spool
     assert len(os.listdir(spool)) + len(archived) == 4
+
+
+def test_polling_stream_picks_up_new_files(spark, scratch):
+    from cartlens.streaming.ingest import ingest_spool
+    spool, bronze, ckpt = (os.path.join(scratch, d) for d in ("spool", "bronze", "ckpt"))
+    os.makedirs(spool)
+    write(spool, "a.csv", "i1,c1,F,30,A,1,1.0,Cash,1/1/2022\n")
+    q = ingest_spool(spark, spool, bronze, ckpt, available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        write(spool, "b.csv", "i2,c2,F,30,A,1,1.0,Cash,1/1/2022\ni3,c3,F,30,A,1,1.0,Cash,1/1/2022\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(bronze).count() == 3
