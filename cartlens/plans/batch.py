@@ -30,7 +30,7 @@ from ..sources.files import (read_behaviour, read_report, read_shopping, snake_c
 from ..streaming.ingest import read_landed
 
 # Reports with one row per key of a small domain (safe to write as one file).
-SMALL = {"segment_counts", "age_gender", "category_analysis", "monthly_category_sales",
+SMALL = {"segment_counts", "age_gender_analysis", "category_analysis", "monthly_category_sales",
          "category_preferences", "payment_analysis", "payment_age_analysis",
          "daily_sales_pattern", "monthly_sales_pattern", "category_pairs"}
 
@@ -66,7 +66,7 @@ def shopping_reports(lines: DataFrame, thresholds: dict | None = None,
     out = {
         "customer_segments": seg,
         "segment_counts": reports.segment_counts(seg),
-        "age_gender": reports.age_gender(seg),
+        "age_gender_analysis": reports.age_gender(seg),
         "category_analysis": reports.category_summary(lines),
         "monthly_category_sales": reports.month_category(lines),
         "category_preferences": reports.category_preferences(lines),
@@ -83,14 +83,14 @@ def shopping_reports(lines: DataFrame, thresholds: dict | None = None,
 def report_views(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Views built from the written reports (small tables), not the lines."""
     r = {name: read_report(spark, f"{out_dir}/{name}", fmt=fmt) for name in (
-        "customer_segments", "age_gender", "category_analysis", "monthly_category_sales",
+        "customer_segments", "age_gender_analysis", "category_analysis", "monthly_category_sales",
         "category_preferences", "payment_analysis", "payment_age_analysis",
         "daily_sales_pattern", "monthly_sales_pattern")}
     cats = r["category_analysis"]
     return {
         "segment_share": views.segment_share(r["customer_segments"]),
         "age_spending": views.age_spending(r["customer_segments"]),
-        "pivot_age_gender": views.pivot_age_gender(r["age_gender"]),
+        "pivot_age_gender": views.pivot_age_gender(r["age_gender_analysis"]),
         "top_categories": views.top_categories(cats),
         "top_category_trend": views.top_category_trend(r["monthly_category_sales"], cats),
         "category_bubble": views.category_bubble(cats),
