@@ -161,7 +161,8 @@ def main(argv=None):
     ap.add_argument("output")
     ap.add_argument("--landed", metavar="SOURCE_NAME",
                     help="read this landed source from the bronze folder instead of CSV")
-    ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    ap.add_argument("--format", default="csv", choices=["csv", "parquet"],
+                    help="report format (default csv with header, as the source writes)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"cartlens-{args.job}").getOrCreate()
     if args.job == "behaviour":
