@@ -13,7 +13,7 @@ Reports are written as CSV (header) or Parquet directories; ``single_file``
 applies only to reports whose size is bounded by their key domain.
 
 usage: python -m cartlens.plans.batch shopping|value|behaviour INPUT OUTPUT
-       [--landed SOURCE_NAME] [--format parquet|csv]
+       [--landed SOURCE_NAME] [--format csv|parquet]
 """
 
 from __future__ import annotations
