@@ -163,8 +163,13 @@ def main(argv=None):
                     help="read this landed source from the bronze folder instead of CSV")
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"],
                     help="report format (default csv with header, as the source writes)")
+    ap.add_argument("--high-value", type=float, default=reports.HIGH_VALUE)
+    ap.add_argument("--frequent", type=int, default=reports.FREQUENT)
+    ap.add_argument("--high-ticket", type=float, default=reports.HIGH_TICKET)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"cartlens-{args.job}").getOrCreate()
+    thresholds = dict(high_value=args.high_value, frequent=args.frequent,
+                      high_ticket=args.high_ticket)
     if args.job == "behaviour":
         src = (snake_case_behaviour(read_landed(spark, args.input, BEHAVIOUR_RAW, args.landed))
                if args.landed else read_behaviour(spark, args.input))
@@ -173,7 +178,7 @@ def main(argv=None):
     src = (read_landed(spark, args.input, SHOPPING, args.landed) if args.landed
            else read_shopping(spark, args.input))
     if args.job == "shopping":
-        shopping_job(spark, src, args.output, fmt=args.format)
+        shopping_job(spark, src, args.output, thresholds=thresholds, fmt=args.format)
     else:
         value_job(spark, src, args.output, fmt=args.format)
 
