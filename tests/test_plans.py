@@ -32,10 +32,13 @@ def test_no_pairs_no_python(spark, no_auto_broadcast, name):
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
                 "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert bad not in plan, f"{name}: {bad}"
-    # Only bounded top-k lists are broadcast when no table fits the threshold.
+    # Only bounded frames are broadcast when no table fits the threshold: top-k
+    # lists, and the 25-row nation table.
     for m in re.finditer(r"BroadcastExchange", plan):
         tail = plan[m.end():m.end() + 600]
-        assert "TakeOrderedAndProject" in tail or "Limit" in tail, f"{name}: unbounded broadcast"
+        child = tail.split("Exchange")[0]   # the broadcast side, up to the next exchange
+        assert ("TakeOrderedAndProject" in tail or "Limit" in tail
+                or "nation.parquet" in child), f"{name}: unbounded broadcast"
 
 
 def test_category_report_reads_only_lines_and_parts(spark):

@@ -32,7 +32,7 @@ NOTES = {
                          "The only single-partition window covers the bracket's distinct values.",
     "city_segments": "Lines are pre-aggregated per order before the orders join, and orders per "
                      "customer before the customer join. The global latest order date is a scalar "
-                     "subquery.",
+                     "subquery. The 25-row nation table is broadcast explicitly.",
     "segment_share": "The share total is a window over the segment counts (one row per segment).",
     "top_category_trend": "The only broadcast is the 5-row top-k list (TakeOrderedAndProject).",
 }
