@@ -29,18 +29,25 @@ def customer_metrics(lines: DataFrame) -> DataFrame:
 
 
 def median_monetary(metrics: DataFrame, rel_error: float = 0.001, column: str = "monetary",
-                    accuracy: int = 20000) -> DataFrame:
+                    accuracy: int = 20000, buckets: int = 1024) -> DataFrame:
     """One row, one column ``median_monetary``.
 
     ``rel_error > 0``: the quantile sketch (``percentile_approx``), bounded in
     memory and merged from partial aggregates.
 
     ``rel_error == 0``: the exact lower median (the ``percentile_disc(0.5)``
-    value, rank ``ceil(n/2)``). A sketch of relative error ``1/accuracy`` first
-    brackets that rank; values below the bracket are only counted, values in it
-    are grouped to (value, count), and a running count over those groups finds
-    the value. Only the bracket's distinct values (about ``6n/accuracy``) meet
-    in one ordered window, never the whole column.
+    value, rank ``k = ceil(n/2)``), without sorting the column:
+
+    1. a sketch of relative error ``1/accuracy`` brackets rank ``k`` in
+       ``[lo, hi]`` (about ``6n/accuracy`` values);
+    2. values below the bracket are only counted; values in it are reduced to
+       (bucket, value, count) over ``buckets`` equal-width buckets;
+    3. running totals over the bucket totals (at most ``buckets + 1`` rows)
+       name the bucket holding rank ``k`` and the rank before it;
+    4. a running count over that one bucket's distinct values finds the value.
+
+    Only step 4 orders values in one task, and only the target bucket's
+    distinct values (typically ``6n / (accuracy * buckets)``).
     """
     v = F.col(column)
     vals = metrics.select(v.alias("v")).where(F.col("v").isNotNull())
@@ -54,14 +61,28 @@ def median_monetary(metrics: DataFrame, rel_error: float = 0.001, column: str =
     ).alias("s")).scalar()
     # The bracket is evaluated once (one projected column) and carried along.
     lo, hi, k = F.col("s.b")[0], F.col("s.b")[1], F.floor((F.col("s.n") + 1) / 2)
-    bracket = (vals.select("v", stats.alias("s"))
-               .where(F.col("v") <= hi)
-               # below the bracket -> one null group (a count); in it -> (value, count)
-               .select(F.when(F.col("v") < lo, None).otherwise(F.col("v")).alias("v"),
-                       k.alias("k")))
-    grouped = bracket.groupBy("v").agg(F.count("*").alias("c"), F.max("k").alias("k"))
-    running = Window.orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    return (grouped.withColumn("cum", F.sum("c").over(running))
+    x = F.col("v")
+    bucket = (F.when(x < lo, -1)
+              .otherwise(F.least(F.coalesce(F.floor(F.try_divide(x - lo, hi - lo) * buckets), F.lit(0)),
+                                 F.lit(buckets - 1)))
+              .cast("int"))
+    grouped = (vals.select("v", stats.alias("s"))
+               .where(x <= hi)
+               .select(bucket.alias("bucket"), F.when(x < lo, None).otherwise(x).alias("v"),
+                       k.alias("k"))
+               .groupBy("bucket", "v")
+               .agg(F.count("*").alias("c"), F.max("k").alias("k")))
+    by_bucket = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    target = (grouped.groupBy("bucket").agg(F.sum("c").alias("t"), F.max("k").alias("k"))
+              .withColumn("upto", F.sum("t").over(by_bucket))
+              .where(F.col("upto") >= F.col("k"))
+              .orderBy("bucket").limit(1)
+              .select(F.struct("bucket", (F.col("upto") - F.col("t")).alias("before")).alias("tb"))
+              .scalar())
+    in_bucket = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    return (grouped.select("bucket", "v", "c", "k", target.alias("tb"))
+            .where(F.col("bucket") == F.col("tb.bucket"))
+            .withColumn("cum", F.col("tb.before") + F.sum("c").over(in_bucket))
             .where(F.col("v").isNotNull() & (F.col("cum") >= F.col("k")))
             .agg(F.min("v").cast("double").alias("median_monetary")))
 

@@ -39,6 +39,24 @@ def test_exact_median_large_and_skewed(spark):
     assert got == lower_median(vals)
 
 
+@pytest.mark.parametrize("seed,n,accuracy,buckets", [
+    (1, 1, 50, 4), (2, 2, 50, 4), (3, 997, 50, 4), (4, 1000, 100, 3), (5, 5000, 40, 7),
+    (6, 3000, 1000, 1024),
+])
+def test_exact_median_stress(spark, seed, n, accuracy, buckets):
+    rnd = random.Random(seed)
+    shape = seed % 3
+    if shape == 0:
+        vals = [round(rnd.uniform(0, 100), 2) for _ in range(n)]
+    elif shape == 1:
+        vals = [float(rnd.choice([5, 5, 5, 7])) for _ in range(n)]       # bracket of equal values
+    else:
+        vals = [round(rnd.gauss(50, 0.05), 2) for _ in range(n)]          # dense cluster
+    got = value.median_monetary(metrics_df(spark, vals), rel_error=0.0, accuracy=accuracy,
+                                buckets=buckets).first()[0]
+    assert got == lower_median(vals)
+
+
 def test_approx_median_is_close(spark):
     vals = [float(i) for i in range(1, 10001)]
     got = value.median_monetary(metrics_df(spark, vals), rel_error=0.001).first()[0]

@@ -28,8 +28,9 @@ NOTES = {
                     "exchange is reused for both sides of the self-join. The final pair aggregate is "
                     "also partial.",
     "customer_features": "Customer metrics are checkpointed (a LogicalRDD), so the median sketch, the "
-                         "bracket grouping and the label all read the customer table, never the lines. "
-                         "The only single-partition window covers the bracket's distinct values.",
+                         "bucket totals, the target bucket and the label all read the customer table, "
+                         "never the lines. The single-partition windows cover the bucket totals "
+                         "(at most 1025 rows) and one bucket's distinct values.",
     "city_segments": "Lines are pre-aggregated per order before the orders join, and orders per "
                      "customer before the customer join. The global latest order date is a scalar "
                      "subquery. The 25-row nation table is broadcast explicitly.",
