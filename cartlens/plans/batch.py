@@ -18,7 +18,6 @@ usage: python -m cartlens.plans.batch shopping|value|behaviour INPUT OUTPUT
 
 from __future__ import annotations
 
-import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
