@@ -18,7 +18,6 @@ usage: python -m cartlens.plans.batch shopping|value|behaviour INPUT OUTPUT
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import basket, clean, reports, value, views
