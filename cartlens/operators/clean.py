@@ -59,6 +59,14 @@ def profile_table(df: DataFrame) -> DataFrame:
         "row_count", F.lit(len(df.columns)).cast("bigint").alias("column_count"))
 
 
+def profile_schema(df: DataFrame) -> DataFrame:
+    """The schema as rows (column_name, data_type, nullable): column metadata
+    only, one row per column, built on the driver from ``df.schema``."""
+    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
+    return df.sparkSession.createDataFrame(
+        rows, "column_name string, data_type string, nullable boolean")
+
+
 def profile_nulls(df: DataFrame) -> DataFrame:
     """Null count per column, all columns in one scan: (column_name, null_count)."""
     names = df.columns

@@ -97,3 +97,5 @@ def test_drop_and_profiles(spark):
     assert tuple(clean.profile_table(df).first()) == (3, 2)
     assert {r.column_name: r.null_count for r in clean.profile_nulls(df).collect()} == {"x": 1, "y": 1}
     assert [tuple(r) for r in clean.profile_ranges(df, ["x"]).collect()] == [("x", 1.0, 3.0)]
+    assert [tuple(r) for r in clean.profile_schema(df).collect()] == [
+        ("x", "int", True), ("y", "string", True)]
