@@ -78,9 +78,13 @@ def shopping_reports(lines: DataFrame, thresholds: dict | None = None,
     return out
 
 
-def report_views(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Views built from the written reports (small tables), not the lines."""
-    r = {name: read_report(spark, f"{out_dir}/{name}", fmt=fmt) for name in (
+def report_views(spark: SparkSession, out_dir: str, fmt: str = "parquet",
+                 schemas: dict | None = None) -> dict[str, DataFrame]:
+    """Views built from the written reports, not the lines. ``schemas`` (name
+    -> schema, as written) spares a CSV read its schema-inference pass."""
+    schemas = schemas or {}
+    r = {name: read_report(spark, f"{out_dir}/{name}", schema=schemas.get(name), fmt=fmt)
+         for name in (
         "customer_segments", "age_gender_analysis", "category_analysis", "monthly_category_sales",
         "category_preferences", "payment_analysis", "payment_age_analysis",
         "daily_sales_pattern", "monthly_sales_pattern")}
@@ -106,11 +110,12 @@ def shopping_job(spark: SparkSession, shopping: DataFrame, out_dir: str,
                  thresholds: dict | None = None, fmt: str = "parquet",
                  views_dir: str | None = None) -> list[str]:
     lines = materialize_lines(spark, shopping)
-    written = []
+    written, schemas = [], {}
     for name, df in shopping_reports(lines, thresholds).items():
         write_report(df, f"{out_dir}/{name}", fmt=fmt, single_file=name in SMALL)
         written.append(name)
-    for name, df in report_views(spark, out_dir, fmt).items():
+        schemas[name] = df.schema
+    for name, df in report_views(spark, out_dir, fmt, schemas).items():
         write_report(df, f"{views_dir or out_dir + '/views'}/{name}", fmt=fmt, single_file=True)
         written.append(f"views/{name}")
     return written
@@ -125,9 +130,9 @@ def value_job(spark: SparkSession, shopping: DataFrame, out_dir: str, rel_error:
     for key in ("gender", "age_group", "payment_method"):
         write_report(reports.consumption_by(lines, key), f"{out_dir}/consumption_{key}", fmt=fmt,
                      single_file=True)
-    write_report(value.customer_features(lines, rel_error=rel_error), f"{out_dir}/customer_features",
-                 fmt=fmt)
-    labelled = read_report(spark, f"{out_dir}/customer_features", fmt=fmt)
+    customers = value.customer_features(lines, rel_error=rel_error)
+    write_report(customers, f"{out_dir}/customer_features", fmt=fmt)
+    labelled = read_report(spark, f"{out_dir}/customer_features", schema=customers.schema, fmt=fmt)
     vectors = checkpointed(value.value_features(labelled, features))
     write_report(value.split_counts(vectors), f"{out_dir}/split_counts", fmt=fmt, single_file=True)
     train, test = value.split_customers(vectors)

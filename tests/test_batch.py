@@ -44,3 +44,15 @@ def test_value_job_without_label_column(spark, scratch):
                     features=["age", "avg_transaction"])
     imp = read_report(spark, f"{out}/feature_importance", fmt="parquet").collect()
     assert sorted(r.feature for r in imp) == ["age", "avg_transaction"]
+
+
+def test_csv_reports_keep_their_types(spark, scratch):
+    out = os.path.join(scratch, "csv")
+    batch.shopping_job(spark, shopping_from_tables(spark, SF_SMALL), out,
+                       thresholds=SEGMENT_THRESHOLDS, fmt="csv")
+    share = read_report(spark, f"{out}/views/segment_share", fmt="csv")
+    assert abs(sum(r.share_pct for r in share.collect()) - 100) < 0.5
+    seg = read_report(spark, f"{out}/customer_segments",
+                      schema=batch.reports.customer_segments(
+                          batch.clean.enrich_shopping(shopping_from_tables(spark, SF_SMALL))).schema)
+    assert dict(seg.dtypes)["customer_id"] == "string"
