@@ -108,8 +108,8 @@ def report_views(spark: SparkSession, out_dir: str, fmt: str = "parquet",
 
 def shopping_job(spark: SparkSession, shopping: DataFrame, out_dir: str,
                  thresholds: dict | None = None, fmt: str = "parquet",
-                 views_dir: str | None = None) -> list[str]:
-    lines = materialize_lines(spark, shopping)
+                 views_dir: str | None = None, silver_partition_by=None) -> list[str]:
+    lines = materialize_lines(spark, shopping, partition_by=silver_partition_by)
     written, schemas = [], {}
     for name, df in shopping_reports(lines, thresholds).items():
         write_report(df, f"{out_dir}/{name}", fmt=fmt, single_file=name in SMALL)
@@ -166,6 +166,8 @@ def main(argv=None):
                     help="read this landed source from the bronze folder instead of CSV")
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"],
                     help="report format (default csv with header, as the source writes)")
+    ap.add_argument("--silver-by-month", action="store_true",
+                    help="lay the silver table out by year/month folders")
     ap.add_argument("--high-value", type=float, default=reports.HIGH_VALUE)
     ap.add_argument("--frequent", type=int, default=reports.FREQUENT)
     ap.add_argument("--high-ticket", type=float, default=reports.HIGH_TICKET)
@@ -181,7 +183,8 @@ def main(argv=None):
     src = (read_landed(spark, args.input, SHOPPING, args.landed) if args.landed
            else read_shopping(spark, args.input))
     if args.job == "shopping":
-        shopping_job(spark, src, args.output, thresholds=thresholds, fmt=args.format)
+        shopping_job(spark, src, args.output, thresholds=thresholds, fmt=args.format,
+                     silver_partition_by=("year", "month") if args.silver_by_month else None)
     else:
         value_job(spark, src, args.output, fmt=args.format)
 
