@@ -37,6 +37,9 @@ NOTES = {
     "segment_share": "The share total is a window over the segment counts (one row per segment).",
     "top_category_trend": "The only broadcast is the 5-row top-k list (TakeOrderedAndProject).",
 }
+# Queries that train a model or write files when built.
+SKIP = {"value_predictions", "value_auc", "feature_importance", "ingest_roundtrip",
+        "report_roundtrip", "shopping_csv", "behaviour_csv"}
 KEEP = ("Exchange", "Join", "Aggregate", "Scan", "Window", "Subquery", "TakeOrdered", "Broadcast",
         "LogicalRDD", "Filter", "Sort ", "Project", "Expand", "Generate", "Union")
 
@@ -68,6 +71,22 @@ def main():
           "Expression ids are stripped.\n")
     for name, note in NOTES.items():
         print(f"## {name}\n\n{note}\n\n```\n{tree(q[name](spark, sf))}\n```\n")
+    print("## Shuffle budget of every registered query\n")
+    print("Exchanges in the static plan, subquery plans included. Hash and range exchanges shuffle. "
+          "Single-partition exchanges gather a one-row aggregate, a report's few rows or the median's "
+          "bucket. Broadcasts carry only bounded frames. Inputs materialised by a checkpoint "
+          "(customer metrics, pivot and bubble inputs) were computed before this plan, so their "
+          "exchanges are not counted here.\n")
+    print("| query | hash | range | single | broadcast | reused |")
+    print("|---|---|---|---|---|---|")
+    for name in sorted(q):
+        if name in SKIP:
+            continue
+        plan = q[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        counts = [len(re.findall(p, plan)) for p in (
+            r"Exchange hashpartitioning", r"Exchange rangepartitioning", r"Exchange SinglePartition",
+            r"BroadcastExchange", r"ReusedExchange")]
+        print(f"| {name} | " + " | ".join(str(c) for c in counts) + " |")
 
 
 if __name__ == "__main__":
