@@ -50,3 +50,12 @@ def test_matches_oracle_small(spark, name):
     assert sorted(odf.columns) == cols
     theirs = _norm(odf[cols].itertuples(index=False))
     assert ours == theirs
+
+
+@pytest.mark.parametrize("name", ["enrich_dates", "customer_segments", "monetary_histogram"])
+def test_matches_oracle_small_without_ansi(spark, name):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        test_matches_oracle_small(spark, name)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
