@@ -7,8 +7,8 @@ Joins are left joins from the fact side onto unique dimension keys, so a
 dimension whose columns are not requested is not joined at all: a report on
 categories never touches ``customer``. Join strategy is left to Catalyst/AQE
 (broadcast only when the size estimate is under the broadcast threshold,
-sort-merge otherwise); nothing here forces a broadcast of a table that grows
-with the data.
+sort-merge otherwise); the one explicit broadcast is the nation table, whose
+25 rows do not grow with the data.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.money import as_money
 from ..schemas import BEHAVIOUR, SHOPPING
 
-
 # Declared schemas of the input tables: a Parquet read without one runs a
 # footer-reading job per table before planning even starts.
 TABLE_SCHEMAS = {
