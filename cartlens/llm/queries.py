@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .bpe import round_trip_digests
 from .common import table, text_or_empty
 from .exact_dedup import exact_dedup
 from .packing import pack, word_lengths
@@ -13,6 +14,13 @@ from .sharding import shard_documents
 SHARDS = 24
 
 
+def ranks():
+    """The rank file and split pattern that the token queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def op2_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -26,12 +34,16 @@ def op4_sharding(spark, sf_dir):
                           "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_byte_bpe(spark, sf_dir):
+    return round_trip_digests(table(spark, sf_dir, "documents"), *ranks())
+
+
 def op9_packing(spark, sf_dir):
     return pack(word_lengths(table(spark, sf_dir, "documents")))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_exact_dedup, op4_sharding, op9_packing)}
+    return {f.__name__: f for f in (op2_exact_dedup, op4_sharding, op8_byte_bpe, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
