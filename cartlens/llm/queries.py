@@ -10,6 +10,7 @@ from .common import table, text_or_empty
 from .exact_dedup import exact_dedup
 from .packing import pack, word_lengths
 from .sharding import shard_documents
+from .token_tree import EDITS, apply_edits, build_trees
 
 SHARDS = 24
 
@@ -25,6 +26,29 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def edits_of(doc_id, text):
+    """Two edits for every document, derived from it: one replaces up to 23
+    characters by a stretch of the same text, one inserts such a stretch."""
+    def draw(k, below):
+        return F.pmod(F.xxhash64(doc_id, F.lit(k)), below).cast("int")
+
+    size = F.length(text)
+
+    def one(k, removed):
+        return F.struct(draw(k, size + 1).alias("start"), removed.alias("removed"),
+                        F.substr(text, draw(k + 1, size + 1) + 1, F.lit(24)).alias("inserted"))
+
+    return F.array(one(1, draw(9, F.lit(24))), one(5, F.lit(0))).cast(EDITS)
+
+
+def op3_token_counts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = build_trees(docs.withColumn("edits", edits_of(F.col("doc_id"), text_or_empty("text"))), *ranks())
+    return (apply_edits(trees, *ranks())
+            .select("doc_id", "n_tokens_before", "n_tokens", "n_encoded",
+                    F.element_at("tree.pieces", 2).alias("n_pieces")))
+
+
 def op4_sharding(spark, sf_dir):
     """Shards are written with their texts; the digests come from the written rows."""
     written = shard_documents(table(spark, sf_dir, "documents"), SHARDS)
@@ -43,7 +67,7 @@ def op9_packing(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_exact_dedup, op4_sharding, op8_byte_bpe, op9_packing)}
+    return {f.__name__: f for f in (op2_exact_dedup, op3_token_counts, op4_sharding, op8_byte_bpe, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
