@@ -11,7 +11,10 @@ from .exact_dedup import exact_dedup
 from .packing import pack, word_lengths
 from .sharding import shard_documents
 from .token_tree import EDITS, apply_edits, build_trees
+from .url_filter import fit_url_model, judge_urls, labelled_urls
 
+#: The rules of the URL query and its shard count.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 SHARDS = 24
 
 
@@ -22,6 +25,13 @@ def ranks():
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_url_filter(spark, sf_dir):
+    """The labelled URL table: pages of documents whose quality is labelled."""
+    pages = table(spark, sf_dir, "pages")
+    model = fit_url_model(labelled_urls(pages, table(spark, sf_dir, "labels")))
+    return judge_urls(pages, model, URL_RULES)
+
+
 def op2_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -67,7 +77,8 @@ def op9_packing(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_exact_dedup, op3_token_counts, op4_sharding, op8_byte_bpe, op9_packing)}
+    return {f.__name__: f for f in (op1_url_filter, op2_exact_dedup, op3_token_counts, op4_sharding,
+                                    op8_byte_bpe, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
