@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import toxicity
 from .bpe import round_trip_digests
 from .common import table, text_or_empty
 from .exact_dedup import exact_dedup
@@ -68,6 +69,13 @@ def op4_sharding(spark, sf_dir):
                           "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    index = toxicity.fit(docs, labels.where(~toxicity.held_out()))
+    return toxicity.score(docs, index).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted",
+                                              "evidence")
+
+
 def op8_byte_bpe(spark, sf_dir):
     return round_trip_digests(table(spark, sf_dir, "documents"), *ranks())
 

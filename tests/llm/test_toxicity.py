@@ -1,0 +1,80 @@
+"""Nearest-example scores against brute force; accuracy on held-out labels."""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from cartlens.llm import toxicity as tx
+from cartlens.llm.common import table
+from cartlens.llm.queries import op6_toxicity
+
+SF = "/root/testdata/sf0.1"
+
+
+def random_index(n=700, terms=40, seed=3):
+    rng = random.Random(seed)
+    names = [f"t{i}" for i in range(terms)]
+    idf = np.array([rng.uniform(1, 5) for _ in names])
+    weigher = tx.Index([], [], [], idf, names)
+    vectors = []
+    for _ in range(n):
+        t, w = weigher.weigh(dict(Counter(rng.choices(names, k=rng.randint(0, 6)))))
+        vectors.append(dict(zip(t.tolist(), w.tolist())))
+    labels = [rng.randint(0, 1) for _ in range(n)]
+    return tx.Index(list(range(n)), labels, vectors, idf, names), vectors, rng, names
+
+
+def test_block_max_search_is_exact():
+    index, vectors, rng, names = random_index()
+    for _ in range(200):
+        t, w = index.weigh(dict(Counter(rng.choices(names, k=rng.randint(0, 7)))))
+        q = dict(zip(t.tolist(), w.tolist()))
+        brute = sorted((-round(sum(q[i] * v.get(i, 0.0) for i in q), 12), e) for e, v in enumerate(vectors))
+        brute = [(-s, e) for s, e in brute[:tx.NEIGHBOURS] if s < 0]
+        got = [(x.similarity, int(index.ids[x.example])) for x in index.nearest(t, w)]
+        assert [round(s, 9) for s, _ in got] == [round(s, 9) for s, _ in brute]
+        clear = [e for s, e in brute if abs(s - brute[-1][0]) > 1e-9]  # beyond ties with the last
+        assert {e for _, e in got} >= set(clear)
+
+
+def test_curve_follows_the_votes():
+    x = np.array([0.1] * 50 + [0.9] * 50)
+    y = np.array([0.0] * 45 + [1.0] * 5 + [1.0] * 45 + [0.0] * 5)
+    a, b = tx.logistic_fit(x, y)
+    assert abs(1 / (1 + math.exp(-(a * 0.4 + b))) - 0.9) < 0.02
+
+
+def test_held_out_labels(spark):
+    got = {r.doc_id: r for r in op6_toxicity(spark, SF).collect()}
+    truth = table(spark, SF, "labels").where(tx.held_out()).collect()
+    assert len(got) == table(spark, SF, "documents").count() and len(truth) > 40
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.values())
+    pos = [got[r.doc_id].score for r in truth if r.toxic == 1]
+    neg = [got[r.doc_id].score for r in truth if r.toxic == 0]
+    auc = np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg])
+    assert auc > 0.93
+    assert np.mean([got[r.doc_id].predicted for r in truth if r.toxic == 0]) < 0.02
+    assert np.mean([r.predicted == y.toxic for y in truth for r in [got[y.doc_id]]]) > 0.97
+    assert {r.doc_id for r in got.values() if r.held_out} >= {r.doc_id for r in truth}
+
+
+def test_nulls_repeats_clashes_and_empty(spark):
+    rows = [(i, f"{'good calm' if i % 2 else 'vile rude'} uniqueword{i}", "x", 9.0) for i in range(100)]
+    rows += [(None, "vile", "x", 1.0), (200, None, "x", 1.0), (201, "", "x", 1.0), (201, "vile " * 9000, "x", 1.0),
+             (201, "vile " * 9000, "x", 1.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string, score double")
+    labels = spark.createDataFrame([(i, (i + 1) % 2) for i in range(100)] + [(0, 1), (None, 1), (3, None)],
+                                   "doc_id long, toxic int")
+    index = tx.fit(docs, labels)
+    got = tx.score(docs, index).collect()
+    assert len(got) == len(rows)
+    assert all(r.predicted == (1 - r.doc_id % 2) for r in got if r.doc_id is not None and r.doc_id < 100)
+    by = {r.doc_id: r for r in got}
+    assert by[None].predicted == 1 and by[200].score == index.none and by[200].evidence == []
+    assert sum(r.doc_id == 201 and r.predicted == 1 for r in got) == 2
+    nothing = tx.fit(docs.where(F.lit(False)), labels.where(F.lit(False)))
+    assert tx.score(docs, nothing).where("predicted = 1").count() == 0
+    assert tx.score(docs.where(F.lit(False)), index).count() == 0
