@@ -128,8 +128,7 @@ class Index:
                 labels.append(self.labels[place])
             else:
                 blind.append(self.labels[place])
-        self.none = (sum(blind) + 0.5) / (len(blind) + 1) if blind else float(
-            np.mean(self.labels)) if len(self.labels) else 0.0
+        self.none = float(sum(blind)) / (len(blind) + 1)  # without evidence rather not
         self.curve = logistic_fit(np.array(votes), np.array(labels))
 
     def score(self, near: list[Neighbour]) -> float:
