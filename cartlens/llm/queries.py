@@ -9,6 +9,7 @@ from . import toxicity
 from .bpe import round_trip_digests
 from .common import table, text_or_empty
 from .exact_dedup import exact_dedup
+from .ngram_join import jaccard_join
 from .packing import pack, word_lengths
 from .sharding import shard_documents
 from .token_tree import EDITS, apply_edits, build_trees
@@ -84,9 +85,13 @@ def op9_packing(spark, sf_dir):
     return pack(word_lengths(table(spark, sf_dir, "documents")))
 
 
+def op10_ngram_join(spark, sf_dir):
+    return jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "kept")
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_url_filter, op2_exact_dedup, op3_token_counts, op4_sharding,
-                                    op8_byte_bpe, op9_packing)}
+                                    op8_byte_bpe, op9_packing, op10_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -284,6 +284,19 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
                                 "evidence array<struct<doc_id: long, label: int, similarity: double>>")
 
 
+def drop_toxic(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores below 0.5, all columns, in one pass."""
+    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by max_examples x MAX_TERMS
+
+    def run(batches):
+        index = sent.value
+        for part in batch_rows(batches):
+            clean = [index.score(index.nearest(*index.vector(text))) < 0.5 for text in part.column(text_col).to_pylist()]
+            yield part.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows kept for testing: crc32 of the id as text, modulo 5, is 0 (null ids are not)."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(5)) == 0, F.lit(False))

@@ -1,25 +1,41 @@
-"""Corpus pipeline: documents -> exact dedup -> packed batches."""
+"""Corpus pipeline: documents -> toxicity filter -> exact dedup -> near-copy
+join -> packed batches. Each stage works on everything its predecessor kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartlens.llm import toxicity as tx
 from cartlens.llm.common import staged, table
 from cartlens.llm.exact_dedup import drop_exact_copies
+from cartlens.llm.ngram_join import drop_near_copies
 from cartlens.llm.packing import pack, word_lengths
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score is below 0.5 stay; the index learns from the labels
+    outside the held-out fifth. Rows keep all their columns: the verdict is
+    computed beside them in the same pass, so nothing is joined."""
+    labels = table(spark, sf_dir, "labels")
+    return tx.drop_toxic(docs, tx.fit(docs, labels.where(~tx.held_out())))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each exact text stays: the largest doc_id."""
     return drop_exact_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-copy class stays: the smallest doc_id."""
+    return drop_near_copies(docs)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every remaining document's length bucket, batch and slot."""
     return pack(word_lengths(docs))
 
 
-STAGES = [("exact_dedup", exact_dedup), ("packing", packing)]
+STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("packing", packing)]
 
 #: Classifier scores and hashed signatures have no SQL form.
 ORACLE_SQL = None
