@@ -1,4 +1,5 @@
-"""Connected components by alternating large-star and small-star rounds."""
+"""Classes of linked rows: equal rows as one set, connected components of sets
+by alternating large-star and small-star rounds, and the way back to the rows."""
 
 from __future__ import annotations
 
@@ -6,6 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import staged
 
+#: Parts that the rows of one set and the sets of one class are dealt to.
+RUNS = 64
+
 
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """Edges (u, v) of long ids -> (id, root): the smallest id each id reaches.
@@ -36,3 +40,39 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         now = staged(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small_star")
+
+
+def sets_of(rows: DataFrame, values: list[str], keep: list[str]) -> DataFrame:
+    """(doc_id, row, digest, ...) -> one row per digest: (digest, keeper, copies,
+    sid, *values). ``keeper`` is the row of the smallest id (nulls last) with the
+    columns ``keep``; ``sid`` its row number. Two steps, so that a digest of a
+    third of all rows reaches the second with at most RUNS rows."""
+    keeper = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", *keep)
+    least = [F.min(c).alias(c) for c in ("keeper", *values)]
+    return (rows.select("digest", F.pmod("row", F.lit(RUNS)).alias("run"), keeper.alias("keeper"), *values)
+            .groupBy("run", "digest").agg(F.count(F.lit(1)).alias("copies"), *least)
+            .groupBy("digest").agg(F.sum("copies").alias("copies"), *least)
+            .withColumn("sid", F.col("keeper.row")))
+
+
+def settle(rows: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with (class_id, n_links, kept) from links (sid, root, links)
+    between sets: the smallest id of the class, the other rows linked to, and
+    whether this row has that id. Sets of a class and rows of a set travel in
+    RUNS parts."""
+    classes = components(links, "sid", "root")
+    counts = links.groupBy("sid").agg(F.sum("links").alias("links"))
+    tied = staged(sets.select("sid", "digest", "keeper", "copies")
+                  .join(classes.withColumnRenamed("id", "sid"), "sid", "left").join(counts, "sid", "left")
+                  .select("digest", "keeper", "copies", F.coalesce("links", F.lit(0)).alias("links"),
+                          F.coalesce("root", "sid").alias("root"), F.pmod("sid", F.lit(RUNS)).alias("part")), "set_classes")
+    best = (tied.groupBy("root", "part").agg(F.min("keeper").alias("best"))
+            .groupBy("root").agg(F.min("best").alias("best"), F.collect_set("part").alias("parts")))
+    best = best.select("root", "best", F.explode("parts").alias("part"))
+    by_set = tied.join(best, ["root", "part"]).select(
+        "digest", "best", (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    dealt = rows.withColumn("run", F.pmod("row", F.lit(RUNS)))
+    by_part = dealt.select("digest", "run").distinct().join(by_set, "digest")
+    return (dealt.join(by_part, ["run", "digest"])
+            .withColumn("class_id", F.col("best.doc_id")).withColumn("kept", F.col("row") == F.col("best.row"))
+            .drop("run", "best"))

@@ -26,15 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import batch_rows, staged
-from .components import components
+from .components import components, settle, sets_of
 from .shingles import mix, shingle_set
 
 #: Trees, min-hashes of a label, and the recall wanted for a pair at the threshold.
 TREES, DEPTH, RECALL = 20, 6, 0.9999
 #: Shingles and sets of a cell: a verifying task holds two cells.
 CELL_SHINGLES, CELL_SETS = 1 << 17, 512
-#: Parts that rows of one set and rows of one class are dealt to.
-RUNS = 64
 
 
 def prefix_length(threshold: float, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
@@ -278,39 +276,16 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL
     """
     limit = Fraction(threshold).limit_denominator(10_000)
     rows = staged(_signatures(docs, id_col, text_col), "signatures")
-    run = F.pmod("row", F.lit(RUNS)).alias("run")
-    keeper = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "thash")
-    parts = (rows.where("digest IS NOT NULL").select("digest", run, "size", "labels", keeper.alias("keeper"))
-             .groupBy("run", "digest").agg(F.min("keeper").alias("keeper"), F.count(F.lit(1)).alias("copies"),
-                                           F.min("size").alias("size"), F.min("labels").alias("labels")))
-    sets = staged(parts.groupBy("digest").agg(
-        F.min("keeper").alias("keeper"), F.sum("copies").alias("copies"), F.min("size").alias("size"),
-        F.min("labels").alias("labels")).withColumn("sid", F.col("keeper.row")), "shingle_sets")
+    sets = staged(sets_of(rows.where("digest IS NOT NULL"), ["size", "labels"], ["thash"]), "shingle_sets")
 
     groups = components(candidate_edges(sets, prefix_length(threshold, recall=recall)))
     members = (sets.join(groups, sets["sid"] == groups["id"])
                .select("sid", F.col("root").alias("group"), "keeper.doc_id", "keeper.thash", "size", "copies"))
     links = staged(verified(members, docs, id_col, text_col, limit), "jaccard_links")
-    classes = components(links.select(F.col("sid").alias("u"), F.col("root").alias("v")))
-    counts = links.groupBy("sid").agg(F.sum("links").alias("links"))
-
-    # a set's class: dealt to RUNS parts, as one class may hold a third of the sets
-    tied = staged(sets.select("sid", "digest", "keeper", "copies")
-                  .join(classes.withColumnRenamed("id", "sid"), "sid", "left").join(counts, "sid", "left")
-                  .select("digest", "keeper", "copies", F.coalesce("links", F.lit(0)).alias("links"),
-                          F.coalesce("root", "sid").alias("root"), F.pmod("sid", F.lit(RUNS)).alias("part")), "set_classes")
-    best = (tied.groupBy("root", "part").agg(F.min("keeper").alias("best"))
-            .groupBy("root").agg(F.min("best").alias("best"), F.collect_set("part").alias("parts")))
-    best = best.select("root", "best", F.explode("parts").alias("part"))
-    by_set = tied.join(best, ["root", "part"]).select(
-        "digest", "best", (F.col("links") + F.col("copies") - 1).alias("n_links"))
-    by_part = rows.where("digest IS NOT NULL").select("digest", run).distinct().join(by_set, "digest")
-    with_words = (rows.where("digest IS NOT NULL").withColumn("run", run).join(by_part, ["run", "digest"])
-                  .select("doc_id", "thash", F.col("best.doc_id").alias("class_id"), "n_links",
-                          (F.col("row") == F.col("best.row")).alias("kept")))
+    with_words = settle(rows.where("digest IS NOT NULL").drop("labels", "size"), sets, links)
     without = rows.where("digest IS NULL").select("doc_id", "thash", F.col("doc_id").alias("class_id"),
                                                   F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"))
-    return with_words.unionByName(without)
+    return with_words.select(*without.columns).unionByName(without)
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import toxicity
 from .bpe import round_trip_digests
 from .common import table, text_or_empty
+from .embedding_join import cosine_join
 from .exact_dedup import exact_dedup
 from .ngram_join import jaccard_join
 from .packing import pack, word_lengths
@@ -70,6 +71,11 @@ def op4_sharding(spark, sf_dir):
                           "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_embedding_join(spark, sf_dir):
+    found = cosine_join(table(spark, sf_dir, "embeddings"), 0.9)
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op6_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     index = toxicity.fit(docs, labels.where(~toxicity.held_out()))
