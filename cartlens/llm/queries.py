@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import pseudo_lm, toxicity
 from .bpe import round_trip_digests
 from .common import table, text_or_empty
 from .embedding_join import cosine_join
@@ -83,6 +83,11 @@ def op6_toxicity(spark, sf_dir):
                                               "evidence")
 
 
+def op7_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pseudo_lm.score(docs, *pseudo_lm.fit(docs))
+
+
 def op8_byte_bpe(spark, sf_dir):
     return round_trip_digests(table(spark, sf_dir, "documents"), *ranks())
 
