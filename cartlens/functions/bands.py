@@ -61,15 +61,3 @@ def band_order(label: Column | str, scheme="age7") -> Column:
     for i, (name, _, _) in enumerate(_bands(scheme), start=1):
         pairs += [F.lit(name), F.lit(i)]
     return F.try_element_at(F.create_map(*pairs), label)
-
-
-def age_band7(value="age") -> Column:
-    return band(value, "age7")
-
-
-def age_band4(value="age") -> Column:
-    return band(value, "age4")
-
-
-def age_band3(value="age") -> Column:
-    return band(value, "age3")

@@ -7,13 +7,14 @@ from pyspark.sql import types as T
 
 from ..functions.bands import band
 from ..functions.dates import parse_day_first
-from ..functions.money import as_money
+from ..functions.money import as_money, as_price
 
 
 def enrich_shopping(df: DataFrame, age_scheme="age7") -> DataFrame:
     """Derived shopping columns, for whichever inputs are present:
 
-    - ``price`` as exact two-decimal money, ``total_amount = quantity * price``
+    - ``price`` as an exact decimal, ``total_amount = quantity * price`` in
+      cents (the product is rounded, not the price)
     - ``invoice_date`` parsed day-first (invalid text -> null), ``valid_date``,
       ``month``, ``year``, ``day_of_week`` (1 = Sunday; null when invalid)
     - ``age_group`` from ``age`` in the given band scheme
@@ -21,9 +22,9 @@ def enrich_shopping(df: DataFrame, age_scheme="age7") -> DataFrame:
     cols = set(df.columns)
     out = []
     if "price" in cols:
-        out.append(as_money("price").alias("price"))
+        out.append(as_price("price").alias("price"))
     if {"price", "quantity"} <= cols:
-        out.append((F.col("quantity") * as_money("price")).alias("total_amount"))
+        out.append(as_money(F.col("quantity") * as_price("price")).alias("total_amount"))
     if "invoice_date" in cols:
         ts = parse_day_first("invoice_date")
         out += [ts.alias("invoice_date"), ts.isNotNull().alias("valid_date"),

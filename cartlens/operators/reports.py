@@ -43,26 +43,31 @@ def customer_stats(lines: DataFrame) -> DataFrame:
                  mean("total_amount").alias("avg_transaction_value")))
 
 
-def customer_segments(lines: DataFrame, high_value: float = HIGH_VALUE,
-                      frequent: int = FREQUENT, high_ticket: float = HIGH_TICKET) -> DataFrame:
-    """Customer stats plus ``customer_segment`` (first rule that holds, on the
-    rounded measures) and the 7-way ``age_group``."""
+def segment_label(high_value: float = HIGH_VALUE, frequent: int = FREQUENT, high_ticket: float = HIGH_TICKET):
+    """The segment of a customer's rounded measures; the first rule that holds."""
     hv, fr, ht = SEGMENT_LABELS[:3]
-    segment = (F.when(F.col("total_spent") > high_value, hv)
-               .when(F.col("transaction_count") > frequent, fr)
-               .when(F.col("avg_transaction_value") > high_ticket, ht)
-               .otherwise(SEGMENT_LABELS[3]))
+    return (F.when(F.col("total_spent") > high_value, hv)
+            .when(F.col("transaction_count") > frequent, fr)
+            .when(F.col("avg_transaction_value") > high_ticket, ht)
+            .otherwise(SEGMENT_LABELS[3]))
+
+
+def customer_segments(lines: DataFrame, **thresholds) -> DataFrame:
+    """Customer stats plus ``customer_segment`` (thresholds as in
+    ``segment_label``) and the 7-way ``age_group``."""
     return customer_stats(lines).select(
-        "*", segment.alias("customer_segment"), band("age", "age7").alias("age_group"))
+        "*", segment_label(**thresholds).alias("customer_segment"), band("age", "age7").alias("age_group"))
 
 
 def segment_counts(segments: DataFrame) -> DataFrame:
+    require(segments, "customer_segment")
     return (segments.groupBy("customer_segment").count()
             .orderBy(F.desc("count"), "customer_segment"))
 
 
 def age_gender(segments: DataFrame) -> DataFrame:
     """Per (age_group, gender): customer_count, avg_total_spent."""
+    require(segments, "age_group", "gender", "customer_id", "total_spent")
     return (segments.groupBy("age_group", "gender")
             .agg(F.count("customer_id").alias("customer_count"),
                  mean(as_money("total_spent")).alias("avg_total_spent"))
@@ -70,31 +75,36 @@ def age_gender(segments: DataFrame) -> DataFrame:
 
 
 def category_summary(lines: DataFrame) -> DataFrame:
+    require(lines, "category", "quantity", "price", "total_amount", "invoice_no")
     return (lines.groupBy("category")
             .agg(F.sum("quantity").alias("total_quantity_sold"),
                  total("total_amount").alias("total_revenue"),
                  F.count("invoice_no").alias("transaction_count"),
-                 mean("price").alias("avg_price"))
+                 mean("price", places=6).alias("avg_price"))
             .orderBy(F.desc("total_revenue"), "category"))
 
 
-def month_category(lines: DataFrame, by_year: bool = False) -> DataFrame:
+def month_category(lines: DataFrame, by_year: bool = False, undated: bool = False) -> DataFrame:
     """Revenue per (month, category) over valid dates; months pool all years
-    unless ``by_year``."""
+    unless ``by_year``. ``undated`` adds a row per category, with a null month,
+    for the lines without a valid date."""
     keys = ["year", "month"] if by_year else ["month"]
-    return (lines.where("valid_date")
+    require(lines, *keys, "category", "valid_date", "total_amount")
+    return ((lines if undated else lines.where("valid_date"))
             .groupBy(*keys, "category")
             .agg(total("total_amount").alias("monthly_revenue"))
             .orderBy(*keys, F.desc("monthly_revenue"), "category"))
 
 
 def category_preferences(lines: DataFrame) -> DataFrame:
+    require(lines, "category", "gender", "age_group", "total_amount")
     return (lines.groupBy("category", "gender", "age_group")
             .agg(total("total_amount").alias("total_spent"))
             .orderBy("category", "gender", "age_group"))
 
 
 def payment_summary(lines: DataFrame) -> DataFrame:
+    require(lines, "payment_method", "invoice_no", "total_amount")
     return (lines.groupBy("payment_method")
             .agg(F.count("invoice_no").alias("transaction_count"),
                  total("total_amount").alias("total_revenue"),
@@ -103,12 +113,14 @@ def payment_summary(lines: DataFrame) -> DataFrame:
 
 
 def payment_by_age(lines: DataFrame) -> DataFrame:
+    require(lines, "age_group", "payment_method", "invoice_no")
     return (lines.groupBy("age_group", "payment_method")
             .agg(F.count("invoice_no").alias("usage_count"))
             .orderBy("age_group", F.desc("usage_count"), "payment_method"))
 
 
 def weekday_sales(lines: DataFrame) -> DataFrame:
+    require(lines, "day_of_week", "valid_date", "total_amount", "invoice_no")
     return (lines.where("valid_date")
             .groupBy("day_of_week")
             .agg(total("total_amount").alias("total_revenue"),
@@ -117,6 +129,7 @@ def weekday_sales(lines: DataFrame) -> DataFrame:
 
 
 def month_sales(lines: DataFrame, by_year: bool = False) -> DataFrame:
+    require(lines, "month", "valid_date", "total_amount", "invoice_no")
     keys = ["year", "month"] if by_year else ["month"]
     return (lines.where("valid_date")
             .groupBy(*keys)
@@ -130,6 +143,7 @@ def month_sales(lines: DataFrame, by_year: bool = False) -> DataFrame:
 def consumption_by(lines: DataFrame, key: str) -> DataFrame:
     """Per ``key``: transaction_count, total_spent, avg_transaction. Ordered by
     the key, except payment methods, which order by count (descending)."""
+    require(lines, key, "invoice_no", "total_amount")
     out = (lines.groupBy(key)
            .agg(F.count("invoice_no").alias("transaction_count"),
                 total("total_amount").alias("total_spent"),

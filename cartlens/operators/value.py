@@ -9,10 +9,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.money import mean, total
-from ..session import checkpointed
 from .clean import clean_fill, enrich_shopping
 
+# The model's feature columns and settings.
 FEATURES = ["age", "frequency", "monetary", "avg_transaction"]
+TREES, DEPTH, TRAIN_PCT, SPLIT_SEED = 50, 5, 80, 42
 
 
 def prepare_lines(shopping: DataFrame) -> DataFrame:
@@ -28,82 +29,83 @@ def customer_metrics(lines: DataFrame) -> DataFrame:
                  mean("total_amount").alias("avg_transaction")))
 
 
+def _narrow(vals: DataFrame, state, buckets: int):
+    """One refinement: ``state`` is a scalar struct (lo, hi, before, k): the value
+    of rank k lies in [lo, hi], with ``before`` values below lo. Counts per
+    equal-width bucket (partial aggregates) name the one that holds it."""
+    x, lo, hi = F.col("v"), F.col("s.lo"), F.col("s.hi")
+    place = F.floor(F.try_divide(x - lo, hi - lo) * buckets)
+    bucket = F.least(F.coalesce(place, F.lit(0)), F.lit(buckets - 1)).cast("int")
+    counts = (vals.select("v", state.alias("s")).where((x >= lo) & (x <= hi))
+              .select(bucket.alias("bucket"), "v", F.col("s.before").alias("before"), F.col("s.k").alias("k"))
+              .groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
+                                     F.max("before").alias("before"), F.max("k").alias("k")))
+    upto = F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
+    found = (counts.withColumn("upto", upto + F.col("before")).where(F.col("upto") >= F.col("k"))
+             .orderBy("bucket").limit(1))
+    return found.select(F.struct("lo", "hi", (F.col("upto") - F.col("n")).alias("before"), "k").alias("s")).scalar()
+
+
 def median_monetary(metrics: DataFrame, rel_error: float = 0.001, column: str = "monetary",
-                    accuracy: int = 20000, buckets: int = 1024) -> DataFrame:
-    """One row, one column ``median_monetary``.
+                    buckets: int = 1024, rounds: int = 3) -> DataFrame:
+    """One row, one column ``median_monetary`` (null without values).
 
     ``rel_error > 0``: the quantile sketch (``percentile_approx``), bounded in
     memory and merged from partial aggregates.
 
     ``rel_error == 0``: the exact lower median (the ``percentile_disc(0.5)``
-    value, rank ``k = ceil(n/2)``), without sorting the column:
-
-    1. a sketch of relative error ``1/accuracy`` brackets rank ``k`` in
-       ``[lo, hi]`` (about ``6n/accuracy`` values);
-    2. values below the bracket are only counted; values in it are reduced to
-       (bucket, value, count) over ``buckets`` equal-width buckets;
-    3. running totals over the bucket totals (at most ``buckets + 1`` rows)
-       name the bucket holding rank ``k`` and the rank before it;
-    4. a running count over that one bucket's distinct values finds the value.
-
-    Only step 4 orders values in one task, and only the target bucket's
-    distinct values (typically ``6n / (accuracy * buckets)``).
+    value, rank ``k = ceil(n/2)``), without a sketch and without sorting the
+    column: the range is cut ``rounds`` times into ``buckets`` equal-width
+    buckets, and only the one that holds rank k is cut again. Each round is a
+    distributed count per bucket. A running count over the distinct values of
+    the last bucket (the range divided by buckets ** rounds) finds the value.
+    Reads ``metrics`` ``rounds`` + 2 times: pass a materialised frame.
     """
     v = F.col(column)
     vals = metrics.select(v.alias("v")).where(F.col("v").isNotNull())
     if rel_error > 0:
         return vals.agg(F.percentile_approx("v", 0.5, int(round(1.0 / rel_error)))
                         .cast("double").alias("median_monetary"))
-    eps = 3.0 / accuracy
-    stats = vals.agg(F.struct(
-        F.count("*").alias("n"),
-        F.percentile_approx("v", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("b"),
-    ).alias("s")).scalar()
-    # The bracket is evaluated once (one projected column) and carried along.
-    lo, hi, k = F.col("s.b")[0], F.col("s.b")[1], F.floor((F.col("s.n") + 1) / 2)
-    x = F.col("v")
-    bucket = (F.when(x < lo, -1)
-              .otherwise(F.least(F.coalesce(F.floor(F.try_divide(x - lo, hi - lo) * buckets), F.lit(0)),
-                                 F.lit(buckets - 1)))
-              .cast("int"))
-    grouped = (vals.select("v", stats.alias("s"))
-               .where(x <= hi)
-               .select(bucket.alias("bucket"), F.when(x < lo, None).otherwise(x).alias("v"),
-                       k.alias("k"))
-               .groupBy("bucket", "v")
-               .agg(F.count("*").alias("c"), F.max("k").alias("k")))
-    by_bucket = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    target = (grouped.groupBy("bucket").agg(F.sum("c").alias("t"), F.max("k").alias("k"))
-              .withColumn("upto", F.sum("t").over(by_bucket))
-              .where(F.col("upto") >= F.col("k"))
-              .orderBy("bucket").limit(1)
-              .select(F.struct("bucket", (F.col("upto") - F.col("t")).alias("before")).alias("tb"))
-              .scalar())
-    in_bucket = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    return (grouped.select("bucket", "v", "c", "k", target.alias("tb"))
-            .where(F.col("bucket") == F.col("tb.bucket"))
-            .withColumn("cum", F.col("tb.before") + F.sum("c").over(in_bucket))
-            .where(F.col("v").isNotNull() & (F.col("cum") >= F.col("k")))
+    state = vals.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"), F.lit(0).cast("long").alias("before"),
+                              F.floor((F.count("*") + 1) / 2).alias("k")).alias("s")).scalar()
+    for _ in range(rounds):
+        state = _narrow(vals, state, buckets)
+    left = (vals.select("v", state.alias("s")).where((F.col("v") >= F.col("s.lo")) & (F.col("v") <= F.col("s.hi")))
+            .groupBy("v").agg(F.count("*").alias("c"), F.max("s.before").alias("before"), F.max("s.k").alias("k")))
+    upto = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) + F.col("before")
+    return (left.withColumn("upto", upto).where(F.col("upto") >= F.col("k"))
             .agg(F.min("v").cast("double").alias("median_monetary")))
 
 
+def median_rank_error(metrics: DataFrame, rel_error: float = 0.001, column: str = "monetary") -> DataFrame:
+    """One row: ``within``, whether the sketched median's rank is at most
+    ``rel_error`` * n (and one row) away from the middle."""
+    m = median_monetary(metrics, rel_error, column).scalar()
+    vals = metrics.select(F.col(column).alias("v"), m.alias("m")).where(F.col("v").isNotNull())
+    counts = vals.agg(F.count("*").alias("n"), F.count_if(F.col("v") < F.col("m")).alias("below"),
+                      F.count_if(F.col("v") <= F.col("m")).alias("upto"))
+    slack, middle = F.col("n") * rel_error + 1, F.col("n") / 2
+    return counts.select(((F.col("below") <= middle + slack) & (F.col("upto") >= middle - slack)).alias("within"))
+
+
 def label_value(metrics: DataFrame, median: DataFrame, column: str = "monetary") -> DataFrame:
     """``customer_value`` = 1 when ``column`` is strictly above the median
-    (a scalar subquery: no join, no driver round trip), else 0."""
+    (a scalar subquery: no join, no driver round trip), else 0; null without a
+    median."""
     threshold = median.select("median_monetary").scalar()
-    return metrics.withColumn(
-        "customer_value", F.when(F.col(column) > threshold, 1).otherwise(0).cast("int"))
-
-
-def customer_features(lines: DataFrame, rel_error: float = 0.001,
-                      materialize: bool = True) -> DataFrame:
-    """Customer metrics labelled against their median. The metrics are read
-    two or three times (median bracket, median, label), so by default they are
-    checkpointed once to the shared checkpoint folder: the line-level scan and
-    joins run once, and the lineage is cut."""
-    metrics = customer_metrics(lines)
-    if materialize:
-        metrics = checkpointed(metrics)
+    return metrics.withColumn("__median", threshold).withColumn(
+        "customer_value", F.when(F.col("__median").isNull(), None).when(F.col(column) > F.col("__median"), 1)
+        .otherwise(0).cast("int")).drop("__median")
+
+
+def customer_features(lines: DataFrame, rel_error: float = 0.001) -> DataFrame:
+    """Customer metrics labelled against their median. Lazy: the metrics are read
+    once for the label and again for the median, so jobs materialise
+    ``customer_metrics`` first and call ``features_of``."""
+    return features_of(customer_metrics(lines), rel_error)
+
+
+def features_of(metrics: DataFrame, rel_error: float = 0.001) -> DataFrame:
     return label_value(metrics, median_monetary(metrics, rel_error))
 
 
@@ -114,9 +116,11 @@ def value_features(features: DataFrame, columns=FEATURES) -> DataFrame:
 
 
 def split_flag(key: str = "customer_id", train_pct: int = 80, seed: int = 42):
-    """True for the training share. A hash of the key, so the split does not
-    move with partitioning or task retries the way ``randomSplit`` does."""
-    return F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(100)) < train_pct
+    """True for the training share. The leading 32 bits of an MD5 of seed and
+    key, so the split does not move with partitioning or task retries the way
+    ``randomSplit`` does, and any engine can repeat it."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100 < train_pct
 
 
 def split_customers(vectors: DataFrame, key: str = "customer_id", train_pct: int = 80,
@@ -133,13 +137,18 @@ def split_counts(vectors: DataFrame, key: str = "customer_id", train_pct: int =
                        F.count_if(~flag).alias("test"))
 
 
-def value_model(train: DataFrame, num_trees: int = 50, max_depth: int = 5, seed: int = 42,
-                label: str = "customer_value") -> RandomForestClassificationModel:
+def value_model(train: DataFrame, num_trees: int = TREES, max_depth: int = DEPTH, seed: int = SPLIT_SEED,
+                label: str = "customer_value", key: str = "customer_id",
+                partitions: int = 32) -> RandomForestClassificationModel:
+    """The forest draws its bootstrap samples per partition, so the training rows
+    are first laid out by ``key`` in ``partitions`` sorted partitions: the same
+    rows and seed give the same forest on any input layout."""
     if train.isEmpty():
         raise ValueError("no feature vectors to train the value model on")
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
                                 maxDepth=max_depth, seed=seed)
-    return rf.fit(train)
+    return rf.fit(train.repartition(partitions, key).sortWithinPartitions(key, *[
+        c for c in train.columns if c not in (key, "features")]))
 
 
 def value_predictions(model, test: DataFrame, label: str = "customer_value") -> DataFrame:
@@ -149,13 +158,36 @@ def value_predictions(model, test: DataFrame, label: str = "customer_value") ->
 
 
 def value_auc(predictions: DataFrame, label: str = "customer_value") -> DataFrame:
-    """Area under ROC as a one-row DataFrame (metric, value)."""
+    """Area under ROC as a one-row DataFrame (metric, value), from every distinct
+    score whatever the size (no down-sampled curve)."""
     spark = predictions.sparkSession
     auc = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=label,
-                                        metricName="areaUnderROC").evaluate(predictions)
+                                        metricName="areaUnderROC", numBins=0).evaluate(predictions)
     return spark.createDataFrame([("areaUnderROC", float(auc))], "metric string, value double")
 
 
+def rank_auc(rows: DataFrame, score: str, label: str, buckets: int = 1024) -> DataFrame:
+    """One row ``auc``: the share of (positive, negative) pairs that ``score`` puts
+    in order, ties as half; null without both classes. Exact: rows are counted
+    per score, and running totals go over equal-width buckets of scores and
+    inside each. Null scores and labels are left out. Reads ``rows`` twice."""
+    known = rows.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
+        F.col(score).cast("double").alias("s"), F.col(label).alias("y"))
+    span = known.agg(F.struct(F.min("s").alias("lo"), F.max("s").alias("hi")).alias("r")).scalar()
+    place = F.floor(F.try_divide(F.col("s") - F.col("r.lo"), F.col("r.hi") - F.col("r.lo")) * buckets)
+    counts = (known.select("s", "y", span.alias("r"))
+              .select("s", "y", F.least(F.coalesce(place, F.lit(0)), F.lit(buckets - 1)).alias("b"))
+              .groupBy("b", "s").agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("n")))
+    totals = counts.groupBy("b").agg(F.sum("n").alias("t")).select(
+        "b", (F.sum("t").over(Window.orderBy("b")) - F.col("t")).alias("before"))
+    inside = F.sum("n").over(Window.partitionBy("b").orderBy("s")) - F.col("n")
+    wins = counts.withColumn("inside", inside).join(totals, "b").select(
+        "p", "n", (F.col("p") * (2 * (F.col("inside") + F.col("before")) + F.col("n"))).cast("decimal(38,0)").alias("w"))
+    both = wins.agg(F.sum("w").alias("w"), F.sum("p").cast("decimal(19,0)").alias("p"),
+                    F.sum("n").cast("decimal(19,0)").alias("n"))
+    return both.select(F.try_divide(F.col("w").cast("double"), (F.col("p") * F.col("n") * 2).cast("double")).alias("auc"))
+
+
 def feature_importance(model, columns=FEATURES) -> DataFrame:
     """(feature, importance), most important first. Model metadata, one row per feature."""
     spark = SparkSession.active()

@@ -10,7 +10,7 @@
 ``behaviour_job`` membership/city segments and the at-risk list.
 
 Reports are written as CSV (header) or Parquet directories; ``single_file``
-applies only to reports whose size is bounded by their key domain.
+applies only to reports whose rows are bounded by a fixed domain.
 
 usage: python -m cartlens.plans.batch shopping|value|behaviour INPUT OUTPUT
        [--landed SOURCE_NAME] [--format csv|parquet]
@@ -21,16 +21,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import basket, clean, reports, value, views
-from ..session import checkpointed, shared_path
+from ..session import checkpointed, remove_shared, shared_path
 from ..schemas import BEHAVIOUR_RAW, SHOPPING
 from ..sources.files import (read_behaviour, read_report, read_shopping, snake_case_behaviour,
                              write_report)
 from ..streaming.ingest import read_landed
 
-# Reports with one row per key of a small domain (safe to write as one file).
-SMALL = {"segment_counts", "age_gender_analysis", "category_analysis", "monthly_category_sales",
-         "category_preferences", "payment_analysis", "payment_age_analysis",
-         "daily_sales_pattern", "monthly_sales_pattern", "category_pairs"}
+# The report folders that existing readers open.
+REPORTS = ("customer_segments", "segment_counts", "age_gender_analysis", "category_analysis",
+           "monthly_category_sales", "category_preferences", "payment_analysis", "payment_age_analysis",
+           "daily_sales_pattern", "monthly_sales_pattern", "category_pairs")
+# Reports whose rows are bounded by fixed domains (segments, bands, months,
+# weekdays): written as one file. The others grow with the data's categories,
+# genders, payment methods or customers and keep their parts.
+SMALL = {"segment_counts", "daily_sales_pattern", "monthly_sales_pattern"}
 
 
 def materialize_lines(spark: SparkSession, shopping: DataFrame, path: str | None = None,
@@ -60,47 +64,38 @@ def materialize_lines(spark: SparkSession, shopping: DataFrame, path: str | None
 
 def shopping_reports(lines: DataFrame, thresholds: dict | None = None,
                      with_basket: bool = True) -> dict[str, DataFrame]:
-    seg = reports.customer_segments(lines, **(thresholds or {}))
-    out = {
-        "customer_segments": seg,
-        "segment_counts": reports.segment_counts(seg),
-        "age_gender_analysis": reports.age_gender(seg),
-        "category_analysis": reports.category_summary(lines),
-        "monthly_category_sales": reports.month_category(lines),
-        "category_preferences": reports.category_preferences(lines),
-        "payment_analysis": reports.payment_summary(lines),
-        "payment_age_analysis": reports.payment_by_age(lines),
-        "daily_sales_pattern": reports.weekday_sales(lines),
-        "monthly_sales_pattern": reports.month_sales(lines),
-    }
-    if with_basket:
-        out["category_pairs"] = basket.basket_pairs(lines)
-    return out
-
-
-def report_views(spark: SparkSession, out_dir: str, fmt: str = "parquet",
-                 schemas: dict | None = None) -> dict[str, DataFrame]:
-    """Views built from the written reports, not the lines. ``schemas`` (name
-    -> schema, as written) spares a CSV read its schema-inference pass."""
-    schemas = schemas or {}
-    r = {name: read_report(spark, f"{out_dir}/{name}", schema=schemas.get(name), fmt=fmt)
-         for name in (
-        "customer_segments", "age_gender_analysis", "category_analysis", "monthly_category_sales",
-        "category_preferences", "payment_analysis", "payment_age_analysis",
-        "daily_sales_pattern", "monthly_sales_pattern")}
+    """The reports that read the lines; ``segment_reports`` are made from the
+    first of them."""
+    frames = (reports.customer_segments(lines, **(thresholds or {})), None, None,
+              reports.category_summary(lines), reports.month_category(lines),
+              reports.category_preferences(lines), reports.payment_summary(lines),
+              reports.payment_by_age(lines), reports.weekday_sales(lines), reports.month_sales(lines),
+              basket.basket_pairs(lines) if with_basket else None)
+    return {name: df for name, df in zip(REPORTS, frames) if df is not None}
+
+
+def segment_reports(segments: DataFrame) -> dict[str, DataFrame]:
+    return {REPORTS[1]: reports.segment_counts(segments), REPORTS[2]: reports.age_gender(segments)}
+
+
+def report_views(spark: SparkSession, out_dir: str, schemas: dict, lines: DataFrame,
+                 fmt: str = "parquet") -> dict[str, DataFrame]:
+    """Views built from the written reports. ``schemas``: name -> schema, as
+    written. Only the trend's undated rows come from the lines."""
+    r = {name: read_report(spark, f"{out_dir}/{name}", schemas[name], fmt) for name in REPORTS[:10]}
     cats = r["category_analysis"]
     return {
         "segment_share": views.segment_share(r["customer_segments"]),
         "age_spending": views.age_spending(r["customer_segments"]),
         "pivot_age_gender": views.pivot_age_gender(r["age_gender_analysis"]),
         "top_categories": views.top_categories(cats),
-        "top_category_trend": views.top_category_trend(r["monthly_category_sales"], cats),
+        "top_category_trend": views.top_category_trend(reports.month_category(lines, undated=True)),
         "category_bubble": views.category_bubble(cats),
         "payment_share": views.payment_share(r["payment_analysis"]),
         "pivot_age_payment": views.pivot_age_payment(r["payment_age_analysis"]),
         "weekday_pattern": views.weekday_pattern(r["daily_sales_pattern"]),
         "month_pattern": views.month_pattern(r["monthly_sales_pattern"]),
-        "top_category_gender": views.top_category_gender(r["category_preferences"], cats),
+        "top_category_gender": views.top_category_gender(r["category_preferences"]),
         "overview": views.overview(r["customer_segments"], cats, r["payment_analysis"],
                                    r["monthly_sales_pattern"]),
     }
@@ -108,31 +103,47 @@ def report_views(spark: SparkSession, out_dir: str, fmt: str = "parquet",
 
 def shopping_job(spark: SparkSession, shopping: DataFrame, out_dir: str,
                  thresholds: dict | None = None, fmt: str = "parquet",
-                 views_dir: str | None = None, silver_partition_by=None) -> list[str]:
-    lines = materialize_lines(spark, shopping, partition_by=silver_partition_by)
+                 views_dir: str | None = None, silver_partition_by=None, silver_path: str | None = None) -> list[str]:
+    """Parse and enrich once into the silver table, then every report and view.
+    A silver table without a ``silver_path`` of the caller's is removed at the end."""
+    path = silver_path or shared_path(spark, "silver", "shopping_lines", unique=True)
+    lines = materialize_lines(spark, shopping, path, partition_by=silver_partition_by)
     written, schemas = [], {}
-    for name, df in shopping_reports(lines, thresholds).items():
+
+    def write(name, df):
         write_report(df, f"{out_dir}/{name}", fmt=fmt, single_file=name in SMALL)
         written.append(name)
         schemas[name] = df.schema
-    for name, df in report_views(spark, out_dir, fmt, schemas).items():
-        write_report(df, f"{views_dir or out_dir + '/views'}/{name}", fmt=fmt, single_file=True)
+
+    for name, df in shopping_reports(lines, thresholds).items():
+        write(name, df)
+    segments = read_report(spark, f"{out_dir}/{REPORTS[0]}", schemas[REPORTS[0]], fmt)
+    for name, df in segment_reports(segments).items():
+        write(name, df)
+    for name, df in report_views(spark, out_dir, schemas, lines, fmt).items():
+        write_report(df, f"{views_dir or out_dir + '/views'}/{name}", fmt=fmt)
         written.append(f"views/{name}")
+    if silver_path is None:
+        remove_shared(spark, path)
     return written
 
 
 def value_job(spark: SparkSession, shopping: DataFrame, out_dir: str, rel_error: float = 0.001,
               fmt: str = "parquet", features=value.FEATURES) -> dict:
-    """Value model run. ``features`` defaults to the source's four columns; note
+    """Value model run; the input is parsed once, into a silver table that is
+    removed at the end. ``features`` defaults to the source's four columns; note
     that ``monetary`` also defines the label, so leave it out to measure how
     well the other columns predict it."""
-    lines = value.prepare_lines(shopping)
+    prepared = value.prepare_lines(shopping)
+    silver = shared_path(spark, "silver", "value_lines", unique=True)
+    prepared.write.parquet(silver)
+    lines = spark.read.schema(prepared.schema).parquet(silver)
     for key in ("gender", "age_group", "payment_method"):
-        write_report(reports.consumption_by(lines, key), f"{out_dir}/consumption_{key}", fmt=fmt,
-                     single_file=True)
-    customers = value.customer_features(lines, rel_error=rel_error)
+        write_report(reports.consumption_by(lines, key), f"{out_dir}/consumption_{key}", fmt=fmt)
+    metrics = checkpointed(value.customer_metrics(lines))
+    customers = value.features_of(metrics, rel_error=rel_error)
     write_report(customers, f"{out_dir}/customer_features", fmt=fmt)
-    labelled = read_report(spark, f"{out_dir}/customer_features", schema=customers.schema, fmt=fmt)
+    labelled = read_report(spark, f"{out_dir}/customer_features", customers.schema, fmt)
     vectors = checkpointed(value.value_features(labelled, features))
     write_report(value.split_counts(vectors), f"{out_dir}/split_counts", fmt=fmt, single_file=True)
     train, test = value.split_customers(vectors)
@@ -144,15 +155,21 @@ def value_job(spark: SparkSession, shopping: DataFrame, out_dir: str, rel_error:
     for name, df in (("value_counts", views.value_counts(labelled)),
                      ("gender_value_mix", views.gender_value_mix(labelled)),
                      ("monetary_histogram", views.monetary_histogram(labelled))):
-        write_report(df, f"{out_dir}/{name}", fmt=fmt, single_file=True)
+        write_report(df, f"{out_dir}/{name}", fmt=fmt)
+    remove_shared(spark, silver)
     return {"model": model}
 
 
 def behaviour_job(spark: SparkSession, behaviour: DataFrame, out_dir: str, fmt: str = "parquet"):
+    """The three sheet reports; the sheet is parsed once."""
+    path = shared_path(spark, "silver", "behaviour", unique=True)
+    behaviour.write.parquet(path)
+    behaviour = spark.read.schema(behaviour.schema).parquet(path)
     for name, df in (("membership_segments", reports.membership_segments(behaviour)),
                      ("city_segments", reports.city_segments(behaviour)),
                      ("at_risk_customers", reports.at_risk_customers(behaviour))):
         write_report(df, f"{out_dir}/{name}", fmt=fmt)
+    remove_shared(spark, path)
 
 
 def main(argv=None):

@@ -8,17 +8,22 @@ be "High Value").
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators import basket, clean, reports, value, views
 from ..schemas import BEHAVIOUR_RENAME, SHOPPING
 from ..session import checkpointed, shared_path
-from ..sources.files import read_behaviour, read_report, read_shopping, write_report
+from ..sources.files import (fixed_decimals, read_behaviour, read_report, read_shopping, report_inventory,
+                             write_report)
 from ..sources.tables import behaviour_from_tables, shopping_from_tables
-from ..streaming.ingest import read_landed, run_ingest
+from ..streaming.ingest import landed_rejects, read_landed, run_ingest
 
 SEGMENT_THRESHOLDS = dict(high_value=1_200_000.0, frequent=45, high_ticket=28_000.0)
 
+# The pivoted domains of the test tables (so that no job looks them up).
+GENDERS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+METHODS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
 CUSTOMER_COLS = ["invoice_no", "customer_id", "gender", "age", "quantity", "price"]
 
 
@@ -71,7 +76,7 @@ def metrics(spark, sf) -> DataFrame:
 
 
 def features(spark, sf) -> DataFrame:
-    return value.customer_features(value_lines(spark, sf), rel_error=0.0)
+    return value.features_of(metrics(spark, sf), rel_error=0.0)
 
 
 def behaviour(spark, sf) -> DataFrame:
@@ -99,8 +104,14 @@ def q_feature_importance(spark, sf):
     return value.feature_importance(model)
 
 
+def _comparable(df, *columns):
+    """Integer columns that hold nulls as doubles: clients show those alike."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 def q_enrich_dates(spark, sf):
     df = lines(spark, sf, ["invoice_no", "category", "age", "quantity", "price", "invoice_date"])
+    df = _comparable(df, "quantity", "month", "year", "day_of_week")
     return df.select("invoice_no", "category", "quantity", F.col("price").cast("double").alias("price"),
                      F.col("total_amount").cast("double").alias("total_amount"),
                      # ISO text: compares the same in any engine (timestamp units differ)
@@ -108,13 +119,95 @@ def q_enrich_dates(spark, sf):
                      "valid_date", "month", "year", "day_of_week", "age_group")
 
 
+def _drain(spark, name, *drops):
+    """Write each frame into a spool folder and drain it into bronze, one after
+    the other; a frame may come with the age in days its files shall have."""
+    base = shared_path(spark, name, unique=True)
+    for k, (df, age) in enumerate(drops):
+        write_report(df, f"{base}/spool/{k}")
+        if age:
+            _backdate(spark, f"{base}/spool/{k}", age)
+        run_ingest(spark, f"{base}/spool/*", f"{base}/bronze", f"{base}/_checkpoint")
+    return f"{base}/bronze"
+
+
+def _backdate(spark, folder, days):
+    """Set the modification time of a folder's files (file metadata only)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path):
+        then = status.getModificationTime() - days * 86_400_000
+        fs.setTimes(status.getPath(), then, then)
+
+
 def q_ingest_roundtrip(spark, sf):
     """Shopping lines written as CSV files into a spool folder, drained by the
     stream into bronze, and parsed back to typed rows."""
-    base = shared_path(spark, "ingest", unique=True)
-    write_report(shopping_from_tables(spark, sf), f"{base}/spool")
-    run_ingest(spark, f"{base}/spool", f"{base}/bronze", f"{base}/_checkpoint")
-    return read_landed(spark, f"{base}/bronze", SHOPPING, source_like="part-%")
+    bronze = _drain(spark, "ingest", (shopping_from_tables(spark, sf), 0))
+    return _comparable(read_landed(spark, bronze, SHOPPING, source_like="part-%"), "quantity")
+
+
+def q_ingest_late_files(spark, sf):
+    """The lines in two drains; the second one's files are 30 days older."""
+    lines = shopping_from_tables(spark, sf)
+    late = F.pmod(F.coalesce(F.xxhash64("customer_id"), F.lit(0)), F.lit(3)) == 0
+    bronze = _drain(spark, "ingest_late", (lines.where(~late), 0), (lines.where(late), 30))
+    return _comparable(read_landed(spark, bronze, SHOPPING, source_like="part-%"), "quantity")
+
+
+def _reordered(df):
+    """The columns in reverse order, with a foreign one between."""
+    return df.select(*df.columns[:4:-1], F.lit("x").alias("remark"), *df.columns[4::-1])
+
+
+def q_ingest_reordered(spark, sf):
+    """The lines as files with another column order and a foreign column."""
+    bronze = _drain(spark, "ingest_reordered", (_reordered(shopping_from_tables(spark, sf)), 0))
+    return _comparable(read_landed(spark, bronze, SHOPPING, source_like="part-%"), "quantity")
+
+
+def q_ingest_rejects(spark, sf):
+    """The lines with a quantity that is no number on every seventh order."""
+    lines = shopping_from_tables(spark, sf).withColumn(
+        "quantity", F.when(F.col("invoice_no").cast("long") % 7 == 0, "many").otherwise(F.col("quantity").cast("string")))
+    bronze = _drain(spark, "ingest_rejects", (lines, 0))
+    return (landed_rejects(spark, bronze, SHOPPING, source_like="part-%")
+            .agg(F.sum("lines").alias("lines"), F.sum("rejected").alias("rejected")))
+
+
+def q_shopping_csv_reordered(spark, sf):
+    """Shopping lines written in another column order, bound back by name."""
+    path = shared_path(spark, "csv", "shopping_reordered", unique=True)
+    write_report(_reordered(shopping_from_tables(spark, sf)), path)
+    return _comparable(read_shopping(spark, path), "quantity")
+
+
+def q_exact_price(spark, sf):
+    """Amounts and means over prices with more than two decimals."""
+    sold = shopping_from_tables(spark, sf, ["category", "quantity", "price", "invoice_no"])
+    sold = sold.withColumn("price", F.col("price") * F.lit(1.0) - F.lit(0.005))
+    return reports.category_summary(clean.enrich_shopping(sold)).select(
+        "category", "total_revenue", "avg_price")
+
+
+def q_sorted_positions(spark, sf):
+    """The category report's rows with their place in its order."""
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return categories(spark, sf).select(place.alias("place"), "category", "total_revenue")
+
+
+def q_value_test_keys(spark, sf):
+    """The customers the model is tested on, with their labels."""
+    _, test = value.split_customers(value.value_features(features(spark, sf)))
+    return test.select("customer_id", "customer_value")
+
+
+def q_report_inventory(spark, sf):
+    """Report folders with files, and whether their parts hold anything."""
+    base = shared_path(spark, "inventory", unique=True)
+    write_report(categories(spark, sf), f"{base}/category_analysis", single_file=True)
+    write_report(payments(spark, sf), f"{base}/payment_analysis", single_file=True)
+    return report_inventory(spark, base).select("report", "files", (F.col("bytes") > 0).alias("filled"))
 
 
 def q_shopping_csv(spark, sf):
@@ -122,7 +215,7 @@ def q_shopping_csv(spark, sf):
     explicit-schema reader."""
     path = shared_path(spark, "csv", "shopping", unique=True)
     write_report(shopping_from_tables(spark, sf), path)
-    return read_shopping(spark, path)
+    return _comparable(read_shopping(spark, path), "quantity")
 
 
 def q_behaviour_csv(spark, sf):
@@ -164,7 +257,13 @@ def queries() -> dict:
         "enrich_dates": q_enrich_dates,
         "clean_fill": lambda s, d: C.clean_fill(shopping_from_tables(s, d)),
         "clean_drop": lambda s, d: C.clean_drop(behaviour(s, d)),
-        "profile_table": lambda s, d: C.profile_table(shopping_from_tables(s, d)),
+        "profile_table": lambda s, d: C.profile_table(s.read.parquet(f"{d}/lineitem.parquet")),
+        "profile_schema": lambda s, d: C.profile_schema(shopping_from_tables(s, d)).select(
+            "column_name", "data_type"),
+        "sorted_positions": q_sorted_positions,
+        "exact_price": q_exact_price,
+        "fixed_decimals": lambda s, d: fixed_decimals(categories(s, d).select("category", "total_revenue", "avg_price")),
+        "report_inventory": q_report_inventory,
         "profile_nulls": lambda s, d: C.profile_nulls(shopping_from_tables(s, d)),
         "profile_ranges": lambda s, d: C.profile_ranges(metrics(s, d), ["frequency", "monetary"]),
         # behaviour sheet
@@ -180,36 +279,42 @@ def queries() -> dict:
             value_lines(s, d, "payment_method"), "payment_method"),
         "customer_features": features,
         "median_monetary": lambda s, d: value.median_monetary(metrics(s, d), rel_error=0.0),
+        "median_rank_error": lambda s, d: value.median_rank_error(metrics(s, d)),
         "label_value": lambda s, d: features(s, d).select("customer_id", "monetary", "customer_value"),
         # views
         "segment_share": lambda s, d: V.segment_share(segments(s, d)),
         "age_spending": lambda s, d: V.age_spending(segments(s, d)),
         "payment_share": lambda s, d: V.payment_share(payments(s, d)),
         "top_categories": lambda s, d: V.top_categories(categories(s, d)),
-        "top_category_trend": lambda s, d: V.top_category_trend(monthly_categories(s, d), categories(s, d)),
-        "top_category_gender": lambda s, d: V.top_category_gender(
-            materialized(preferences(s, d)), categories(s, d)),
-        "category_bubble": lambda s, d: V.category_bubble(materialized(categories(s, d))),
+        "top_category_trend": lambda s, d: V.top_category_trend(R.month_category(
+            lines(s, d, ["invoice_no", "category", "quantity", "price", "invoice_date"]), undated=True)),
+        "top_category_gender": lambda s, d: V.top_category_gender(preferences(s, d), genders=GENDERS),
+        "category_bubble": lambda s, d: V.category_bubble(categories(s, d)),
         "weekday_pattern": lambda s, d: V.weekday_pattern(R.weekday_sales(dated(s, d))),
         "month_pattern": lambda s, d: V.month_pattern(R.month_sales(dated(s, d))),
-        "pivot_age_gender": lambda s, d: V.pivot_age_gender(materialized(R.age_gender(segments(s, d)))),
-        "pivot_age_payment": lambda s, d: V.pivot_age_payment(materialized(
-            R.payment_by_age(lines(s, d, ["invoice_no", "age", "payment_method"])))),
+        "pivot_age_gender": lambda s, d: V.pivot_age_gender(R.age_gender(segments(s, d)), GENDERS),
+        "pivot_age_payment": lambda s, d: V.pivot_age_payment(
+            R.payment_by_age(lines(s, d, ["invoice_no", "age", "payment_method"])), METHODS),
         "value_counts": lambda s, d: V.value_counts(features(s, d)),
         "gender_value_mix": lambda s, d: V.gender_value_mix(features(s, d)),
         "payment_top5_share": lambda s, d: V.payment_top5_share(
             R.consumption_by(value_lines(s, d, "payment_method"), "payment_method")),
         "monetary_histogram": lambda s, d: V.monetary_histogram(metrics(s, d)),
-        "overview": lambda s, d: V.overview(segments(s, d), categories(s, d), payments(s, d),
-                                            R.month_sales(dated(s, d))),
-        # value model (no SQL form)
+        "overview": lambda s, d: V.overview_from_lines(lines(s, d), R.segment_label(**SEGMENT_THRESHOLDS)),
+        # value model (the fitted trees have no SQL form)
         "split_counts": lambda s, d: value.split_counts(value.value_features(features(s, d))),
+        "value_test_keys": q_value_test_keys,
+        "score_auc": lambda s, d: value.rank_auc(features(s, d), "avg_transaction", "customer_value"),
         "value_predictions": q_value_predictions,
         "value_auc": q_value_auc,
         "feature_importance": q_feature_importance,
         # sources and sinks
         "ingest_roundtrip": q_ingest_roundtrip,
+        "ingest_late_files": q_ingest_late_files,
+        "ingest_reordered": q_ingest_reordered,
+        "ingest_rejects": q_ingest_rejects,
         "report_roundtrip": q_report_roundtrip,
+        "shopping_csv_reordered": q_shopping_csv_reordered,
         "shopping_csv": q_shopping_csv,
         "behaviour_csv": q_behaviour_csv,
     }

@@ -45,15 +45,18 @@ def _pct(part, whole):
 
 SHOPPING = """
 shopping AS (
-  SELECT CAST(l.l_orderkey AS VARCHAR) AS invoice_no,
+  SELECT CASE WHEN l.l_orderkey % 53 = 0 AND l.l_linenumber = 2 THEN NULL
+              ELSE CAST(l.l_orderkey AS VARCHAR) END AS invoice_no,
          CAST(o.o_custkey AS VARCHAR) AS customer_id,
          c.c_mktsegment AS gender,
          CAST(15 + o.o_custkey % 60 AS INTEGER) AS age,
          p.p_type AS category,
-         CAST(l.l_quantity AS INTEGER) AS quantity,
-         p.p_retailprice AS price,
+         CASE WHEN l.l_orderkey % 79 = 0 AND l.l_linenumber = 1 THEN NULL
+              ELSE CAST(l.l_quantity AS INTEGER) END AS quantity,
+         CASE WHEN p.p_partkey % 71 = 0 THEN NULL ELSE p.p_retailprice END AS price,
          o.o_orderpriority AS payment_method,
-         strftime(o.o_orderdate, '%-d/%-m/%Y') AS invoice_date
+         CASE WHEN o.o_orderkey % 97 = 0 THEN '31/02/2020' WHEN o.o_orderkey % 89 = 0 THEN 'n/a'
+              ELSE strftime(o.o_orderdate, '%-d/%-m/%Y') END AS invoice_date
   FROM lineitem l
   LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
@@ -171,6 +174,15 @@ features AS (
 )"""
 
 
+SPLIT = """
+split AS (
+  SELECT customer_id, customer_value,
+         CAST('0x' || substr(md5('42:' || customer_id), 1, 8) AS BIGINT) % 100 < 80 AS train
+  FROM features
+  WHERE age IS NOT NULL AND frequency IS NOT NULL AND monetary IS NOT NULL AND avg_transaction IS NOT NULL
+)"""
+
+
 def _consumption(key):
     return f"""WITH {VLINES}
 SELECT {key}, count(invoice_no) AS transaction_count, {_money('sum(amount_c)')} AS total_spent,
@@ -201,7 +213,7 @@ behaviour_c AS (
          pc.n_discounted * 2 >= pc.n_lines AS discount_applied,
          CAST(date_diff('day', pc.last_order, (SELECT max(o_orderdate) FROM orders)) AS INTEGER)
            AS days_since_last_purchase,
-         CASE WHEN pc.n_lines IS NULL OR pc.n_lines = 0 THEN NULL
+         CASE WHEN pc.n_lines IS NULL OR pc.n_lines = 0 OR c.c_custkey % 50 = 0 THEN NULL
               WHEN pc.n_returned * 10 >= pc.n_lines * 4 THEN 'Unsatisfied'
               WHEN pc.n_returned * 10 >= pc.n_lines * 3 THEN 'Neutral'
               ELSE 'Satisfied' END AS satisfaction_level,
@@ -270,16 +282,16 @@ def oracle_sql() -> dict:
         "weekday_sales": f"WITH {LINES}, {WEEKDAY} SELECT * FROM weekday",
         "month_sales": f"WITH {LINES}, {MONTHLY} SELECT * FROM monthly",
         "enrich_dates": f"""WITH {LINES}
-SELECT invoice_no, category, quantity, CAST(price_c AS DOUBLE) / 100 AS price,
+SELECT invoice_no, category, CAST(quantity AS DOUBLE) AS quantity, CAST(price_c AS DOUBLE) / 100 AS price,
        CAST(amount_c AS DOUBLE) / 100 AS total_amount, strftime(ts, '%Y-%m-%d %H:%M:%S') AS invoice_date,
-       valid_date, month, year,
-       day_of_week, age_group FROM lines""",
+       valid_date, CAST(month AS DOUBLE) AS month, CAST(year AS DOUBLE) AS year,
+       CAST(day_of_week AS DOUBLE) AS day_of_week, age_group FROM lines""",
         "clean_fill": f"""WITH {VLINES}
 SELECT invoice_no, customer_id, gender, age, category, quantity, price, payment_method, invoice_date
 FROM filled""",
         "clean_drop": f"WITH {BEHAVIOUR} SELECT {BEHAVIOUR_COLS} FROM complete",
-        "profile_table": f"WITH {SHOPPING} SELECT count(*) AS row_count, CAST(9 AS BIGINT) AS column_count "
-                         f"FROM shopping",
+        "profile_table": """SELECT count(*) AS row_count,
+       (SELECT count(*) FROM (DESCRIBE lineitem)) AS column_count FROM lineitem""",
         "profile_nulls": f"""WITH {SHOPPING}
 SELECT column_name, null_count FROM (
   SELECT 'invoice_no' AS column_name, count(*) FILTER (WHERE invoice_no IS NULL) AS null_count FROM shopping
@@ -364,12 +376,13 @@ SELECT payment_method, transaction_count,
 FROM top""",
         "monetary_histogram": f"""WITH {VLINES},
 r AS (SELECT min(monetary) AS lo, max(monetary) AS hi FROM metrics),
+bins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(30)),
 b AS (SELECT CAST(CASE WHEN r.hi - r.lo = 0 THEN 0
                       ELSE least(floor((monetary - r.lo) / (r.hi - r.lo) * 30), 29) END AS INTEGER) AS bin
       FROM metrics, r WHERE monetary IS NOT NULL)
 SELECT bin, r.lo + bin * (r.hi - r.lo) / 30 AS bin_start, r.lo + (bin + 1) * (r.hi - r.lo) / 30 AS bin_end,
-       count(*) AS count
-FROM b, r GROUP BY bin, r.lo, r.hi""",
+       (SELECT count(*) FROM b WHERE b.bin = bins.bin) AS count
+FROM bins, r WHERE r.lo IS NOT NULL""",
         "overview": f"""WITH {STATS}, {CATEGORIES}, {PAYMENTS}, {MONTHLY},
 seg AS ({_segment_share()}), pay AS ({_payment_share()})
 SELECT 'segment_share' AS panel, customer_segment AS label, share_pct AS value FROM seg
@@ -377,8 +390,41 @@ UNION ALL SELECT 'top_categories', category, total_revenue
   FROM (SELECT * FROM categories ORDER BY total_revenue DESC, category LIMIT 5)
 UNION ALL SELECT 'payment_share', payment_method, share_pct FROM pay
 UNION ALL SELECT 'monthly_revenue', CAST(month AS VARCHAR), total_revenue FROM monthly""",
-        "ingest_roundtrip": f"WITH {SHOPPING} SELECT * FROM shopping",
+        "profile_schema": """SELECT * FROM (VALUES ('invoice_no', 'string'), ('customer_id', 'string'),
+  ('gender', 'string'), ('age', 'int'), ('category', 'string'), ('quantity', 'int'), ('price', 'double'),
+  ('payment_method', 'string'), ('invoice_date', 'string')) AS t(column_name, data_type)""",
+        "sorted_positions": f"""WITH {LINES}, {CATEGORIES}
+SELECT CAST(row_number() OVER (ORDER BY total_revenue DESC, category) AS INTEGER) AS place, category, total_revenue
+FROM categories""",
+        "exact_price": f"""WITH {SHOPPING},
+m AS (SELECT category, quantity, CAST(round(price * 1000) AS BIGINT) - 5 AS price_m FROM shopping)
+SELECT category, CAST(sum((2 * quantity * price_m + 10) // 20) AS DOUBLE) / 100 AS total_revenue,
+       CAST((2 * sum(price_m) + 10 * count(price_m)) // (20 * count(price_m)) AS DOUBLE) / 100 AS avg_price
+FROM m GROUP BY category""",
+        "fixed_decimals": f"""WITH {LINES}, {CATEGORIES}
+SELECT category, format('{{:,.2f}}', total_revenue) AS total_revenue, format('{{:,.2f}}', avg_price) AS avg_price
+FROM categories""",
+        "report_inventory": """SELECT * FROM (VALUES ('category_analysis', CAST(1 AS BIGINT), true),
+  ('payment_analysis', CAST(1 AS BIGINT), true)) AS t(report, files, filled)""",
+        "median_rank_error": "SELECT true AS within",
+        "split_counts": f"""WITH {VLINES}, {SPLIT}
+SELECT count(*) AS vectors, count(*) FILTER (WHERE train) AS train, count(*) FILTER (WHERE NOT train) AS test
+FROM split""",
+        "value_test_keys": f"""WITH {VLINES}, {SPLIT}
+SELECT customer_id, customer_value FROM split WHERE NOT train""",
+        "score_auc": f"""WITH {VLINES},
+c AS (SELECT avg_transaction AS s, count(*) FILTER (WHERE customer_value = 1) AS p,
+             count(*) FILTER (WHERE customer_value = 0) AS n FROM features
+      WHERE avg_transaction IS NOT NULL GROUP BY avg_transaction),
+w AS (SELECT p, n, p * (2 * (sum(n) OVER (ORDER BY s) - n) + n) AS w FROM c)
+SELECT CAST(sum(w) AS DOUBLE) / CAST(2 * sum(p) * sum(n) AS DOUBLE) AS auc FROM w""",
+        "ingest_late_files": f"WITH {SHOPPING} SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity) FROM shopping",
+        "ingest_reordered": f"WITH {SHOPPING} SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity) FROM shopping",
+        "shopping_csv_reordered": f"WITH {SHOPPING} SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity) FROM shopping",
+        "ingest_rejects": f"""WITH {SHOPPING}
+SELECT count(*) AS lines, count(*) FILTER (WHERE CAST(invoice_no AS BIGINT) % 7 = 0) AS rejected FROM shopping""",
+        "ingest_roundtrip": f"WITH {SHOPPING} SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity) FROM shopping",
         "report_roundtrip": f"WITH {STATS} SELECT {SEGMENT_COLS} FROM segments",
-        "shopping_csv": f"WITH {SHOPPING} SELECT * FROM shopping",
+        "shopping_csv": f"WITH {SHOPPING} SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity) FROM shopping",
         "behaviour_csv": f"WITH {BEHAVIOUR} SELECT {BEHAVIOUR_COLS} FROM behaviour_c",
     }

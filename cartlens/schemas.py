@@ -42,6 +42,8 @@ BRONZE = T.StructType([
     T.StructField("line", T.StringType()),
     T.StructField("source_file", T.StringType()),
     T.StructField("source_name", T.StringType()),
+    T.StructField("source_modified", T.TimestampType()),
+    T.StructField("source_length", T.LongType()),
     T.StructField("ingest_date", T.DateType()),
 ])
 

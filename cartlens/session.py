@@ -3,7 +3,8 @@
 On a cluster the session comes from ``spark-submit``; library code never builds
 one. Everything that has to be written mid-job (checkpoints, landed files,
 materialised tables) goes under ``spark.checkpoint.dir``, a folder shared by
-all executors. Only where that setting is missing (local tests) do we set one.
+all executors. A session without that setting raises; ``local_session`` (tests,
+``bench.py``) sets a folder of its own.
 """
 
 from __future__ import annotations
@@ -33,25 +34,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    local_shared_dir(spark)
     ensure_shared_dir(spark)
     return spark
 
 
+def local_shared_dir(spark: SparkSession) -> None:
+    """Give a local-mode session without ``spark.checkpoint.dir`` a folder of its
+    own. For tests and benchmarks: on a cluster such a folder is not shared."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cartlens-ckpt-"))
+
+
 def ensure_shared_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``. Only a local-mode session without one
-    gets a private folder; on a cluster a machine-local folder would not be
-    shared, so a missing setting is an error."""
+    """``spark.checkpoint.dir``, which must be set to a folder all executors share."""
     current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a remote (Connect) session: the server owns the setting
-        sc = None
-    if not current:
-        if sc is None or not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        current = tempfile.mkdtemp(prefix="cartlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if sc is not None and sc._jsc.sc().getCheckpointDir().isEmpty():
+        return current
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(current)
     return current
 
@@ -70,3 +74,12 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         path = f"{path}/{uuid.uuid4().hex}"
     return path
+
+
+def remove_shared(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job wrote under the shared folder (and only there)."""
+    root = ensure_shared_dir(spark).rstrip("/") + "/cartlens/"
+    if not path.startswith(root) or ".." in path:
+        raise ValueError(f"{path} is not under {root}")
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -11,13 +11,27 @@ CORRUPT = "_corrupt_record"
 
 
 def _csv(spark: SparkSession, paths, schema: T.StructType, keep_corrupt: bool) -> DataFrame:
-    full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.schema(full)
-          .option("header", True)
+    """Columns are bound by header name, in any order; extra columns are dropped.
+    The names come from one header line; every file's own header is then checked
+    against it, so a file laid out otherwise raises instead of swapping columns.
+    A missing or repeated name raises. A folder without any line is empty."""
+    def reader():
+        return spark.read.option("header", True)
+
+    header = reader().option("inferSchema", False).csv(paths).columns
+    if not header:
+        header = schema.fieldNames()
+    known = {f.name: f for f in schema.fields}
+    missing = [n for n in known if header.count(n) != 1]
+    if missing:
+        raise ValueError(f"columns {missing} are missing or repeated in the header {header} of {paths}")
+    layout = [known.get(n, T.StructField(n, T.StringType())) for n in header]
+    df = (reader().schema(T.StructType(layout + [T.StructField(CORRUPT, T.StringType())]))
+          .option("enforceSchema", False)
           .option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT)
           .csv(paths))
-    return df if keep_corrupt else df.drop(CORRUPT)
+    return df.select(*[F.col(f"`{n}`") for n in known], *([CORRUPT] if keep_corrupt else []))
 
 
 def read_shopping(spark: SparkSession, paths, keep_corrupt: bool = False) -> DataFrame:
@@ -61,16 +75,12 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv", single_file: bool =
         writer.format(fmt).save(path)
 
 
-def read_report(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                fmt: str = "csv") -> DataFrame:
-    """Read every part file of a report directory (not just the first one)."""
-    reader = spark.read
+def read_report(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
+    """Read every part file of a report directory with the schema it was
+    written with (no inference pass, no types that depend on the data)."""
+    reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True)
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-        return reader.csv(path)
-    if schema is not None:
-        reader = reader.schema(schema)
+        return reader.option("header", True).option("enforceSchema", False).csv(path)
     return reader.format(fmt).load(path)
 
 

@@ -41,35 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-SPREAD_MAX_BYTES = 1 << 30    # inputs larger than this are never spread
-SPREAD_PART_BYTES = 1 << 20   # about this much (estimated, compressed) input per spread partition
-
-
-def spread(df: DataFrame, *unique_key: str, max_bytes: int | None = None) -> DataFrame:
-    """Spread a small input that arrives in fewer splits than the session has cores.
-
-    A small table stored as a few large row groups would otherwise run its
-    joins and partial aggregates in one task. Only inputs under ``max_bytes``
-    (Catalyst's size estimate) are spread, into at most one partition per core
-    and per ``SPREAD_PART_BYTES`` of input: a large table arrives in many
-    splits, and reshuffling even a medium one would cost more than it gains,
-    so at scale this is a no-op and adds no shuffle. Rows are hash-partitioned
-    on a unique key, so no value of any other column (a hot order, part or
-    customer) can gather in one partition.
-    """
-    max_bytes = SPREAD_MAX_BYTES if max_bytes is None else max_bytes
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-        if splits >= cores:
-            return df
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        target = min(cores, size // SPREAD_PART_BYTES)
-        if size > max_bytes or target <= splits:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD view (remote session): leave as is
-        return df
-    return df.repartition(target, *unique_key)
+#: Where the adapter plants what the test tables lack. Order
+#: numbers divisible by these have an impossible and a non-date; line 2 of every
+#: 53rd order has no invoice number, line 1 of every 79th no quantity, every 71st
+#: part no price, and every 50th customer no satisfaction level.
+BAD_DATE, NO_DATE, NO_INVOICE, NO_QUANTITY, NO_PRICE, NO_LEVEL = 97, 89, 53, 79, 71, 50
 
 
 def _age(custkey: Column) -> Column:
@@ -90,8 +66,8 @@ def shopping_from_tables(spark: SparkSession, sf_dir: str, columns=None) -> Data
     """Shopping lines (``schemas.SHOPPING``) from lineitem/orders/customer/part."""
     columns = list(columns or SHOPPING.fieldNames())
     need = {d for c in columns for d in _NEEDS[c]}
-    df = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber").select(
-        "l_orderkey", "l_partkey", "l_quantity")
+    df = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_linenumber")
     if "part" in need:
         part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
         df = df.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
@@ -102,19 +78,24 @@ def shopping_from_tables(spark: SparkSession, sf_dir: str, columns=None) -> Data
         orders = table(spark, sf_dir, "orders").select(
             "o_orderkey", "o_custkey", "o_orderpriority",
             # the date text is made once per order, not once per line
-            F.date_format("o_orderdate", "d/M/yyyy").alias("o_orderdate_text"))
+            F.when(F.col("o_orderkey") % BAD_DATE == 0, "31/02/2020")
+            .when(F.col("o_orderkey") % NO_DATE == 0, "n/a")
+            .otherwise(F.date_format("o_orderdate", "d/M/yyyy")).alias("o_orderdate_text"))
         if "customer" in need:
             customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
             orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     exprs = {
-        "invoice_no": F.col("l_orderkey").cast("string"),
+        "invoice_no": F.when((F.col("l_orderkey") % NO_INVOICE == 0) & (F.col("l_linenumber") == 2), None)
+        .otherwise(F.col("l_orderkey").cast("string")),
         "customer_id": F.col("o_custkey").cast("string") if "orders" in need else None,
         "gender": F.col("c_mktsegment") if "customer" in need else None,
         "age": _age(F.col("o_custkey")) if "orders" in need else None,
         "category": F.col("p_type") if "part" in need else None,
-        "quantity": F.col("l_quantity").cast("int"),
-        "price": F.col("p_retailprice") if "part" in need else None,
+        "quantity": F.when((F.col("l_orderkey") % NO_QUANTITY == 0) & (F.col("l_linenumber") == 1), None)
+        .otherwise(F.col("l_quantity").cast("int")),
+        "price": F.when(F.col("p_partkey") % NO_PRICE == 0, None).otherwise(F.col("p_retailprice"))
+        if "part" in need else None,
         "payment_method": F.col("o_orderpriority") if "orders" in need else None,
         "invoice_date": F.col("o_orderdate_text") if "orders" in need else None,
     }
@@ -129,7 +110,7 @@ def behaviour_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     before the customer join, so each shuffle carries at most one row per key
     per map task.
     """
-    lines = (spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    lines = (table(spark, sf_dir, "lineitem")
              .groupBy("l_orderkey")
              .agg(F.sum(as_money("l_extendedprice")).alias("spend"),
                   F.sum("l_quantity").alias("items"),
@@ -155,7 +136,7 @@ def behaviour_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
           .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
           .join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left"))
     n, bad = F.col("n_lines"), F.col("n_returned")
-    satisfaction = (F.when(n.isNull() | (n == 0), None)
+    satisfaction = (F.when(n.isNull() | (n == 0) | (F.col("c_custkey") % NO_LEVEL == 0), None)
                     .when(bad * 10 >= n * 4, "Unsatisfied")
                     .when(bad * 10 >= n * 3, "Neutral")
                     .otherwise("Satisfied"))

@@ -5,7 +5,12 @@ A directory receives text files of any shape. Every new file is read once
 does not re-read; optionally the files are archived after commit), each line
 becomes a bronze row carrying its file path and name, and rows land as
 committed Parquet files partitioned by ingest date. File identity is the
-path: the same bytes under a new name are ingested again.
+path: the same bytes under a new name are ingested again. Files of any age are
+taken, also when newer ones were seen before (so the source's file log is never
+cut by age). New content under a name that was already taken is not ingested
+by the stream; a drain finds such files by modification time and length and
+fails naming them (``on_redrop="ignore"`` leaves that to the caller, who finds
+them with ``redropped``).
 
 ``read_landed`` turns the bronze lines of one source back into typed rows.
 """
@@ -16,13 +21,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import BRONZE, ddl
+from ..schemas import BRONZE
+
+#: Longer than any file can be old.
+ANY_AGE = "36500d"
+#: Columns that a landed line may have.
+MAX_COLUMNS = 64
+
+
+class RedroppedFiles(RuntimeError):
+    """Files in the spool whose name was taken before with other content."""
 
 
 def spool_lines(spark: SparkSession, spool_dir: str, max_files_per_trigger: int | None = None,
                 archive_dir: str | None = None) -> DataFrame:
-    """Unbounded bronze frame: (line, source_file, source_name, ingest_date)."""
-    reader = spark.readStream.format("text")
+    """Unbounded bronze frame: (line, source_file, source_name, source_modified,
+    source_length, ingest_date)."""
+    reader = spark.readStream.format("text").option("maxFileAge", ANY_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if archive_dir:
@@ -31,6 +46,8 @@ def spool_lines(spark: SparkSession, spool_dir: str, max_files_per_trigger: int
     return raw.select(F.col("value").alias("line"),
                       F.col("_metadata.file_path").alias("source_file"),
                       F.col("_metadata.file_name").alias("source_name"),
+                      F.col("_metadata.file_modification_time").alias("source_modified"),
+                      F.col("_metadata.file_size").alias("source_length"),
                       F.current_date().alias("ingest_date"))
 
 
@@ -53,40 +70,101 @@ def ingest_spool(spark: SparkSession, spool_dir: str, bronze_dir: str, checkpoin
     return writer.start()
 
 
+def redropped(spark: SparkSession, spool_dir: str, bronze_dir: str) -> DataFrame:
+    """(source_file, source_modified, source_length) of spool files whose name is
+    in bronze with another time or length only. Lists the spool without reading
+    it; a file without lines leaves no trace in bronze and is never reported."""
+    there = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(spool_dir)
+             .select(F.col("_metadata.file_path").alias("source_file"),
+                     F.col("modificationTime").alias("source_modified"), F.col("length").alias("source_length")))
+    taken = (spark.read.schema(BRONZE).parquet(bronze_dir).where(F.col("source_modified").isNotNull())
+             .select("source_file", "source_modified", "source_length").distinct())
+    names = taken.select("source_file").distinct()
+    return there.join(names, "source_file", "left_semi").join(taken, there.columns, "left_anti")
+
+
 def run_ingest(spark: SparkSession, spool_dir: str, bronze_dir: str, checkpoint_dir: str,
-               **kwargs) -> StreamingQuery:
-    """Drain the spool once and wait for the stream to finish."""
+               on_redrop: str = "fail", **kwargs) -> StreamingQuery:
+    """Drain the spool once, wait for the stream to finish, and look for names
+    that came back with new content (``on_redrop``: "fail" or "ignore")."""
     query = ingest_spool(spark, spool_dir, bronze_dir, checkpoint_dir, available_now=True, **kwargs)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    if on_redrop == "fail" and query.recentProgress:
+        again = [r.source_file for r in redropped(spark, spool_dir, bronze_dir).limit(20).collect()]
+        if again:
+            raise RedroppedFiles(f"taken before with other content, give them new names: {again}")
     return query
 
 
+def _fields(line):
+    """A CSV line as an array of MAX_COLUMNS texts (null beyond its last one)."""
+    wide = ", ".join(f"_{i} string" for i in range(MAX_COLUMNS))
+    parsed = F.from_csv(line, wide, {"mode": "PERMISSIVE"})
+    return F.array(*[parsed.getField(f"_{i}") for i in range(MAX_COLUMNS)])
+
+
 def _norm(c):
-    return F.regexp_replace(F.lower(c), r'[\s"]', "")
+    return F.regexp_replace(F.lower(c), r'[\s"\ufeff]', "")
 
 
-def read_landed(spark: SparkSession, bronze_dir: str, schema: T.StructType,
-                source_name: str | None = None, source_like: str | None = None,
-                header: bool = True, keep_source: bool = False) -> DataFrame:
-    """Typed rows of the landed lines of one source (exact ``source_name`` or a
-    SQL ``LIKE`` pattern). Blank lines and header lines are dropped; a line that
-    does not parse keeps nulls in the fields it could not fill."""
+def _landed(spark, bronze_dir, source_name, source_like, ingest_from, ingest_to) -> DataFrame:
     bronze = spark.read.schema(BRONZE).parquet(bronze_dir)   # declared: no footer job
+    if ingest_from is not None:
+        bronze = bronze.where(F.col("ingest_date") >= F.lit(ingest_from).cast("date"))
+    if ingest_to is not None:
+        bronze = bronze.where(F.col("ingest_date") <= F.lit(ingest_to).cast("date"))
     if source_name is not None:
         bronze = bronze.where(F.col("source_name") == source_name)
     if source_like is not None:
         bronze = bronze.where(F.col("source_name").like(source_like))
-    line = F.regexp_replace(F.col("line"), "\r$", "")
-    bronze = bronze.where(F.trim(line) != "")
+    bronze = bronze.withColumn("line", F.regexp_replace("line", "\r$", ""))
+    return bronze.where(F.trim("line") != "")
+
+
+def read_landed(spark: SparkSession, bronze_dir: str, schema: T.StructType,
+                source_name: str | None = None, source_like: str | None = None,
+                header: bool = True, keep_source: bool = False, keep_rejects: bool = False,
+                ingest_from=None, ingest_to=None) -> DataFrame:
+    """Typed rows of the landed lines of one source (exact ``source_name`` or a
+    SQL ``LIKE`` pattern), from the bronze partitions between ``ingest_from`` and
+    ``ingest_to`` (dates, inclusive).
+
+    With ``header``, a file's header is its line that names every column of
+    ``schema``, in any order and with others between; the file's lines are bound
+    by those names, and a file without such a line raises. Without, columns are
+    in schema order. Blank and header lines are dropped. A field that does not
+    parse is null; ``keep_rejects`` adds ``rejected``, true for such lines.
+    """
+    bronze = _landed(spark, bronze_dir, source_name, source_like, ingest_from, ingest_to)
+    names = [F.lit("".join(n.lower().split())) for n in schema.fieldNames()]
     if header:
-        head = "".join(",".join(schema.fieldNames()).lower().split()).replace('"', "")
-        bronze = bronze.where(_norm(line) != F.lit(head))
-    parsed = bronze.select(F.from_csv(line, ddl(schema), {"mode": "PERMISSIVE"}).alias("r"),
-                           "source_file", "ingest_date")
-    cols = [F.col("r").getField(f.name).alias(f.name) for f in schema.fields]
-    return parsed.select(*cols, *(["source_file", "ingest_date"] if keep_source else []))
+        tokens = F.split(_norm("line"), ",")
+        is_header = F.forall(F.array(*names), lambda n: F.array_contains(tokens, n))
+        # one row per file: the header in front of its lines
+        heads = bronze.where(is_header).groupBy("source_file").agg(F.min(_norm("line")).alias("head"))
+        bronze = bronze.where(~is_header).join(heads, "source_file", "left")
+        head = F.coalesce("head", F.raise_error(F.concat(
+            F.lit(f"no header line with {schema.fieldNames()} in "), "source_file")).cast("string"))
+        order = F.split(head, ",")
+    else:
+        order = F.array(*names)
+    cells = bronze.withColumn("cells", _fields(F.col("line"))).withColumn("order", order)
+    text = [F.nullif(F.get("cells", F.array_position("order", n).cast("int") - 1), F.lit("")) for n in names]
+    cast = [t.try_cast(f.dataType) for t, f in zip(text, schema.fields)]
+    rejected = F.greatest(*[(t.isNotNull() & c.isNull()) for t, c in zip(text, cast)], F.lit(False))
+    return cells.select(*[c.alias(f.name) for c, f in zip(cast, schema.fields)],
+                        *(["source_file", "ingest_date"] if keep_source else []),
+                        *([rejected.alias("rejected")] if keep_rejects else []))
+
+
+def landed_rejects(spark: SparkSession, bronze_dir: str, schema: T.StructType, **kwargs) -> DataFrame:
+    """(source_file, lines, rejected): lines per file, and those with a field that
+    does not parse."""
+    rows = read_landed(spark, bronze_dir, schema, keep_source=True, keep_rejects=True, **kwargs)
+    return rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("lines"),
+                                           F.count_if("rejected").alias("rejected"))
 
 
 def main(argv=None):

@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from cartlens.session import ensure_shared_dir  # noqa: E402
+from cartlens.session import ensure_shared_dir, local_shared_dir  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -23,6 +23,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    local_shared_dir(s)
     ensure_shared_dir(s)
     yield s
     s.stop()

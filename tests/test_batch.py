@@ -1,5 +1,7 @@
 import os
 
+from pyspark.sql import types as T
+
 from conftest import SF_SMALL
 
 from cartlens.plans import batch
@@ -13,19 +15,19 @@ def test_shopping_job_writes_all_reports(spark, scratch):
     written = batch.shopping_job(spark, shopping_from_tables(spark, SF_SMALL), out,
                                  thresholds=SEGMENT_THRESHOLDS)
     assert "category_pairs" in written and "views/overview" in written
-    seg = read_report(spark, f"{out}/customer_segments", fmt="parquet")
-    counts = read_report(spark, f"{out}/segment_counts", fmt="parquet")
+    seg = spark.read.parquet(f"{out}/customer_segments")
+    counts = spark.read.parquet(f"{out}/segment_counts")
     assert seg.count() == sum(r["count"] for r in counts.collect())
 
 
 def test_value_and_behaviour_jobs(spark, scratch):
     out = os.path.join(scratch, "value")
     batch.value_job(spark, shopping_from_tables(spark, SF_SMALL), out)
-    auc = read_report(spark, f"{out}/auc", fmt="parquet").first().value
+    auc = spark.read.parquet(f"{out}/auc").first().value
     assert 0.5 <= auc <= 1.0
     bout = os.path.join(scratch, "behaviour")
     batch.behaviour_job(spark, behaviour_from_tables(spark, SF_SMALL), bout)
-    assert read_report(spark, f"{bout}/city_segments", fmt="parquet").count() > 0
+    assert spark.read.parquet(f"{bout}/city_segments").count() > 0
 
 
 def test_materialize_lines_partitioned(spark, scratch):
@@ -42,7 +44,7 @@ def test_value_job_without_label_column(spark, scratch):
     out = os.path.join(scratch, "value2")
     batch.value_job(spark, shopping_from_tables(spark, SF_SMALL), out,
                     features=["age", "avg_transaction"])
-    imp = read_report(spark, f"{out}/feature_importance", fmt="parquet").collect()
+    imp = spark.read.parquet(f"{out}/feature_importance").collect()
     assert sorted(r.feature for r in imp) == ["age", "avg_transaction"]
 
 
@@ -50,7 +52,8 @@ def test_csv_reports_keep_their_types(spark, scratch):
     out = os.path.join(scratch, "csv")
     batch.shopping_job(spark, shopping_from_tables(spark, SF_SMALL), out,
                        thresholds=SEGMENT_THRESHOLDS, fmt="csv")
-    share = read_report(spark, f"{out}/views/segment_share", fmt="csv")
+    share = read_report(spark, f"{out}/views/segment_share",
+                        T._parse_datatype_string("customer_segment string, count long, share_pct double"))
     assert abs(sum(r.share_pct for r in share.collect()) - 100) < 0.5
     seg = read_report(spark, f"{out}/customer_segments",
                       schema=batch.reports.customer_segments(

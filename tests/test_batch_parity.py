@@ -10,7 +10,6 @@ from conftest import SF_SMALL
 import __spark_entry__ as E
 from cartlens.plans import batch
 from cartlens.plans.catalog import SEGMENT_THRESHOLDS
-from cartlens.sources.files import read_report
 from cartlens.sources.tables import behaviour_from_tables, shopping_from_tables
 
 SHOPPING_PAIRS = {  # written report -> catalogue query
@@ -47,8 +46,8 @@ def written(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("report,query", sorted(SHOPPING_PAIRS.items()))
 def test_shopping_job_matches_catalogue(spark, written, report, query):
-    got = read_report(spark, os.path.join(written, "shop", report), fmt="parquet")
     want = E.queries()[query](spark, SF_SMALL)
+    got = spark.read.parquet(os.path.join(written, "shop", report))
     assert sorted(got.columns) == sorted(want.columns)
     cols = sorted(want.columns)
     assert rows(got, cols) == rows(want, cols)
@@ -61,7 +60,7 @@ def test_shopping_job_matches_catalogue(spark, written, report, query):
     ("monetary_histogram", "monetary_histogram"), ("split_counts", "split_counts"),
 ])
 def test_value_job_matches_catalogue(spark, written, report, query):
-    got = read_report(spark, os.path.join(written, "value", report), fmt="parquet")
+    got = spark.read.parquet(os.path.join(written, "value", report))
     want = E.queries()[query](spark, SF_SMALL)
     cols = sorted(want.columns)
     assert rows(got, cols) == rows(want, cols)
@@ -69,7 +68,31 @@ def test_value_job_matches_catalogue(spark, written, report, query):
 
 @pytest.mark.parametrize("name", ["membership_segments", "city_segments", "at_risk_customers"])
 def test_behaviour_job_matches_catalogue(spark, written, name):
-    got = read_report(spark, os.path.join(written, "beh", name), fmt="parquet")
+    got = spark.read.parquet(os.path.join(written, "beh", name))
     want = E.queries()[name](spark, SF_SMALL)
     cols = sorted(want.columns)
     assert rows(got, cols) == rows(want, cols)
+
+
+def test_jobs_parse_their_input_once_and_leave_nothing(spark, scratch):
+    """The input is a CSV that every scan reads again: count its reads."""
+    from cartlens.session import shared_path
+    folder = shared_path(spark, "silver")
+    def left():
+        return sum(len(os.listdir(os.path.join(folder, d))) for d in os.listdir(folder)) if os.path.isdir(folder) else 0
+
+    seen = spark.sparkContext.accumulator(0)
+    frame = shopping_from_tables(spark, SF_SMALL)
+    n = frame.count()
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    before = left()
+    batch.value_job(spark, frame.mapInArrow(count, frame.schema), f"{scratch}/v", rel_error=0.0)
+    assert seen.value == n
+    seen.value = 0
+    batch.shopping_job(spark, frame.mapInArrow(count, frame.schema), f"{scratch}/s")
+    assert seen.value == n and left() == before

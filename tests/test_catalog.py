@@ -3,14 +3,18 @@
 import math
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from cartlens.plans import catalog, oracle
 from conftest import SF_SMALL
 
 FAST_ORACLE = ["customer_segments", "segment_counts", "age_gender", "category_summary",
                "basket_pairs", "customer_features", "membership_segments", "payment_share",
-               "monetary_histogram", "pivot_age_payment", "enrich_dates"]
+               "monetary_histogram", "pivot_age_payment", "enrich_dates", "overview", "top_category_trend",
+               "exact_price", "median_monetary", "score_auc", "split_counts", "value_test_keys",
+               "sorted_positions", "shopping_csv_reordered"]
 
 
 def test_entry(spark):
@@ -21,13 +25,13 @@ def test_entry(spark):
 
 def test_oracle_keys_are_queries():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) - set(E.oracle_sql()) == {
-        "split_counts", "value_predictions", "value_auc", "feature_importance"}
+    assert set(catalog.queries()) - set(oracle.oracle_sql()) == {
+        "value_predictions", "value_auc", "feature_importance"}
 
 
 def _norm(rows):
     def n(v):
-        if isinstance(v, float) and math.isnan(v):
+        if v is pd.NA or isinstance(v, float) and math.isnan(v):
             return None
         return str(v)[:19] if hasattr(v, "isoformat") else v
     return sorted((tuple(n(x) for x in r) for r in rows), key=lambda r: tuple(str(x) for x in r))
@@ -59,3 +63,14 @@ def test_matches_oracle_small_without_ansi(spark, name):
         test_matches_oracle_small(spark, name)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_planted_faults_reach_the_queries(spark):
+    """Invalid dates, nulls and dropped rows exist in the adapted tables."""
+    q = catalog.queries()
+    dates = q["enrich_dates"](spark, SF_SMALL)
+    assert dates.where("NOT valid_date").count() > 0 and dates.where("valid_date").count() > 0
+    nulls = {r.column_name: r.null_count for r in q["profile_nulls"](spark, SF_SMALL).collect()}
+    assert nulls["invoice_no"] > 0 and nulls["quantity"] > 0 and nulls["price"] > 0
+    assert q["clean_drop"](spark, SF_SMALL).count() < 150
+    assert q["monetary_histogram"](spark, SF_SMALL).count() == 30

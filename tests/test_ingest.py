@@ -1,10 +1,11 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from cartlens.schemas import SHOPPING
-from cartlens.sources.files import read_report, write_report
-from cartlens.streaming.ingest import read_landed, run_ingest
+from cartlens.sources.files import read_report, read_shopping, write_report
+from cartlens.streaming.ingest import RedroppedFiles, landed_rejects, read_landed, redropped, run_ingest
 
 
 def write(folder, name, text):
@@ -60,7 +61,7 @@ def test_fixed_decimals_and_inventory(spark, scratch):
     write_report(df.union(df).repartition(2), f"{root}/b")
     inv = {r.report: r.files for r in report_inventory(spark, root).collect()}
     assert inv["a"] >= 1 and inv["b"] >= 1
-    assert read_report(spark, f"{root}/a").first().v == "1,234.50"
+    assert read_report(spark, f"{root}/a", fixed_decimals(df).schema).first().v == "1,234.50"
 
 
 def test_spool_batches_and_archive(spark, scratch):
@@ -89,3 +90,74 @@ def test_polling_stream_picks_up_new_files(spark, scratch):
     finally:
         q.stop()
     assert spark.read.parquet(bronze).count() == 3
+
+
+HEADER = ",".join(SHOPPING.fieldNames())
+
+
+def test_late_files_are_taken_at_any_age(spark, scratch):
+    spool, bronze, ckpt = (os.path.join(scratch, d) for d in ("spool", "bronze", "ckpt"))
+    os.makedirs(spool)
+    for name, days in (("new.csv", 0), ("mid.csv", 1), ("old.csv", 30)):
+        write(spool, name, f"{HEADER}\n{name},c,F,30,A,1,1.0,Cash,1/1/2022\n")
+        then = os.path.getmtime(os.path.join(spool, name)) - days * 86400
+        os.utime(os.path.join(spool, name), (then, then))
+        run_ingest(spark, spool, bronze, ckpt)
+    rows = read_landed(spark, bronze, SHOPPING).collect()
+    assert sorted(r.invoice_no for r in rows) == ["mid.csv", "new.csv", "old.csv"]
+
+
+def test_redropped_name_fails_and_is_named(spark, scratch):
+    spool, bronze, ckpt = (os.path.join(scratch, d) for d in ("spool", "bronze", "ckpt"))
+    os.makedirs(spool)
+    write(spool, "a.csv", f"{HEADER}\ni1,c,F,30,A,1,1.0,Cash,1/1/2022\n")
+    run_ingest(spark, spool, bronze, ckpt)
+    run_ingest(spark, spool, bronze, ckpt)          # the same file: nothing to say
+    write(spool, "a.csv", f"{HEADER}\ni1,c,F,30,A,1,1.0,Cash,1/1/2022\ni2,c,F,30,A,1,1.0,Cash,1/1/2022\n")
+    write(spool, "b.csv", f"{HEADER}\ni3,c,F,30,A,1,1.0,Cash,1/1/2022\n")
+    with pytest.raises(RedroppedFiles, match="a.csv"):
+        run_ingest(spark, spool, bronze, ckpt)
+    found = redropped(spark, spool, bronze).collect()
+    assert [r.source_file.rsplit("/", 1)[1] for r in found] == ["a.csv"]
+    run_ingest(spark, spool, bronze, ckpt, on_redrop="ignore")
+    assert sorted(r.invoice_no for r in read_landed(spark, bronze, SHOPPING).collect()) == ["i1", "i3"]
+
+
+def test_landed_lines_are_bound_by_each_files_header(spark, scratch):
+    spool, bronze, ckpt = (os.path.join(scratch, d) for d in ("spool", "bronze", "ckpt"))
+    os.makedirs(spool)
+    write(spool, "plain.csv", f"{HEADER}\ni1,c1,F,30,A,2,5.5,Cash,1/2/2022\n")
+    write(spool, "swapped.csv", "Customer_ID,invoice_no,extra," + ",".join(SHOPPING.fieldNames()[2:])
+          + "\r\nc2,i2,x,M,many,\"B, C\",1,3.0,Card,2/3/2022\r\n\r\n")
+    write(spool, "short.csv", "invoice_no,customer_id\ni3,c3\n")
+    run_ingest(spark, spool, bronze, ckpt)
+    rows = {r.invoice_no: r for r in read_landed(spark, bronze, SHOPPING, source_like="%p%d%.csv").collect()}
+    assert rows["i2"].customer_id == "c2" and rows["i2"].age is None and rows["i2"].category == "B, C"
+    assert rows["i2"].quantity == 1 and rows["i2"].invoice_date == "2/3/2022"
+    plain = read_landed(spark, bronze, SHOPPING, source_name="plain.csv").first()
+    assert (plain.invoice_no, plain.customer_id, plain.price) == ("i1", "c1", 5.5)
+    counts = landed_rejects(spark, bronze, SHOPPING, source_name="swapped.csv").first()
+    assert (counts.lines, counts.rejected) == (1, 1)
+    with pytest.raises(Exception, match="no header line"):
+        read_landed(spark, bronze, SHOPPING, source_name="short.csv").collect()
+    bare = read_landed(spark, bronze, SHOPPING, source_name="plain.csv", header=False).count()
+    assert bare == 2                                # told that there is no header
+
+
+def test_csv_columns_are_bound_by_name(spark, scratch):
+    names = SHOPPING.fieldNames()
+    swapped = [names[1], names[0], "extra", *names[2:]]
+    one, two, bad = (os.path.join(scratch, d) for d in ("one", "two", "bad"))
+    for folder in (one, two, bad):
+        os.makedirs(folder)
+    write(one, "a.csv", ",".join(swapped) + "\nC1,I1,x,F,30,A,2,5.5,Cash,1/2/2022\n")
+    row = read_shopping(spark, one).first()
+    assert (row.invoice_no, row.customer_id, row.gender, row.price) == ("I1", "C1", "F", 5.5)
+    assert read_shopping(spark, one).columns == names
+    write(two, "a.csv", HEADER + "\nI1,C1,F,30,A,2,5.5,Cash,1/2/2022\n")
+    write(two, "b.csv", ",".join([names[1], names[0], *names[2:]]) + "\nC2,I2,F,30,A,2,5.5,Cash,1/2/2022\n")
+    with pytest.raises(Exception, match="(?i)header"):   # no silent swap in any file
+        read_shopping(spark, two).collect()
+    write(bad, "a.csv", ",".join(names[1:]) + "\nC1,F,30,A,2,5.5,Cash,1/2/2022\n")
+    with pytest.raises(ValueError, match="invoice_no"):
+        read_shopping(spark, bad)

@@ -31,8 +31,9 @@ def test_segment_thresholds_are_strict_and_applied_after_rounding(spark):
 def test_customer_stats_values(spark):
     rows = [line("i1", "c1", 2, 10.005), line("i2", "c1", 1, 0.01), line(None, "c1", 1, 1.0)]
     out = reports.customer_stats(clean.enrich_shopping(shopping(spark, rows))).first()
-    # 2 * 10.01 + 0.01 + 1.00 = 21.03 over 3 amounts; 2 invoices counted (null invoice skipped)
-    assert (out.transaction_count, out.total_spent, out.avg_transaction_value) == (2, 21.03, 7.01)
+    # 2 * 10.005 = 20.01 (the product is rounded, not the price); 20.01 + 0.01 + 1.00 = 21.02
+    # over 3 amounts; 2 invoices counted (null invoice skipped)
+    assert (out.transaction_count, out.total_spent, out.avg_transaction_value) == (2, 21.02, 7.01)
 
 
 def test_invalid_dates_are_excluded_from_time_reports(spark):

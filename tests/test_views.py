@@ -1,3 +1,5 @@
+import pytest
+
 from cartlens.operators import clean, reports, views
 from cartlens.schemas import SHOPPING
 
@@ -33,7 +35,7 @@ def test_top_k_is_deterministic_on_ties(spark):
 def test_pivots_and_fill(spark):
     ln = lines(spark)
     pref = reports.category_preferences(ln)
-    wide = views.top_category_gender(pref, reports.category_summary(ln), n=6)
+    wide = views.top_category_gender(pref, n=6)
     row = {r.category: r for r in wide.collect()}["A"]
     assert row["F"] == 0.0 and row["M"] == 50.0
     pag = views.pivot_age_gender(reports.age_gender(reports.customer_segments(ln))).collect()
@@ -50,3 +52,7 @@ def test_patterns_and_overview(spark):
                         reports.payment_summary(ln), reports.month_sales(ln))
     assert {r.panel for r in ov.collect()} == {"segment_share", "top_categories", "payment_share",
                                                 "monthly_revenue"}
+    direct = views.overview_from_lines(ln, reports.segment_label())
+    assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, ov.collect()))
+    with pytest.raises(ValueError, match="total_revenue"):
+        views.top_categories(ln)
