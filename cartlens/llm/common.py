@@ -7,17 +7,24 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..session import shared_path
+from ..session import local_shared_dir, shared_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder; only a local session without
+    ``spark.checkpoint.dir`` gets a folder of its own first."""
+    local_shared_dir(spark)
+    return shared_path(spark, "llm", name, unique=True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under ``spark.checkpoint.dir`` and read back:
     the plan behind it runs once, and a lost executor costs no recomputation."""
-    path = shared_path(df.sparkSession, "llm", name, unique=True)
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -15,8 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import shared_path
-from .common import staged, text_or_empty, with_offsets
+from .common import new_path, staged, text_or_empty, with_offsets
 
 #: Bytes of text a bucket holds on average; a task holds one bucket in memory.
 BUCKET_BYTES = 16 << 20
@@ -48,7 +47,7 @@ def shard_documents(docs: DataFrame, n_shards: int, path: str | None = None, see
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
     spark = docs.sparkSession
-    path = path or shared_path(spark, "llm", "shards", unique=True)
+    path = path or new_path(spark, "shards")
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
         .withColumn("key", F.xxhash64(F.lit(seed), F.col("doc_id"), F.monotonically_increasing_id()))
     total = keyed.agg(F.sum(F.octet_length(text_or_empty("text")) + 8).alias("b"),
