@@ -101,8 +101,9 @@ def op10_ngram_join(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_url_filter, op2_exact_dedup, op3_token_counts, op4_sharding,
-                                    op8_byte_bpe, op9_packing, op10_ngram_join)}
+    return {f.__name__: f for f in (
+        op1_url_filter, op2_exact_dedup, op3_token_counts, op4_sharding, op5_embedding_join, op6_toxicity,
+        op7_lm_scoring, op8_byte_bpe, op9_packing, op10_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -114,4 +115,40 @@ def oracle_sql() -> dict[str, str]:
                    sha256(t.text) AS text_sha256
             FROM t JOIN g USING (text)
         """,
+        "op5_embedding_join": """
+            WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+                 good AS MATERIALIZED (
+                   SELECT * FROM v WHERE len(e) > 0 AND list_bool_and(list_transform(e, x -> x IS NOT NULL AND isfinite(x)))
+                                         AND list_bool_or(list_transform(e, x -> x <> 0))),
+                 pairs AS MATERIALIZED (
+                   SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.vec_id <> b.vec_id
+                   WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+                 reach AS (SELECT vec_id AS x, vec_id AS y FROM v
+                           UNION SELECT reach.x, pairs.y FROM reach JOIN pairs ON reach.y = pairs.x),
+                 least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+            SELECT x AS vec_id, (SELECT count(*) FROM pairs WHERE pairs.x = least.x) AS n_links,
+                   component_id, x = component_id AS kept
+            FROM least
+        """,
+        "op10_ngram_join": """
+            WITH RECURSIVE w AS (
+                   SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+                   FROM documents),
+                 s AS MATERIALIZED (
+                   SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+                   FROM w, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS t(i) WHERE len(words) > 0),
+                 n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+                 pairs AS MATERIALIZED (
+                   SELECT a.doc_id AS x, b.doc_id AS y
+                   FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+                   JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+                   GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+                   HAVING count(*) * 5 >= 4 * (na.n + nb.n - count(*))),
+                 reach AS (SELECT doc_id AS x, doc_id AS y FROM documents
+                           UNION SELECT reach.x, pairs.y FROM reach JOIN pairs ON reach.y = pairs.x),
+                 least AS (SELECT x, min(y) AS class_id FROM reach GROUP BY x)
+            SELECT x AS doc_id, class_id, (SELECT count(*) FROM pairs WHERE pairs.x = least.x) AS n_links,
+                   x = class_id AS kept
+            FROM least
+        """,
     }
