@@ -118,8 +118,8 @@ def oracle_sql() -> dict[str, str]:
         "op5_embedding_join": """
             WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
                  good AS MATERIALIZED (
-                   SELECT * FROM v WHERE len(e) > 0 AND list_bool_and(list_transform(e, x -> x IS NOT NULL AND isfinite(x)))
-                                         AND list_bool_or(list_transform(e, x -> x <> 0))),
+                   SELECT * FROM v WHERE len(e) > 0 AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN e])
+                                         AND list_bool_or([x <> 0 FOR x IN e])),
                  pairs AS MATERIALIZED (
                    SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.vec_id <> b.vec_id
                    WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
@@ -132,7 +132,7 @@ def oracle_sql() -> dict[str, str]:
         """,
         "op10_ngram_join": """
             WITH RECURSIVE w AS (
-                   SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+                   SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS words
                    FROM documents),
                  s AS MATERIALIZED (
                    SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
