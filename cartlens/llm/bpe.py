@@ -33,8 +33,10 @@ from .common import batch_rows
 
 #: Characters of text, bytes of a pre-token and ids that a leaf of a tree holds.
 LEAF_CHARS, LEAF_BYTES, LEAF_IDS = 4096, 64, 4096
+#: Bytes of a window from which merging keeps its pairs in a heap.
+HEAP_BYTES = 256
 #: Pre-tokens whose codes a worker remembers, and the longest it remembers.
-CACHED, CACHED_CHARS = 300_000, 64
+CACHED, CACHED_CHARS = 400_000, 64
 
 
 class Encoded(NamedTuple):
@@ -42,14 +44,32 @@ class Encoded(NamedTuple):
     codes: list  # a tuple of token ids for each
 
 
-class Codec(dict):
-    """Encoder and decoder for one rank file and split pattern. As a mapping: the
-    ids of a pre-token, remembered for short ones."""
+class Remembered(dict):
+    """Pre-token -> what ``make`` gives for it, kept for short ones. When CACHED are
+    kept, they become the older generation, from which those still in use return."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, piece: str):
+        if (value := self.older.get(piece)) is None:
+            value = self.make(piece)
+        if len(piece) <= CACHED_CHARS:
+            if len(self) >= CACHED:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = value
+        return value
+
+
+class Codec:
+    """Encoder and decoder for one rank file and split pattern. ``codes`` and
+    ``sizes`` map a pre-token to its ids and to their number."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
 
-        super().__init__()
         self.ranks = ranks
         self.size = max(ranks.values()) + 1
         self.bytes_of = [b""] * self.size
@@ -58,6 +78,8 @@ class Codec(dict):
         self.text_of = [str(i) for i in range(self.size)]
         self.split = regex.compile(pattern).findall
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.codes = Remembered(lambda piece: tuple(self.encode_bytes(piece.encode("utf-8"))))
+        self.sizes = Remembered(lambda piece: len(self.encode_bytes(piece.encode("utf-8"))))
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Codec:
@@ -69,21 +91,13 @@ class Codec(dict):
             kept[path, pattern] = cls(ranks, pattern)
         return kept[path, pattern]
 
-    def __missing__(self, piece: str) -> tuple:
-        code = tuple(self.encode_bytes(piece.encode("utf-8")))
-        if len(piece) <= CACHED_CHARS:
-            if len(self) >= CACHED:
-                self.clear()
-            self[piece] = code
-        return code
-
     # -- one pre-token ----------------------------------------------------
     def merge(self, data: bytes) -> list[int]:
         """The ids of ``data`` by merging the pair of lowest rank, leftmost first."""
         ranks = self.ranks
         if data in ranks:
             return [ranks[data]]
-        if len(data) > 4 * LEAF_BYTES:
+        if len(data) > HEAP_BYTES:
             return self._merge_by_heap(data)
         parts = [data[i:i + 1] for i in range(len(data))]
         top = self.size
@@ -174,7 +188,7 @@ class Codec(dict):
             if piece == across and len(piece) > CACHED_CHARS:  # both halves' work is used again
                 codes.append(tuple(self.join_ids(list(left.codes[-1]), list(right.codes[0]))))
             else:
-                codes.append(self[piece])
+                codes.append(self.codes[piece])
         del left.pieces[len(left.pieces) - i:], left.codes[len(left.codes) - i:]
         left.pieces.extend(pieces)
         left.codes.extend(codes)
@@ -185,7 +199,7 @@ class Codec(dict):
     def reduce(self, text: str) -> Encoded:
         if len(text) <= LEAF_CHARS:
             pieces = self.split(text)
-            return Encoded(pieces, list(map(self.__getitem__, pieces)))
+            return Encoded(pieces, list(map(self.codes.__getitem__, pieces)))
         half = len(text) // 2
         return self.join(self.reduce(text[:half]), self.reduce(text[half:]))
 

@@ -31,13 +31,12 @@ EDITS = "array<struct<start: int, removed: int, inserted: string>>"
 
 def leaf_sums(codec: Codec, pieces: list[str]) -> np.ndarray:
     """(3, leaves): characters, pre-tokens and tokens of each run of LEAF."""
-    n = len(pieces)
-    if not n:
+    if not pieces:
         return np.zeros((3, 1), dtype=np.int64)
-    starts = np.arange(0, n, LEAF)
-    chars = np.add.reduceat(np.fromiter(map(len, pieces), np.int64, n), starts)
-    tokens = np.add.reduceat(np.fromiter(map(len, map(codec.__getitem__, pieces)), np.int64, n), starts)
-    return np.stack([chars, np.diff(np.append(starts, n)), tokens])
+    size = codec.sizes.__getitem__
+    runs = [pieces[i:i + LEAF] for i in range(0, len(pieces), LEAF)]
+    return np.array([[len("".join(r)) for r in runs], [len(r) for r in runs],
+                     [sum(map(size, r)) for r in runs]], dtype=np.int64)
 
 
 class Tree:
@@ -125,7 +124,9 @@ def edit(codec: Codec, text: str, tree: Tree, start: int, removed: int, inserted
         starts = np.linspace(0, new.shape[1], room + 1).astype(np.int64)[:-1]
         new = np.add.reduceat(new, starts, axis=1)
     if new.shape[1] <= room:
-        tree.put(first, np.pad(new, ((0, 0), (0, room - new.shape[1]))))
+        padded = np.zeros((3, room), dtype=np.int64)
+        padded[:, :new.shape[1]] = new
+        tree.put(first, padded)
     else:  # more leaves: the other leaves' sums are kept as they are
         tree = Tree(np.concatenate([leaves[:, :first], new, leaves[:, last + 1:]], axis=1))
     return after, tree, len(kept)
