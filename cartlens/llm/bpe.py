@@ -29,7 +29,7 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batch_rows
+from .common import batch_rows, map_texts
 
 #: Characters of text, bytes of a pre-token and ids that a leaf of a tree holds.
 LEAF_CHARS, LEAF_BYTES, LEAF_IDS = 4096, 64, 4096
@@ -234,7 +234,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))],
                                              ["doc_id", "ids"])
 
-    return rows.mapInArrow(run, f"{_id_field(rows)}, ids array<int>")
+    return map_texts(rows, run, f"{_id_field(rows)}, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -248,7 +248,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataF
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(data, pa.binary())],
                                              ["doc_id", "data"])
 
-    return rows.mapInArrow(run, f"{_id_field(rows)}, data binary")
+    return map_texts(rows, run, f"{_id_field(rows)}, data binary")
 
 
 def round_trip_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
@@ -271,4 +271,4 @@ def round_trip_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: s
                 [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(sent, pa.string()),
                  pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return rows.mapInArrow(run, f"{_id_field(rows)}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_texts(rows, run, f"{_id_field(rows)}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -46,6 +46,23 @@ def with_offsets(counts: DataFrame, key: str, n: str, group: int = 4096) -> Data
             .drop("__g", "__in", "__before"))
 
 
+#: Rows and bytes of the Arrow batches that carry texts to Python workers.
+ARROW_ROWS, ARROW_BYTES = 2048, 4 << 20
+
+
+def map_texts(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow``, in batches small enough for rows with long texts: at the
+    default of 10,000 rows a task holds tens of MB several times over (in the JVM's
+    direct memory, while its buffers double, and in the worker). The sizes are
+    session settings that change no result; smaller ones are left as they are."""
+    conf = df.sparkSession.conf
+    rows = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "0"))
+    if not 0 < rows <= ARROW_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def batch_rows(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into small slices (no copy) so that the Python objects
     made from one slice stay small whatever the session's batch size."""

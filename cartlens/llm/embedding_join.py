@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batch_rows, staged
+from .common import batch_rows, map_texts, staged
 from .components import settle, sets_of
 from .ngram_join import least_reachable
 
@@ -87,7 +87,7 @@ def _vectors(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
                 ["doc_id", "row", "digest", "dim", "vec"])
 
     kind = from_table.schema["doc_id"].dataType.simpleString()
-    return from_table.mapInArrow(run, f"doc_id {kind}, row long, digest binary, dim int, vec binary")
+    return map_texts(from_table, run, f"doc_id {kind}, row long, digest binary, dim int, vec binary")
 
 
 def _by_dim(part: pa.RecordBatch):

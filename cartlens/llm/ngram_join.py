@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import batch_rows, staged
+from .common import batch_rows, map_texts, staged
 from .components import components, settle, sets_of
 from .shingles import mix, shingle_set
 
@@ -76,7 +76,7 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 ["doc_id", "row", "thash", "digest", "size", "labels"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, row long, thash long, digest binary, size int, labels array<binary>")
+    return map_texts(rows, run, f"doc_id {kind}, row long, thash long, digest binary, size int, labels array<binary>")
 
 
 def candidate_edges(sets: DataFrame, length: int) -> DataFrame:
@@ -213,7 +213,7 @@ def verified(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, th
                                              ["sid", "group", "copies", "cell", "pairs", "shingles"])
 
     pair_type = "array<struct<a: bigint, b: bigint>>"
-    sets = found.mapInArrow(shingle, f"sid long, group long, copies long, cell long, pairs {pair_type}, shingles binary")
+    sets = map_texts(found, shingle, f"sid long, group long, copies long, cell long, pairs {pair_type}, shingles binary")
     dealt = sets.select("sid", "group", "copies", "cell", "shingles", F.explode("pairs").alias("p")).select(
         "sid", "group", "copies", "cell", "shingles", "p.a", "p.b")
     n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batch_rows, staged
+from .common import batch_rows, map_texts, staged
 
 #: Token ids: CLASSES x MEMBERS, the last HASHED of them shared by rarer words.
 CLASSES, MEMBERS, HASHED = 32, 64, 256
@@ -68,7 +68,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 seen.clear()
         yield flush()
 
-    return (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "word string, n long")
+    return (map_texts(docs.select(F.col(text_col).cast("string").alias("text")), run, "word string, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
@@ -207,8 +207,8 @@ def positions(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()),
                                               pa.array(packed, pa.binary())], ["key", "n", "rows"])
 
-    return docs.select(F.xxhash64(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "key long, n long, rows binary")
+    texts = docs.select(F.xxhash64(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    return map_texts(texts, run, "key long, n long, rows binary")
 
 
 def _averaged(spark, parts: DataFrame) -> np.ndarray:
@@ -298,5 +298,5 @@ def score(docs: DataFrame, words: Words, net: Network, id_col: str = "doc_id", t
                  pa.array([p / n if n else None for p, n in zip(pll.tolist(), size.tolist())], pa.float64())],
                 ["doc_id", "n_tokens", "pll", "mean_pll"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, pll double, "
+    return map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, pll double, "
                                 "mean_pll double")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .bpe import Codec
-from .common import batch_rows
+from .common import batch_rows, map_texts
 
 #: Pre-tokens of a fresh leaf; one that grows beyond GROWN times that is split.
 LEAF, GROWN = 32, 8
@@ -148,7 +148,7 @@ def build_trees(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "d
             sums = [Tree(leaf_sums(codec, codec.split(t or ""))).sums for t in part.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns, tree_array(sums)], [*part.schema.names, "tree"])
 
-    return rows.mapInArrow(run, schema)
+    return map_texts(rows, run, schema)
 
 
 def tree_array(sums: list[np.ndarray]) -> pa.Array:
@@ -195,5 +195,5 @@ def apply_edits(trees: DataFrame, ranks_path: str, pattern: str, id_col: str = "
                  pa.array(before, pa.int64()), pa.array(work, pa.int64())],
                 ["doc_id", "text", "tree", "n_tokens", "n_tokens_before", "n_encoded"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, text string, tree {TREE}, n_tokens long, "
+    return map_texts(rows, run, f"doc_id {kind}, text string, tree {TREE}, n_tokens long, "
                                 "n_tokens_before long, n_encoded long")

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batch_rows, staged
+from .common import batch_rows, map_texts, staged
 
 #: Labelled documents an index holds at most (those with the smallest hashes);
 #: terms kept at most; the least chi-squared and least examples of a term.
@@ -172,7 +172,7 @@ def _term_counts(rows: DataFrame, keep: set[str] | None = None) -> DataFrame:
                 [pa.array(ids, pa.int64()), pa.array(labels, pa.int32()), pa.array(terms, pa.string()),
                  pa.array(tfs, pa.int32())], ["doc_id", "label", "term", "tf"])
 
-    return rows.mapInArrow(run, "doc_id long, label int, term string, tf int")
+    return map_texts(rows, run, "doc_id long, label int, term string, tf int")
 
 
 def document_frequencies(docs: DataFrame, terms: list[str], text_col: str = "text") -> tuple[int, dict[str, int]]:
@@ -190,7 +190,7 @@ def document_frequencies(docs: DataFrame, terms: list[str], text_col: str = "tex
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
                                          ["term", "df"])
 
-    counts = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "term string, df long")
+    counts = (map_texts(docs.select(F.col(text_col).cast("string").alias("text")), run, "term string, df long")
               .groupBy("term").agg(F.sum("df").alias("df")).collect())
     found = {r["term"]: r["df"] for r in counts}
     return found.pop(None, 0), found
@@ -280,7 +280,7 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
                  pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(shown, kind)],
                 ["doc_id", "score", "predicted", "evidence"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int, "
+    return map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int, "
                                 "evidence array<struct<doc_id: long, label: int, similarity: double>>")
 
 
@@ -294,7 +294,7 @@ def drop_toxic(docs: DataFrame, index: Index, text_col: str = "text") -> DataFra
             clean = [index.score(index.nearest(*index.vector(text))) < 0.5 for text in part.column(text_col).to_pylist()]
             yield part.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_texts(docs, run, docs.schema)
 
 
 def held_out(doc_id: str = "doc_id"):
