@@ -14,9 +14,8 @@ import re
 import sys
 
 sys.path.insert(0, ".")
-import __spark_entry__ as E  # noqa: E402
+from cartlens.plans import catalog  # noqa: E402
 from cartlens.session import local_session  # noqa: E402
-from cartlens.sources import tables  # noqa: E402
 
 NOTES = {
     "customer_stats": "Lines are shuffled by part key, then by order key. Customers are joined to "
@@ -27,19 +26,23 @@ NOTES = {
     "basket_pairs": "Lines are reduced to (invoice, category, n) with a partial aggregate, and that "
                     "exchange is reused for both sides of the self-join. The final pair aggregate is "
                     "also partial.",
-    "customer_features": "Customer metrics are checkpointed (a LogicalRDD), so the median sketch, the "
-                         "bucket totals, the target bucket and the label all read the customer table, "
-                         "never the lines. The single-partition windows cover the bucket totals "
-                         "(at most 1025 rows) and one bucket's distinct values.",
+    "customer_features": "Customer metrics are checkpointed (a LogicalRDD), so the rounds of bucket "
+                         "counts behind the median and the label all read the customer table, never "
+                         "the lines. The single-partition windows cover bucket counts (at most 1024 "
+                         "rows) and the last bucket's distinct values.",
     "city_segments": "Lines are pre-aggregated per order before the orders join, and orders per "
                      "customer before the customer join. The global latest order date is a scalar "
                      "subquery. The 25-row nation table is broadcast explicitly.",
     "segment_share": "The share total is a window over the segment counts (one row per segment).",
-    "top_category_trend": "The only broadcast is the 5-row top-k list (TakeOrderedAndProject).",
+    "top_category_trend": "One scan of the lines: the report of (month, category), undated lines "
+                          "included, ranks its own categories with windows over report rows.",
+    "overview": "One scan and one line-level shuffle: grouping sets (Expand) by customer, category, "
+                "payment method and month, then one row per panel label.",
 }
 # Queries that train a model or write files when built.
 SKIP = {"value_predictions", "value_auc", "feature_importance", "ingest_roundtrip",
-        "report_roundtrip", "shopping_csv", "behaviour_csv"}
+        "ingest_late_files", "ingest_reordered", "ingest_rejects", "report_roundtrip", "report_inventory",
+        "shopping_csv", "shopping_csv_reordered", "behaviour_csv"}
 KEEP = ("Exchange", "Join", "Aggregate", "Scan", "Window", "Subquery", "TakeOrdered", "Broadcast",
         "LogicalRDD", "Filter", "Sort ", "Project", "Expand", "Generate", "Union")
 
@@ -63,11 +66,10 @@ def main():
     spark = local_session(8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    tables.SPREAD_MAX_BYTES = 0   # inputs are large at scale: no spreading
-    q = E.queries()
+    q = catalog.queries()
     print("# Physical plans at scale settings\n")
     print("Generated by `tools/plans.py`. Auto-broadcast is off and AQE is off, so each tree is the "
-          "static plan a 100 TB run starts from. Inputs count as large, so small inputs are not spread. "
+          "static plan a 100 TB run starts from. "
           "Expression ids are stripped.\n")
     for name, note in NOTES.items():
         print(f"## {name}\n\n{note}\n\n```\n{tree(q[name](spark, sf))}\n```\n")
