@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..session import local_shared_dir, shared_path
+from ..session import ensure_shared_dir, local_shared_dir, remove_shared, shared_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_staged(spark: SparkSession) -> None:
+    """Delete the tables that operators left in the shared folder; for the end of an
+    application, when no result that reads them is needed any more."""
+    remove_shared(spark, f"{ensure_shared_dir(spark).rstrip('/')}/cartlens/llm")
+
+
 def text_or_empty(col: str):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
