@@ -1,12 +1,12 @@
 """Toxicity by nearest labelled examples.
 
-A bounded sample of labelled documents becomes TF-IDF vectors over the terms
-whose presence goes with the label (chi-squared on that sample); document
-frequencies come from all documents. The vectors are kept as an inverted index
-cut into blocks of examples: per term and block a row of weights and their
-maximum. A document finds its exact k nearest examples by cosine: blocks are
-visited by falling upper bound, and the visit ends when the next bound is below
-the k-th similarity. Votes weighted by similarity, put through a logistic curve
+A bounded sample of labelled documents becomes TF-IDF vectors over all its terms;
+document frequencies come from all documents, and a term weighs more the more its
+presence goes with the label (phi coefficient on that sample). The vectors are
+kept as an inverted index cut into blocks of examples: per term and block a
+segment of postings and their maximum. A document finds its exact k nearest
+examples by cosine: the blocks of the greatest upper bounds are compared first,
+and then only those whose bound reaches the k-th similarity. Votes weighted by similarity, put through a logistic curve
 fitted on the examples' leave-one-out votes, are the score.
 """
 
@@ -24,14 +24,15 @@ from pyspark.sql import DataFrame, functions as F
 from .common import batch_rows, map_texts, staged
 
 #: Labelled documents an index holds at most (those with the smallest hashes);
-#: terms kept at most; the least chi-squared and least examples of a term.
-MAX_EXAMPLES, MAX_TERMS, MIN_CHI2, MIN_EXAMPLES = 8192, 256, 40.0, 3
+#: the weight of a term that says nothing about the label.
+MAX_EXAMPLES, FLOOR = 8192, 0.02
 #: A word longer than this also counts as its stem: so many letters and a mark.
 STEM = 6
 #: Letters of a word that is rare enough to tell copies by.
 LONG = 8
-#: Examples of a block, neighbours that vote, neighbours given as evidence.
-BLOCK, NEIGHBOURS, EVIDENCE = 64, 16, 3
+#: Examples of a block, blocks compared first, neighbours that vote, neighbours
+#: given as evidence.
+BLOCK, FIRST, NEIGHBOURS, EVIDENCE = 1024, 2, 16, 3
 
 WORD = re.compile(r"\w+")
 
@@ -52,34 +53,45 @@ class Neighbour(NamedTuple):
     example: int
 
 
+def spans(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """start[0], ..., end[0] - 1, start[1], ..., end[1] - 1, ... in one array."""
+    n = end - start
+    return np.arange(int(n.sum())) + np.repeat(start - (np.cumsum(n) - n), n)
+
+
 class Index:
     """Block-max inverted index of the examples' unit vectors.
 
-    ``rows[slot[term, block]]`` are a term's weights in a block (slot 0: none),
-    ``top[term, block]`` their maximum.
+    Term t has the segments ``cut[t]`` to ``cut[t + 1]``, one per block that holds
+    it: ``block``, ``top`` (its greatest weight there) and the postings from
+    ``first[segment]`` to ``first[segment + 1]``, each a ``place`` and a ``weight``.
     """
 
-    def __init__(self, ids, labels, vectors: list[dict[int, float]], idf: np.ndarray, terms: list[str]):
+    def __init__(self, ids, labels, vectors, idf: np.ndarray, terms: list[str]):
+        """``vectors``: per example {term: weight} or arrays (terms, weights);
+        ``idf``: what a term's count is multiplied by."""
         self.terms = {t: i for i, t in enumerate(terms)}
         self.idf = idf
+        pairs = [v if isinstance(v, tuple) else (np.array(list(v), dtype=np.int64), np.array(list(v.values()), dtype=float))
+                 for v in vectors]
         # examples with the same strongest term lie together: tight block maxima
         order = sorted(range(len(ids)), key=lambda e: (
-            max(vectors[e], key=lambda t: (vectors[e][t], t), default=-1), ids[e]))
+            int(pairs[e][0][pairs[e][1] == pairs[e][1].max()].max()) if len(pairs[e][0]) else -1, ids[e]))
         self.ids = np.array([ids[e] for e in order], dtype=np.int64)
         self.labels = np.array([labels[e] for e in order], dtype=np.float64)
-        n_blocks = max(1, -(-len(order) // BLOCK))
-        self.slot = np.zeros((len(terms), n_blocks), dtype=np.int32)
-        self.top = np.zeros((len(terms), n_blocks))
-        rows = [np.zeros(BLOCK)]
-        for place, e in enumerate(order):
-            b, at = divmod(place, BLOCK)
-            for t, w in vectors[e].items():
-                if not self.slot[t, b]:
-                    self.slot[t, b] = len(rows)
-                    rows.append(np.zeros(BLOCK))
-                rows[self.slot[t, b]][at] = w
-                self.top[t, b] = max(self.top[t, b], w)
-        self.rows = np.stack(rows)
+        none = [np.zeros(0, dtype=np.int64)]
+        term = np.concatenate(none + [pairs[e][0] for e in order])
+        self.place = np.repeat(np.arange(len(order)), [len(pairs[e][0]) for e in order])
+        self.weight = np.concatenate([np.zeros(0)] + [pairs[e][1] for e in order])
+        by = np.argsort(term, kind="stable")
+        term, self.place, self.weight = term[by], self.place[by], self.weight[by]
+        self.n_blocks = max(1, -(-len(order) // BLOCK))
+        segment = term * self.n_blocks + self.place // BLOCK
+        self.first = np.flatnonzero(np.diff(segment, prepend=-1))
+        self.block = (self.place[self.first] // BLOCK).astype(np.int32)
+        self.top = np.maximum.reduceat(self.weight, self.first) if len(self.first) else np.zeros(0)
+        self.cut = np.searchsorted(term[self.first], np.arange(len(terms) + 1))
+        self.first = np.append(self.first, len(term))
         self.curve, self.none = (0.0, 0.0), 0.0  # set by calibrate
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -88,10 +100,10 @@ class Index:
         return self.weigh({t: counts[t] for t in counts.keys() & self.terms.keys()})
 
     def weigh(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-        t = np.array(sorted(self.terms[w] for w in counts), dtype=np.int64)
-        by = {self.terms[w]: n for w, n in counts.items()}
-        w = np.array([(1 + math.log(by[i])) * self.idf[i] for i in t.tolist()])
-        return t, w / math.sqrt(float(w @ w)) if len(w) else w
+        t = np.fromiter(map(self.terms.__getitem__, counts), np.int64, len(counts))
+        n = np.fromiter(counts.values(), np.float64, len(counts))
+        by = np.argsort(t)
+        return t[by], unit((1 + np.log(n[by])) * self.idf[t[by]])
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS,
                 without: int = -1) -> list[Neighbour]:
@@ -99,19 +111,33 @@ class Index:
         ``without``: the place of an example to leave out."""
         if not len(terms):
             return []
-        bound = weights @ self.top[terms]
+        segments = spans(self.cut[terms], self.cut[terms + 1])
+        share = np.repeat(weights, self.cut[terms + 1] - self.cut[terms])
+        block = self.block[segments]
+        bound = np.bincount(block, share * self.top[segments], self.n_blocks)
         visit = np.argsort(-bound, kind="stable")
+        visit = visit[bound[visit] > 0]
         best: list[tuple[float, int, int]] = []  # (-similarity, id, place)
-        for b in visit.tolist():
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-12:
-                break
-            similarity = weights @ self.rows[self.slot[terms, b]]
+        for blocks in (visit[:FIRST], visit[FIRST:]):
             floor = -best[-1][0] - 1e-12 if len(best) == k else 0.0
-            for at in np.flatnonzero((similarity > 0) & (similarity >= floor)).tolist():
-                place = b * BLOCK + at
-                if place != without:
-                    best.append((-round(float(similarity[at]), 12), int(self.ids[place]), place))
-            best = sorted(best)[:k]
+            open_ = np.zeros(self.n_blocks, dtype=bool)
+            open_[blocks[bound[blocks] >= floor]] = True
+            use = open_[block]
+            start, end = self.first[segments[use]], self.first[segments[use] + 1]
+            # segments that lie side by side are one slice
+            new = np.append(True, start[1:] != end[:-1]) if len(start) else use[:0]
+            slices = list(map(slice, start[new].tolist(), end[np.append(new[1:], True)].tolist() if len(new) else []))
+            if not slices:
+                continue
+            product = np.concatenate([self.weight[x] for x in slices])
+            product *= np.repeat(share[use], end - start)
+            similarity = np.bincount(np.concatenate([self.place[x] for x in slices]), product, len(self.ids))
+            if without >= 0:
+                similarity[without] = 0
+            found = np.flatnonzero((similarity > 0) & (similarity >= floor))
+            if len(found) > k:  # all that tie with the k-th stay
+                found = found[similarity[found] >= np.partition(similarity[found], -k)[-k] - 1e-12]
+            best = sorted(best + [(-round(float(similarity[p]), 12), int(self.ids[p]), p) for p in found.tolist()])[:k]
         return [Neighbour(-s, place) for s, _, place in best]
 
     def vote(self, near: list[Neighbour]) -> float:
@@ -138,6 +164,10 @@ class Index:
         return 1 / (1 + math.exp(-max(-35.0, min(35.0, a * (self.vote(near) - 0.5) + b))))
 
 
+def unit(w: np.ndarray) -> np.ndarray:
+    return w / math.sqrt(float(w @ w)) if len(w) else w
+
+
 def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
     """(a, b) of sigmoid(a (x - 0.5) + b) by Newton steps with a small ridge
     (towards a = 8, b = 0, which keeps the vote's order where data are few)."""
@@ -155,33 +185,28 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[flo
     return float(a), float(b)
 
 
-def _term_counts(rows: DataFrame, keep: set[str] | None = None) -> DataFrame:
-    """(doc_id, label, text) -> (doc_id, label, term, tf)."""
+def _term_counts(rows: DataFrame) -> DataFrame:
+    """(doc_id, text) -> (doc_id, terms, tf): the terms with blanks between them
+    (none holds one) and their 32-bit counts."""
 
     def run(batches):
         for part in batch_rows(batches):
-            ids, labels, terms, tfs = [], [], [], []
-            for i, y, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "label", "text"))):
-                for term, tf in terms_of(text).items():
-                    if keep is None or term in keep:
-                        ids.append(i)
-                        labels.append(y)
-                        terms.append(term)
-                        tfs.append(tf)
+            counts = [terms_of(text) for text in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(labels, pa.int32()), pa.array(terms, pa.string()),
-                 pa.array(tfs, pa.int32())], ["doc_id", "label", "term", "tf"])
+                [part.column("doc_id"), pa.array([" ".join(c) for c in counts], pa.string()),
+                 pa.array([np.array(list(c.values()), dtype="<i4").tobytes() for c in counts], pa.binary())],
+                ["doc_id", "terms", "tf"])
 
-    return map_texts(rows, run, "doc_id long, label int, term string, tf int")
+    return map_texts(rows.select("doc_id", "text"), run, "doc_id long, terms string, tf binary")
 
 
 def document_frequencies(docs: DataFrame, terms: list[str], text_col: str = "text") -> tuple[int, dict[str, int]]:
     """(documents, {term: documents that hold it}) over all of ``docs``; one
     partial row per term and slice, summed by Spark."""
-    wanted = frozenset(terms)
+    sent = docs.sparkSession.sparkContext.broadcast(frozenset(terms))  # terms of max_examples documents
 
     def run(batches):
-        seen, n = Counter(), 0
+        wanted, seen, n = sent.value, Counter(), 0
         for part in batch_rows(batches):
             for text in part.column("text").to_pylist():
                 seen.update(wanted.intersection(terms_of(text)))
@@ -191,26 +216,18 @@ def document_frequencies(docs: DataFrame, terms: list[str], text_col: str = "tex
                                          ["term", "df"])
 
     counts = (map_texts(docs.select(F.col(text_col).cast("string").alias("text")), run, "term string, df long")
-              .groupBy("term").agg(F.sum("df").alias("df")).collect())
-    found = {r["term"]: r["df"] for r in counts}
+              .groupBy("term").agg(F.sum("df").alias("df")).toArrow())
+    found = dict(zip(counts["term"].to_pylist(), counts["df"].to_pylist()))
     return found.pop(None, 0), found
 
 
-def choose_terms(counts: DataFrame) -> list[str]:
-    """Terms whose presence goes with the label (chi-squared of the 2 x 2 table
-    over the examples), strongest first."""
-    size = counts.select("doc_id", "label").distinct().groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()
-    n = {r["label"]: r["n"] for r in size}
-    pos, neg = float(n.get(1, 0)), float(n.get(0, 0))
-    if not pos or not neg:
-        return []
-    a, c = F.sum(F.col("label")).cast("double"), F.sum(1 - F.col("label")).cast("double")
-    held = counts.groupBy("term").agg(a.alias("a"), c.alias("c")).where(F.col("a") + F.col("c") >= MIN_EXAMPLES)
-    all_ = pos + neg
-    chi2 = (F.lit(all_) * F.pow(F.col("a") * (neg - F.col("c")) - F.col("c") * (pos - F.col("a")), F.lit(2))
-            / (F.lit(pos * neg) * (F.col("a") + F.col("c")) * F.greatest(all_ - F.col("a") - F.col("c"), F.lit(1.0))))
-    top = held.withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS)
-    return [r["term"] for r in top.select("term").collect()]
+def association(term: np.ndarray, label: np.ndarray, pos: int, neg: int, size: int) -> np.ndarray:
+    """|phi| of each of ``size`` terms: the correlation of its presence with the
+    label, from the (term, label) of each example that holds it."""
+    n = np.bincount(term, minlength=size).astype(float)
+    a = np.bincount(term, weights=label, minlength=size)
+    return (np.abs(a * (neg - (n - a)) - (n - a) * (pos - a))
+            / np.sqrt(float(pos) * neg * n * np.maximum(pos + neg - n, 1.0)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -218,7 +235,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """The index of at most ``max_examples`` labelled documents (smallest id
     hashes). Null ids and labels are no examples; an id labelled twice counts
     once, with its greatest label; without both classes every score is the same."""
-    spark = docs.sparkSession
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
              .groupBy(F.col(id_col).alias("__id")).agg((F.max(label_col) > 0).cast("int").alias("label"))
              .orderBy(F.xxhash64("__id"), "__id").limit(max_examples))
@@ -233,22 +249,39 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     key = F.coalesce(F.array_min(F.transform(long_words, lambda w: F.xxhash64(w))), F.xxhash64("doc_id"))
     rows = rows.groupBy(key.alias("key"), "label").agg(F.min(F.struct("doc_id", "text")).alias("one"))
     rows = staged(rows.select("one.doc_id", "label", "one.text"), "toxic_examples")
-    counts = staged(_term_counts(rows), "toxic_terms")
-    terms = choose_terms(counts)
-    n, df = document_frequencies(docs, terms, text_col)
-    idf = np.array([math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in terms])
-    kept = counts.join(F.broadcast(spark.createDataFrame([(t,) for t in terms], "term string")), "term")
-    held: dict[int, dict[str, int]] = {}
-    for r in kept.collect():  # at most max_examples x MAX_TERMS small rows
-        held.setdefault(r["doc_id"], {})[r["term"]] = r["tf"]
     examples = sorted((r["doc_id"], r["label"]) for r in rows.select("doc_id", "label").collect())
-    weigher = Index([], [], [], idf, terms)
-    vectors = []
-    for i, _ in examples:
-        t, w = weigher.weigh(held.get(i, {}))
-        vectors.append(dict(zip(t.tolist(), w.tolist())))
-    index = Index([i for i, _ in examples], [y for _, y in examples], vectors, idf, terms)
-    by_id = {i: weigher.weigh(held.get(i, {})) for i, _ in examples}
+    ids, labels_ = [i for i, _ in examples], np.array([y for _, y in examples], dtype=float)
+    pos = int(labels_.sum())
+    neg = len(ids) - pos
+    if not pos or not neg:
+        index = Index(ids, labels_, [{}] * len(ids), np.zeros(0), [])
+        index.calibrate([index.weigh({})] * len(ids))
+        return index
+    place = {i: e for e, i in enumerate(ids)}
+    number: dict[str, int] = {}
+    codes, tfs = [None] * len(ids), [None] * len(ids)
+    # the terms of at most max_examples documents, one partition at a time
+    for r in staged(_term_counts(rows), "toxic_terms").toLocalIterator():
+        codes[place[r["doc_id"]]] = np.array([number.setdefault(t, len(number)) for t in r["terms"].split()], dtype=np.int64)
+        tfs[place[r["doc_id"]]] = np.frombuffer(r["tf"], dtype="<i4")
+    terms = sorted(number)
+    rank = np.empty(len(terms), dtype=np.int64)
+    rank[[number[t] for t in terms]] = np.arange(len(terms))
+    del number
+    example = np.repeat(np.arange(len(ids)), [len(c) for c in codes])
+    term, tf = rank[np.concatenate(codes)], np.concatenate(tfs)
+    del codes, tfs
+    n, df = document_frequencies(docs, terms, text_col)
+    weight = FLOOR + association(term, labels_[example], pos, neg, len(terms))
+    idf = np.array([math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in terms]) * weight
+    del df
+    order = np.lexsort((term, example))
+    example, term = example[order], term[order]
+    w = (1 + np.log(tf[order])) * idf[term]
+    cut = np.searchsorted(example, np.arange(len(ids) + 1))
+    vectors = [(term[a:b], unit(w[a:b])) for a, b in zip(cut[:-1], cut[1:])]
+    index = Index(ids, labels_, vectors, idf, terms)
+    by_id = dict(zip(ids, vectors))
     index.calibrate(by_id[int(i)] for i in index.ids)
     return index
 
@@ -262,7 +295,7 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
     null or repeat; other columns are not read; empty in, empty out.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by max_examples x MAX_TERMS
+    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the terms of max_examples documents
 
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("similarity", pa.float64())]))
 
@@ -286,7 +319,7 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
 
 def drop_toxic(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text scores below 0.5, all columns, in one pass."""
-    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by max_examples x MAX_TERMS
+    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the terms of max_examples documents
 
     def run(batches):
         index = sent.value

@@ -78,3 +78,18 @@ def test_nulls_repeats_clashes_and_empty(spark):
     nothing = tx.fit(docs.where(F.lit(False)), labels.where(F.lit(False)))
     assert tx.score(docs, nothing).where("predicted = 1").count() == 0
     assert tx.score(docs.where(F.lit(False)), index).count() == 0
+
+
+def test_every_term_of_the_examples_is_indexed(spark):
+    rng = random.Random(5)
+    shared = [f"word{k}" for k in range(400)]
+    rows = [(i, " ".join(rng.sample(shared, 12) + (["vile"] if i % 10 == 0 else []) + (["seltsam"] if i in (10, 20) else [])))
+            for i in range(300)]
+    docs = spark.createDataFrame(rows + [(900, "seltsam"), (901, " ".join(rng.sample(shared, 12)))], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    index = tx.fit(docs, labels)
+    assert set(index.terms) == {t for _, text in rows for t in tx.terms_of(text)}
+    got = {r.doc_id: r for r in tx.score(docs, index).collect()}
+    assert all(r.evidence for r in got.values())  # clean documents have neighbours too
+    assert got[900].predicted == 1 and {e.doc_id for e in got[900].evidence} == {10, 20}
+    assert index.idf[index.terms["vile"]] > 5 * np.median(index.idf)
