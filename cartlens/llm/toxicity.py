@@ -28,8 +28,6 @@ from .common import batch_rows, map_texts, staged
 MAX_EXAMPLES, FLOOR = 8192, 0.02
 #: A word longer than this also counts as its stem: so many letters and a mark.
 STEM = 6
-#: Letters of a word that is rare enough to tell copies by.
-LONG = 8
 #: Examples of a block, blocks compared first, neighbours that vote, neighbours
 #: given as evidence.
 BLOCK, FIRST, NEIGHBOURS, EVIDENCE = 1024, 2, 16, 3
@@ -242,11 +240,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = (docs.where(F.col(id_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .join(F.broadcast(sample), F.col("doc_id") == F.col("__id")).select("doc_id", "label", "text"))
-    # copies say nothing new about a term: one example (the smallest id) per label
-    # and smallest hash of the long words, which near copies mostly share
-    long_words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}_]+"),
-                          lambda w: F.length(w) >= LONG)
-    key = F.coalesce(F.array_min(F.transform(long_words, lambda w: F.xxhash64(w))), F.xxhash64("doc_id"))
+    # copies say nothing new about a term: one example (the smallest id) per label and exact text
+    key = F.coalesce(F.sha2("text", 256), F.col("doc_id").cast("string"))
     rows = rows.groupBy(key.alias("key"), "label").agg(F.min(F.struct("doc_id", "text")).alias("one"))
     rows = staged(rows.select("one.doc_id", "label", "one.text"), "toxic_examples")
     examples = sorted((r["doc_id"], r["label"]) for r in rows.select("doc_id", "label").collect())

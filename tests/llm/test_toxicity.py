@@ -93,3 +93,14 @@ def test_every_term_of_the_examples_is_indexed(spark):
     assert all(r.evidence for r in got.values())  # clean documents have neighbours too
     assert got[900].predicted == 1 and {e.doc_id for e in got[900].evidence} == {10, 20}
     assert index.idf[index.terms["vile"]] > 5 * np.median(index.idf)
+
+
+def test_only_exact_copies_are_dropped(spark):
+    # every text holds one common long word, whose hash may be the smallest of all
+    rows = [(i, f"constantinople {' '.join(f'w{i * 7 + k}' for k in range(7))}") for i in range(40)]
+    rows += [(100 + i, rows[0][1]) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 1 or i == 109)) for i, _ in rows], "doc_id long, toxic int")
+    index = tx.fit(docs, labels)
+    # of the eleven equal texts one stays per label
+    assert sorted(index.ids.tolist()) == sorted([*range(40), 101])
