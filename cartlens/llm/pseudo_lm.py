@@ -5,7 +5,12 @@ embeddings, laid side by side, go through one tanh layer to a two-level softmax
 (class of the token, then token within the class). A document's score is the
 sum of its tokens' conditional log-probabilities.
 
-The vocabulary comes from counts over all documents. Training reads a fixed
+The vocabulary is every word of all documents, with its count, and grows with
+them. The network predicts one of a fixed number of ids: the most frequent words
+have their own, rarer words share some. The probability of a word among those of
+its id comes from the counts, by a join.
+
+Training reads a fixed
 share of the positions of every document, dealt to trainers: each runs Adagrad
 in numpy over its share, and the parameters are averaged, weighted by
 positions, after every round. The share, not a sample size, is fixed, so what
@@ -35,6 +40,9 @@ STRIDE, TRAINER_POSITIONS, ROUNDS, STEP, RATE = 16, 1 << 21, 2, 2048, 0.1
 #: Distinct words that a counting task holds before it passes its counts on.
 HELD_WORDS = 200_000
 
+#: log p(word | id) is summed in steps of 1 / SHARE: the same sum in any order.
+SHARE = 1 << 30
+
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
@@ -72,6 +80,36 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
+def id_totals(rare: DataFrame) -> DataFrame:
+    """(id, total, kinds): tokens plus distinct words, and distinct words, of each
+    shared id; at most HASHED rows."""
+    return rare.groupBy("id").agg((F.sum("n") + F.count(F.lit(1))).alias("total"), F.count(F.lit(1)).alias("kinds"))
+
+
+def rare_words(counts: DataFrame, words: Words) -> DataFrame:
+    """(word, n, id): the counted words without an id of their own, every one."""
+    own = counts.sparkSession.createDataFrame([(w,) for w in words], "word string")  # at most VOCAB words
+    return counts.join(F.broadcast(own), "word", "left_anti").select("word", "n", shared_id().alias("id"))
+
+
+def shared_id():
+    return F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(HASHED))
+
+
+def with_shares(rows: DataFrame, counts: DataFrame, words: Words) -> DataFrame:
+    """``rows`` (word, ...) plus share: log p(word | id) in steps of 1 / SHARE. Of an
+    id's n tokens and t distinct words, t / (n + t) is left to words that were never
+    counted (Witten and Bell), which are spelled in bytes of equal probability."""
+    rare = rare_words(counts, words)
+    total = F.broadcast(id_totals(rare))
+    known = rare.join(total, "id").select("word", F.log(F.col("n") / F.col("total")).alias("log"))
+    spelled = -(F.octet_length("word") + 1) * F.lit(float(np.log(257)))
+    left = F.coalesce(F.log(F.col("kinds") / F.col("total")), F.lit(0.0))
+    return (rows.join(known, "word", "left").withColumn("id", shared_id()).join(total, "id", "left")
+            .withColumn("share", F.round(F.coalesce("log", left + spelled) * SHARE).cast("long"))
+            .drop("id", "log", "total", "kinds"))
+
+
 def contexts(ids: np.ndarray) -> np.ndarray:
     """(n, 2 SIDE): the ids around each position; VOCAB beyond the text's ends."""
     wide = np.concatenate([np.full(SIDE, VOCAB), ids, np.full(SIDE, VOCAB)])
@@ -231,11 +269,14 @@ def _averaged(spark, parts: DataFrame) -> np.ndarray:
     return sum(np.frombuffer(r["flat"], dtype=np.float64) for r in rows) / sum(r["weight"] for r in rows)
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[Words, Network]:
-    """The vocabulary and trained network of a corpus; an empty corpus, or one
-    without tokens, gives the untrained network."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        counts: DataFrame | None = None) -> tuple[Words, Network]:
+    """The words with their own id and trained network of a corpus; an empty corpus,
+    or one without tokens, gives the untrained network. ``counts``: its word_counts,
+    where they are at hand."""
     spark = docs.sparkSession
-    top = word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(VOCAB - HASHED).collect()
+    counts = word_counts(docs, text_col) if counts is None else counts
+    top = counts.orderBy(F.desc("n"), "word").limit(VOCAB - HASHED).collect()
     words = Words({r["word"]: i for i, r in enumerate(top)})
     rows = staged(positions(docs, words, id_col, text_col), "lm_positions")
     n = rows.agg(F.sum("n").alias("n")).first()["n"] or 0
@@ -267,11 +308,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tupl
     return words, net
 
 
-def score(docs: DataFrame, words: Words, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, words: Words, net: Network, id_col: str = "doc_id", text_col: str = "text",
+          counts: DataFrame | None = None) -> DataFrame:
     """(doc_id, n_tokens, pll, mean_pll), one row per input row.
 
     ``pll``: the sum over all tokens of log p(token | both sides); ``mean_pll``:
-    per token. Null and empty texts have no token, pll 0 and a null mean. Ids may
+    per token. ``counts``: the word_counts of the fitted corpus; without them a word
+    that shares its id counts with the probability of the id. Null and empty texts have no token, pll 0 and a null mean. Ids may
     be null or repeat; equal texts score alike; other columns are not read;
     empty in, empty out.
     """
@@ -281,9 +324,13 @@ def score(docs: DataFrame, words: Words, net: Network, id_col: str = "doc_id", t
     def run(batches):
         known, net = Words(sent.value[0]), Network(sent.value[1])
         for part in batch_rows(batches, 64):
-            ids = []
+            ids, rare, times = [], [], []
             for text in part.column("text").to_pylist():
                 found = tokens(text)
+                if counted:
+                    sharing = Counter(w for w in found if w not in known)
+                    rare.append(list(sharing))
+                    times.append(list(sharing.values()))
                 ids.append(np.fromiter(map(known.__getitem__, found), np.int64, len(found)))
             context = np.concatenate([contexts(x) for x in ids])
             target = np.concatenate(ids)
@@ -293,10 +340,21 @@ def score(docs: DataFrame, words: Words, net: Network, id_col: str = "doc_id", t
             total = np.concatenate([[0.0], np.cumsum(logs, dtype=np.float64)])
             end = np.cumsum(size)
             pll = total[end] - total[end - size]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(pll, pa.float64()),
-                 pa.array([p / n if n else None for p, n in zip(pll.tolist(), size.tolist())], pa.float64())],
-                ["doc_id", "n_tokens", "pll", "mean_pll"])
-
-    return map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, pll double, "
-                                "mean_pll double")
+            columns = [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(pll, pa.float64())]
+            if counted:
+                columns += [pa.array(rare, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "pll", "rare", "times"][:len(columns)])
+
+    counted = counts is not None
+    found = map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, pll double"
+                                 + ", rare array<string>, times array<long>" * counted)
+    if counted:
+        found = staged(found.withColumn("row", F.monotonically_increasing_id()), "lm_scores")
+        sharing = (found.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
+                   .select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times")))
+        add = (with_shares(sharing, counts, words).groupBy("row")
+               .agg(F.sum(F.col("times") * F.col("share")).alias("add")))
+        found = (found.select("row", "doc_id", "n_tokens", "pll").join(add, "row", "left")
+                 .withColumn("pll", F.col("pll") + F.coalesce(F.col("add") / SHARE, F.lit(0.0))))
+    mean = F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens"))
+    return found.select("doc_id", "n_tokens", "pll", mean.alias("mean_pll"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import pseudo_lm, toxicity
 from .bpe import round_trip_digests
-from .common import table, text_or_empty
+from .common import staged, table, text_or_empty
 from .embedding_join import cosine_join
 from .exact_dedup import exact_dedup
 from .ngram_join import jaccard_join
@@ -85,7 +85,8 @@ def op6_toxicity(spark, sf_dir):
 
 def op7_lm_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return pseudo_lm.score(docs, *pseudo_lm.fit(docs))
+    counts = staged(pseudo_lm.word_counts(docs), "lm_counts")
+    return pseudo_lm.score(docs, *pseudo_lm.fit(docs, counts=counts), counts=counts)
 
 
 def op8_byte_bpe(spark, sf_dir):

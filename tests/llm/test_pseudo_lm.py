@@ -90,3 +90,33 @@ def test_empty(spark):
     words, net = lm.fit(docs.where(F.lit(False)))
     assert words == {} and lm.score(docs, words, net).first().pll == 0
     assert lm.score(docs.where(F.lit(False)), words, net).count() == 0
+
+
+def test_every_word_has_its_own_probability(spark, monkeypatch):
+    monkeypatch.setattr(lm, "HASHED", lm.VOCAB - 2)  # two words have their own id
+    texts = ["a a a a b b b rare rare rare scarce " + " ".join(f"w{k}" for k in range(4000)), "a b rare", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = lm.word_counts(docs)
+    words, net = lm.fit(docs, counts=counts)
+    assert set(words) == {"a", "b"}
+    n = Counter(w for t in texts for w in lm.tokens(t))
+    ids = {}
+    for w in n.keys() - {"a", "b"}:
+        ids.setdefault(words[w], []).append(w)
+    test = spark.createDataFrame([(1, "a rare b scarce rare"), (1, "a rare b scarce rare"), (2, "qqqq a"), (None, None)],
+                                 "doc_id long, text string")
+    got = lm.score(test, words, net, counts=counts).collect()
+    plain = {r.doc_id: r for r in lm.score(test, words, net).collect()}
+
+    def share(w):
+        same = ids.get(words[w], [])
+        total = sum(n[x] for x in same) + len(same)
+        spelled = -(len(w) + 1) * np.log(257) + (np.log(len(same) / total) if same else 0)
+        return np.log(n[w] / total) if w in n else spelled
+
+    assert len(got) == 4 and len({r.pll for r in got if r.doc_id == 1}) == 1
+    for r in got:
+        add = {1: 2 * share("rare") + share("scarce"), 2: share("qqqq"), None: 0}[r.doc_id]
+        assert r.pll == pytest.approx(plain[r.doc_id].pll + add, abs=1e-5)
+    kinds = lm.with_shares(spark.createDataFrame([(w,) for w in n if w not in words], "word string"), counts, words)
+    assert kinds.count() == len(n) - 2  # all words of the corpus, however many
