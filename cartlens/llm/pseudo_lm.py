@@ -10,11 +10,11 @@ them. The network predicts one of a fixed number of ids: the most frequent words
 have their own, rarer words share some. The probability of a word among those of
 its id comes from the counts, by a join.
 
-Training reads a fixed
-share of the positions of every document, dealt to trainers: each runs Adagrad
-in numpy over its share, and the parameters are averaged, weighted by
-positions, after every round. The share, not a sample size, is fixed, so what
-is gathered grows with the corpus; parameters alone reach the driver.
+Training reads every position of every document, dealt in pieces to trainers:
+each runs Adagrad in numpy over its positions, one residue of their places per
+round until all are covered, and the parameters are averaged, weighted by
+positions, after every round. What is gathered grows with the corpus; parameters
+alone reach the driver.
 """
 
 from __future__ import annotations
@@ -34,9 +34,12 @@ CLASSES, MEMBERS, HASHED = 32, 64, 256
 VOCAB = CLASSES * MEMBERS
 #: Tokens on each side, numbers per embedding, hidden units.
 SIDE, EMBED, HIDDEN = 2, 8, 16
-#: Every STRIDE-th position trains; positions per trainer (about), rounds of
-#: averaging, positions of an Adagrad step and its rate.
-STRIDE, TRAINER_POSITIONS, ROUNDS, STEP, RATE = 16, 1 << 21, 2, 2048, 0.1
+#: Every STRIDE-th position trains in a round, another residue in the next; positions
+#: per trainer and round (about), rounds of averaging (STRIDE at least), positions of
+#: an Adagrad step and its rate.
+STRIDE, TRAINER_POSITIONS, ROUNDS, STEP, RATE = 2, 1 << 21, 2, 2048, 0.1
+#: Positions of a document that go to a trainer together.
+PIECE = 512
 #: Distinct words that a counting task holds before it passes its counts on.
 HELD_WORDS = 200_000
 
@@ -223,9 +226,9 @@ def train(net: Network, pieces) -> int:
 
 
 def positions(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, n, rows): a document's training positions, packed as 16-bit ids
-    (contexts, then the target). The key hashes id and positions, so that copies
-    of one text do not meet in one trainer."""
+    """(key, n, ids): every document in pieces of at most PIECE positions, packed as
+    16-bit ids with the SIDE ids on either side. The key hashes id and piece, so
+    that copies of one text do not meet in one trainer."""
     sent = docs.sparkSession.sparkContext.broadcast(dict(words))  # at most VOCAB words
 
     def run(batches):
@@ -234,23 +237,30 @@ def positions(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: s
             keys, sizes, packed = [], [], []
             for doc, text in zip(part.column("doc").to_pylist(), part.column("text").to_pylist()):
                 found = tokens(text)
-                if found:
-                    ids = np.fromiter(map(known.__getitem__, found), np.int64, len(found))
-                    first = zlib.crc32(found[0].encode("utf-8", "surrogatepass")) + len(found)
-                    at = np.arange(first % min(STRIDE, len(ids)), len(ids), STRIDE)
-                    rows = np.concatenate([contexts(ids)[at], ids[at, None]], axis=1).astype("<i2")
-                    keys.append(doc ^ zlib.crc32(rows.tobytes()))
-                    sizes.append(len(rows))
-                    packed.append(rows.tobytes())
+                wide = np.full(len(found) + 2 * SIDE, VOCAB, dtype="<u2")
+                wide[SIDE:SIDE + len(found)] = np.fromiter(map(known.__getitem__, found), np.int64, len(found))
+                for at in range(0, len(found), PIECE):
+                    piece = wide[at:at + PIECE + 2 * SIDE].tobytes()
+                    keys.append(doc ^ zlib.crc32(piece))
+                    sizes.append(min(PIECE, len(found) - at))
+                    packed.append(piece)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()),
-                                              pa.array(packed, pa.binary())], ["key", "n", "rows"])
+                                              pa.array(packed, pa.binary())], ["key", "n", "ids"])
 
     texts = docs.select(F.xxhash64(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    return map_texts(texts, run, "key long, n long, rows binary")
+    return map_texts(texts, run, "key long, n long, ids binary")
 
 
-def _averaged(spark, parts: DataFrame) -> np.ndarray:
-    """The mean of (weight, flat) rows, summed in two levels; one row arrives."""
+def targets(piece: bytes, residue: int) -> np.ndarray:
+    """(n, 2 SIDE + 1): contexts and target of the piece's positions that are
+    ``residue`` modulo STRIDE."""
+    wide = np.frombuffer(piece, dtype="<u2").astype(np.int64)
+    at = np.arange(residue, len(wide) - 2 * SIDE, STRIDE)
+    return np.stack([wide[at + k] for k in (*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1), SIDE)], axis=1)
+
+
+def _averaged(spark, parts: DataFrame) -> np.ndarray | None:
+    """The mean of (weight, flat) rows, summed in two levels; None of no rows."""
 
     def add(batches):
         total, weight = None, 0
@@ -266,6 +276,8 @@ def _averaged(spark, parts: DataFrame) -> np.ndarray:
     part = parts.repartition(16, F.col("trainer") % 16).sortWithinPartitions("trainer")
     part = part.select("weight", "flat").mapInArrow(add, "weight long, flat binary")
     rows = sorted(part.collect(), key=lambda r: (r["weight"], r["flat"]))  # at most 16 rows
+    if not rows:
+        return None
     return sum(np.frombuffer(r["flat"], dtype=np.float64) for r in rows) / sum(r["weight"] for r in rows)
 
 
@@ -281,18 +293,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = staged(positions(docs, words, id_col, text_col), "lm_positions")
     n = rows.agg(F.sum("n").alias("n")).first()["n"] or 0
     net = Network.fresh()
-    trainers = max(1, -(-n // TRAINER_POSITIONS))
-    dealt = (rows.select(F.pmod(F.xxhash64("key"), F.lit(trainers)).alias("trainer"), "key", "rows")
-             .repartition(trainers, "trainer").sortWithinPartitions("trainer", F.xxhash64("key"), "rows"))
-    for _ in range(ROUNDS if n else 0):
+    trainers = max(1, -(-n // (STRIDE * TRAINER_POSITIONS)))
+    dealt = (rows.select(F.pmod(F.xxhash64("key"), F.lit(trainers)).alias("trainer"), "key", "ids")
+             .repartition(trainers, "trainer").sortWithinPartitions("trainer", F.xxhash64("key"), "ids"))
+    for k in range(max(ROUNDS, STRIDE) if n else 0):
         sent = spark.sparkContext.broadcast(net.flat.copy())
 
-        def run(batches):
+        def run(batches, sent=sent, residue=k % STRIDE):
             def pieces():
                 for part in batches:
-                    for t, r in zip(part.column("trainer").to_pylist(), part.column("rows").to_pylist()):
+                    for t, r in zip(part.column("trainer").to_pylist(), part.column("ids").to_pylist()):
                         mine[:] = [t]
-                        yield np.frombuffer(r, dtype="<i2").astype(np.int64).reshape(-1, 2 * SIDE + 1)
+                        yield targets(r, residue)
 
             mine: list[int] = []
             own = Network(sent.value.copy())
@@ -304,7 +316,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     ["trainer", "weight", "flat"])
 
         parts = dealt.mapInArrow(run, "trainer long, weight long, flat binary")
-        net = Network(_averaged(spark, parts).astype(np.float32))
+        mean = _averaged(spark, parts)
+        net = net if mean is None else Network(mean.astype(np.float32))
     return words, net
 
 

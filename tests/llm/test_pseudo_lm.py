@@ -120,3 +120,20 @@ def test_every_word_has_its_own_probability(spark, monkeypatch):
         assert r.pll == pytest.approx(plain[r.doc_id].pll + add, abs=1e-5)
     kinds = lm.with_shares(spark.createDataFrame([(w,) for w in n if w not in words], "word string"), counts, words)
     assert kinds.count() == len(n) - 2  # all words of the corpus, however many
+
+
+def test_every_position_is_a_target(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abcdefgh", k=n)) for n in (1, 2, 15, 16, 700, 1300)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words, _ = lm.fit(docs)
+    rows = lm.positions(docs, words).collect()
+    got = Counter(tuple(x) for r in rows for k in range(max(lm.STRIDE, lm.ROUNDS))
+                  for x in lm.targets(r.ids, k % lm.STRIDE).tolist())
+    want = Counter()
+    for text in texts:
+        ids = np.array([words[w] for w in lm.tokens(text)], dtype=np.int64)
+        want.update(tuple(x) for x in np.concatenate([lm.contexts(ids), ids[:, None]], axis=1).tolist())
+    assert got == want and sum(r.n for r in rows) == sum(want.values())
+    only = docs.where("doc_id = 0")  # no target in the second round
+    assert lm.fit(only)[1].flat.any()
