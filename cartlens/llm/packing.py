@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import staged
 
 #: Length buckets, tokens of a batch, and the step lengths are rounded up to
-#: before the dynamic program sees them (padding to a step is hardware padding).
-BUCKETS, TOKEN_BUDGET, STEP = 16, 65_536, 8
+#: before the dynamic program sees them (1: exact lengths; hardware may want more).
+BUCKETS, TOKEN_BUDGET, STEP = 16, 65_536, 1
 #: Rows of a bucket that one task numbers, about.
 CELL_ROWS = 20_000
 

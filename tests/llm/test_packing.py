@@ -44,3 +44,12 @@ def test_word_lengths(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.length for r in pk.word_lengths(docs).collect()} == {
         i: len((t or "").split()) for i, t in enumerate(texts)}
+
+
+def test_padding_is_the_least_over_exact_lengths(spark):
+    nine = spark.createDataFrame([(k, 9) for k in range(50)], "doc_id long, length long")
+    assert {r.bucket_length for r in pk.pack(nine).collect()} == {9}
+    hist = {9: 40, 11: 3, 13: 20, 17: 5, 30: 2, 31: 9}
+    rows = [(k, n) for k, n in enumerate(n for n, times in hist.items() for _ in range(times))]
+    got = pk.pack(spark.createDataFrame(rows, "doc_id long, length long"), n_buckets=3).collect()
+    assert sum(r.bucket_length - r.length for r in got) == plain_cost(list(hist), list(hist.values()), 3)
