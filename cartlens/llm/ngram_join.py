@@ -2,10 +2,11 @@
 
 Documents with the same shingle set are one *set*; a set has one label per tree,
 ``DEPTH`` min-hashes of two bytes. All labels of a tree, sorted, are its prefix
-trie: sets that share a prefix are neighbours in that order. Matched prefixes
-are shortened from ``DEPTH`` until the recall at the threshold, 1 - (1 - s^t)^trees,
-reaches the target; sets next to each other that share that much are joined,
-and connected runs over all trees are the candidate groups. The order is cut by
+trie: sets that share a prefix are neighbours in that order. The matched depth t
+is the same for every set, fixed in advance: the longest of at most ``DEPTH`` at
+which the recall at the threshold, 1 - (1 - s^t)^trees, reaches the target; sets
+next to each other that share that much are joined, and connected runs over all
+trees are the candidate groups. The order is cut by
 range partitions of equal size, so no bucket, however full, lies in one task.
 
 Groups are verified exactly, every pair once: big groups are cut into cells by
