@@ -15,6 +15,7 @@ from .packing import pack, word_lengths
 from .sharding import shard_documents
 from .token_tree import EDITS, apply_edits, build_trees
 from .url_filter import fit_url_model, judge_urls, labelled_urls
+from .vector_codes import ENTRIES, PARTS, ROUNDS, compress
 
 #: The rules of the URL query and its shard count.
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
@@ -101,14 +102,61 @@ def op10_ngram_join(spark, sf_dir):
     return jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "kept")
 
 
+def op13_vector_codes(spark, sf_dir):
+    return compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def _vector_codes_sql() -> str:
+    """Lloyd rounds written out: the assignment of every part, then the floor means."""
+    steps = []
+    for r in range(ROUNDS + 1):
+        steps.append(f"""
+            a{r} AS MATERIALIZED (
+              SELECT p.vec_id, p.pos, arg_min(c.entry, (d2(p.x, c.x), c.entry)) AS entry, min(d2(p.x, c.x)) AS d
+              FROM parts p JOIN c{r} c USING (pos) GROUP BY p.vec_id, p.pos)""")
+        if r < ROUNDS:
+            steps.append(f"""
+            u{r} AS (
+              SELECT pos, entry, list(CAST(floor_div(s, n) AS BIGINT) ORDER BY i) AS x FROM (
+                SELECT a.pos, a.entry, t.i, sum(p.x[t.i]) AS s, count(*) AS n
+                FROM a{r} a JOIN parts p USING (vec_id, pos), unnest(range(1, len(p.x) + 1)) AS t(i)
+                GROUP BY a.pos, a.entry, t.i) GROUP BY pos, entry),
+            c{r + 1} AS MATERIALIZED (
+              SELECT c.pos, c.entry, coalesce(u.x, c.x) AS x FROM c{r} c LEFT JOIN u{r} u USING (pos, entry))""")
+    body = ",".join(steps).replace("d2(p.x, c.x)", "list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(p.x, c.x)])")
+    body = body.replace("floor_div(s, n)", "((s - (((s % n) + n) % n)) // n)")
+    return f"""
+        WITH good AS MATERIALIZED (
+              SELECT vec_id, label, [CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT) FOR x IN embedding] AS v
+              FROM embeddings
+              WHERE embedding IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])),
+            parts AS MATERIALIZED (
+              SELECT vec_id, pos, v[pos * (len(v) // {PARTS}) + 1:(pos + 1) * (len(v) // {PARTS})] AS x
+              FROM good, unnest(range({PARTS})) AS t(pos)),
+            c0 AS MATERIALIZED (
+              SELECT pos, row_number() OVER (PARTITION BY pos ORDER BY vec_id) - 1 AS entry, x FROM parts
+              QUALIFY row_number() OVER (PARTITION BY pos ORDER BY vec_id) <= {ENTRIES}),{body},
+            codes AS MATERIALIZED (
+              SELECT vec_id, string_agg(lower(printf('%02x', entry)), '' ORDER BY pos) AS code,
+                     CAST(sum(d) AS BIGINT) AS error
+              FROM a{ROUNDS} GROUP BY vec_id),
+            book AS (SELECT string_agg(CAST(x[i] AS VARCHAR), ',' ORDER BY pos, entry, i) AS all_x
+                     FROM c{ROUNDS}, unnest(range(1, len(x) + 1)) AS t(i))
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(all_x) FROM book) AS codebooks_sha256
+        FROM codes JOIN good USING (vec_id)
+    """
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_url_filter, op2_exact_dedup, op3_token_counts, op4_sharding, op5_embedding_join, op6_toxicity,
-        op7_lm_scoring, op8_byte_bpe, op9_packing, op10_ngram_join)}
+        op7_lm_scoring, op8_byte_bpe, op9_packing, op10_ngram_join, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op13_vector_codes": _vector_codes_sql(),
         "op2_exact_dedup": """
             WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
                  g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
