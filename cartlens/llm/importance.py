@@ -52,16 +52,14 @@ def spans(line: str, pattern) -> list[str]:
 
 
 def _windows(line: str, n: int):
-    """Cuts of ``line`` of about CHUNK characters, each with the n - 1 words before it,
+    """Cuts of ``line`` of about CHUNK characters, each with the n - 1 words after it,
     so that every run of n words lies in exactly one of them."""
     start = 0
-    while len(line) - start > CHUNK:
-        end = line.find(" ", start + CHUNK)
-        if end < 0:
-            break
-        yield line[start:end]
-        for _ in range(n - 1):  # back over n - 1 words
-            end = line.rfind(" ", start, end)
+    while (end := line.find(" ", start + CHUNK)) >= 0:
+        after = end
+        for _ in range(n - 1):
+            after = line.find(" ", after + 1) if after >= 0 else after
+        yield line[start:after] if after >= 0 else line[start:]
         start = end + 1
     yield line[start:]
 

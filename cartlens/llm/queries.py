@@ -10,6 +10,7 @@ from .bpe import round_trip_digests
 from .common import staged, table, text_or_empty
 from .embedding_join import cosine_join
 from .exact_dedup import exact_dedup
+from .importance import resample
 from .ngram_join import jaccard_join
 from .packing import pack, word_lengths
 from .sharding import shard_documents
@@ -102,6 +103,10 @@ def op10_ngram_join(spark, sf_dir):
     return jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "kept")
 
 
+def op11_importance_resampling(spark, sf_dir):
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_vector_codes(spark, sf_dir):
     return compress(table(spark, sf_dir, "embeddings")).drop("label")
 
@@ -151,11 +156,50 @@ def _vector_codes_sql() -> str:
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_url_filter, op2_exact_dedup, op3_token_counts, op4_sharding, op5_embedding_join, op6_toxicity,
-        op7_lm_scoring, op8_byte_bpe, op9_packing, op10_ngram_join, op13_vector_codes)}
+        op7_lm_scoring, op8_byte_bpe, op9_packing, op10_ngram_join, op11_importance_resampling,
+        op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_importance_resampling": r"""
+            WITH steps AS (
+                   SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+                                         CAST(i AS BIGINT)) AS c
+                   FROM range(256) AS t(i)),
+                 crc AS (SELECT list(c ORDER BY i) AS tbl FROM steps),
+                 w AS MATERIALIZED (
+                   SELECT 0 AS kind, doc_id, regexp_extract_all(
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+                   UNION ALL
+                   SELECT 1, item_id, regexp_extract_all(
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+                 f AS MATERIALIZED (SELECT kind, doc_id, unnest(words) AS word FROM w),
+                 b AS MATERIALIZED (
+                   SELECT word, xor(list_reduce(
+                     [CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT) FOR i IN range(len(h) // 2)],
+                     lambda c, x: xor(c >> 8, tbl[(xor(c, x) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket
+                   FROM (SELECT DISTINCT word, hex(encode(word)) AS h FROM f), crc),
+                 n AS (SELECT bucket, count(*) FILTER (kind = 0) AS s, count(*) FILTER (kind = 1) AS t
+                       FROM f JOIN b USING (word) GROUP BY bucket),
+                 every AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM n),
+                 g AS (SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(s_all + 10000 AS DOUBLE)
+                                / (CAST(s + 1 AS DOUBLE) * CAST(t_all + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+                       FROM n, every),
+                 d AS (SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight
+                       FROM f JOIN b USING (word) JOIN g USING (bucket) WHERE kind = 0 GROUP BY doc_id),
+                 scored AS MATERIALIZED (
+                   SELECT w.doc_id, len(words) AS n_features, coalesce(d.weight, 0) AS weight,
+                          coalesce(d.weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || w.doc_id), 1, 8)
+                            AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+                   FROM w LEFT JOIN d USING (doc_id) WHERE kind = 0),
+                 able AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+                          FROM scored WHERE n_features >= 20)
+            SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+            FROM scored LEFT JOIN able USING (doc_id)
+        """,
         "op13_vector_codes": _vector_codes_sql(),
         "op2_exact_dedup": """
             WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
