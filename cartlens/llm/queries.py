@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import pseudo_lm, toxicity
+from . import pseudo_lm, quality, toxicity
 from .bpe import round_trip_digests
 from .common import staged, table, text_or_empty
 from .embedding_join import cosine_join
@@ -107,6 +107,12 @@ def op11_importance_resampling(spark, sf_dir):
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_quality_classifier(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = quality.classify(docs, labels.where(~quality.held_out()))
+    return found.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
 def op13_vector_codes(spark, sf_dir):
     return compress(table(spark, sf_dir, "embeddings")).drop("label")
 
@@ -157,7 +163,7 @@ def queries() -> dict:
     return {f.__name__: f for f in (
         op1_url_filter, op2_exact_dedup, op3_token_counts, op4_sharding, op5_embedding_join, op6_toxicity,
         op7_lm_scoring, op8_byte_bpe, op9_packing, op10_ngram_join, op11_importance_resampling,
-        op13_vector_codes)}
+        op12_quality_classifier, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
