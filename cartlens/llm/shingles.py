@@ -47,14 +47,15 @@ def tables() -> _Tables:
     return sys.__dict__["_llm_shingle_tables"]
 
 
-def word_hashes(text: str) -> np.ndarray:
+def word_hashes(text: str, stem: int = 0):
     """One hash per word: a maximal run of letters, digits and non-ASCII
-    characters of the lower-cased text."""
+    characters of the lower-cased text. With ``stem`` also, as a second array,
+    one of the first ``stem`` bytes of every word with more."""
     t = tables()
     data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), dtype=np.uint8)
     edge = np.flatnonzero(np.diff(t.word[data].astype(np.int8), prepend=0, append=0))
     starts, ends = edge[::2], edge[1::2]
-    out = np.empty(len(starts), dtype=np.uint64)
+    out, stems = np.empty(len(starts), dtype=np.uint64), []
     first = 0
     while first < len(starts):
         after = max(first + 1, int(np.searchsorted(ends, starts[first] + CHUNK)))
@@ -65,8 +66,13 @@ def word_hashes(text: str) -> np.ndarray:
         np.cumsum(t.value[data[lo:hi]] * t.power[:hi - lo], out=sums[1:])
         s, e = starts[first:after] - lo, ends[first:after] - lo
         out[first:after] = (sums[e] - sums[s]) * t.inverse[s]
+        if stem:
+            s = s[e - s > stem]
+            stems.append((sums[s + stem] - sums[s]) * t.inverse[s])
         first = after
-    return mix(out)
+    if not stem:
+        return mix(out)
+    return mix(out), mix(mix(np.concatenate(stems or [out])) + np.uint64(1))
 
 
 def shingle_set(text: str | None) -> np.ndarray:

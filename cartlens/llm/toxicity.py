@@ -2,48 +2,54 @@
 
 A bounded sample of labelled documents becomes TF-IDF vectors over all its terms;
 document frequencies come from all documents, and a term weighs more the more its
-presence goes with the label (phi coefficient on that sample). The vectors are
-kept as an inverted index cut into blocks of examples: per term and block a
-segment of postings and their maximum. A document finds its exact k nearest
-examples by cosine: the blocks of the greatest upper bounds are compared first,
-and then only those whose bound reaches the k-th similarity. Votes weighted by similarity, put through a logistic curve
-fitted on the examples' leave-one-out votes, are the score.
+presence goes with the label (phi coefficient on that sample). A term is known by a
+64-bit hash. The vectors are kept as an inverted index cut into small blocks of
+examples that are alike: rare terms as postings, the most frequent terms as one
+matrix per block with the greatest weight of each term in it.
+
+Documents are searched in batches. The rare terms, whose weights are the greatest,
+come first; the block maxima of the others then bound what an example of a block
+can reach. The blocks of the greatest bounds are opened, and after them only those
+whose bound reaches the k-th similarity found. The candidates' cosines are taken
+once more in double precision. Votes weighted by similarity, put through a logistic
+curve, are the score; the curve is fitted on a fifth of the examples with an index
+that has seen neither their texts nor their labels.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from . import shingles
 from .common import batch_rows, map_texts, staged
 
-#: Labelled documents an index holds at most (those with the smallest hashes);
-#: the weight of a term that says nothing about the label.
-MAX_EXAMPLES, FLOOR = 8192, 0.02
-#: A word longer than this also counts as its stem: so many letters and a mark.
+#: Labelled documents an index holds at most (those with the smallest hashes), and
+#: terms of theirs together; the weight of a term that says nothing about the label.
+MAX_EXAMPLES, MAX_POSTINGS, FLOOR = 8192, 8_000_000, 0.02
+#: A word of more bytes also counts as its stem, so many bytes.
 STEM = 6
-#: Examples of a block, blocks compared first, neighbours that vote, neighbours
-#: given as evidence.
-BLOCK, FIRST, NEIGHBOURS, EVIDENCE = 1024, 2, 16, 3
+#: Examples of a block, terms kept as matrices at most, blocks opened first, documents
+#: searched at a time, neighbours that vote, neighbours given as evidence.
+BLOCK, DENSE, FIRST, BATCH, NEIGHBOURS, EVIDENCE = 64, 1024, 2, 64, 16, 3
+#: More than the rounding error of a similarity in single precision.
+SLACK = 1e-5
 
-WORD = re.compile(r"\w+")
+
+def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(terms, counts): each distinct word and each distinct stem of a longer word, as
+    sorted 64-bit hashes, and how often it occurs."""
+    return np.unique(np.concatenate(shingles.word_hashes(text or "", STEM)), return_counts=True)
 
 
 def terms_of(text: str | None) -> Counter:
-    """How often each word and each stem of a longer word occurs."""
-    counts = Counter(WORD.findall((text or "").lower()))
-    stems = Counter()
-    for word, n in counts.items():
-        if len(word) > STEM:
-            stems[word[:STEM] + "~"] += n
-    counts.update(stems)
-    return counts
+    """``term_counts`` as {term: count}."""
+    return Counter(dict(zip(*(x.tolist() for x in term_counts(text)))))
 
 
 class Neighbour(NamedTuple):
@@ -60,100 +66,127 @@ def spans(start: np.ndarray, end: np.ndarray) -> np.ndarray:
 class Index:
     """Block-max inverted index of the examples' unit vectors.
 
-    Term t has the segments ``cut[t]`` to ``cut[t + 1]``, one per block that holds
-    it: ``block``, ``top`` (its greatest weight there) and the postings from
-    ``first[segment]`` to ``first[segment + 1]``, each a ``place`` and a ``weight``.
+    Example e has the terms ``term[first[e]:first[e + 1]]`` with their ``weight``.
+    Everything else that a search reads is made from that once per process.
     """
 
-    def __init__(self, ids, labels, vectors, idf: np.ndarray, terms: list[str]):
-        """``vectors``: per example {term: weight} or arrays (terms, weights);
-        ``idf``: what a term's count is multiplied by."""
-        self.terms = {t: i for i, t in enumerate(terms)}
-        self.idf = idf
-        pairs = [v if isinstance(v, tuple) else (np.array(list(v), dtype=np.int64), np.array(list(v.values()), dtype=float))
-                 for v in vectors]
-        # examples with the same strongest term lie together: tight block maxima
-        order = sorted(range(len(ids)), key=lambda e: (
-            int(pairs[e][0][pairs[e][1] == pairs[e][1].max()].max()) if len(pairs[e][0]) else -1, ids[e]))
+    def __init__(self, ids, labels, vectors, idf: np.ndarray, terms, ties=None):
+        """``terms``: sorted; ``vectors``: per example arrays (term numbers, weights);
+        ``idf``: what a term's count is multiplied by; ``ties``: per example the number
+        by which equal similarities are ordered (its id if not given)."""
+        self.terms, self.idf = np.asarray(terms, dtype=np.uint64), np.asarray(idf, dtype=float)
+        strong = [tuple(t[np.argsort(-w, kind="stable")[:3]].tolist()) for t, w in vectors]
+        # examples with the same label and strongest terms lie together: tight block maxima
+        order = sorted(range(len(ids)), key=lambda e: (labels[e], strong[e], ids[e]))
         self.ids = np.array([ids[e] for e in order], dtype=np.int64)
         self.labels = np.array([labels[e] for e in order], dtype=np.float64)
-        none = [np.zeros(0, dtype=np.int64)]
-        term = np.concatenate(none + [pairs[e][0] for e in order])
-        self.place = np.repeat(np.arange(len(order)), [len(pairs[e][0]) for e in order])
-        self.weight = np.concatenate([np.zeros(0)] + [pairs[e][1] for e in order])
-        by = np.argsort(term, kind="stable")
-        term, self.place, self.weight = term[by], self.place[by], self.weight[by]
-        self.n_blocks = max(1, -(-len(order) // BLOCK))
-        segment = term * self.n_blocks + self.place // BLOCK
-        self.first = np.flatnonzero(np.diff(segment, prepend=-1))
-        self.block = (self.place[self.first] // BLOCK).astype(np.int32)
-        self.top = np.maximum.reduceat(self.weight, self.first) if len(self.first) else np.zeros(0)
-        self.cut = np.searchsorted(term[self.first], np.arange(len(terms) + 1))
-        self.first = np.append(self.first, len(term))
+        ties = self.ids if ties is None else np.array([ties[e] for e in order])
+        self.rank = np.empty(len(order), dtype=np.int64)
+        self.rank[np.lexsort((self.ids, ties))] = np.arange(len(order))
+        self.first = np.concatenate([[0], np.cumsum([len(vectors[e][0]) for e in order])]).astype(np.int64)
+        self.term = np.concatenate([np.zeros(0, np.int32)] + [vectors[e][0] for e in order]).astype(np.int32)
+        self.weight = np.concatenate([np.zeros(0)] + [vectors[e][1] for e in order])
         self.curve, self.none = (0.0, 0.0), 0.0  # set by calibrate
+        self.opened = self.blocks = 0
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "made"}
+
+    def _make(self) -> None:
+        """Blocks, matrices of the frequent terms and postings of the others."""
+        if "made" in self.__dict__:
+            return
+        n = len(self.ids)
+        self.n_blocks = max(1, -(-n // BLOCK))
+        df = np.bincount(self.term, minlength=len(self.terms))
+        often = np.argsort(-df, kind="stable")[:DENSE]
+        often = often[df[often] > max(n // 64, 1)]
+        self.column = np.full(len(self.terms), -1, dtype=np.int64)
+        self.column[often] = np.arange(len(often))
+        place = np.repeat(np.arange(n), np.diff(self.first))
+        column = self.column[self.term]
+        dense = column >= 0
+        tiles = np.zeros((self.n_blocks, len(often), BLOCK), dtype=np.float32)
+        tiles[place[dense] // BLOCK, column[dense], place[dense] % BLOCK] = self.weight[dense]
+        self.tiles, self.tops = tiles, np.ascontiguousarray(tiles.max(2, initial=0).T)
+        rare, at = self.term[~dense], place[~dense]
+        by = np.argsort(rare, kind="stable")
+        self.place, self.impact = at[by].astype(np.int32), self.weight[~dense][by]
+        self.cut = np.searchsorted(rare[by], np.arange(len(self.terms) + 1))
+        self.scratch = np.zeros(len(self.terms))
+        self.made = True
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(term numbers, weights) of the unit TF-IDF vector; empty if no term occurs."""
-        counts = terms_of(text)
-        return self.weigh({t: counts[t] for t in counts.keys() & self.terms.keys()})
-
-    def weigh(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-        t = np.fromiter(map(self.terms.__getitem__, counts), np.int64, len(counts))
-        n = np.fromiter(counts.values(), np.float64, len(counts))
-        by = np.argsort(t)
-        return t[by], unit((1 + np.log(n[by])) * self.idf[t[by]])
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS,
-                without: int = -1) -> list[Neighbour]:
-        """The exact k examples of greatest positive cosine, ties by smaller id.
-        ``without``: the place of an example to leave out."""
-        if not len(terms):
+        return self.weigh(*term_counts(text))
+
+    def weigh(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        t, n = known(self.terms, terms, counts)
+        return t, unit((1 + np.log(n)) * self.idf[t])
+
+    def search(self, queries: list, k: int = NEIGHBOURS) -> list[list[Neighbour]]:
+        """For each (term numbers, weights) the exact k examples of greatest positive
+        cosine, ties by the examples' own order."""
+        self._make()
+        size, n = len(queries), self.n_blocks * BLOCK
+        often, rare = np.zeros((size, self.tiles.shape[1]), dtype=np.float32), np.zeros((size, n), dtype=np.float32)
+        for i, (t, w) in enumerate(queries):
+            c = self.column[t]
+            often[i, c[c >= 0]] = w[c >= 0]
+            t, w = t[c < 0], w[c < 0]
+            posting = spans(self.cut[t], self.cut[t + 1])
+            rare[i] = np.bincount(self.place[posting], np.repeat(w, self.cut[t + 1] - self.cut[t]) * self.impact[posting], n)
+        bound = often @ self.tops + rare.reshape(size, self.n_blocks, BLOCK).max(2)
+        similarity = np.zeros((size, n), dtype=np.float32)
+        greatest = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST]
+        done = np.zeros(bound.shape, dtype=bool)
+        np.put_along_axis(done, greatest, True, axis=1)
+        floor = np.zeros(size, dtype=np.float32)
+        for open_ in (done & (bound > 0), ~done):
+            open_ = open_ & (bound > 0) & (bound >= floor[:, None] - SLACK)
+            for b in np.flatnonzero(open_.any(0)).tolist():
+                some, here = np.flatnonzero(open_[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+                if 2 * len(some) > size:  # cheaper for the whole batch than to gather rows
+                    np.add(rare[:, here], often @ self.tiles[b], out=similarity[:, here])
+                else:
+                    similarity[some, here] = rare[some, here] + often[some] @ self.tiles[b]
+            self.opened += int(open_.sum())
+            floor = np.partition(similarity, max(n - k, 0), axis=1)[:, max(n - k, 0)]
+        self.blocks += bound.size
+        return [self._exact(t, w, np.flatnonzero((s > 0) & (s >= f - SLACK)), k)
+                for (t, w), s, f in zip(queries, similarity, floor)]
+
+    def _exact(self, terms, weights, examples, k: int) -> list[Neighbour]:
+        """The best k of ``examples`` by their cosines in double precision."""
+        if not len(examples):
             return []
-        segments = spans(self.cut[terms], self.cut[terms + 1])
-        share = np.repeat(weights, self.cut[terms + 1] - self.cut[terms])
-        block = self.block[segments]
-        bound = np.bincount(block, share * self.top[segments], self.n_blocks)
-        visit = np.argsort(-bound, kind="stable")
-        visit = visit[bound[visit] > 0]
-        best: list[tuple[float, int, int]] = []  # (-similarity, id, place)
-        for blocks in (visit[:FIRST], visit[FIRST:]):
-            floor = -best[-1][0] - 1e-12 if len(best) == k else 0.0
-            open_ = np.zeros(self.n_blocks, dtype=bool)
-            open_[blocks[bound[blocks] >= floor]] = True
-            use = open_[block]
-            start, end = self.first[segments[use]], self.first[segments[use] + 1]
-            # segments that lie side by side are one slice
-            new = np.append(True, start[1:] != end[:-1]) if len(start) else use[:0]
-            slices = list(map(slice, start[new].tolist(), end[np.append(new[1:], True)].tolist() if len(new) else []))
-            if not slices:
-                continue
-            product = np.concatenate([self.weight[x] for x in slices])
-            product *= np.repeat(share[use], end - start)
-            similarity = np.bincount(np.concatenate([self.place[x] for x in slices]), product, len(self.ids))
-            if without >= 0:
-                similarity[without] = 0
-            found = np.flatnonzero((similarity > 0) & (similarity >= floor))
-            if len(found) > k:  # all that tie with the k-th stay
-                found = found[similarity[found] >= np.partition(similarity[found], -k)[-k] - 1e-12]
-            best = sorted(best + [(-round(float(similarity[p]), 12), int(self.ids[p]), p) for p in found.tolist()])[:k]
-        return [Neighbour(-s, place) for s, _, place in best]
+        self.scratch[terms] = weights
+        at = spans(self.first[examples], self.first[examples + 1])
+        product = self.scratch[self.term[at]] * self.weight[at]
+        self.scratch[terms] = 0
+        size = self.first[examples + 1] - self.first[examples]
+        cosine = np.add.reduceat(product, np.cumsum(size) - size).round(12)
+        best = np.lexsort((self.rank[examples], -cosine))[:k]
+        return [Neighbour(float(cosine[i]), int(examples[i])) for i in best if cosine[i] > 0]
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> list[Neighbour]:
+        return self.search([(terms, weights)], k)[0]
+
+    def neighbours(self, texts: list) -> list[list[Neighbour]]:
+        """The neighbours of each text, searched BATCH at a time."""
+        return [near for start in range(0, len(texts), BATCH)
+                for near in self.search([self.vector(text) for text in texts[start:start + BATCH]])]
 
     def vote(self, near: list[Neighbour]) -> float:
         total = sum(x.similarity for x in near)
         return sum(x.similarity * self.labels[x.example] for x in near) / total
 
-    def calibrate(self, vectors) -> None:
-        """Fit the curve on leave-one-out votes; ``vectors`` in index order."""
-        votes, labels, blind = [], [], []
-        for place, (t, w) in enumerate(vectors):
-            near = self.nearest(t, w, without=place)
-            if near:
-                votes.append(self.vote(near))
-                labels.append(self.labels[place])
-            else:
-                blind.append(self.labels[place])
+    def calibrate(self, votes: list, labels: list) -> None:
+        """Fit the curve on the votes (None without a neighbour) of examples with these labels."""
+        blind = [y for v, y in zip(votes, labels) if v is None]
+        seen = [(v, y) for v, y in zip(votes, labels) if v is not None]
         self.none = float(sum(blind)) / (len(blind) + 1)  # without evidence rather not
-        self.curve = logistic_fit(np.array(votes), np.array(labels))
+        self.curve = logistic_fit(np.array([v for v, _ in seen]), np.array([y for _, y in seen], dtype=float))
 
     def score(self, near: list[Neighbour]) -> float:
         if not near:
@@ -166,57 +199,75 @@ def unit(w: np.ndarray) -> np.ndarray:
     return w / math.sqrt(float(w @ w)) if len(w) else w
 
 
+def known(table: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the sorted ``table``, count) of those ``terms`` that it holds."""
+    if not len(table):
+        return np.zeros(0, np.int64), counts[:0]
+    at = np.minimum(np.searchsorted(table, terms), len(table) - 1)
+    found = table[at] == terms
+    return at[found], counts[found]
+
+
 def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
     """(a, b) of sigmoid(a (x - 0.5) + b) by Newton steps with a small ridge
-    (towards a = 8, b = 0, which keeps the vote's order where data are few)."""
+    (towards a = 8, b = 0, which keeps the vote's order where data are few); a
+    step is halved until the loss falls."""
+    def loss(a, b):
+        z = a * (x - 0.5) + b
+        return float(np.sum(np.logaddexp(0, z) - y * z)) + ridge / 2 * ((a - 8) ** 2 + b * b)
+
     a, b = 8.0, 0.0
     for _ in range(50 if len(x) else 0):
-        z = np.clip(a * (x - 0.5) + b, -35, 35)
-        p = 1 / (1 + np.exp(-z))
+        p = 1 / (1 + np.exp(-np.clip(a * (x - 0.5) + b, -500, 500)))
         g = np.array([(p - y) @ (x - 0.5) + ridge * (a - 8), (p - y).sum() + ridge * b])
         s = p * (1 - p)
         h = np.array([[s @ (x - 0.5) ** 2 + ridge, s @ (x - 0.5)], [s @ (x - 0.5), s.sum() + ridge]])
-        step = np.linalg.solve(h, g)
+        step, before = np.linalg.solve(h, g), loss(a, b)
+        while loss(a - step[0], b - step[1]) > before and abs(step).max() > 1e-12:
+            step /= 2
         a, b = a - step[0], b - step[1]
         if abs(step).max() < 1e-9:
             break
     return float(a), float(b)
 
 
-def _term_counts(rows: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (doc_id, terms, tf): the terms with blanks between them
-    (none holds one) and their 32-bit counts."""
+def _example_terms(rows: DataFrame) -> DataFrame:
+    """(doc_id, label, tie, text) -> (doc_id, label, tie, size, terms, tf): the terms'
+    hashes and their 32-bit counts."""
+    keep = ["doc_id", "label", "tie"]
 
     def run(batches):
         for part in batch_rows(batches):
-            counts = [terms_of(text) for text in part.column("text").to_pylist()]
+            found = [term_counts(text) for text in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([" ".join(c) for c in counts], pa.string()),
-                 pa.array([np.array(list(c.values()), dtype="<i4").tobytes() for c in counts], pa.binary())],
-                ["doc_id", "terms", "tf"])
+                [*(part.column(c) for c in keep), pa.array([len(t) for t, _ in found], pa.int64()),
+                 pa.array([t.tobytes() for t, _ in found], pa.binary()),
+                 pa.array([n.astype("<i4").tobytes() for _, n in found], pa.binary())], [*keep, "size", "terms", "tf"])
 
-    return map_texts(rows.select("doc_id", "text"), run, "doc_id long, terms string, tf binary")
+    return map_texts(rows.select(*keep, "text"), run, "doc_id long, label int, tie long, size long, terms binary, tf binary")
 
 
-def document_frequencies(docs: DataFrame, terms: list[str], text_col: str = "text") -> tuple[int, dict[str, int]]:
-    """(documents, {term: documents that hold it}) over all of ``docs``; one
-    partial row per term and slice, summed by Spark."""
-    sent = docs.sparkSession.sparkContext.broadcast(frozenset(terms))  # terms of max_examples documents
+def document_frequencies(docs: DataFrame, terms: np.ndarray, text_col: str = "text") -> tuple[int, np.ndarray]:
+    """(documents, documents that hold each of the sorted ``terms``) over all of
+    ``docs``; one partial row per term and slice, summed by Spark."""
+    sent = docs.sparkSession.sparkContext.broadcast(terms)  # at most max_postings numbers
+    size = len(terms)
 
     def run(batches):
-        wanted, seen, n = sent.value, Counter(), 0
+        seen = np.zeros(size + 1, dtype=np.int64)
         for part in batch_rows(batches):
             for text in part.column("text").to_pylist():
-                seen.update(wanted.intersection(terms_of(text)))
-                n += 1
-        seen[None] = n
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
-                                         ["term", "df"])
+                t, n = term_counts(text)
+                seen[known(sent.value, t, n)[0]] += 1
+                seen[size] += 1
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], ["term", "df"])
 
-    counts = (map_texts(docs.select(F.col(text_col).cast("string").alias("text")), run, "term string, df long")
+    counts = (map_texts(docs.select(F.col(text_col).cast("string").alias("text")), run, "term int, df long")
               .groupBy("term").agg(F.sum("df").alias("df")).toArrow())
-    found = dict(zip(counts["term"].to_pylist(), counts["df"].to_pylist()))
-    return found.pop(None, 0), found
+    total = np.zeros(size + 1, dtype=np.int64)
+    total[counts["term"].to_numpy()] = counts["df"].to_numpy()
+    return int(total[size]), total[:size]
 
 
 def association(term: np.ndarray, label: np.ndarray, pos: int, neg: int, size: int) -> np.ndarray:
@@ -225,59 +276,94 @@ def association(term: np.ndarray, label: np.ndarray, pos: int, neg: int, size: i
     n = np.bincount(term, minlength=size).astype(float)
     a = np.bincount(term, weights=label, minlength=size)
     return (np.abs(a * (neg - (n - a)) - (n - a) * (pos - a))
-            / np.sqrt(float(pos) * neg * n * np.maximum(pos + neg - n, 1.0)))
+            / np.sqrt(float(pos) * neg * np.maximum(n, 1.0) * np.maximum(pos + neg - n, 1.0)))
+
+
+class _Examples(NamedTuple):
+    ids: list
+    labels: np.ndarray
+    ties: list
+    terms: list   # per example: hashes
+    counts: list  # per example: how often
+
+    def of(self, use: np.ndarray) -> "_Examples":
+        at = np.flatnonzero(use).tolist()
+        return _Examples([self.ids[e] for e in at], self.labels[use], *([x[e] for e in at] for x in self[2:]))
+
+
+def build(examples: _Examples, table: np.ndarray, n: int, df: np.ndarray) -> Index:
+    """The index of these examples: weights from their labels and the frequencies ``df``
+    of the terms ``table`` in ``n`` documents. Without both classes it is empty."""
+    pos = int(examples.labels.sum())
+    neg = len(examples.ids) - pos
+    if not pos or not neg:
+        none = (np.zeros(0, np.int64), np.zeros(0))
+        return Index(examples.ids, examples.labels, [none] * len(examples.ids), np.zeros(0), np.zeros(0, np.uint64), examples.ties)
+    terms = np.unique(np.concatenate(examples.terms))
+    term = np.searchsorted(terms, np.concatenate(examples.terms))
+    example = np.repeat(np.arange(len(examples.ids)), [len(t) for t in examples.terms])
+    weight = FLOOR + association(term, examples.labels[example], pos, neg, len(terms))
+    idf = (np.log((1 + n) / (1 + df[np.searchsorted(table, terms)])) + 1) * weight
+    w = (1 + np.log(np.concatenate(examples.counts))) * idf[term]
+    cut = np.searchsorted(example, np.arange(len(examples.ids) + 1))
+    vectors = [(term[a:b], unit(w[a:b])) for a, b in zip(cut[:-1], cut[1:])]
+    return Index(examples.ids, examples.labels, vectors, idf, terms, examples.ties)
+
+
+def votes_of(index: Index, rows: DataFrame) -> DataFrame:
+    """(label, vote) of written example rows; null without a neighbour."""
+    sent = index_broadcast(rows, index)
+
+    def run(batches):
+        index = sent.value
+        for part in batch_rows(batches, BATCH):
+            pairs = zip(part.column("terms").to_pylist(), part.column("tf").to_pylist())
+            near = index.search([index.weigh(np.frombuffer(t, "<u8"), np.frombuffer(n, "<i4")) for t, n in pairs])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("label"), pa.array([index.vote(x) if x else None for x in near], pa.float64())], ["label", "vote"])
+
+    return rows.select("label", "terms", "tf").mapInArrow(run, "label int, vote double")
+
+
+def index_broadcast(rows: DataFrame, index: Index):
+    """Broadcast an index, whose size is checked: at most MAX_POSTINGS terms of examples."""
+    if len(index.term) > MAX_POSTINGS:
+        raise ValueError(f"an index of {len(index.term)} terms of examples, more than {MAX_POSTINGS}")
+    return rows.sparkSession.sparkContext.broadcast(index)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", max_examples: int = MAX_EXAMPLES) -> Index:
+        label_col: str = "toxic", max_examples: int = MAX_EXAMPLES, max_postings: int = MAX_POSTINGS) -> Index:
     """The index of at most ``max_examples`` labelled documents (smallest id
-    hashes). Null ids and labels are no examples; an id labelled twice counts
-    once, with its greatest label; without both classes every score is the same."""
-    known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-             .groupBy(F.col(id_col).alias("__id")).agg((F.max(label_col) > 0).cast("int").alias("label"))
-             .orderBy(F.xxhash64("__id"), "__id").limit(max_examples))
-    sample = staged(known, "toxic_labels")  # at most max_examples rows of 12 bytes: broadcast below
+    hashes) with ``max_postings`` terms together. Null ids and labels are no
+    examples; an id labelled twice counts once, with its greatest label; of equal
+    texts with equal labels one (the smallest id) stays; without both classes every
+    score is the same."""
+    labelled = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+                .groupBy(F.col(id_col).alias("__id")).agg((F.max(label_col) > 0).cast("int").alias("label"))
+                .orderBy(F.xxhash64("__id"), "__id").limit(max_examples))
+    sample = staged(labelled, "toxic_labels")  # at most max_examples rows of 12 bytes: broadcast below
     rows = (docs.where(F.col(id_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .join(F.broadcast(sample), F.col("doc_id") == F.col("__id")).select("doc_id", "label", "text"))
-    # copies say nothing new about a term: one example (the smallest id) per label and exact text
     key = F.coalesce(F.sha2("text", 256), F.col("doc_id").cast("string"))
-    rows = rows.groupBy(key.alias("key"), "label").agg(F.min(F.struct("doc_id", "text")).alias("one"))
-    rows = staged(rows.select("one.doc_id", "label", "one.text"), "toxic_examples")
-    examples = sorted((r["doc_id"], r["label"]) for r in rows.select("doc_id", "label").collect())
-    ids, labels_ = [i for i, _ in examples], np.array([y for _, y in examples], dtype=float)
-    pos = int(labels_.sum())
-    neg = len(ids) - pos
-    if not pos or not neg:
-        index = Index(ids, labels_, [{}] * len(ids), np.zeros(0), [])
-        index.calibrate([index.weigh({})] * len(ids))
-        return index
-    place = {i: e for e, i in enumerate(ids)}
-    number: dict[str, int] = {}
-    codes, tfs = [None] * len(ids), [None] * len(ids)
-    # the terms of at most max_examples documents, one partition at a time
-    for r in staged(_term_counts(rows), "toxic_terms").toLocalIterator():
-        codes[place[r["doc_id"]]] = np.array([number.setdefault(t, len(number)) for t in r["terms"].split()], dtype=np.int64)
-        tfs[place[r["doc_id"]]] = np.frombuffer(r["tf"], dtype="<i4")
-    terms = sorted(number)
-    rank = np.empty(len(terms), dtype=np.int64)
-    rank[[number[t] for t in terms]] = np.arange(len(terms))
-    del number
-    example = np.repeat(np.arange(len(ids)), [len(c) for c in codes])
-    term, tf = rank[np.concatenate(codes)], np.concatenate(tfs)
-    del codes, tfs
-    n, df = document_frequencies(docs, terms, text_col)
-    weight = FLOOR + association(term, labels_[example], pos, neg, len(terms))
-    idf = np.array([math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in terms]) * weight
-    del df
-    order = np.lexsort((term, example))
-    example, term = example[order], term[order]
-    w = (1 + np.log(tf[order])) * idf[term]
-    cut = np.searchsorted(example, np.arange(len(ids) + 1))
-    vectors = [(term[a:b], unit(w[a:b])) for a, b in zip(cut[:-1], cut[1:])]
-    index = Index(ids, labels_, vectors, idf, terms)
-    by_id = dict(zip(ids, vectors))
-    index.calibrate(by_id[int(i)] for i in index.ids)
+    rows = (rows.groupBy(key.alias("key"), "label").agg(F.min(F.struct("doc_id", "text")).alias("one"))
+            .select("one.doc_id", "label", F.xxhash64("key").alias("tie"), "one.text"))
+    # at most max_examples rows: terms in tasks, then a running total over their numbers
+    terms = staged(_example_terms(rows), "toxic_terms")
+    upto = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "tie"))
+    kept = terms.select("doc_id", "tie", upto.alias("upto")).where(F.col("upto") <= max_postings).drop("upto")
+    terms = staged(terms.join(F.broadcast(kept), ["doc_id", "tie"]), "toxic_examples")
+    found = terms.toArrow()
+    examples = _Examples(found["doc_id"].to_pylist(), found["label"].to_numpy().astype(float), found["tie"].to_pylist(),
+                         [np.frombuffer(t.as_buffer(), "<u8") for t in found["terms"]],
+                         [np.frombuffer(t.as_buffer(), "<i4") for t in found["tf"]])
+    held = np.array([t % 5 == 0 for t in examples.ties], dtype=bool)
+    table = np.unique(np.concatenate([np.zeros(0, np.uint64), *examples.terms]))
+    n, df = document_frequencies(docs, table, text_col)
+    index = build(examples, table, n, df)
+    votes = votes_of(build(examples.of(~held), table, n, df), terms.where(F.pmod("tie", F.lit(5)) == 0)).toArrow()
+    index.calibrate(votes["vote"].to_pylist(), votes["label"].to_pylist())
     return index
 
 
@@ -290,19 +376,17 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
     null or repeat; other columns are not read; empty in, empty out.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the terms of max_examples documents
+    sent = index_broadcast(docs, index)
 
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("similarity", pa.float64())]))
 
     def run(batches):
         index = sent.value
         for part in batch_rows(batches):
-            scores, shown = [], []
-            for text in part.column("text").to_pylist():
-                near = index.nearest(*index.vector(text))
-                scores.append(index.score(near))
-                shown.append([{"doc_id": int(index.ids[x.example]), "label": int(index.labels[x.example]),
-                               "similarity": x.similarity} for x in near[:EVIDENCE]])
+            found = index.neighbours(part.column("text").to_pylist())
+            scores = [index.score(near) for near in found]
+            shown = [[{"doc_id": int(index.ids[x.example]), "label": int(index.labels[x.example]),
+                       "similarity": x.similarity} for x in near[:EVIDENCE]] for near in found]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(scores, pa.float64()),
                  pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(shown, kind)],
@@ -313,14 +397,16 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
 
 
 def drop_toxic(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text scores below 0.5, all columns, in one pass."""
-    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the terms of max_examples documents
+    """The rows of ``docs`` whose text scores below 0.5, all columns under any names, in
+    one pass. Null and empty texts are judged like texts without an indexed term;
+    repeated rows are judged alike; empty in, empty out."""
+    sent = index_broadcast(docs, index)
 
     def run(batches):
         index = sent.value
         for part in batch_rows(batches):
-            clean = [index.score(index.nearest(*index.vector(text))) < 0.5 for text in part.column(text_col).to_pylist()]
-            yield part.filter(pa.array(clean, pa.bool_()))
+            near = index.neighbours(part.column(text_col).to_pylist())
+            yield part.filter(pa.array([index.score(x) < 0.5 for x in near], pa.bool_()))
 
     return map_texts(docs, run, docs.schema)
 

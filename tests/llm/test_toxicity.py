@@ -16,28 +16,109 @@ SF = "/root/testdata/sf0.1"
 
 def random_index(n=700, terms=40, seed=3):
     rng = random.Random(seed)
-    names = [f"t{i}" for i in range(terms)]
+    names = list(range(terms))
     idf = np.array([rng.uniform(1, 5) for _ in names])
     weigher = tx.Index([], [], [], idf, names)
-    vectors = []
-    for _ in range(n):
-        t, w = weigher.weigh(dict(Counter(rng.choices(names, k=rng.randint(0, 6)))))
-        vectors.append(dict(zip(t.tolist(), w.tolist())))
+
+    def weigh(counts):
+        return weigher.weigh(np.array(sorted(counts), dtype=np.uint64), np.array([counts[t] for t in sorted(counts)]))
+
+    vectors = [weigh(Counter(rng.choices(names, k=rng.randint(0, 6)))) for _ in range(n)]
     labels = [rng.randint(0, 1) for _ in range(n)]
-    return tx.Index(list(range(n)), labels, vectors, idf, names), vectors, rng, names
+    return tx.Index(list(range(n)), labels, vectors, idf, names), [dict(zip(t.tolist(), w.tolist())) for t, w in vectors], rng, names, weigh
+
+
+def test_block_max_search_is_exact(monkeypatch):
+    for dense in (0, 5, 1024):  # all terms as postings, some, or all as matrices
+        monkeypatch.setattr(tx, "DENSE", dense)
+        index, vectors, rng, names, weigh = random_index()
+        queries = [weigh(Counter(rng.choices(names, k=rng.randint(0, 7)))) for _ in range(200)]
+        for (t, w), near in zip(queries, index.search(queries)):
+            q = dict(zip(t.tolist(), w.tolist()))
+            brute = sorted((-round(sum(q[i] * v.get(i, 0.0) for i in q), 12), e) for e, v in enumerate(vectors))
+            brute = [(-s, e) for s, e in brute[:tx.NEIGHBOURS] if s < 0]
+            got = [(x.similarity, int(index.ids[x.example])) for x in near]
+            assert [round(s, 9) for s, _ in got] == [round(s, 9) for s, _ in brute]
+            clear = [e for s, e in brute if abs(s - brute[-1][0]) > 1e-9]  # beyond ties with the last
+            assert {e for _, e in got} >= set(clear)
+            assert index.nearest(t, w) == near
+
+
+def topics(rng, n, labels):
+    """Texts of which one word in ten tells the topic, and 200 words occur in all of them."""
+    common = [f"common{k}" for k in range(200)]
+    return [(i, " ".join(rng.choices(common, k=36) + rng.choices([f"topic{i % 40}word{k}" for k in range(12)], k=4)), labels(i))
+            for i in range(n)]
+
+
+def indexed(rows):
+    """The index of (id, text, label) rows, all of them the corpus."""
+    found = [tx.term_counts(text) for _, text, _ in rows]
+    examples = tx._Examples([i for i, *_ in rows], np.array([y for *_, y in rows], dtype=float), [i for i, *_ in rows],
+                            [t for t, _ in found], [n for _, n in found])
+    table = np.unique(np.concatenate(examples.terms))
+    df = np.bincount(np.searchsorted(table, np.concatenate(examples.terms)), minlength=len(table))
+    return tx.build(examples, table, len(rows), df), examples, table, df
+
+
+def test_most_blocks_stay_closed_where_terms_tell_topics_apart():
+    rng = random.Random(1)
+    rows = topics(rng, 4000, lambda i: int(i % 40 < 20))
+    index, *_ = indexed(rows)
+    index.neighbours([text for _, text, _ in topics(rng, 200, lambda i: 0)])
+    assert index.opened < 0.4 * index.blocks
+
+
+def test_calibration_does_not_see_the_labels_it_predicts(spark):
+    rng = random.Random(2)
+    rows = topics(rng, 800, lambda i: int(rng.random() < 0.25))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    index = tx.fit(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    fresh = topics(rng, 300, lambda i: int(rng.random() < 0.25))
+    scores = np.array([index.score(near) for near in index.neighbours([text for _, text, _ in fresh])])
+    assert abs(scores.mean() - 0.25) < 0.1  # random labels: every score near their share
+    assert np.abs(scores - 0.25).mean() < 0.15
+
+
+def test_curve_does_not_diverge_on_noisy_votes():
+    rng = np.random.default_rng(0)
+    for n in (20, 600):
+        x, y = rng.beta(0.3, 0.3, n), (rng.random(n) < 0.2).astype(float)
+        a, b = tx.logistic_fit(x, y)
+        p = 1 / (1 + np.exp(-(a * (x - 0.5) + b)))
+        assert abs(a) < 50 and abs(b) < 50 and abs(p.mean() - y.mean()) < 0.02
+
+
+def test_ties_do_not_depend_on_ids(spark):
+    rng = random.Random(4)
+    texts = [f"{'vile' if i % 3 == 0 else 'calm'} {rng.choice('abc')}" + f" filler{i % 2}" + f" x{i}" for i in range(90)]
+
+    def scores(order):
+        docs = spark.createDataFrame(list(zip(order, texts)), "doc_id long, text string")
+        labels = spark.createDataFrame([(d, int(i % 3 == 0)) for i, d in enumerate(order)], "doc_id long, toxic int")
+        index = tx.fit(docs, labels)
+        return [index.score(near) for near in index.neighbours(texts)]
+
+    assert np.allclose(scores(list(range(90))), scores(list(range(1090, 1000, -1))))
+
+
+def test_postings_are_bounded(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(50))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    index = tx.fit(docs, labels, max_postings=500)
+    assert 0 < len(index.term) <= 500 and len(index.ids) == 10
 
 
-def test_block_max_search_is_exact():
-    index, vectors, rng, names = random_index()
-    for _ in range(200):
-        t, w = index.weigh(dict(Counter(rng.choices(names, k=rng.randint(0, 7)))))
-        q = dict(zip(t.tolist(), w.tolist()))
-        brute = sorted((-round(sum(q[i] * v.get(i, 0.0) for i in q), 12), e) for e, v in enumerate(vectors))
-        brute = [(-s, e) for s, e in brute[:tx.NEIGHBOURS] if s < 0]
-        got = [(x.similarity, int(index.ids[x.example])) for x in index.nearest(t, w)]
-        assert [round(s, 9) for s, _ in got] == [round(s, 9) for s, _ in brute]
-        clear = [e for s, e in brute if abs(s - brute[-1][0]) > 1e-9]  # beyond ties with the last
-        assert {e for _, e in got} >= set(clear)
+def test_drop_toxic_keeps_columns_nulls_and_repeats(spark):
+    rows = [(i, f"{'good calm' if i % 2 else 'vile rude'} uniqueword{i}", "a", "b") for i in range(100)]
+    rows += [(200, None, "a", "b"), (201, "", "a", "b"), (1, rows[1][1], "a", "b"), (None, "vile rude", "a", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id string, score string")
+    index = tx.fit(docs, spark.createDataFrame([(i, (i + 1) % 2) for i in range(100)], "doc_id long, toxic int"))
+    left = tx.drop_toxic(docs, index)
+    assert left.schema == docs.schema
+    assert sorted((r.doc_id for r in left.collect()), key=str) == sorted([*range(1, 100, 2), 1, 200, 201], key=str)
+    assert tx.drop_toxic(docs.where(F.lit(False)), index).collect() == []
 
 
 def test_curve_follows_the_votes():
@@ -92,7 +173,8 @@ def test_every_term_of_the_examples_is_indexed(spark):
     got = {r.doc_id: r for r in tx.score(docs, index).collect()}
     assert all(r.evidence for r in got.values())  # clean documents have neighbours too
     assert got[900].predicted == 1 and {e.doc_id for e in got[900].evidence} == {10, 20}
-    assert index.idf[index.terms["vile"]] > 5 * np.median(index.idf)
+    vile = np.searchsorted(index.terms, np.uint64(*tx.terms_of("vile")))
+    assert index.idf[vile] > 5 * np.median(index.idf)
 
 
 def test_only_exact_copies_are_dropped(spark):
