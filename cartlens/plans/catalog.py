@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators import basket, clean, reports, value, views
-from ..schemas import BEHAVIOUR_RENAME, SHOPPING
+from ..schemas import BEHAVIOUR_RENAME, BRONZE, SHOPPING
 from ..session import checkpointed, shared_path
 from ..sources.files import (fixed_decimals, read_behaviour, read_report, read_shopping, report_inventory,
                              write_report)
 from ..sources.tables import behaviour_from_tables, shopping_from_tables
-from ..streaming.ingest import landed_rejects, read_landed, run_ingest
+from ..streaming.ingest import landed_layouts, landed_rejects, read_landed, read_ledger, run_ingest
 
 SEGMENT_THRESHOLDS = dict(high_value=1_200_000.0, frequent=45, high_ticket=28_000.0)
 
@@ -175,6 +175,52 @@ def q_ingest_rejects(spark, sf):
             .agg(F.sum("lines").alias("lines"), F.sum("rejected").alias("rejected")))
 
 
+def _wide(df, width, text):
+    """The columns in reverse order behind and between foreign ones, ``width`` in all."""
+    foreign = [F.lit(text).alias(f"other{k}") for k in range(width - len(df.columns))]
+    return df.select(*foreign[:-3], *df.columns[:3:-1], *foreign[-3:], *df.columns[3::-1])
+
+
+def _wide_drops(spark, sf, name):
+    lines = shopping_from_tables(spark, sf)
+    far = F.pmod(F.coalesce(F.xxhash64("customer_id"), F.lit(0)), F.lit(2)) == 0
+    return _drain(spark, name, (_wide(lines.where(~far), 70, "x"), 0), (_wide(lines.where(far), 200, 'a, "b" c'), 0))
+
+
+def q_ingest_wide(spark, sf):
+    """The lines as files of 70 and of 200 columns, the latter with quoted commas."""
+    bronze = _wide_drops(spark, sf, "ingest_wide")
+    return _comparable(read_landed(spark, bronze, SHOPPING, source_like="part-%"), "quantity")
+
+
+def q_ingest_layouts(spark, sf):
+    """The distinct header layouts of those files."""
+    found = landed_layouts(spark, _wide_drops(spark, sf, "ingest_layouts"), SHOPPING, source_like="part-%")
+    return found.select("width", F.array_join("places", " ").alias("places"), (F.col("files") > 0).alias("seen"))
+
+
+def _empty_file(spark, path):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where).close()
+
+
+def q_ingest_ledger(spark, sf):
+    """Three drains of a file each, the second with an empty file besides: what the
+    ledger holds of each micro-batch, the lines that landed, and of how many files."""
+    base, lines = shared_path(spark, "ingest_ledger", unique=True), shopping_from_tables(spark, sf)
+    for k in range(3):
+        write_report(lines.where(F.coalesce(F.col("invoice_no").cast("long"), F.lit(0)) % 3 == k),
+                     f"{base}/spool/{k}", single_file=True)
+        if k == 1:
+            _empty_file(spark, f"{base}/spool/{k}/nothing.csv")
+        run_ingest(spark, f"{base}/spool/*", f"{base}/bronze", f"{base}/_checkpoint")
+    files = read_ledger(spark, f"{base}/bronze").groupBy(F.col("ingest_batch").alias("batch")).agg(
+        F.count("*").alias("files"))
+    landed = spark.read.schema(BRONZE).parquet(f"{base}/bronze").groupBy("ingest_batch").agg(
+        F.count("*").alias("lines"), F.count_distinct("source_file").alias("landed_files"))
+    return files.join(landed, F.col("batch") == F.col("ingest_batch")).drop("ingest_batch")
+
+
 def q_shopping_csv_reordered(spark, sf):
     """Shopping lines written in another column order, bound back by name."""
     path = shared_path(spark, "csv", "shopping_reordered", unique=True)
@@ -313,6 +359,9 @@ def queries() -> dict:
         "ingest_late_files": q_ingest_late_files,
         "ingest_reordered": q_ingest_reordered,
         "ingest_rejects": q_ingest_rejects,
+        "ingest_wide": q_ingest_wide,
+        "ingest_layouts": q_ingest_layouts,
+        "ingest_ledger": q_ingest_ledger,
         "report_roundtrip": q_report_roundtrip,
         "shopping_csv_reordered": q_shopping_csv_reordered,
         "shopping_csv": q_shopping_csv,

@@ -420,6 +420,18 @@ w AS (SELECT p, n, p * (2 * (sum(n) OVER (ORDER BY s) - n) + n) AS w FROM c)
 SELECT CAST(sum(w) AS DOUBLE) / CAST(2 * sum(p) * sum(n) AS DOUBLE) AS auc FROM w""",
         "ingest_late_files": f"WITH {SHOPPING} SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity) FROM shopping",
         "ingest_reordered": f"WITH {SHOPPING} SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity) FROM shopping",
+        "ingest_wide": f"WITH {SHOPPING} SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity) FROM shopping",
+        "ingest_layouts": f"""WITH {SHOPPING},
+cols AS (SELECT row_number() OVER () AS k FROM (DESCRIBE SELECT * FROM shopping)),
+widths AS (SELECT CASE WHEN hash_even THEN 200 ELSE 70 END AS width FROM (VALUES (true), (false)) AS t(hash_even))
+SELECT CAST(width AS INTEGER) AS width, true AS seen,
+       (SELECT string_agg(CAST(CASE WHEN k <= 4 THEN width - k + 1 ELSE width - 7 - k + 4 + 1 END AS VARCHAR), ' ' ORDER BY k)
+        FROM cols) AS places
+FROM widths""",
+        "ingest_ledger": f"""WITH {SHOPPING}
+SELECT coalesce(CAST(invoice_no AS BIGINT), 0) % 3 AS batch, CAST(1 AS BIGINT) AS files, count(*) + 1 AS lines,
+       CAST(1 AS BIGINT) AS landed_files
+FROM shopping GROUP BY 1""",
         "shopping_csv_reordered": f"WITH {SHOPPING} SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity) FROM shopping",
         "ingest_rejects": f"""WITH {SHOPPING}
 SELECT count(*) AS lines, count(*) FILTER (WHERE CAST(invoice_no AS BIGINT) % 7 = 0) AS rejected FROM shopping""",

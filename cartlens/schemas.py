@@ -37,13 +37,28 @@ BEHAVIOUR = T.StructType([
     T.StructField(BEHAVIOUR_RENAME[f.name], f.dataType, f.nullable) for f in BEHAVIOUR_RAW.fields
 ])
 
-# Bronze table written by the spool ingest: one row per landed line.
-BRONZE = T.StructType([
-    T.StructField("line", T.StringType()),
+# Files as the spool's stream sees them (their content is never read through it).
+SPOOL_FILES = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("content", T.BinaryType()),
+])
+
+# Ledger written by the spool ingest: one row per file taken.
+LEDGER = T.StructType([
     T.StructField("source_file", T.StringType()),
     T.StructField("source_name", T.StringType()),
     T.StructField("source_modified", T.TimestampType()),
     T.StructField("source_length", T.LongType()),
+    T.StructField("ingest_batch", T.LongType()),
+])
+
+# Bronze table written by the spool ingest: one row per landed line.
+BRONZE = T.StructType([
+    T.StructField("line", T.StringType()),
+    *[f for f in LEDGER.fields if f.name != "ingest_batch"],
+    T.StructField("ingest_batch", T.LongType()),
     T.StructField("ingest_date", T.DateType()),
 ])
 

@@ -1,68 +1,110 @@
 """Spool-directory ingestion with Structured Streaming.
 
-A directory receives text files of any shape. Every new file is read once
-(the source's checkpointed file log remembers what was taken, so a restart
-does not re-read; optionally the files are archived after commit), each line
-becomes a bronze row carrying its file path and name, and rows land as
-committed Parquet files partitioned by ingest date. File identity is the
-path: the same bytes under a new name are ingested again. Files of any age are
-taken, also when newer ones were seen before (so the source's file log is never
-cut by age). New content under a name that was already taken is not ingested
-by the stream; a drain finds such files by modification time and length and
-fails naming them (``on_redrop="ignore"`` leaves that to the caller, who finds
-them with ``redropped``).
+A directory receives text files of any shape. A stream over the directory's
+files (their names, times and lengths; the source's checkpointed file log
+remembers what was taken, so a restart does not take a file again) hands every
+micro-batch to a writer, which lands the lines of exactly these files as
+committed Parquet in a folder of the batch, and then appends the files to the
+ledger: a table (source_file, source_name, source_modified, source_length,
+ingest_batch) beside bronze. Both are written over a batch's own folder, so a
+batch that is run again after a failure lands once. Each line becomes a bronze row
+with its file's path and name. Files of no bytes have no row in either (no file
+source lists them); the stream counts them as taken.
+
+Micro-batches are bounded by files or by bytes, and bronze files by bytes: many
+small source files share one, a large one is cut. Optionally files are archived
+after their batch. File identity is the path: the same bytes under a new name
+are ingested again. Files of any age are taken, also when newer ones were seen
+before (so the source's file log is never cut by age). New content under a name
+that was already taken, be it as an empty file, is not ingested by the stream; a
+drain finds such files by comparing the directory with the ledger, never with the
+lines, and fails naming them (``on_redrop="ignore"`` leaves that to the caller, who
+finds them with ``redropped``).
 
 ``read_landed`` turns the bronze lines of one source back into typed rows.
 """
 
 from __future__ import annotations
 
+import re
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import BRONZE
+from ..schemas import BRONZE, LEDGER, SPOOL_FILES
 
 #: Longer than any file can be old.
 ANY_AGE = "36500d"
-#: Columns that a landed line may have.
-MAX_COLUMNS = 64
+#: Source bytes that share a bronze file at most, about.
+FILE_BYTES = 256 << 20
 
 
 class RedroppedFiles(RuntimeError):
     """Files in the spool whose name was taken before with other content."""
 
 
-def spool_lines(spark: SparkSession, spool_dir: str, max_files_per_trigger: int | None = None,
-                archive_dir: str | None = None) -> DataFrame:
-    """Unbounded bronze frame: (line, source_file, source_name, source_modified,
-    source_length, ingest_date)."""
-    reader = spark.readStream.format("text").option("maxFileAge", ANY_AGE)
+def _file(part: str):
+    """The path or name of a row's file, as it is (Spark gives it URL-encoded)."""
+    return F.url_decode(F.replace(F.col(f"_metadata.{part}"), F.lit("+"), F.lit("%2B")))
+
+
+def ledger_path(bronze_dir: str) -> str:
+    """Where the ledger of a bronze folder lies: beside it."""
+    return bronze_dir.rstrip("/") + "_ledger"
+
+
+def spool_files(spark: SparkSession, spool_dir: str, max_files_per_trigger: int | None = None,
+                max_bytes_per_trigger: int | None = None, archive_dir: str | None = None) -> DataFrame:
+    """Unbounded frame of the directory's files: (path, source_file, source_name,
+    source_modified, source_length). Their content is not read. A micro-batch takes
+    at most so many files, or files of so many bytes (at least one)."""
+    reader = spark.readStream.format("binaryFile").schema(SPOOL_FILES).option("maxFileAge", ANY_AGE)
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("bound a micro-batch by files or by bytes, not by both")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    raw = reader.load(spool_dir)
-    return raw.select(F.col("value").alias("line"),
-                      F.col("_metadata.file_path").alias("source_file"),
-                      F.col("_metadata.file_name").alias("source_name"),
-                      F.col("_metadata.file_modification_time").alias("source_modified"),
-                      F.col("_metadata.file_size").alias("source_length"),
-                      F.current_date().alias("ingest_date"))
+    return reader.load(spool_dir).select("path", _file("file_path").alias("source_file"),
+                                         _file("file_name").alias("source_name"),
+                                         F.col("modificationTime").alias("source_modified"),
+                                         F.col("length").alias("source_length"))
+
+
+def land_batch(files: DataFrame, batch: int, bronze_dir: str, file_bytes: int = FILE_BYTES) -> None:
+    """Land the lines of ``files`` as batch number ``batch``, then enter them in the
+    ledger. Written over whatever an earlier attempt at the batch left. Only the
+    batch's file names reach the driver, which listed them."""
+    spark = files.sparkSession
+    files = files.dropDuplicates(["source_file"])  # a replayed batch may name a file twice
+    listed = files.select("path", "source_length").collect()
+    if not listed:
+        return
+    names = [re.sub(r"([\\*?\[\]{}])", r"\\\1", f["path"]) for f in listed]  # a name is no pattern
+    lines = spark.read.text(names).select(
+        F.col("value").alias("line"), _file("file_path").alias("source_file"),
+        _file("file_name").alias("source_name"), F.col("_metadata.file_modification_time").alias("source_modified"),
+        F.col("_metadata.file_size").alias("source_length"), F.current_date().alias("ingest_date"))
+    parts = max(1, -(-sum(f["source_length"] for f in listed) // file_bytes))
+    (lines.coalesce(parts).write.mode("overwrite").partitionBy("ingest_date")
+     .parquet(f"{bronze_dir.rstrip('/')}/ingest_batch={batch}"))
+    files.drop("path").coalesce(1).write.mode("overwrite").parquet(f"{ledger_path(bronze_dir)}/ingest_batch={batch}")
 
 
 def ingest_spool(spark: SparkSession, spool_dir: str, bronze_dir: str, checkpoint_dir: str,
                  max_files_per_trigger: int | None = None, archive_dir: str | None = None,
-                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+                 available_now: bool = True, processing_time: str | None = None,
+                 max_bytes_per_trigger: int | None = None, file_bytes: int = FILE_BYTES) -> StreamingQuery:
     """Start the spool -> bronze stream. With ``available_now`` it drains what
-    is there (in ``max_files_per_trigger`` batches) and stops; otherwise it
-    polls every ``processing_time``."""
-    lines = spool_lines(spark, spool_dir, max_files_per_trigger, archive_dir)
-    writer = (lines.writeStream.format("parquet")
-              .option("path", bronze_dir)
-              .option("checkpointLocation", checkpoint_dir)
-              .partitionBy("ingest_date")
-              .outputMode("append"))
+    is there (in micro-batches of the bound given) and stops; otherwise it polls
+    every ``processing_time``."""
+    files = spool_files(spark, spool_dir, max_files_per_trigger, max_bytes_per_trigger, archive_dir)
+    writer = (files.writeStream.option("checkpointLocation", checkpoint_dir)
+              .foreachBatch(lambda batch, number: land_batch(batch, number, bronze_dir, file_bytes)))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -70,45 +112,76 @@ def ingest_spool(spark: SparkSession, spool_dir: str, bronze_dir: str, checkpoin
     return writer.start()
 
 
-def redropped(spark: SparkSession, spool_dir: str, bronze_dir: str) -> DataFrame:
+def read_ledger(spark: SparkSession, bronze_dir: str) -> DataFrame:
+    """The files taken so far, one row per file and micro-batch."""
+    return spark.read.schema(LEDGER).parquet(ledger_path(bronze_dir))
+
+
+def redropped(spark: SparkSession, spool_dir: str, bronze_dir: str, drained: float | None = None) -> DataFrame:
     """(source_file, source_modified, source_length) of spool files whose name is
-    in bronze with another time or length only. Lists the spool without reading
-    it; a file without lines leaves no trace in bronze and is never reported."""
+    in the ledger with another time or length only. ``drained``: when the last
+    complete drain began (seconds since 1970); files older than that which are not
+    in the ledger were taken while they were empty and are given too. Lists the
+    spool without reading it, and reads no lines."""
     there = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(spool_dir)
-             .select(F.col("_metadata.file_path").alias("source_file"),
+             .select(_file("file_path").alias("source_file"),
                      F.col("modificationTime").alias("source_modified"), F.col("length").alias("source_length")))
-    taken = (spark.read.schema(BRONZE).parquet(bronze_dir).where(F.col("source_modified").isNotNull())
-             .select("source_file", "source_modified", "source_length").distinct())
-    names = taken.select("source_file").distinct()
-    return there.join(names, "source_file", "left_semi").join(taken, there.columns, "left_anti")
+    taken = read_ledger(spark, bronze_dir).groupBy("source_file").agg(
+        F.collect_set(F.struct("source_modified", "source_length")).alias("taken"))  # as often as a path was taken: once, or after a replay
+    both = there.join(taken, "source_file", "left")
+    other = ~F.array_contains("taken", F.struct("source_modified", "source_length"))
+    old = F.lit(False) if drained is None else F.col("source_modified") < F.timestamp_micros(F.lit(int(drained * 1_000_000)))
+    return both.where(F.coalesce(other, old)).select(*there.columns)
 
 
 def run_ingest(spark: SparkSession, spool_dir: str, bronze_dir: str, checkpoint_dir: str,
                on_redrop: str = "fail", **kwargs) -> StreamingQuery:
     """Drain the spool once, wait for the stream to finish, and look for names
     that came back with new content (``on_redrop``: "fail" or "ignore")."""
+    began = time.time()
     query = ingest_spool(spark, spool_dir, bronze_dir, checkpoint_dir, available_now=True, **kwargs)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
     if on_redrop == "fail" and query.recentProgress:
-        again = [r.source_file for r in redropped(spark, spool_dir, bronze_dir).limit(20).collect()]
+        again = [r.source_file for r in redropped(spark, spool_dir, bronze_dir, began).limit(20).collect()]
         if again:
             raise RedroppedFiles(f"taken before with other content, give them new names: {again}")
     return query
 
 
-def _fields(line):
-    """A CSV line as an array of MAX_COLUMNS texts (null beyond its last one)."""
-    wide = ", ".join(f"_{i} string" for i in range(MAX_COLUMNS))
-    parsed = F.from_csv(line, wide, {"mode": "PERMISSIVE"})
-    return F.array(*[parsed.getField(f"_{i}") for i in range(MAX_COLUMNS)])
+#: A field behind its comma: quoted (a quote inside is doubled or has a backslash
+#: before it), or everything up to the next comma.
+_FIELD = r',(?:"[^"\\]*+(?:(?:\\.|"")[^"\\]*+)*+"|[^,]*+)'
+
+
+def fields(line):
+    """A CSV line as an array of its texts, however many: split at commas; a line
+    with a quote is cut by pattern, and quotes are taken off. A quote that is not
+    closed is an ordinary character."""
+    line = F.col(line) if isinstance(line, str) else line
+
+    def plain(f):
+        inner = F.substr(f, F.lit(3), F.length(f) - 3)
+        return (F.when(f.rlike(r'^,".*"$') & (F.length(f) > 2), F.regexp_replace(inner, r'\\(.)|"(")', "$1$2"))
+                .otherwise(F.substr(f, F.lit(2))))
+
+    quoted = F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(0)), plain)
+    return F.when(line.contains('"'), quoted).otherwise(F.split(line, ","))
 
 
 def _norm(c):
     return F.regexp_replace(F.lower(c), r'[\s"\ufeff]', "")
 
 
+def _header_test(names: list[str]):
+    """Whether ``line`` names every one of ``names`` (normalised). Only lines that hold
+    the first name at all are looked at closely."""
+    near = F.translate(F.lower("line"), " \t\"\ufeff", "").contains(names[0])
+    tokens = F.transform(fields("line"), _norm)
+    return F.when(near, F.array_size(F.array_except(F.array(*map(F.lit, names)), tokens)) == 0).otherwise(False)
+
+
 def _landed(spark, bronze_dir, source_name, source_like, ingest_from, ingest_to) -> DataFrame:
     bronze = spark.read.schema(BRONZE).parquet(bronze_dir)   # declared: no footer job
     if ingest_from is not None:
@@ -123,6 +196,27 @@ def _landed(spark, bronze_dir, source_name, source_like, ingest_from, ingest_to)
     return bronze.where(F.trim("line") != "")
 
 
+def _names(schema: T.StructType) -> list[str]:
+    return ["".join(n.lower().split()) for n in schema.fieldNames()]
+
+
+def _layouts(bronze: DataFrame, names: list[str]) -> DataFrame:
+    """(source_file, width, places): how many columns each file's header has and at
+    which of them the ``names`` stand; one row per file with a header line."""
+    heads = (bronze.where(_header_test(names)).groupBy("source_file").agg(F.min("line").alias("head"))
+             .withColumn("tokens", F.transform(fields("head"), _norm)))
+    return heads.select("source_file", F.array_size("tokens").alias("width"),
+                        F.array(*[F.array_position("tokens", n).cast("int") for n in names]).alias("places"))
+
+
+def landed_layouts(spark: SparkSession, bronze_dir: str, schema: T.StructType, source_name: str | None = None,
+                   source_like: str | None = None, ingest_from=None, ingest_to=None) -> DataFrame:
+    """(width, places, files): the distinct header layouts of the landed files, with the
+    places (from 1) of the columns of ``schema`` in them."""
+    bronze = _landed(spark, bronze_dir, source_name, source_like, ingest_from, ingest_to)
+    return _layouts(bronze, _names(schema)).groupBy("width", "places").agg(F.count(F.lit(1)).alias("files"))
+
+
 def read_landed(spark: SparkSession, bronze_dir: str, schema: T.StructType,
                 source_name: str | None = None, source_like: str | None = None,
                 header: bool = True, keep_source: bool = False, keep_rejects: bool = False,
@@ -132,26 +226,22 @@ def read_landed(spark: SparkSession, bronze_dir: str, schema: T.StructType,
     ``ingest_to`` (dates, inclusive).
 
     With ``header``, a file's header is its line that names every column of
-    ``schema``, in any order and with others between; the file's lines are bound
-    by those names, and a file without such a line raises. Without, columns are
-    in schema order. Blank and header lines are dropped. A field that does not
-    parse is null; ``keep_rejects`` adds ``rejected``, true for such lines.
+    ``schema``, in any order and with any number of others between; the file's
+    lines are bound by those names, and a file without such a line raises.
+    Without, columns are in schema order. Lines may have any number of fields: one
+    is cut at its own commas, and a field beyond its end is null. Blank and header
+    lines are dropped. A field that does not parse is null; ``keep_rejects`` adds
+    ``rejected``, true for such lines.
     """
-    bronze = _landed(spark, bronze_dir, source_name, source_like, ingest_from, ingest_to)
-    names = [F.lit("".join(n.lower().split())) for n in schema.fieldNames()]
+    bronze, names = _landed(spark, bronze_dir, source_name, source_like, ingest_from, ingest_to), _names(schema)
     if header:
-        tokens = F.split(_norm("line"), ",")
-        is_header = F.forall(F.array(*names), lambda n: F.array_contains(tokens, n))
-        # one row per file: the header in front of its lines
-        heads = bronze.where(is_header).groupBy("source_file").agg(F.min(_norm("line")).alias("head"))
-        bronze = bronze.where(~is_header).join(heads, "source_file", "left")
-        head = F.coalesce("head", F.raise_error(F.concat(
-            F.lit(f"no header line with {schema.fieldNames()} in "), "source_file")).cast("string"))
-        order = F.split(head, ",")
+        bronze = bronze.where(~_header_test(names)).join(_layouts(bronze, names), "source_file", "left")
+        missing = F.raise_error(F.concat(F.lit(f"no header line with {schema.fieldNames()} in "), "source_file"))
+        places = F.coalesce("places", missing.cast("array<int>"))
     else:
-        order = F.array(*names)
-    cells = bronze.withColumn("cells", _fields(F.col("line"))).withColumn("order", order)
-    text = [F.nullif(F.get("cells", F.array_position("order", n).cast("int") - 1), F.lit("")) for n in names]
+        places = F.array(*[F.lit(k + 1) for k in range(len(names))])
+    cells = bronze.withColumn("cells", fields("line")).withColumn("places", places)
+    text = [F.nullif(F.get("cells", F.get("places", F.lit(k)) - 1), F.lit("")) for k in range(len(names))]
     cast = [t.try_cast(f.dataType) for t, f in zip(text, schema.fields)]
     rejected = F.greatest(*[(t.isNotNull() & c.isNull()) for t, c in zip(text, cast)], F.lit(False))
     return cells.select(*[c.alias(f.name) for c, f in zip(cast, schema.fields)],
@@ -176,11 +266,14 @@ def main(argv=None):
     ap.add_argument("bronze")
     ap.add_argument("checkpoint")
     ap.add_argument("--max-files-per-trigger", type=int)
+    ap.add_argument("--max-bytes-per-trigger", type=int)
+    ap.add_argument("--file-bytes", type=int, default=FILE_BYTES, help="source bytes per bronze file")
     ap.add_argument("--archive-dir")
     ap.add_argument("--every", help="keep polling at this interval, e.g. '30 seconds'")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("cartlens-ingest").getOrCreate()
-    opts = dict(max_files_per_trigger=args.max_files_per_trigger, archive_dir=args.archive_dir)
+    opts = dict(max_files_per_trigger=args.max_files_per_trigger, archive_dir=args.archive_dir,
+                max_bytes_per_trigger=args.max_bytes_per_trigger, file_bytes=args.file_bytes)
     if args.every:
         ingest_spool(spark, args.spool, args.bronze, args.checkpoint, available_now=False,
                      processing_time=args.every, **opts).awaitTermination()

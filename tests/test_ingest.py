@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from cartlens.schemas import SHOPPING
 from cartlens.sources.files import read_report, read_shopping, write_report
-from cartlens.streaming.ingest import RedroppedFiles, landed_rejects, read_landed, redropped, run_ingest
+from cartlens.streaming.ingest import (RedroppedFiles, fields, land_batch, landed_layouts, landed_rejects, read_landed, read_ledger,
+                                       redropped, run_ingest)
 
 
 def write(folder, name, text):
@@ -161,3 +162,88 @@ def test_csv_columns_are_bound_by_name(spark, scratch):
     write(bad, "a.csv", ",".join(names[1:]) + "\nC1,F,30,A,2,5.5,Cash,1/2/2022\n")
     with pytest.raises(ValueError, match="invoice_no"):
         read_shopping(spark, bad)
+
+
+def test_fields_equal_the_csv_reader(spark, scratch):
+    """Quotes, escaped quotes, commas inside, empty and missing fields; doubled quotes
+    are taken as one, which the reader leaves as they are."""
+    lines = ['a,b,c', '"a,1",b,"c"', '"a \\"q\\" e",,', ',,', '"",b,""', 'plain only', 'a,"b",c', ' a , "b" ,c',
+             'a,"b \\\\ c",d', '"x"']
+    df = spark.createDataFrame([(k, line) for k, line in enumerate(lines)], "k int, line string")
+    reader = F.from_csv("line", "a string, b string, c string", {"mode": "PERMISSIVE"})
+    for r in df.select("line", fields("line").alias("cells"), reader.alias("csv")).collect():
+        cells = [c or None for c in r.cells] + [None] * 3
+        assert cells[:3] == [c or None for c in r.csv], r.line
+    doubled = spark.createDataFrame([('"c ""x"", d",""""',)], "line string").select(fields("line")).first()[0]
+    assert doubled == ['c "x", d', '"']
+    odd = spark.createDataFrame([('"open,b',), ("x" * 50_000 + "," + ",".join("y" * 3 for _ in range(5000)),)], "line string")
+    assert [r.n for r in odd.select(F.size(fields("line")).alias("n")).collect()] == [2, 5001]
+
+
+@pytest.mark.parametrize("width", [70, 200, 3000])
+def test_columns_beyond_any_width_are_bound(spark, scratch, width):
+    spool, bronze, ckpt = (os.path.join(scratch, d) for d in ("spool", "bronze", "ckpt"))
+    os.makedirs(spool)
+    foreign = [f"other{k}" for k in range(width - 9)]
+    names = SHOPPING.fieldNames()
+    write(spool, "wide.csv", ",".join(foreign + names) + "\n" + "z," * (width - 9) + "i1,c1,F,30,A,2,5.5,Cash,1/2/2022\n")
+    run_ingest(spark, spool, bronze, ckpt)
+    row = read_landed(spark, bronze, SHOPPING, keep_rejects=True).first()
+    assert tuple(row) == ("i1", "c1", "F", 30, "A", 2, 5.5, "Cash", "1/2/2022", False)
+    layout = landed_layouts(spark, bronze, SHOPPING).first()
+    assert (layout.width, layout.files) == (width, 1) and layout.places == list(range(width - 8, width + 1))
+
+
+def test_ledger_knows_every_file_and_a_batch_that_runs_again_lands_once(spark, scratch):
+    spool, bronze, ckpt = (os.path.join(scratch, d) for d in ("spool", "bronze", "ckpt"))
+    os.makedirs(spool)
+    write(spool, "a [1]{x}*.csv", f"{HEADER}\ni1,c,F,30,A,1,1.0,Cash,1/1/2022\n")  # a name is no pattern
+    write(spool, "c+%20ü.csv", "1,1\n2,2")
+    write(spool, "none.csv", "")
+    run_ingest(spark, spool, bronze, ckpt)
+    taken = {r.source_name: (r.source_length, r.ingest_batch) for r in read_ledger(spark, bronze).collect()}
+    assert taken == {"a [1]{x}*.csv": (len(HEADER) + 33, 0), "c+%20ü.csv": (7, 0)}
+    assert read_landed(spark, bronze, SHOPPING, source_name="a [1]{x}*.csv").count() == 1
+    # the batch runs again, as after a loss between its writing and the checkpoint's commit
+    os.remove(os.path.join(ckpt, "commits", "0"))
+    os.remove(os.path.join(ckpt, "commits", ".0.crc"))
+    run_ingest(spark, spool, bronze, ckpt)
+    assert spark.read.parquet(bronze).count() == 4 and read_ledger(spark, bronze).count() == 2
+    # ... and when its lines were written and its ledger rows were not
+    write(spool, "b.csv", "1,1\n")
+    files = spark.read.format("binaryFile").load(os.path.join(spool, "b.csv")).select(
+        "path", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_name").alias("source_name"),
+        F.col("modificationTime").alias("source_modified"), F.col("length").alias("source_length"))
+    for _ in range(2):
+        land_batch(files, 7, bronze)
+    assert spark.read.parquet(bronze).where("ingest_batch = 7").count() == 1
+
+
+def test_redropped_empty_file_is_named_and_lines_are_not_read(spark, scratch):
+    spool, bronze, ckpt = (os.path.join(scratch, d) for d in ("spool", "bronze", "ckpt"))
+    os.makedirs(spool)
+    write(spool, "late.csv", "")
+    write(spool, "other.csv", "1,1\n")
+    run_ingest(spark, spool, bronze, ckpt)
+    write(spool, "late.csv", "1,2\n")
+    write(spool, "third.csv", "1,3\n")
+    with pytest.raises(RedroppedFiles, match="late.csv"):
+        run_ingest(spark, spool, bronze, ckpt)
+    assert {r.line for r in spark.read.parquet(bronze).collect()} == {"1,1", "1,3"}
+    plan = redropped(spark, spool, bronze)._jdf.queryExecution().executedPlan().toString()
+    assert "bronze_ledger" in plan and "line#" not in plan
+
+
+def test_bronze_files_are_bounded_by_bytes(spark, scratch):
+    spool, bronze, ckpt = (os.path.join(scratch, d) for d in ("spool", "bronze", "ckpt"))
+    os.makedirs(spool)
+    for k in range(300):
+        write(spool, f"tiny{k}.csv", f"{k},tiny\n")
+    write(spool, "huge.csv", "".join(f"{k},huge,{'x' * 90}\n" for k in range(20_000)))  # 2 MB
+    query = run_ingest(spark, spool, bronze, ckpt, max_bytes_per_trigger=1 << 20, file_bytes=1 << 20)
+    parts = [f for _, _, fs in os.walk(bronze) for f in fs if f.endswith(".parquet")]
+    assert len(parts) <= 6 and len([p for p in query.recentProgress if p["numInputRows"]]) >= 2
+    landed = spark.read.parquet(bronze)
+    assert landed.count() == 20_300 and landed.select("line", "source_name").distinct().count() == 20_300
+    with pytest.raises(ValueError, match="files or by bytes"):
+        run_ingest(spark, spool, bronze, ckpt, max_bytes_per_trigger=1, max_files_per_trigger=1)
