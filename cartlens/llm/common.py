@@ -39,6 +39,16 @@ def text_or_empty(col: str):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores behind it as make it no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def with_offsets(counts: DataFrame, key: str, n: str, group: int = 4096) -> DataFrame:
     """(key, n) -> (key, n, offset): how many rows lie in smaller keys. Keys are
     long and dense; windows run per ``group`` keys and then over group totals,

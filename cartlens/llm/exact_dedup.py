@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import staged, text_or_empty
+from .common import free_names, staged, text_or_empty
 
 #: Runs that take part in the exchange, and how many merge into one per round.
 RUNS, FAN_IN = 64, 8
@@ -78,10 +78,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       keep: str = "max") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; repeated rows come once."""
+    """The rows of ``docs`` that stay, all columns under any names. Of equal texts
+    (null counts as empty) the row of the largest or smallest id stays; rows
+    repeated with id and text come once; null ids lose against any id; empty in,
+    empty out."""
+    own, other_id, other = free_names(docs, "own_sha", "alive_id", "alive_sha")
     alive = (exact_dedup(docs, id_col, text_col, keep).where("kept")
-             .select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")))
-    rows = docs.withColumn("__own_sha", F.sha2(text_or_empty(text_col), 256))
-    return (rows.join(alive, F.col(id_col).eqNullSafe(F.col("__id"))
-                      & (F.col("__own_sha") == F.col("__sha")), "left_semi")
-            .dropDuplicates([id_col, "__own_sha"]).drop("__own_sha"))
+             .select(F.col("doc_id").alias(other_id), F.col("text_sha256").alias(other)))
+    rows = docs.withColumn(own, F.sha2(text_or_empty(text_col), 256))
+    return (rows.join(alive, F.col(id_col).eqNullSafe(F.col(other_id)) & (F.col(own) == F.col(other)), "left_semi")
+            .dropDuplicates([id_col, own]).drop(own))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import batch_rows, map_texts, staged
+from .common import batch_rows, free_names, map_texts, staged
 from .components import components, settle, sets_of
 from .shingles import mix, shingle_set
 
@@ -291,10 +291,12 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL
 
 def drop_near_copies(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; one of each class (repeated
-    rows come once, those without words too)."""
+    """The rows of ``docs`` that stay, all columns under any names: one of each class,
+    the smallest id (null ids last). Null texts and texts without words stay; rows
+    repeated with id and text come once, those without words too; empty in, empty out."""
+    own, other_id, other = free_names(docs, "own_hash", "alive_id", "alive_hash")
     alive = (jaccard_join(docs, threshold, id_col=id_col, text_col=text_col).where("kept")
-             .select(F.col("doc_id").alias("__id"), F.coalesce("thash", F.lit(0)).alias("__kept")))
-    rows = docs.withColumn("__hash", F.coalesce(F.xxhash64(F.col(text_col).cast("string")), F.lit(0)))
-    return (rows.join(alive, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__kept")), "left_semi")
-            .dropDuplicates([id_col, "__hash"]).drop("__hash"))
+             .select(F.col("doc_id").alias(other_id), F.coalesce("thash", F.lit(0)).alias(other)))
+    rows = docs.withColumn(own, F.coalesce(F.xxhash64(F.col(text_col).cast("string")), F.lit(0)))
+    return (rows.join(alive, F.col(id_col).eqNullSafe(F.col(other_id)) & (F.col(own) == F.col(other)), "left_semi")
+            .dropDuplicates([id_col, own]).drop(own))

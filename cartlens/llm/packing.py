@@ -63,12 +63,6 @@ def optimal_bounds(lengths, counts, k: int) -> list[int]:
     return bounds[::-1]
 
 
-def length_histogram(lengths: DataFrame, step: int = STEP) -> DataFrame:
-    """(padded, n): rows per length, rounded up to ``step``."""
-    return (lengths.select((F.ceil(F.col("length") / step) * step).cast("long").alias("padded"))
-            .groupBy("padded").agg(F.count(F.lit(1)).alias("n")))
-
-
 def pack(lengths: DataFrame, n_buckets: int = BUCKETS, token_budget: int = TOKEN_BUDGET,
          step: int = STEP, seed: int = 17) -> DataFrame:
     """(doc_id, length) -> (doc_id, length, bucket, bucket_length, batch, slot).

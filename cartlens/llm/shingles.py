@@ -27,7 +27,7 @@ class _Tables:
         self.word = np.zeros(256, dtype=bool)
         self.word[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
         self.value = mix(np.arange(1, 257, dtype=np.uint64))
-        self.base = 0x9E3779B97F4A7C15
+        self.base, self.stem = 0x9E3779B97F4A7C15, np.uint64(0xA24BAED4963EE407)
         self.grow(CHUNK)
         self.places = mix(np.arange(1001, 1001 + WORDS, dtype=np.uint64)) | np.uint64(1)
 
@@ -53,7 +53,9 @@ def word_hashes(text: str, stem: int = 0):
     one of the first ``stem`` bytes of every word with more."""
     t = tables()
     data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    edge = np.flatnonzero(np.diff(t.word[data].astype(np.int8), prepend=0, append=0))
+    inside = np.zeros(len(data) + 2, dtype=bool)
+    inside[1:-1] = t.word[data]
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edge[::2], edge[1::2]
     out, stems = np.empty(len(starts), dtype=np.uint64), []
     first = 0
@@ -72,7 +74,7 @@ def word_hashes(text: str, stem: int = 0):
         first = after
     if not stem:
         return mix(out)
-    return mix(out), mix(mix(np.concatenate(stems or [out])) + np.uint64(1))
+    return mix(out), mix(np.concatenate(stems or [out]) ^ t.stem)
 
 
 def shingle_set(text: str | None) -> np.ndarray:

@@ -58,3 +58,14 @@ def test_empty_and_native(spark):
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
     with pytest.raises(ValueError):
         ed.exact_dedup(docs, keep="first")
+
+
+def test_any_column_names_are_kept(spark):
+    names = ["__sha", "__id", "__own_sha", "own_sha", "alive_id", "alive_sha", "kept", "run", "digest"]
+    rows = [(i, t, *[f"{n} {i}" for n in names]) for i, t in ROWS]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    left = ed.drop_exact_copies(docs)
+    assert left.columns == docs.columns
+    for r in left.collect():
+        assert all(r[n] == f"{n} {r.doc_id}" for n in names)
+    assert left.count() == len({t or "" for _, t in ROWS})

@@ -132,3 +132,15 @@ def test_whole_small_table(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert nj.jaccard_join(docs).count() == 0 and nj.drop_near_copies(docs.where(F.lit(True))).count() == 0
+
+
+def test_any_column_names_are_kept(spark):
+    names = ["__id", "__hash", "__kept", "own_hash", "alive_id", "alive_hash", "sid", "thash"]
+    texts = ["one two three four five six seven eight nine ten"] * 2 + [None, None, "", "another text of its own entirely here"]
+    rows = [(i, t, *[f"{n} {i}" for n in names]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    left = nj.drop_near_copies(docs)
+    assert left.columns == docs.columns
+    got = left.collect()
+    assert sorted(r.doc_id for r in got) == [0, 2, 3, 4, 5]
+    assert all(r[n] == f"{n} {r.doc_id}" for r in got for n in names)

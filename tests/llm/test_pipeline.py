@@ -53,3 +53,35 @@ def check_packing(packed, k, budget=pk.TOKEN_BUDGET):
         assert len(rs) == room or n == last[b]
         assert n == 0 or (b, n - 1) in batches
     assert len(last) <= k
+
+
+#: Nulls, an empty and a very long text, repeated rows, and columns under names that stages use.
+EDGE = [(1, "good calm prose of an ordinary kind that nobody minds at all", "en", "a", 1), (2, None, None, None, None),
+        (3, "", "en", "a", 0), (4, "word " * 60_000, "en", "a", 1), (5, "some text that is here twice with its id", "en", "b", 2),
+        (5, "some text that is here twice with its id", "en", "b", 2), (None, "a text without an id of its own", "en", "c", 3)]
+
+
+def edge_docs(spark, rows=EDGE):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return docs.withColumns({c: F.lit(c) for c in ("__id", "__sha", "__own_sha", "__hash", "__kept", "kept", "row", "key", "sid")})
+
+
+@pytest.mark.parametrize("name,left", [("toxicity", 7), ("exact_dedup", 5), ("near_dedup", 6)])
+def test_filtering_stages_take_nulls_repeats_and_clashing_columns(spark, name, left):
+    docs = edge_docs(spark)
+    found = dict(corpus_pipeline.STAGES)[name](spark, docs, SF)
+    assert found.columns == docs.columns
+    rows = found.collect()
+    assert len(rows) == left and all(r["__own_sha"] == "__own_sha" and r["sid"] == "sid" for r in rows)
+    assert {1, 4, 5, None} <= {r.doc_id for r in rows}
+
+
+def test_packing_stage_takes_nulls_repeats_and_clashing_columns(spark):
+    found = corpus_pipeline.packing(spark, edge_docs(spark), SF).collect()
+    assert sorted((r.doc_id or -1, r.length) for r in found) == [(-1, 7), (1, 12), (2, 0), (3, 0), (4, 60_000), (5, 9), (5, 9)]
+    assert len({(r.bucket, r.batch, r.slot) for r in found}) == len(found)
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_every_stage_takes_an_empty_table(spark, name):
+    assert dict(corpus_pipeline.STAGES)[name](spark, edge_docs(spark, []), SF).collect() == []
