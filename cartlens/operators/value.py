@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -29,52 +31,65 @@ def customer_metrics(lines: DataFrame) -> DataFrame:
                  mean("total_amount").alias("avg_transaction")))
 
 
-def _narrow(vals: DataFrame, state, buckets: int):
-    """One refinement: ``state`` is a scalar struct (lo, hi, before, k): the value
-    of rank k lies in [lo, hi], with ``before`` values below lo. Counts per
-    equal-width bucket (partial aggregates) name the one that holds it."""
-    x, lo, hi = F.col("v"), F.col("s.lo"), F.col("s.hi")
-    place = F.floor(F.try_divide(x - lo, hi - lo) * buckets)
-    bucket = F.least(F.coalesce(place, F.lit(0)), F.lit(buckets - 1)).cast("int")
-    counts = (vals.select("v", state.alias("s")).where((x >= lo) & (x <= hi))
-              .select(bucket.alias("bucket"), "v", F.col("s.before").alias("before"), F.col("s.k").alias("k"))
-              .groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
-                                     F.max("before").alias("before"), F.max("k").alias("k")))
-    upto = F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
-    found = (counts.withColumn("upto", upto + F.col("before")).where(F.col("upto") >= F.col("k"))
-             .orderBy("bucket").limit(1))
-    return found.select(F.struct("lo", "hi", (F.col("upto") - F.col("n")).alias("before"), "k").alias("s")).scalar()
-
-
-def median_monetary(metrics: DataFrame, rel_error: float = 0.001, column: str = "monetary",
-                    buckets: int = 1024, rounds: int = 3) -> DataFrame:
+def ordered_bits(x):
+    """A double as a long of the same order: its IEEE bits, negated below zero. Both
+    zeros are 0; NaN is the greatest. Made by exact arithmetic with powers of two."""
+    size = F.abs(x)
+    near = F.floor(F.log2(size))                      # may be off by one
+    scaled = size / F.pow(F.lit(2.0), near)
+    exponent = near + F.when(scaled >= 2, 1).when(scaled < 1, -1).otherwise(0)
+    whole, bits = F.pow(F.lit(2.0), exponent), F.lit(1 << 52)
+    normal = (exponent + 1023) * bits + F.floor((size / whole - 1) * bits)
+    tiny = F.floor(size / F.lit(5e-324))              # below the least normal number
+    key = (F.when(size == 0, F.lit(0).cast("long")).when(size < 2.2250738585072014e-308, tiny)
+           .when(size < float("inf"), normal).otherwise(F.lit(2047 << 52)))
+    return F.when(F.isnan(x), F.lit((1 << 63) - 1)).when(x < 0, -key).otherwise(key)
+
+
+def exact_median(rows: DataFrame, column: str, bits: int = 16) -> float | None:
+    """The exact lower median (rank ceil(n / 2)) of a double column, None without
+    values, by radix selection.
+
+    Each round counts the rows per digit of ``bits`` bits of ``ordered_bits``, among
+    those that share the digits found so far; the running count over at most
+    2 ^ bits digits names the next one, and the round's one row reaches the driver.
+    However the values lie, no task orders more rows than that, and no outlier makes
+    a round useless. A round whose digit holds one value only is the last. Reads
+    ``rows`` once a round (at most 64 / bits): pass a materialised frame.
+    """
+    if not 1 <= bits <= 20:
+        raise ValueError("a digit has 1 to 20 bits")
+    left = (rows.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+            .withColumn("key", ordered_bits(F.col("v"))))
+    before, k = 0, None
+    for shift in reversed(range(0, 64, bits)):
+        cells = left.groupBy(F.shiftright("key", shift).alias("prefix")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        upto = F.sum("n").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)) + before
+        rank = F.floor((F.sum("n").over(Window.partitionBy()) + 1) / 2) if k is None else F.lit(k)
+        found = (cells.withColumns({"upto": upto, "k": rank}).where(F.col("upto") >= F.col("k"))
+                 .orderBy("prefix").limit(1).collect())
+        if not found:
+            return None
+        cell = found[0]
+        if cell["lo"] == cell["hi"]:
+            return cell["lo"]
+        before, k = cell["upto"] - cell["n"], cell["k"]
+        left = left.where(F.shiftright("key", shift) == cell["prefix"])
+    return cell["lo"]
+
+
+def median_monetary(metrics: DataFrame, rel_error: float = 0.001, column: str = "monetary", bits: int = 16) -> DataFrame:
     """One row, one column ``median_monetary`` (null without values).
 
     ``rel_error > 0``: the quantile sketch (``percentile_approx``), bounded in
-    memory and merged from partial aggregates.
-
-    ``rel_error == 0``: the exact lower median (the ``percentile_disc(0.5)``
-    value, rank ``k = ceil(n/2)``), without a sketch and without sorting the
-    column: the range is cut ``rounds`` times into ``buckets`` equal-width
-    buckets, and only the one that holds rank k is cut again. Each round is a
-    distributed count per bucket. A running count over the distinct values of
-    the last bucket (the range divided by buckets ** rounds) finds the value.
-    Reads ``metrics`` ``rounds`` + 2 times: pass a materialised frame.
+    memory and merged from partial aggregates. ``rel_error == 0``: the exact lower
+    median (the ``percentile_disc(0.5)`` value), found at once by ``exact_median``.
     """
-    v = F.col(column)
-    vals = metrics.select(v.alias("v")).where(F.col("v").isNotNull())
     if rel_error > 0:
-        return vals.agg(F.percentile_approx("v", 0.5, int(round(1.0 / rel_error)))
-                        .cast("double").alias("median_monetary"))
-    state = vals.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"), F.lit(0).cast("long").alias("before"),
-                              F.floor((F.count("*") + 1) / 2).alias("k")).alias("s")).scalar()
-    for _ in range(rounds):
-        state = _narrow(vals, state, buckets)
-    left = (vals.select("v", state.alias("s")).where((F.col("v") >= F.col("s.lo")) & (F.col("v") <= F.col("s.hi")))
-            .groupBy("v").agg(F.count("*").alias("c"), F.max("s.before").alias("before"), F.max("s.k").alias("k")))
-    upto = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) + F.col("before")
-    return (left.withColumn("upto", upto).where(F.col("upto") >= F.col("k"))
-            .agg(F.min("v").cast("double").alias("median_monetary")))
+        return (metrics.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+                .agg(F.percentile_approx("v", 0.5, int(round(1.0 / rel_error))).cast("double").alias("median_monetary")))
+    return metrics.sparkSession.createDataFrame([(exact_median(metrics, column, bits),)], "median_monetary double")
 
 
 def median_rank_error(metrics: DataFrame, rel_error: float = 0.001, column: str = "monetary") -> DataFrame:
@@ -157,6 +172,57 @@ def value_predictions(model, test: DataFrame, label: str = "customer_value") ->
         vector_to_array("probability")[1].alias("p_high"), "rawPrediction")
 
 
+def forest_nodes(model, path: str, columns=FEATURES) -> DataFrame:
+    """The forest as a table, written to ``path``: one row per node (tree, node,
+    feature, threshold, left, right, gain, rows, p_high). A row goes left if its
+    ``feature`` is at most ``threshold``; leaves have neither feature nor children.
+    ``rows``: training rows in the node; ``p_high``: their share of label 1."""
+    spark = SparkSession.active()
+    model.write().overwrite().save(f"{path}/model")
+    node, names = F.col("nodeData"), F.array(*[F.lit(c) for c in columns])
+    inner = node["leftChild"] >= 0
+    table = spark.read.parquet(f"{path}/model/data").select(
+        F.col("treeID").alias("tree"), node["id"].alias("node"),
+        F.when(inner, F.get(names, node["split"]["featureIndex"])).alias("feature"),
+        F.when(inner, F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0))).alias("threshold"),
+        F.when(inner, node["leftChild"]).alias("left"), F.when(inner, node["rightChild"]).alias("right"),
+        F.when(inner, node["gain"]).otherwise(0.0).alias("gain"),
+        F.aggregate(node["impurityStats"], F.lit(0.0), lambda a, x: a + x).alias("rows"),
+        (node["impurityStats"][1] / F.aggregate(node["impurityStats"], F.lit(0.0), lambda a, x: a + x)).alias("p_high"))
+    table.coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+    return spark.read.schema(table.schema).parquet(f"{path}/nodes")
+
+
+def score_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``rows`` with ``p_high``, the mean share of label 1 in the leaves a row reaches.
+
+    Each tree becomes one nested conditional column, so rows are scored where they
+    lie, without a join or a Python worker. The nodes (trees x 2 ^ (depth + 1) at
+    most) are read by the driver."""
+    trees: dict[int, dict] = {}
+    for r in nodes.collect():
+        trees.setdefault(r["tree"], {})[r["node"]] = r
+
+    def walk(tree, at):
+        r = tree[at]
+        if r["feature"] is None:
+            return F.lit(r["p_high"])
+        return F.when(F.col(r["feature"]) <= F.lit(r["threshold"]), walk(tree, r["left"])).otherwise(walk(tree, r["right"]))
+
+    total = reduce(lambda a, b: a + b, [walk(trees[t], 0) for t in sorted(trees)])
+    return rows.withColumn("p_high", total / F.lit(float(len(trees))))
+
+
+def node_importance(nodes: DataFrame) -> DataFrame:
+    """(feature, importance), most important first: gain times rows of the nodes that
+    split on it, as shares of each tree, summed over trees, as shares of all."""
+    cut = nodes.where(F.col("feature").isNotNull()).groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("rows")).alias("g"))
+    share = F.try_divide(F.col("g"), F.sum("g").over(Window.partitionBy("tree")))
+    of = cut.withColumn("share", F.coalesce(share, F.lit(0.0))).groupBy("feature").agg(F.sum("share").alias("share"))
+    return (of.select("feature", F.try_divide(F.col("share"), F.sum("share").over(Window.partitionBy())).alias("importance"))
+            .orderBy(F.desc("importance"), "feature"))
+
+
 def value_auc(predictions: DataFrame, label: str = "customer_value") -> DataFrame:
     """Area under ROC as a one-row DataFrame (metric, value), from every distinct
     score whatever the size (no down-sampled curve)."""
@@ -166,20 +232,19 @@ def value_auc(predictions: DataFrame, label: str = "customer_value") -> DataFram
     return spark.createDataFrame([("areaUnderROC", float(auc))], "metric string, value double")
 
 
-def rank_auc(rows: DataFrame, score: str, label: str, buckets: int = 1024) -> DataFrame:
+def rank_auc(rows: DataFrame, score: str, label: str, buckets: int = 256) -> DataFrame:
     """One row ``auc``: the share of (positive, negative) pairs that ``score`` puts
-    in order, ties as half; null without both classes. Exact: rows are counted
-    per score, and running totals go over equal-width buckets of scores and
-    inside each. Null scores and labels are left out. Reads ``rows`` twice."""
+    in order, ties as half; null without both classes. Exact: rows are counted per
+    score; the scores are cut at sketched quantiles of themselves, so that no bucket
+    holds much more than its share of them however they are spread, and running
+    totals go over the buckets and inside each. Null scores and labels are left out."""
     known = rows.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
         F.col(score).cast("double").alias("s"), F.col(label).alias("y"))
-    span = known.agg(F.struct(F.min("s").alias("lo"), F.max("s").alias("hi")).alias("r")).scalar()
-    place = F.floor(F.try_divide(F.col("s") - F.col("r.lo"), F.col("r.hi") - F.col("r.lo")) * buckets)
-    counts = (known.select("s", "y", span.alias("r"))
-              .select("s", "y", F.least(F.coalesce(place, F.lit(0)), F.lit(buckets - 1)).alias("b"))
-              .groupBy("b", "s").agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("n")))
+    counts = known.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("n"))
+    cuts = counts.agg(F.percentile_approx("s", [k / buckets for k in range(1, buckets)], 20 * buckets).alias("c")).scalar()
+    counts = counts.withColumn("c", cuts).select("s", "p", "n", F.size(F.filter("c", lambda c: c < F.col("s"))).alias("b"))
     totals = counts.groupBy("b").agg(F.sum("n").alias("t")).select(
-        "b", (F.sum("t").over(Window.orderBy("b")) - F.col("t")).alias("before"))
+        "b", (F.sum("t").over(Window.orderBy("b")) - F.col("t")).alias("before"))  # at most ``buckets`` rows
     inside = F.sum("n").over(Window.partitionBy("b").orderBy("s")) - F.col("n")
     wins = counts.withColumn("inside", inside).join(totals, "b").select(
         "p", "n", (F.col("p") * (2 * (F.col("inside") + F.col("before")) + F.col("n"))).cast("decimal(38,0)").alias("w"))

@@ -1,5 +1,8 @@
 """The pipeline against brute-force versions of its stages."""
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from cartlens.llm import packing as pk, toxicity as tx
 from cartlens.llm.common import table
@@ -69,7 +72,7 @@ def edge_docs(spark, rows=EDGE):
 @pytest.mark.parametrize("name,left", [("toxicity", 7), ("exact_dedup", 5), ("near_dedup", 6)])
 def test_filtering_stages_take_nulls_repeats_and_clashing_columns(spark, name, left):
     docs = edge_docs(spark)
-    found = dict(corpus_pipeline.STAGES)[name](spark, docs, SF)
+    found = dict(cp.STAGES)[name](spark, docs, SF)
     assert found.columns == docs.columns
     rows = found.collect()
     assert len(rows) == left and all(r["__own_sha"] == "__own_sha" and r["sid"] == "sid" for r in rows)
@@ -77,11 +80,11 @@ def test_filtering_stages_take_nulls_repeats_and_clashing_columns(spark, name, l
 
 
 def test_packing_stage_takes_nulls_repeats_and_clashing_columns(spark):
-    found = corpus_pipeline.packing(spark, edge_docs(spark), SF).collect()
+    found = cp.packing(spark, edge_docs(spark), SF).collect()
     assert sorted((r.doc_id or -1, r.length) for r in found) == [(-1, 7), (1, 12), (2, 0), (3, 0), (4, 60_000), (5, 9), (5, 9)]
     assert len({(r.bucket, r.batch, r.slot) for r in found}) == len(found)
 
 
-@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+@pytest.mark.parametrize("name", [name for name, _ in cp.STAGES])
 def test_every_stage_takes_an_empty_table(spark, name):
-    assert dict(corpus_pipeline.STAGES)[name](spark, edge_docs(spark, []), SF).collect() == []
+    assert dict(cp.STAGES)[name](spark, edge_docs(spark, []), SF).collect() == []

@@ -1,4 +1,6 @@
+import bisect
 import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,15 +37,14 @@ def test_exact_median_large_and_skewed(spark):
     vals = [round(rnd.uniform(0, 1000), 2) for _ in range(20000)]
     vals += [500.0] * 10000               # a third of all values equal
     df = metrics_df(spark, vals)
-    got = value.median_monetary(df, rel_error=0.0, buckets=16, rounds=2).first()[0]
+    got = value.median_monetary(df, rel_error=0.0, bits=4).first()[0]
     assert got == lower_median(vals)
 
 
-@pytest.mark.parametrize("seed,n,rounds,buckets", [
-    (1, 1, 1, 4), (2, 2, 0, 4), (3, 997, 3, 4), (4, 1000, 2, 3), (5, 5000, 3, 7),
-    (6, 3000, 3, 1024),
+@pytest.mark.parametrize("seed,n,bits", [
+    (1, 1, 16), (2, 2, 16), (3, 997, 8), (4, 1000, 13), (5, 5000, 16), (6, 3000, 20),
 ])
-def test_exact_median_stress(spark, seed, n, rounds, buckets):
+def test_exact_median_stress(spark, seed, n, bits):
     rnd = random.Random(seed)
     shape = seed % 3
     if shape == 0:
@@ -52,8 +53,7 @@ def test_exact_median_stress(spark, seed, n, rounds, buckets):
         vals = [float(rnd.choice([5, 5, 5, 7])) for _ in range(n)]       # bracket of equal values
     else:
         vals = [round(rnd.gauss(50, 0.05), 2) for _ in range(n)]          # dense cluster
-    got = value.median_monetary(metrics_df(spark, vals), rel_error=0.0, rounds=rounds,
-                                buckets=buckets).first()[0]
+    got = value.median_monetary(metrics_df(spark, vals), rel_error=0.0, bits=bits).first()[0]
     assert got == lower_median(vals)
 
 
@@ -143,3 +143,60 @@ def test_rank_auc_equals_pairs(spark):
     assert abs(got - want) < 1e-12
     one = spark.createDataFrame([(1.0, 1)], "s double, y int")
     assert value.rank_auc(one, "s", "y").first().auc is None
+
+
+def test_ordered_bits_are_the_ieee_bits(spark):
+    rnd = random.Random(4)
+    vals = [0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.2250738585072009e-308, 1.7976931348623157e308,
+            float("inf"), float("-inf"), 0.1, 2.0 ** 52, 2.0 ** 53 - 1, 1e15, 3.0, 7.999999999999999]
+    vals += [struct.unpack("<d", struct.pack("<q", rnd.getrandbits(63) % (2047 << 52)))[0] * rnd.choice([1, -1]) for _ in range(500)]
+    vals += [2.0 ** e for e in range(-1074, 1024)]
+    vals += [float(f"1.{k}e{e}") for e in range(-30, 30) for k in (0, 5, 9)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double").withColumn("key", value.ordered_bits(F.col("v")))
+    for r in df.collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(r.v)))[0]
+        assert r.key == (-bits if r.v < 0 else bits), r.v
+    assert spark.createDataFrame([(float("nan"),)], "v double").select(value.ordered_bits(F.col("v"))).first()[0] == (1 << 63) - 1
+
+
+def test_an_outlier_does_not_defeat_the_median(spark):
+    rnd = random.Random(5)
+    for vals in ([1e15] + [round(rnd.uniform(0, 100), 2) for _ in range(4001)],
+                 [-1e300, float("inf")] + [rnd.gauss(0, 1e-9) for _ in range(999)],
+                 [-5.0] * 700 + [-4.0] * 300 + [1e15]):
+        assert value.exact_median(spark.createDataFrame([(v,) for v in vals], "v double"), "v") == lower_median(vals)
+    with pytest.raises(ValueError):
+        value.exact_median(spark.range(1), "id", bits=0)
+
+
+def test_skewed_scores_do_not_meet_in_one_bucket(spark):
+    rnd = random.Random(6)
+    rows = [(rnd.random() * 1e-6, rnd.randint(0, 1)) for _ in range(3000)] + [(1.0, 1)]
+    df = spark.createDataFrame(rows, "s double, y int")
+    pos, neg = sorted(s for s, y in rows if y), sorted(s for s, y in rows if not y)
+    want = sum(bisect.bisect_left(neg, p) for p in pos) / (len(pos) * len(neg))
+    assert abs(value.rank_auc(df, "s", "y", buckets=32).first().auc - want) < 1e-12
+    cuts = df.agg(F.percentile_approx("s", [k / 32 for k in range(1, 32)], 640)).first()[0]
+    sizes = [sum(a < s <= b for s, _ in rows) for a, b in zip([-1, *cuts], [*cuts, 2])]
+    assert max(sizes) < 2 * len(rows) / 32
+
+
+def test_nodes_score_and_weigh_like_the_model(spark, scratch):
+    rnd = random.Random(7)
+    rows = [(f"c{i}", 20 + rnd.randrange(50), rnd.randrange(9), rnd.uniform(0, 100), rnd.uniform(0, 9),
+             int(rnd.random() < 0.3 + 0.4 * (i % 2))) for i in range(500)]
+    df = value.value_features(spark.createDataFrame(
+        rows, "customer_id string, age int, frequency long, monetary double, avg_transaction double, customer_value int"))
+    model = value.value_model(df, num_trees=12)
+    nodes = value.forest_nodes(model, f"{scratch}/forest")
+    assert nodes.where("feature IS NULL").count() == nodes.where("feature IS NOT NULL").count() + 12
+    want = {r.customer_id: r.p_high for r in value.value_predictions(model, df).collect()}
+    scored = value.score_nodes(df, nodes)
+    assert all(abs(r.p_high - want[r.customer_id]) < 1e-12 for r in scored.collect())
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Python" not in plan
+    found = {r.feature: r.importance for r in value.node_importance(nodes).collect()}
+    for r in value.feature_importance(model).collect():
+        assert abs(found.get(r.feature, 0.0) - r.importance) < 1e-12
+    auc = value.value_auc(value.value_predictions(model, df)).first().value
+    assert abs(value.rank_auc(scored.withColumn("p", F.round("p_high", 9)), "p", "customer_value").first().auc - auc) < 1e-9
