@@ -19,6 +19,7 @@ that has seen neither their texts nor their labels.
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter
 from typing import NamedTuple
 
@@ -89,7 +90,7 @@ class Index:
         self.first = np.concatenate([[0], np.cumsum([len(vectors[e][0]) for e in order])]).astype(np.int64)
         self.term = np.concatenate([np.zeros(0, np.int32)] + [vectors[e][0] for e in order]).astype(np.int32)
         self.weight = np.concatenate([np.zeros(0)] + [vectors[e][1] for e in order])
-        self.curve, self.none = (0.0, 0.0), 0.0  # set by calibrate
+        self.curve, self.none = (0.0, 0.0), 0.0  # see calibration
         self.opened = self.blocks = 0
 
     def __getstate__(self):
@@ -184,13 +185,6 @@ class Index:
         total = sum(x.similarity for x in near)
         return sum(x.similarity * self.labels[x.example] for x in near) / total
 
-    def calibrate(self, votes: list, labels: list) -> None:
-        """Fit the curve on the votes (None without a neighbour) of examples with these labels."""
-        blind = [y for v, y in zip(votes, labels) if v is None]
-        seen = [(v, y) for v, y in zip(votes, labels) if v is not None]
-        self.none = float(sum(blind)) / (len(blind) + 1)  # without evidence rather not
-        self.curve = logistic_fit(np.array([v for v, _ in seen]), np.array([y for _, y in seen], dtype=float))
-
     def score(self, near: list[Neighbour]) -> float:
         if not near:
             return self.none
@@ -251,6 +245,15 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[flo
     return float(a), float(b)
 
 
+def calibration(votes: list, labels: list) -> tuple[tuple[float, float], float]:
+    """The curve fitted on the votes (None without a neighbour) of examples with these
+    labels, and the score without a neighbour, which leans to clean."""
+    blind = [y for v, y in zip(votes, labels) if v is None]
+    seen = [(v, y) for v, y in zip(votes, labels) if v is not None]
+    return (logistic_fit(np.array([v for v, _ in seen]), np.array([y for _, y in seen], dtype=float)),
+            float(sum(blind)) / (len(blind) + 1))
+
+
 def _example_terms(rows: DataFrame) -> DataFrame:
     """(doc_id, label, tie, text) -> (doc_id, label, tie, size, terms, tf): the terms'
     hashes and their 32-bit counts."""
@@ -330,12 +333,62 @@ def build(examples: _Examples, table: np.ndarray, n: int, df: np.ndarray) -> Ind
     return Index(examples.ids, examples.labels, vectors, idf, terms, examples.ties)
 
 
-def votes_of(index: Index, rows: DataFrame) -> DataFrame:
+class Fitted:
+    """An index as it left the task that built it, with the curve fitted on it. It is
+    unpacked where it is used; the driver passes it on as it is."""
+
+    def __init__(self, state: bytes, curve=(0.0, 0.0), none: float = 0.0):
+        self.state, self.curve, self.none = state, curve, none
+
+    def __getstate__(self):
+        return self.state, self.curve, self.none
+
+    def __setstate__(self, found):
+        self.state, self.curve, self.none = found
+
+    @property
+    def index(self) -> Index:
+        if "_index" not in self.__dict__:
+            self._index = Index.__new__(Index)
+            self._index.__dict__.update(pickle.loads(self.state), curve=self.curve, none=self.none)
+        return self._index
+
+    def __getattr__(self, name):
+        if name.startswith("__"):
+            raise AttributeError(name)
+        return getattr(self.index, name)
+
+
+def sent_index(rows: DataFrame, fitted: Fitted):
+    """Broadcast an index, whose size is checked: MAX_POSTINGS terms of examples, each with
+    its place in the vocabulary and its weight, and as many vocabulary entries at most."""
+    if len(fitted.state) > 32 * MAX_POSTINGS + 128 * MAX_EXAMPLES + 65_536:
+        raise ValueError(f"an index of {len(fitted.state)} bytes is too large to broadcast")
+    return rows.sparkSession.sparkContext.broadcast(fitted)
+
+
+def _in_one_task(rows: DataFrame, make) -> bytes:
+    """``make(examples)`` of the written example rows, at most max_examples of them with
+    max_postings terms, in a task: the driver gets its bytes only."""
+
+    def run(batches):
+        parts = [part for part in batches if part.num_rows]
+        column = {c: [x for part in parts for x in part.column(c)] for c in ("doc_id", "label", "tie", "terms", "tf")}
+        examples = _Examples([x.as_py() for x in column["doc_id"]], np.array([x.as_py() for x in column["label"]], dtype=float),
+                             [x.as_py() for x in column["tie"]], [np.frombuffer(x.as_buffer(), "<u8") for x in column["terms"]],
+                             [np.frombuffer(x.as_buffer(), "<i4") for x in column["tf"]])
+        yield pa.RecordBatch.from_arrays([pa.array([make(examples)], pa.binary())], ["value"])
+
+    found = rows.coalesce(1).mapInArrow(run, "value binary").toArrow()["value"]
+    return found[0].as_py() if len(found) else make(_Examples([], np.zeros(0), [], [], []))
+
+
+def votes_of(fitted: Fitted, rows: DataFrame) -> DataFrame:
     """(label, vote) of written example rows; null without a neighbour."""
-    sent = index_broadcast(rows, index)
+    sent = sent_index(rows, fitted)
 
     def run(batches):
-        index = sent.value
+        index = sent.value.index
         for part in batch_rows(batches, BATCH):
             pairs = zip(part.column("terms").to_pylist(), part.column("tf").to_pylist())
             near = index.search([index.weigh(np.frombuffer(t, "<u8"), np.frombuffer(n, "<i4")) for t, n in pairs])
@@ -345,20 +398,14 @@ def votes_of(index: Index, rows: DataFrame) -> DataFrame:
     return rows.select("label", "terms", "tf").mapInArrow(run, "label int, vote double")
 
 
-def index_broadcast(rows: DataFrame, index: Index):
-    """Broadcast an index, whose size is checked: at most MAX_POSTINGS terms of examples."""
-    if len(index.term) > MAX_POSTINGS:
-        raise ValueError(f"an index of {len(index.term)} terms of examples, more than {MAX_POSTINGS}")
-    return rows.sparkSession.sparkContext.broadcast(index)
-
-
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", max_examples: int = MAX_EXAMPLES, max_postings: int = MAX_POSTINGS) -> Index:
+        label_col: str = "toxic", max_examples: int = MAX_EXAMPLES, max_postings: int = MAX_POSTINGS) -> Fitted:
     """The index of at most ``max_examples`` labelled documents (smallest id
     hashes) with ``max_postings`` terms together. Null ids and labels are no
     examples; an id labelled twice counts once, with its greatest label; of equal
     texts with equal labels one (the smallest id) stays; without both classes every
-    score is the same."""
+    score is the same. Built in tasks; the driver passes on the packed index, its
+    vocabulary and the calibration votes."""
     labelled = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
                 .groupBy(F.col(id_col).alias("__id")).agg((F.max(label_col) > 0).cast("int").alias("label"))
                 .orderBy(F.xxhash64("__id"), "__id").limit(max_examples))
@@ -374,20 +421,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     upto = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "tie"))
     kept = terms.select("doc_id", "tie", upto.alias("upto")).where(F.col("upto") <= max_postings).drop("upto")
     terms = staged(terms.join(F.broadcast(kept), ["doc_id", "tie"]), "toxic_examples")
-    found = terms.toArrow()
-    examples = _Examples(found["doc_id"].to_pylist(), found["label"].to_numpy().astype(float), found["tie"].to_pylist(),
-                         [np.frombuffer(t.as_buffer(), "<u8") for t in found["terms"]],
-                         [np.frombuffer(t.as_buffer(), "<i4") for t in found["tf"]])
-    held = np.array([t % 5 == 0 for t in examples.ties], dtype=bool)
-    table = np.unique(np.concatenate([np.zeros(0, np.uint64), *examples.terms]))
-    n, df = document_frequencies(docs, table, text_col)
-    index = build(examples, table, n, df)
-    votes = votes_of(build(examples.of(~held), table, n, df), terms.where(F.pmod("tie", F.lit(5)) == 0)).toArrow()
-    index.calibrate(votes["vote"].to_pylist(), votes["label"].to_pylist())
-    return index
-
-
-def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    table = np.frombuffer(_in_one_task(
+        terms, lambda x: np.unique(np.concatenate([np.zeros(0, np.uint64), *x.terms])).tobytes()), np.uint64)
+    known_terms = docs.sparkSession.sparkContext.broadcast((table, *document_frequencies(docs, table, text_col)))
+
+    def packed(of):
+        return lambda x: pickle.dumps(build(of(x), *known_terms.value).__getstate__())
+
+    def unseen(x):  # by the text's hash, so that equal texts fall together
+        return x.of(np.array([t % 5 != 0 for t in x.ties], dtype=bool))
+
+    blind = Fitted(_in_one_task(terms, packed(unseen)))
+    votes = votes_of(blind, terms.where(F.pmod("tie", F.lit(5)) == 0)).toArrow()
+    return Fitted(_in_one_task(terms, packed(lambda x: x)), *calibration(votes["vote"].to_pylist(), votes["label"].to_pylist()))
+
+
+def score(docs: DataFrame, index: Fitted, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, predicted, evidence), one row per input row.
 
     ``evidence``: the nearest examples as (doc_id, label, similarity). Null and
@@ -396,12 +445,12 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
     null or repeat; other columns are not read; empty in, empty out.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sent = index_broadcast(docs, index)
+    sent = sent_index(docs, index)
 
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("similarity", pa.float64())]))
 
     def run(batches):
-        index = sent.value
+        index = sent.value.index
         for part in batch_rows(batches):
             found = index.neighbours(part.column("text").to_pylist())
             scores = [index.score(near) for near in found]
@@ -416,14 +465,14 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
                                 "evidence array<struct<doc_id: long, label: int, similarity: double>>")
 
 
-def drop_toxic(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
+def drop_toxic(docs: DataFrame, index: Fitted, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text scores below 0.5, all columns under any names, in
     one pass. Null and empty texts are judged like texts without an indexed term;
     repeated rows are judged alike; empty in, empty out."""
-    sent = index_broadcast(docs, index)
+    sent = sent_index(docs, index)
 
     def run(batches):
-        index = sent.value
+        index = sent.value.index
         for part in batch_rows(batches):
             near = index.neighbours(part.column(text_col).to_pylist())
             yield part.filter(pa.array([index.score(x) < 0.5 for x in near], pa.bool_()))
