@@ -7,6 +7,12 @@ Views over the test tables: lineitem orders customer part nation.
 
 from __future__ import annotations
 
+import re
+
+from pyspark.sql import SparkSession
+
+from .catalog import FOREST
+
 SEG_HV, SEG_FR, SEG_HT = 1200000, 45, 28000
 
 
@@ -258,6 +264,55 @@ def _payment_share():
 FROM payments"""
 
 
+def forest_path() -> str | None:
+    """Where the model queries of the active session leave their node table, if that is
+    a folder that DuckDB can read; None without a session."""
+    spark = SparkSession.getActiveSession()
+    root = spark.conf.get("spark.checkpoint.dir", None) if spark else None
+    root = re.sub("^file:(//)?(?=/)", "", root.rstrip("/")) if root else ""
+    return f"{root}/cartlens/{FOREST}/nodes/*.parquet" if root.startswith("/") else None
+
+
+def _model_sql() -> dict:
+    """The model's queries over the node table that the Spark side wrote: every test row
+    walks every tree from its root."""
+    path = forest_path()
+    if path is None:
+        return {}
+    nodes = f"nodes AS (SELECT * FROM read_parquet('{path}'))"
+    scored = f"""RECURSIVE {VLINES}, {nodes},
+test AS (SELECT row_number() OVER () AS r, * FROM features
+         WHERE age IS NOT NULL AND frequency IS NOT NULL AND monetary IS NOT NULL AND avg_transaction IS NOT NULL
+           AND CAST('0x' || substr(md5('42:' || customer_id), 1, 8) AS BIGINT) % 100 >= 80),
+walk AS (
+  SELECT r, tree, 0 AS node FROM test, (SELECT DISTINCT tree FROM nodes)
+  UNION ALL
+  SELECT w.r, w.tree, CASE WHEN CASE n.feature WHEN 'age' THEN t.age WHEN 'frequency' THEN t.frequency
+                                WHEN 'monetary' THEN t.monetary ELSE t.avg_transaction END <= n.threshold
+                           THEN n."left" ELSE n."right" END
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node JOIN test t ON t.r = w.r
+  WHERE n.feature IS NOT NULL),
+scored AS (
+  SELECT any_value(t.customer_id) AS customer_id, any_value(t.customer_value) AS customer_value,
+         round(sum(n.p_high) / count(*), 9) AS p_high
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node JOIN test t ON t.r = w.r
+  WHERE n.feature IS NULL GROUP BY w.r)"""
+    return {
+        "value_predictions": f"""WITH {scored}
+SELECT customer_id, customer_value, CAST(p_high > 0.5 AS INTEGER) AS prediction, p_high FROM scored""",
+        "value_auc": f"""WITH {scored},
+c AS (SELECT p_high AS s, count(*) FILTER (WHERE customer_value = 1) AS p, count(*) FILTER (WHERE customer_value = 0) AS n
+      FROM scored GROUP BY p_high),
+w AS (SELECT p, n, p * (2 * (sum(n) OVER (ORDER BY s) - n) + n) AS w FROM c)
+SELECT 'areaUnderROC' AS metric, CAST(sum(w) AS DOUBLE) / CAST(2 * sum(p) * sum(n) AS DOUBLE) AS value FROM w""",
+        "feature_importance": f"""WITH {nodes},
+g AS (SELECT tree, feature, sum(gain * "rows") AS g FROM nodes WHERE feature IS NOT NULL GROUP BY tree, feature),
+shares AS (SELECT feature, g / sum(g) OVER (PARTITION BY tree) AS share FROM g),
+f AS (SELECT feature, sum(share) AS share FROM shares GROUP BY feature)
+SELECT feature, round(share / sum(share) OVER (), 9) AS importance FROM f""",
+    }
+
+
 def oracle_sql() -> dict:
     pivot_gender = ", ".join(
         f"max(CASE WHEN gender = '{g}' THEN avg_total_spent END) AS \"{g}\"" for g in GENDERS)
@@ -266,7 +321,7 @@ def oracle_sql() -> dict:
     top_gender = ", ".join(
         f"CAST(COALESCE(sum(CASE WHEN gender = '{g}' THEN spent_c END), 0) AS DOUBLE) / 100 AS \"{g}\""
         for g in GENDERS)
-    return {
+    return _model_sql() | {
         "customer_stats": f"WITH {STATS} SELECT customer_id, gender, age, transaction_count, total_spent, "
                           f"avg_transaction_value FROM stats",
         "customer_segments": f"WITH {STATS} SELECT {SEGMENT_COLS} FROM segments",
@@ -390,9 +445,10 @@ UNION ALL SELECT 'top_categories', category, total_revenue
   FROM (SELECT * FROM categories ORDER BY total_revenue DESC, category LIMIT 5)
 UNION ALL SELECT 'payment_share', payment_method, share_pct FROM pay
 UNION ALL SELECT 'monthly_revenue', CAST(month AS VARCHAR), total_revenue FROM monthly""",
-        "profile_schema": """SELECT * FROM (VALUES ('invoice_no', 'string'), ('customer_id', 'string'),
-  ('gender', 'string'), ('age', 'int'), ('category', 'string'), ('quantity', 'int'), ('price', 'double'),
-  ('payment_method', 'string'), ('invoice_date', 'string')) AS t(column_name, data_type)""",
+        "profile_schema": """SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+         WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp'
+         ELSE lower(column_type) END AS data_type
+FROM (DESCRIBE SELECT * FROM lineitem)""",
         "sorted_positions": f"""WITH {LINES}, {CATEGORIES}
 SELECT CAST(row_number() OVER (ORDER BY total_revenue DESC, category) AS INTEGER) AS place, category, total_revenue
 FROM categories""",

@@ -14,7 +14,8 @@ FAST_ORACLE = ["customer_segments", "segment_counts", "age_gender", "category_su
                "basket_pairs", "customer_features", "membership_segments", "payment_share",
                "monetary_histogram", "pivot_age_payment", "enrich_dates", "overview", "top_category_trend",
                "exact_price", "median_monetary", "score_auc", "split_counts", "value_test_keys",
-               "sorted_positions", "shopping_csv_reordered"]
+               "sorted_positions", "shopping_csv_reordered", "profile_schema", "value_predictions", "value_auc",
+               "feature_importance"]
 
 
 def test_entry(spark):
@@ -25,8 +26,8 @@ def test_entry(spark):
 
 def test_oracle_keys_are_queries():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(catalog.queries()) - set(oracle.oracle_sql()) == {
-        "value_predictions", "value_auc", "feature_importance"}
+    model = {"value_predictions", "value_auc", "feature_importance"}  # with a session, whose shared folder they read
+    assert set(catalog.queries()) - set(oracle.oracle_sql()) in (set(), model)
 
 
 def _norm(rows):
