@@ -15,6 +15,7 @@ from ..schemas import BEHAVIOUR_RENAME, BRONZE, SHOPPING
 from ..session import checkpointed, shared_path
 from ..sources.files import (fixed_decimals, read_behaviour, read_report, read_shopping, report_inventory,
                              write_report)
+from ..sources.report_set import ReportSet
 from ..sources.tables import behaviour_from_tables, shopping_from_tables
 from ..streaming.ingest import landed_layouts, landed_rejects, read_landed, read_ledger, run_ingest
 
@@ -266,6 +267,30 @@ def q_report_inventory(spark, sf):
     return report_inventory(spark, base).select("report", "files", (F.col("bytes") > 0).alias("filled"))
 
 
+def q_run_status(spark, sf):
+    """The status table of a run over lines that lack the payment method."""
+    from . import runs
+    root = shared_path(spark, "runs", unique=True)
+    runs.shopping_run(spark, shopping_from_tables(spark, sf).drop("payment_method"), root, SEGMENT_THRESHOLDS)
+    status = ReportSet(spark, root).read("run_status", spark.createDataFrame([], runs.STATUS).schema, "parquet")
+    return (status.where(~F.col("report").startswith("views/"))
+            .select("report", "state", F.coalesce("rows", F.lit(-1)).cast("long").alias("rows")))
+
+
+def q_report_set(spark, sf):
+    """The category report of the current set, after a published run over the lines of
+    even orders, one over all, and one that stopped half-way."""
+    found = ReportSet(spark, shared_path(spark, "report_set", unique=True))
+    lines = shopping_from_tables(spark, sf, ["invoice_no", "category", "quantity", "price"])
+    for only, publish in ((F.col("invoice_no") % 2 == 0, True), (F.lit(True), True), (F.col("invoice_no") % 3 == 0, False)):
+        version = found.begin()
+        report = reports.category_summary(clean.enrich_shopping(lines.where(only)))
+        write_report(report, f"{version}/category_analysis", fmt="parquet")
+        if publish:
+            found.publish(version)
+    return found.read("category_analysis", report.schema, "parquet")
+
+
 def q_shopping_csv(spark, sf):
     """Shopping lines written as CSV with a header and scanned back with the
     explicit-schema reader."""
@@ -373,6 +398,8 @@ def queries() -> dict:
         "ingest_layouts": q_ingest_layouts,
         "ingest_ledger": q_ingest_ledger,
         "report_roundtrip": q_report_roundtrip,
+        "run_status": q_run_status,
+        "report_set": q_report_set,
         "shopping_csv_reordered": q_shopping_csv_reordered,
         "shopping_csv": q_shopping_csv,
         "behaviour_csv": q_behaviour_csv,

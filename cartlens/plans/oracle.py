@@ -492,6 +492,22 @@ FROM shopping GROUP BY 1""",
         "ingest_rejects": f"""WITH {SHOPPING}
 SELECT count(*) AS lines, count(*) FILTER (WHERE CAST(invoice_no AS BIGINT) % 7 = 0) AS rejected FROM shopping""",
         "ingest_roundtrip": f"WITH {SHOPPING} SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity) FROM shopping",
+        "run_status": f"""WITH {STATS}, {CATEGORIES},
+n AS (SELECT 'customer_segments' AS report, (SELECT count(*) FROM stats) AS rows
+  UNION ALL SELECT 'segment_counts', (SELECT count(DISTINCT customer_segment) FROM segments)
+  UNION ALL SELECT 'age_gender_analysis', (SELECT count(*) FROM (SELECT DISTINCT age_group, gender FROM segments))
+  UNION ALL SELECT 'category_analysis', (SELECT count(*) FROM categories)
+  UNION ALL SELECT 'monthly_category_sales', (SELECT count(*) FROM (SELECT DISTINCT month, category FROM lines WHERE valid_date))
+  UNION ALL SELECT 'category_preferences', (SELECT count(*) FROM (SELECT DISTINCT category, gender, age_group FROM lines))
+  UNION ALL SELECT 'payment_analysis', -1
+  UNION ALL SELECT 'payment_age_analysis', -1
+  UNION ALL SELECT 'daily_sales_pattern', (SELECT count(DISTINCT day_of_week) FROM lines WHERE valid_date)
+  UNION ALL SELECT 'monthly_sales_pattern', (SELECT count(DISTINCT month) FROM lines WHERE valid_date)
+  UNION ALL SELECT 'category_pairs', (SELECT count(*) FROM (
+    SELECT DISTINCT a.category AS c1, b.category AS c2 FROM lines a JOIN lines b
+    ON a.invoice_no = b.invoice_no AND a.category <> b.category)))
+SELECT report, CASE WHEN rows < 0 THEN 'skipped' ELSE 'written' END AS state, rows FROM n""",
+        "report_set": f"WITH {LINES}, {CATEGORIES} SELECT * FROM categories",
         "report_roundtrip": f"WITH {STATS} SELECT {SEGMENT_COLS} FROM segments",
         "shopping_csv": f"WITH {SHOPPING} SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity) FROM shopping",
         "behaviour_csv": f"WITH {BEHAVIOUR} SELECT {BEHAVIOUR_COLS} FROM behaviour_c",

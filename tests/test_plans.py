@@ -10,7 +10,8 @@ from conftest import SF_SMALL
 # Queries whose construction trains a model or writes files are covered elsewhere.
 SIDE_EFFECTS = {"value_predictions", "value_auc", "feature_importance", "ingest_roundtrip",
                 "ingest_late_files", "ingest_reordered", "ingest_rejects", "report_roundtrip", "report_inventory",
-                "shopping_csv", "shopping_csv_reordered", "behaviour_csv"}
+                "shopping_csv", "shopping_csv_reordered", "behaviour_csv", "ingest_wide",
+                "ingest_layouts", "ingest_ledger", "run_status", "report_set"}
 
 
 def plan_text(df):
