@@ -22,6 +22,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -285,38 +287,36 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         counts: DataFrame | None = None) -> tuple[Words, Network]:
     """The words with their own id and trained network of a corpus; an empty corpus,
     or one without tokens, gives the untrained network. ``counts``: its word_counts,
-    where they are at hand."""
+    where they are at hand. The same corpus gives the same network on any layout: a
+    trainer's pieces lie in one file, in a fixed order, and every trainer starts a round
+    from the averaged network, whichever task reads it."""
     spark = docs.sparkSession
     counts = word_counts(docs, text_col) if counts is None else counts
     top = counts.orderBy(F.desc("n"), "word").limit(VOCAB - HASHED).collect()
     words = Words({r["word"]: i for i, r in enumerate(top)})
-    rows = staged(positions(docs, words, id_col, text_col), "lm_positions")
-    n = rows.agg(F.sum("n").alias("n")).first()["n"] or 0
+    n = counts.agg(F.sum("n").alias("n")).first()["n"] or 0  # every token is a position
     net = Network.fresh()
     trainers = max(1, -(-n // (STRIDE * TRAINER_POSITIONS)))
-    dealt = (rows.select(F.pmod(F.xxhash64("key"), F.lit(trainers)).alias("trainer"), "key", "ids")
-             .repartition(trainers, "trainer").sortWithinPartitions("trainer", F.xxhash64("key"), "ids"))
+    # dealt once, a partition and so a file for each trainer, which every round reads back
+    dealt = (positions(docs, words, id_col, text_col)
+             .select(F.pmod(F.xxhash64("key"), F.lit(trainers)).cast("int").alias("trainer"), "key", "ids")
+             .repartitionById(trainers, "trainer").sortWithinPartitions("trainer", F.xxhash64("key"), "ids"))
+    dealt = staged(dealt.select("trainer", "ids"), "lm_dealt") if n else None
     for k in range(max(ROUNDS, STRIDE) if n else 0):
         sent = spark.sparkContext.broadcast(net.flat.copy())
 
         def run(batches, sent=sent, residue=k % STRIDE):
-            def pieces():
-                for part in batches:
-                    for t, r in zip(part.column("trainer").to_pylist(), part.column("ids").to_pylist()):
-                        mine[:] = [t]
-                        yield targets(r, residue)
-
-            mine: list[int] = []
-            own = Network(sent.value.copy())
-            seen = train(own, pieces())
-            if seen:
-                flat = (own.flat.astype(np.float64) * seen).tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(mine, pa.int64()), pa.array([seen], pa.int64()), pa.array([flat], pa.binary())],
-                    ["trainer", "weight", "flat"])
-
-        parts = dealt.mapInArrow(run, "trainer long, weight long, flat binary")
-        mean = _averaged(spark, parts)
+            rows = ((t, r) for part in batches for t, r in zip(part.column("trainer").to_pylist(), part.column("ids").to_pylist()))
+            for trainer, mine in groupby(rows, key=itemgetter(0)):  # each with a network of its own
+                own = Network(sent.value.copy())
+                seen = train(own, (targets(r, residue) for _, r in mine))
+                if seen:
+                    flat = (own.flat.astype(np.float64) * seen).tobytes()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([trainer], pa.int64()), pa.array([seen], pa.int64()), pa.array([flat], pa.binary())],
+                        ["trainer", "weight", "flat"])
+
+        mean = _averaged(spark, dealt.mapInArrow(run, "trainer long, weight long, flat binary"))
         net = net if mean is None else Network(mean.astype(np.float32))
     return words, net
 

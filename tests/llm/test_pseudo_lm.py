@@ -137,3 +137,23 @@ def test_every_position_is_a_target(spark):
     assert got == want and sum(r.n for r in rows) == sum(want.values())
     only = docs.where("doc_id = 0")  # no target in the second round
     assert lm.fit(only)[1].flat.any()
+
+
+def test_every_trainer_has_a_network_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(lm, "TRAINER_POSITIONS", 200)
+    seen = []
+    averaged = lm._averaged
+
+    def watch(spark_, parts):
+        seen.append(sorted((r.trainer, r.weight) for r in parts.select("trainer", "weight").collect()))
+        return averaged(spark_, parts)
+
+    monkeypatch.setattr(lm, "_averaged", watch)
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(i, " ".join(rng.choices("abcdefgh", k=50))) for i in range(200)], "doc_id long, text string")
+    lm.fit(docs)
+    trainers = -(-10_000 // (lm.STRIDE * 200))
+    for round_ in seen:  # as many rows as trainers, however many of them a task reads
+        assert [t for t, _ in round_] == list(range(trainers))
+        assert max(w for _, w in round_) < 3 * 10_000 / lm.STRIDE / trainers
+    assert sum(w for round_ in seen for _, w in round_) == 10_000
