@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..session import ensure_shared_dir, local_shared_dir, remove_shared, shared_path
+from ..session import ensure_shared_dir, remove_shared, shared_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,9 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; only a local session without
-    ``spark.checkpoint.dir`` gets a folder of its own first."""
-    local_shared_dir(spark)
+    """A fresh path in the shared folder; a session without ``spark.checkpoint.dir`` raises."""
     return shared_path(spark, "llm", name, unique=True)
 
 
