@@ -81,7 +81,7 @@ def test_filtering_stages_take_nulls_repeats_and_clashing_columns(spark, name, l
 
 def test_packing_stage_takes_nulls_repeats_and_clashing_columns(spark):
     found = cp.packing(spark, edge_docs(spark), SF).collect()
-    assert sorted((r.doc_id or -1, r.length) for r in found) == [(-1, 7), (1, 12), (2, 0), (3, 0), (4, 60_000), (5, 9), (5, 9)]
+    assert sorted((r.doc_id or -1, r.length) for r in found) == [(-1, 8), (1, 12), (2, 0), (3, 0), (4, 60_000), (5, 9), (5, 9)]
     assert len({(r.bucket, r.batch, r.slot) for r in found}) == len(found)
 
 
