@@ -10,7 +10,7 @@ matrix per block with the greatest weight of each term in it.
 Documents are searched in batches. The rare terms, whose weights are the greatest,
 come first; the block maxima of the others then bound what an example of a block
 can reach. The blocks of the greatest bounds are opened, and after them only those
-whose bound reaches the k-th similarity found. The candidates' cosines are taken
+whose bound reaches the k-th similarity found. The candidates' cosines are summed
 once more in double precision. Votes weighted by similarity, put through a logistic
 curve, are the score; the curve is fitted on a fifth of the examples with an index
 that has seen neither their texts nor their labels.
@@ -110,14 +110,14 @@ class Index:
         place = np.repeat(np.arange(n), np.diff(self.first))
         column = self.column[self.term]
         dense = column >= 0
-        tiles = np.zeros((self.n_blocks, len(often), BLOCK), dtype=np.float32)
-        tiles[place[dense] // BLOCK, column[dense], place[dense] % BLOCK] = self.weight[dense]
-        self.tiles, self.tops = tiles, np.ascontiguousarray(tiles.max(2, initial=0).T)
+        rows = np.zeros((self.n_blocks * BLOCK, len(often)), dtype=np.float32)
+        rows[place[dense], column[dense]] = self.weight[dense]
+        self.rows, self.tiles = rows, rows.reshape(self.n_blocks, BLOCK, len(often))
+        self.tops = np.ascontiguousarray(self.tiles.max(1, initial=0).T)
         rare, at = self.term[~dense], place[~dense]
         by = np.argsort(rare, kind="stable")
         self.place, self.impact = at[by].astype(np.int32), self.weight[~dense][by]
         self.cut = np.searchsorted(rare[by], np.arange(len(self.terms) + 1))
-        self.scratch = np.zeros(len(self.terms))
         self.made = True
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +133,7 @@ class Index:
         cosine, ties by the examples' own order."""
         self._make()
         size, n = len(queries), self.n_blocks * BLOCK
-        often, rare = np.zeros((size, self.tiles.shape[1]), dtype=np.float32), np.zeros((size, n), dtype=np.float32)
+        often, rare = np.zeros((size, self.rows.shape[1]), dtype=np.float32), np.zeros((size, n))
         for i, (t, w) in enumerate(queries):
             c = self.column[t]
             often[i, c[c >= 0]] = w[c >= 0]
@@ -142,34 +142,35 @@ class Index:
             rare[i] = np.bincount(self.place[posting], np.repeat(w, self.cut[t + 1] - self.cut[t]) * self.impact[posting], n)
         bound = often @ self.tops + rare.reshape(size, self.n_blocks, BLOCK).max(2)
         similarity = np.zeros((size, n), dtype=np.float32)
-        greatest = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST]
+        first = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST]
         done = np.zeros(bound.shape, dtype=bool)
-        np.put_along_axis(done, greatest, True, axis=1)
-        floor = np.zeros(size, dtype=np.float32)
-        for open_ in (done & (bound > 0), ~done):
-            open_ = open_ & (bound > 0) & (bound >= floor[:, None] - SLACK)
-            for b in np.flatnonzero(open_.any(0)).tolist():
-                some, here = np.flatnonzero(open_[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
-                if 2 * len(some) > size:  # cheaper for the whole batch than to gather rows
-                    np.add(rare[:, here], often @ self.tiles[b], out=similarity[:, here])
-                else:
-                    similarity[some, here] = rare[some, here] + often[some] @ self.tiles[b]
-            self.opened += int(open_.sum())
-            floor = np.partition(similarity, max(n - k, 0), axis=1)[:, max(n - k, 0)]
+        np.put_along_axis(done, first, True, axis=1)
+        self._open(done & (bound > 0), often, rare, similarity)
+        # the k-th similarity in the blocks opened first bounds the k-th of all from below
+        seen = np.take_along_axis(similarity.reshape(size, self.n_blocks, BLOCK), first[:, :, None], axis=1).reshape(size, -1)
+        floor = np.partition(seen, -k, axis=1)[:, -k] if seen.shape[1] >= k else np.zeros(size)
+        self._open(~done & (bound > 0) & (bound >= floor[:, None] - SLACK), often, rare, similarity)
         self.blocks += bound.size
-        return [self._exact(t, w, np.flatnonzero((s > 0) & (s >= f - SLACK)), k)
-                for (t, w), s, f in zip(queries, similarity, floor)]
-
-    def _exact(self, terms, weights, examples, k: int) -> list[Neighbour]:
-        """The best k of ``examples`` by their cosines in double precision."""
-        if not len(examples):
-            return []
-        self.scratch[terms] = weights
-        at = spans(self.first[examples], self.first[examples + 1])
-        product = self.scratch[self.term[at]] * self.weight[at]
-        self.scratch[terms] = 0
-        size = self.first[examples + 1] - self.first[examples]
-        cosine = np.add.reduceat(product, np.cumsum(size) - size).round(12)
+        query, example = np.nonzero((similarity > 0) & (similarity >= floor[:, None] - SLACK))
+        cut = np.searchsorted(query, np.arange(size + 1))
+        return [self._best(often[i], rare[i], similarity[i], example[cut[i]:cut[i + 1]], k) for i in range(size)]
+
+    def _open(self, which: np.ndarray, often: np.ndarray, rare: np.ndarray, similarity: np.ndarray) -> None:
+        """Compare each query with the examples of the blocks that ``which`` names for it."""
+        self.opened += int(which.sum())
+        for b in np.flatnonzero(which.any(0)).tolist():
+            some, here = np.flatnonzero(which[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+            if 2 * len(some) > len(which):  # cheaper for the whole batch than to gather rows
+                np.add(rare[:, here], often @ self.tiles[b].T, out=similarity[:, here], casting="same_kind")
+            else:
+                similarity[some, here] = rare[some, here] + often[some] @ self.tiles[b].T
+
+    def _best(self, often, rare, similarity, examples, k: int) -> list[Neighbour]:
+        """The best k of ``examples``, whose cosines are summed in double precision."""
+        if len(examples) > k:
+            found = similarity[examples]
+            examples = examples[found >= np.partition(found, -k)[-k] - SLACK]
+        cosine = (rare[examples] + self.rows[examples].astype(np.float64) @ often.astype(np.float64)).round(12)
         best = np.lexsort((self.rank[examples], -cosine))[:k]
         return [Neighbour(float(cosine[i]), int(examples[i])) for i in best if cosine[i] > 0]
 
@@ -210,7 +211,8 @@ def alike(vectors: list, n_terms: int) -> list[int]:
 
 
 def unit(w: np.ndarray) -> np.ndarray:
-    return w / math.sqrt(float(w @ w)) if len(w) else w
+    """``w`` over its length, as numbers that single precision holds."""
+    return (w / math.sqrt(float(w @ w))).astype(np.float32).astype(np.float64) if len(w) else w
 
 
 def known(table: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
