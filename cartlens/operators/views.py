@@ -72,12 +72,15 @@ def _top_keys(categories: DataFrame, n: int) -> DataFrame:
 
 def _top_by_rollup(report: DataFrame, measure: str, n: int) -> DataFrame:
     """Rows of the ``n`` categories with the greatest sum of ``measure``, ties by
-    name: windows over a report of a few rows per category, so a finer report
-    serves as its own category total and the lines are read once."""
-    whole = F.sum(as_money(measure)).over(Window.partitionBy("category"))
-    rank = F.dense_rank().over(_report().orderBy(F.desc("__total"), F.asc("category")))
-    return (report.where(F.col("category").isNotNull()).withColumn("__total", whole)
-            .withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__total", "__rank"))
+    name. The finer report serves as its own category total: its rows (a few per
+    category) are gathered beside the total, and whole categories go through a heap
+    of ``n`` per task, then one of them all. The lines are read once, and no task
+    orders all categories, however many."""
+    rest = [c for c in report.columns if c != "category"]
+    whole = (report.where(F.col("category").isNotNull()).groupBy("category")
+             .agg(F.sum(as_money(measure)).alias("__total"), F.collect_list(F.struct(*rest)).alias("__rows")))
+    top = whole.orderBy(F.desc("__total"), F.asc("category")).limit(n)
+    return top.select("category", F.explode("__rows").alias("__row")).select("category", "__row.*")
 
 
 def top_category_trend(monthly: DataFrame, n: int = 5) -> DataFrame:

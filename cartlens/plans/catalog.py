@@ -68,6 +68,12 @@ def dated(spark, sf) -> DataFrame:
     return lines(spark, sf, ["invoice_no", "quantity", "price", "invoice_date"])
 
 
+def wide_lines(spark, sf, columns) -> DataFrame:
+    """Lines with one category per customer: a wide domain, with absent cells."""
+    shopping = shopping_from_tables(spark, sf, ["customer_id", *columns])
+    return clean.enrich_shopping(shopping.withColumn("category", F.col("customer_id")))
+
+
 def value_lines(spark, sf, key=None) -> DataFrame:
     cols = ["invoice_no", "quantity", "price"] + ([key] if key else [])
     if key is None:
@@ -370,6 +376,14 @@ def queries() -> dict:
         "top_category_trend": lambda s, d: V.top_category_trend(R.month_category(
             lines(s, d, ["invoice_no", "category", "quantity", "price", "invoice_date"]), undated=True)),
         "top_category_gender": lambda s, d: V.top_category_gender(preferences(s, d), genders=GENDERS),
+        "top_categories_wide": lambda s, d: V.top_categories(R.category_summary(
+            wide_lines(s, d, ["invoice_no", "quantity", "price"]))),
+        "top_category_gender_wide": lambda s, d: V.top_category_gender(R.category_preferences(
+            wide_lines(s, d, ["gender", "age", "quantity", "price"])), genders=GENDERS),
+        "gender_value_mix_wide": lambda s, d: V.gender_value_mix(features(s, d).withColumn("gender", F.col("customer_id"))),
+        "payment_top5_share_wide": lambda s, d: V.payment_top5_share(R.consumption_by(
+            value.prepare_lines(shopping_from_tables(s, d, ["invoice_no", "quantity", "price", "payment_method", "gender"])
+                                .withColumn("payment_method", F.concat_ws(" ", "payment_method", "gender"))), "payment_method")),
         "category_bubble": lambda s, d: V.category_bubble(categories(s, d)),
         "weekday_pattern": lambda s, d: V.weekday_pattern(R.weekday_sales(dated(s, d))),
         "month_pattern": lambda s, d: V.month_pattern(R.month_sales(dated(s, d))),

@@ -180,6 +180,11 @@ features AS (
 )"""
 
 
+# wide domains: a category per customer, a payment method per priority and segment
+WIDE_LINES = LINES.replace("p.p_type AS category", "CAST(o.o_custkey AS VARCHAR) AS category")
+WIDE_METHODS = VLINES.replace("o.o_orderpriority AS payment_method",
+                              "concat_ws(' ', o.o_orderpriority, c.c_mktsegment) AS payment_method")
+
 SPLIT = """
 split AS (
   SELECT customer_id, customer_value,
@@ -396,6 +401,24 @@ SELECT category, total_revenue FROM categories ORDER BY total_revenue DESC, cate
 SELECT month, category, monthly_revenue FROM month_category WHERE category IN {_top5()}""",
         "top_category_gender": f"""WITH {LINES}, {CATEGORIES}, {PREFERENCES}
 SELECT category, {top_gender} FROM preferences WHERE category IN {_top5()} GROUP BY category""",
+        "top_categories_wide": f"""WITH {WIDE_LINES}, {CATEGORIES}
+SELECT category, total_revenue FROM categories ORDER BY total_revenue DESC, category LIMIT 10""",
+        "top_category_gender_wide": f"""WITH {WIDE_LINES}, {CATEGORIES}, {PREFERENCES}
+SELECT category, {top_gender} FROM preferences WHERE category IN {_top5()} GROUP BY category""",
+        "gender_value_mix_wide": f"""WITH {VLINES},
+mix AS (SELECT customer_id AS gender, count(*) FILTER (WHERE customer_value = 0) AS general_count,
+               count(*) FILTER (WHERE customer_value = 1) AS high_value_count
+        FROM features GROUP BY customer_id)
+SELECT gender, general_count, high_value_count, general_count + high_value_count AS total,
+       {_pct('general_count', 'general_count + high_value_count')} AS general_pct,
+       {_pct('high_value_count', 'general_count + high_value_count')} AS high_value_pct
+FROM mix""",
+        "payment_top5_share_wide": f"""WITH {WIDE_METHODS},
+pay AS (SELECT payment_method, count(invoice_no) AS transaction_count FROM vlines GROUP BY payment_method),
+top AS (SELECT * FROM pay ORDER BY transaction_count DESC, payment_method LIMIT 5)
+SELECT payment_method, transaction_count,
+       {_pct('transaction_count', '(SELECT sum(transaction_count) FROM top)')} AS percentage
+FROM top""",
         "category_bubble": f"""WITH {LINES}, {CATEGORIES}
 SELECT category, total_quantity_sold, total_revenue, avg_price, category IN {_top5()} AS is_top
 FROM categories""",

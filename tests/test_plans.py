@@ -91,3 +91,9 @@ def test_bronze_is_pruned_by_ingest_date(spark, scratch):
     rows = read_landed(spark, f"{scratch}/bronze", SHOPPING, ingest_from="2020-01-01", ingest_to="2999-01-01")
     assert re.search(r"PartitionFilters: \[[^\]]*ingest_date", plan_text(rows)) and rows.count() == 1
     assert read_landed(spark, f"{scratch}/bronze", SHOPPING, ingest_to="2020-01-01").count() == 0
+
+
+def test_top_k_over_a_wide_domain_orders_no_task_whole(spark, no_auto_broadcast):
+    for name in ("top_categories_wide", "top_category_gender_wide", "top_category_trend"):
+        plan = plan_text(catalog.queries()[name](spark, SF_SMALL))
+        assert "TakeOrderedAndProject" in plan and "Window" not in plan and scans(plan, "lineitem") == 1
