@@ -8,6 +8,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.money import mean, total
@@ -16,6 +17,8 @@ from .clean import clean_fill, enrich_shopping
 # The model's feature columns and settings.
 FEATURES = ["age", "frequency", "monetary", "avg_transaction"]
 TREES, DEPTH, TRAIN_PCT, SPLIT_SEED = 50, 5, 80, 42
+# What the spend regression learns from: the features without the spend itself.
+SPEND_FEATURES = ["age", "frequency", "avg_transaction"]
 
 
 def prepare_lines(shopping: DataFrame) -> DataFrame:
@@ -162,8 +165,43 @@ def value_model(train: DataFrame, num_trees: int = TREES, max_depth: int = DEPTH
         raise ValueError("no feature vectors to train the value model on")
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
                                 maxDepth=max_depth, seed=seed)
-    return rf.fit(train.repartition(partitions, key).sortWithinPartitions(key, *[
-        c for c in train.columns if c not in (key, "features")]))
+    return rf.fit(_laid_out(train, key, partitions))
+
+
+def _laid_out(train: DataFrame, key: str, partitions: int) -> DataFrame:
+    return train.repartition(partitions, key).sortWithinPartitions(key, *[
+        c for c in train.columns if c not in (key, "features")])
+
+
+def spend_model(train: DataFrame, num_trees: int = TREES, max_depth: int = DEPTH, seed: int = SPLIT_SEED,
+                label: str = "monetary", key: str = "customer_id", partitions: int = 32) -> RandomForestRegressionModel:
+    """A forest that predicts a customer's spend, over vectors of the other features;
+    laid out like the value model's rows."""
+    if train.isEmpty():
+        raise ValueError("no feature vectors to train the spend model on")
+    rf = RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=num_trees, maxDepth=max_depth, seed=seed)
+    return rf.fit(_laid_out(train, key, partitions))
+
+
+def regression_errors(rows: DataFrame, label: str = "monetary", prediction: str = "prediction") -> DataFrame:
+    """One row (n, rmse, mae, r2) over money columns, in one pass. Squares and sums are
+    of whole cents, so they are exact and do not depend on the order; ``r2`` is null
+    where all labels are equal. Rows without a label or a prediction are left out."""
+    def cents(c):
+        return F.round(F.col(c).cast("decimal(20,6)") * 100, 0).cast("decimal(18,0)")
+
+    pairs = rows.select(cents(label).alias("y"), cents(prediction).alias("p")).where(F.col("y").isNotNull() & F.col("p").isNotNull())
+    off = F.col("y") - F.col("p")
+
+    def total(c):
+        return F.sum(c.cast("decimal(38,0)"))
+
+    sums = pairs.agg(F.count(F.lit(1)).alias("n"), total(off * off).alias("sse"), total(F.abs(off)).alias("sae"),
+                     total(F.col("y")).alias("sy"), total(F.col("y") * F.col("y")).alias("syy"))
+    n = F.col("n").cast("double")
+    sse, sae, sy, syy = (F.col(c).cast("double") for c in ("sse", "sae", "sy", "syy"))
+    return sums.select("n", (F.sqrt(F.try_divide(sse, n)) / 100).alias("rmse"), (F.try_divide(sae, n) / 100).alias("mae"),
+                       (1 - F.try_divide(sse, syy - F.try_divide(sy * sy, n))).alias("r2"))
 
 
 def value_predictions(model, test: DataFrame, label: str = "customer_value") -> DataFrame:
@@ -173,28 +211,30 @@ def value_predictions(model, test: DataFrame, label: str = "customer_value") ->
 
 
 def forest_nodes(model, path: str, columns=FEATURES) -> DataFrame:
-    """The forest as a table, written to ``path``: one row per node (tree, node,
-    feature, threshold, left, right, gain, rows, p_high). A row goes left if its
+    """A forest as a table, written to ``path``: one row per node (tree, node, feature,
+    threshold, left, right, gain, rows, p_high, prediction). A row goes left if its
     ``feature`` is at most ``threshold``; leaves have neither feature nor children.
-    ``rows``: training rows in the node; ``p_high``: their share of label 1."""
+    ``rows``: training rows in the node; ``p_high``: their share of label 1 (null for
+    a regression); ``prediction``: their majority label, or their mean."""
     spark = SparkSession.active()
     model.write().overwrite().save(f"{path}/model")
     node, names = F.col("nodeData"), F.array(*[F.lit(c) for c in columns])
-    inner = node["leftChild"] >= 0
+    inner, stats = node["leftChild"] >= 0, node["impurityStats"]
+    share = stats[1] / (stats[0] + stats[1]) if isinstance(model, RandomForestClassificationModel) else F.lit(None).cast("double")
     table = spark.read.parquet(f"{path}/model/data").select(
         F.col("treeID").alias("tree"), node["id"].alias("node"),
         F.when(inner, F.get(names, node["split"]["featureIndex"])).alias("feature"),
         F.when(inner, F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0))).alias("threshold"),
         F.when(inner, node["leftChild"]).alias("left"), F.when(inner, node["rightChild"]).alias("right"),
-        F.when(inner, node["gain"]).otherwise(0.0).alias("gain"),
-        F.aggregate(node["impurityStats"], F.lit(0.0), lambda a, x: a + x).alias("rows"),
-        (node["impurityStats"][1] / F.aggregate(node["impurityStats"], F.lit(0.0), lambda a, x: a + x)).alias("p_high"))
+        F.when(inner, node["gain"]).otherwise(0.0).alias("gain"), node["rawCount"].cast("double").alias("rows"),
+        share.alias("p_high"), node["prediction"].alias("prediction"))
     table.coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
     return spark.read.schema(table.schema).parquet(f"{path}/nodes")
 
 
-def score_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``rows`` with ``p_high``, the mean share of label 1 in the leaves a row reaches.
+def score_nodes(rows: DataFrame, nodes: DataFrame, leaf: str = "p_high") -> DataFrame:
+    """``rows`` with the column ``leaf``, its mean over the leaves a row reaches:
+    "p_high" of a classification, "prediction" of a regression.
 
     Each tree becomes one nested conditional column, so rows are scored where they
     lie, without a join or a Python worker. The nodes (trees x 2 ^ (depth + 1) at
@@ -206,11 +246,11 @@ def score_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     def walk(tree, at):
         r = tree[at]
         if r["feature"] is None:
-            return F.lit(r["p_high"])
+            return F.lit(r[leaf])
         return F.when(F.col(r["feature"]) <= F.lit(r["threshold"]), walk(tree, r["left"])).otherwise(walk(tree, r["right"]))
 
     total = reduce(lambda a, b: a + b, [walk(trees[t], 0) for t in sorted(trees)])
-    return rows.withColumn("p_high", total / F.lit(float(len(trees))))
+    return rows.withColumn(leaf, total / F.lit(float(len(trees))))
 
 
 def node_importance(nodes: DataFrame) -> DataFrame:

@@ -25,8 +25,8 @@ SEGMENT_THRESHOLDS = dict(high_value=1_200_000.0, frequent=45, high_ticket=28_00
 GENDERS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 METHODS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
-#: Folder of the forest's node table in the shared folder.
-FOREST = "forest"
+#: Folders of the forests' node tables in the shared folder.
+FOREST, SPEND_FOREST = "forest", "spend_forest"
 
 CUSTOMER_COLS = ["invoice_no", "customer_id", "gender", "age", "quantity", "price"]
 
@@ -121,6 +121,21 @@ def q_feature_importance(spark, sf):
     return value.node_importance(nodes).withColumn("importance", F.round("importance", 9))
 
 
+def q_spend_regression(spark, sf):
+    """Spend predicted from the other features, for the customers held out, in cents."""
+    vectors = materialized(value.value_features(metrics(spark, sf), value.SPEND_FEATURES))
+    train, test = value.split_customers(vectors)
+    nodes = value.forest_nodes(value.spend_model(train), shared_path(spark, SPEND_FOREST), value.SPEND_FEATURES)
+    scored = value.score_nodes(test, nodes, "prediction")
+    return scored.select("customer_id", "monetary", F.round("prediction", 2).alias("prediction"))
+
+
+def q_spend_errors(spark, sf):
+    """The errors of those predictions."""
+    errors = value.regression_errors(materialized(q_spend_regression(spark, sf)))  # the trees are walked once
+    return errors.select("n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")])
+
+
 def _comparable(df, *columns):
     """Integer columns that hold nulls as doubles: clients show those alike."""
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
@@ -403,6 +418,8 @@ def queries() -> dict:
         "value_predictions": q_value_predictions,
         "value_auc": q_value_auc,
         "feature_importance": q_feature_importance,
+        "spend_regression": q_spend_regression,
+        "spend_errors": q_spend_errors,
         # sources and sinks
         "ingest_roundtrip": q_ingest_roundtrip,
         "ingest_late_files": q_ingest_late_files,

@@ -11,7 +11,7 @@ import re
 
 from pyspark.sql import SparkSession
 
-from .catalog import FOREST
+from .catalog import FOREST, SPEND_FOREST
 
 SEG_HV, SEG_FR, SEG_HT = 1200000, 45, 28000
 
@@ -269,23 +269,24 @@ def _payment_share():
 FROM payments"""
 
 
-def forest_path() -> str | None:
-    """Where the model queries of the active session leave their node table, if that is
+def forest_path(forest: str = FOREST) -> str | None:
+    """Where the model queries of the active session leave a node table, if that is
     a folder that DuckDB can read; None without a session."""
     spark = SparkSession.getActiveSession()
     root = spark.conf.get("spark.checkpoint.dir", None) if spark else None
     root = re.sub("^file:(//)?(?=/)", "", root.rstrip("/")) if root else ""
-    return f"{root}/cartlens/{FOREST}/nodes/*.parquet" if root.startswith("/") else None
+    return f"{root}/cartlens/{forest}/nodes/*.parquet" if root.startswith("/") else None
 
 
 def _model_sql() -> dict:
     """The model's queries over the node table that the Spark side wrote: every test row
     walks every tree from its root."""
-    path = forest_path()
-    if path is None:
+    if forest_path() is None:
         return {}
-    nodes = f"nodes AS (SELECT * FROM read_parquet('{path}'))"
-    scored = f"""RECURSIVE {VLINES}, {nodes},
+
+    def walked(forest, leaf, digits):
+        return f"""RECURSIVE {VLINES},
+nodes AS (SELECT * FROM read_parquet('{forest_path(forest)}')),
 test AS (SELECT row_number() OVER () AS r, * FROM features
          WHERE age IS NOT NULL AND frequency IS NOT NULL AND monetary IS NOT NULL AND avg_transaction IS NOT NULL
            AND CAST('0x' || substr(md5('42:' || customer_id), 1, 8) AS BIGINT) % 100 >= 80),
@@ -299,9 +300,12 @@ walk AS (
   WHERE n.feature IS NOT NULL),
 scored AS (
   SELECT any_value(t.customer_id) AS customer_id, any_value(t.customer_value) AS customer_value,
-         round(sum(n.p_high) / count(*), 9) AS p_high
+         any_value(t.monetary) AS monetary, round(sum(n.{leaf}) / count(*), {digits}) AS {leaf}
   FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node JOIN test t ON t.r = w.r
   WHERE n.feature IS NULL GROUP BY w.r)"""
+
+    scored, spend = walked(FOREST, "p_high", 9), walked(SPEND_FOREST, "prediction", 2)
+    nodes = f"nodes AS (SELECT * FROM read_parquet('{forest_path()}'))"
     return {
         "value_predictions": f"""WITH {scored}
 SELECT customer_id, customer_value, CAST(p_high > 0.5 AS INTEGER) AS prediction, p_high FROM scored""",
@@ -310,6 +314,13 @@ c AS (SELECT p_high AS s, count(*) FILTER (WHERE customer_value = 1) AS p, count
       FROM scored GROUP BY p_high),
 w AS (SELECT p, n, p * (2 * (sum(n) OVER (ORDER BY s) - n) + n) AS w FROM c)
 SELECT 'areaUnderROC' AS metric, CAST(sum(w) AS DOUBLE) / CAST(2 * sum(p) * sum(n) AS DOUBLE) AS value FROM w""",
+        "spend_regression": f"WITH {spend} SELECT customer_id, monetary, prediction FROM scored",
+        "spend_errors": f"""WITH {spend},
+c AS (SELECT CAST(round(monetary * 100) AS HUGEINT) AS y, CAST(round(prediction * 100) AS HUGEINT) AS p FROM scored),
+s AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum((y - p) * (y - p)) AS DOUBLE) AS sse, CAST(sum(abs(y - p)) AS DOUBLE) AS sae,
+             CAST(sum(y) AS DOUBLE) AS sy, CAST(sum(y * y) AS DOUBLE) AS syy FROM c)
+SELECT CAST(n AS BIGINT) AS n, round(sqrt(sse / n) / 100, 6) AS rmse, round(sae / n / 100, 6) AS mae,
+       round(1 - sse / (syy - sy * sy / n), 6) AS r2 FROM s""",
         "feature_importance": f"""WITH {nodes},
 g AS (SELECT tree, feature, sum(gain * "rows") AS g FROM nodes WHERE feature IS NOT NULL GROUP BY tree, feature),
 shares AS (SELECT feature, g / sum(g) OVER (PARTITION BY tree) AS share FROM g),

@@ -15,7 +15,7 @@ FAST_ORACLE = ["customer_segments", "segment_counts", "age_gender", "category_su
                "monetary_histogram", "pivot_age_payment", "enrich_dates", "overview", "top_category_trend",
                "exact_price", "median_monetary", "score_auc", "split_counts", "value_test_keys",
                "sorted_positions", "shopping_csv_reordered", "profile_schema", "value_predictions", "value_auc",
-               "feature_importance"]
+               "feature_importance", "spend_regression", "spend_errors", "top_category_gender_wide", "payment_top5_share_wide"]
 
 
 def test_entry(spark):
@@ -26,7 +26,7 @@ def test_entry(spark):
 
 def test_oracle_keys_are_queries():
     assert set(E.oracle_sql()) <= set(E.queries())
-    model = {"value_predictions", "value_auc", "feature_importance"}  # with a session, whose shared folder they read
+    model = {"value_predictions", "value_auc", "feature_importance", "spend_regression", "spend_errors"}  # with a session, whose shared folder they read
     assert set(catalog.queries()) - set(oracle.oracle_sql()) in (set(), model)
 
 

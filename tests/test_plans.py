@@ -11,7 +11,8 @@ from conftest import SF_SMALL
 SIDE_EFFECTS = {"value_predictions", "value_auc", "feature_importance", "ingest_roundtrip",
                 "ingest_late_files", "ingest_reordered", "ingest_rejects", "report_roundtrip", "report_inventory",
                 "shopping_csv", "shopping_csv_reordered", "behaviour_csv", "ingest_wide",
-                "ingest_layouts", "ingest_ledger", "run_status", "report_set"}
+                "ingest_layouts", "ingest_ledger", "run_status", "report_set",
+                "spend_regression", "spend_errors"}
 
 
 def plan_text(df):

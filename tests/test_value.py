@@ -200,3 +200,29 @@ def test_nodes_score_and_weigh_like_the_model(spark, scratch):
         assert abs(found.get(r.feature, 0.0) - r.importance) < 1e-12
     auc = value.value_auc(value.value_predictions(model, df)).first().value
     assert abs(value.rank_auc(scored.withColumn("p", F.round("p_high", 9)), "p", "customer_value").first().auc - auc) < 1e-9
+
+
+def test_regression_nodes_and_errors(spark, scratch):
+    rnd = random.Random(8)
+    rows = [(f"c{i}", 20 + i % 50, i % 9, round(10.0 * (i % 9) + rnd.uniform(0, 5), 2), rnd.uniform(0, 9)) for i in range(400)]
+    df = value.value_features(spark.createDataFrame(
+        rows, "customer_id string, age int, frequency long, monetary double, avg_transaction double"), value.SPEND_FEATURES)
+    model = value.spend_model(df, num_trees=8)
+    nodes = value.forest_nodes(model, f"{scratch}/spend", value.SPEND_FEATURES)
+    want = {r.customer_id: r.prediction for r in model.transform(df).collect()}
+    scored = value.score_nodes(df, nodes, "prediction")
+    found = scored.collect()
+    assert all(abs(r.prediction - want[r.customer_id]) < 1e-9 for r in found)
+    errors = value.regression_errors(scored).first()
+    off = [round(r.monetary, 2) - round(r.prediction, 2) for r in found]
+    mean = sum(r.monetary for r in found) / len(found)
+    assert errors.n == 400 and errors.rmse == pytest.approx((sum(e * e for e in off) / 400) ** 0.5, abs=1e-6)
+    assert errors.mae == pytest.approx(sum(map(abs, off)) / 400, abs=1e-6)
+    assert errors.r2 == pytest.approx(1 - sum(e * e for e in off) / sum((r.monetary - mean) ** 2 for r in found), abs=1e-9)
+    same = spark.createDataFrame([(5.0, 4.0), (5.0, 6.0), (None, 1.0)], "monetary double, prediction double")
+    flat = value.regression_errors(same).first()
+    assert (flat.n, flat.rmse, flat.r2) == (2, 1.0, None)
+    none = value.regression_errors(same.limit(0)).first()
+    assert (none.n, none.rmse, none.r2) == (0, None, None)
+    with pytest.raises(ValueError):
+        value.spend_model(df.limit(0))
