@@ -89,7 +89,7 @@ class Index:
         self.rank[np.lexsort((self.ids, ties))] = np.arange(len(order))
         self.first = np.concatenate([[0], np.cumsum([len(vectors[e][0]) for e in order])]).astype(np.int64)
         self.term = np.concatenate([np.zeros(0, np.int32)] + [vectors[e][0] for e in order]).astype(np.int32)
-        self.weight = np.concatenate([np.zeros(0)] + [vectors[e][1] for e in order])
+        self.weight = np.concatenate([np.zeros(0, np.float32)] + [vectors[e][1].astype(np.float32) for e in order])
         self.curve, self.none = (0.0, 0.0), 0.0  # see calibration
         self.opened = self.blocks = 0
 
@@ -116,7 +116,7 @@ class Index:
         self.tops = np.ascontiguousarray(self.tiles.max(1, initial=0).T)
         rare, at = self.term[~dense], place[~dense]
         by = np.argsort(rare, kind="stable")
-        self.place, self.impact = at[by].astype(np.int32), self.weight[~dense][by]
+        self.place, self.impact = at[by].astype(np.int32), self.weight[~dense][by].astype(np.float64)
         self.cut = np.searchsorted(rare[by], np.arange(len(self.terms) + 1))
         self.made = True
 
@@ -325,13 +325,14 @@ def build(examples: _Examples, table: np.ndarray, n: int, df: np.ndarray) -> Ind
         none = (np.zeros(0, np.int64), np.zeros(0))
         return Index(examples.ids, examples.labels, [none] * len(examples.ids), np.zeros(0), np.zeros(0, np.uint64), examples.ties)
     terms = np.unique(np.concatenate(examples.terms))
-    term = np.searchsorted(terms, np.concatenate(examples.terms))
-    example = np.repeat(np.arange(len(examples.ids)), [len(t) for t in examples.terms])
-    weight = FLOOR + association(term, examples.labels[example], pos, neg, len(terms))
+    places = [np.searchsorted(terms, t).astype(np.int32) for t in examples.terms]
+    term = np.concatenate(places)
+    label = np.repeat(examples.labels.astype(np.float32), [len(t) for t in places])
+    weight = FLOOR + association(term, label, pos, neg, len(terms))
+    del term, label
     idf = (np.log((1 + n) / (1 + df[np.searchsorted(table, terms)])) + 1) * weight
-    w = (1 + np.log(np.concatenate(examples.counts))) * idf[term]
-    cut = np.searchsorted(example, np.arange(len(examples.ids) + 1))
-    vectors = [(term[a:b], unit(w[a:b])) for a, b in zip(cut[:-1], cut[1:])]
+    # example by example, so that a task holds few arrays of all postings at a time
+    vectors = [(t, unit((1 + np.log(c)) * idf[t]).astype(np.float32)) for t, c in zip(places, examples.counts)]
     return Index(examples.ids, examples.labels, vectors, idf, terms, examples.ties)
 
 
