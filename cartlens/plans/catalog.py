@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators import basket, clean, reports, value, views
 from ..schemas import BEHAVIOUR_RENAME, BRONZE, SHOPPING
-from ..session import checkpointed, shared_path
+from ..session import checkpointed, remove_shared, shared_path
 from ..sources.files import (fixed_decimals, read_behaviour, read_report, read_shopping, report_inventory,
                              write_report)
 from ..sources.report_set import ReportSet
@@ -25,6 +25,10 @@ SEGMENT_THRESHOLDS = dict(high_value=1_200_000.0, frequent=45, high_ticket=28_00
 GENDERS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 METHODS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
+#: Cells (lines times columns) of the wide files that are in the spool at a time, about,
+#: and the files they are written as.
+DROP_CELLS, DROP_FILES = 160_000_000, 8
+
 #: Folders of the forests' node tables in the shared folder.
 FOREST, SPEND_FOREST = "forest", "spend_forest"
 
@@ -153,16 +157,25 @@ def q_enrich_dates(spark, sf):
 
 def _drain(spark, name, *drops):
     """Write each frame into a spool folder and drain it into bronze, one after
-    the other; a frame may come with the age in days its files shall have."""
+    the other; a frame may come with the age in days its files shall have. Files
+    leave the spool when they have landed, so it holds one frame's at a time."""
     base = shared_path(spark, name, unique=True)
     for k, (df, age) in enumerate(drops):
         write_report(df, f"{base}/spool/{k}")
         if age:
             _backdate(spark, f"{base}/spool/{k}", age)
         run_ingest(spark, f"{base}/spool/*", f"{base}/bronze", f"{base}/_checkpoint")
+        remove_shared(spark, f"{base}/spool/{k}")
     return f"{base}/bronze"
 
 
+def _staged_apart(spark, name, df, *by):
+    """``df`` written once, in a folder for each value of the columns ``by``, and read back."""
+    path = shared_path(spark, name, "lines", unique=True)
+    df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _backdate(spark, folder, days):
     """Set the modification time of a folder's files (file metadata only)."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
@@ -214,9 +227,21 @@ def _wide(df, width, text):
 
 
 def _wide_drops(spark, sf, name):
+    """The lines as wide files, dropped and drained in slices of about DROP_CELLS: the
+    files are many times as large as the tables and are never all in the spool."""
     lines = shopping_from_tables(spark, sf)
     far = F.pmod(F.coalesce(F.xxhash64("customer_id"), F.lit(0)), F.lit(2)) == 0
-    return _drain(spark, name, (_wide(lines.where(~far), 70, "x"), 0), (_wide(lines.where(far), 200, 'a, "b" c'), 0))
+    n = shopping_from_tables(spark, sf, ["invoice_no"]).count()
+    slices = {width: max(1, -(-n * width // DROP_CELLS)) for width in (70, 200)}
+    line = F.xxhash64(*lines.columns)
+    number = F.when(far, F.pmod(line, F.lit(slices[200]))).otherwise(F.pmod(line, F.lit(slices[70])))
+    file = F.pmod(F.xxhash64(F.lit(1), *lines.columns), F.lit(DROP_FILES))
+    staged = _staged_apart(spark, name, lines.withColumns(
+        {"__width": F.when(far, 200).otherwise(70), "__slice": number.cast("int")}).repartition("__width", "__slice", file),
+        "__width", "__slice")
+    drops = [(_wide(staged.where((F.col("__width") == width) & (F.col("__slice") == k)).select(*lines.columns), width, text), 0)
+             for width, text in ((70, "x"), (200, 'a, "b" c')) for k in range(slices[width])]
+    return _drain(spark, name, *drops)
 
 
 def q_ingest_wide(spark, sf):

@@ -247,3 +247,27 @@ def test_bronze_files_are_bounded_by_bytes(spark, scratch):
     assert landed.count() == 20_300 and landed.select("line", "source_name").distinct().count() == 20_300
     with pytest.raises(ValueError, match="files or by bytes"):
         run_ingest(spark, spool, bronze, ckpt, max_bytes_per_trigger=1, max_files_per_trigger=1)
+
+
+def test_wide_drops_are_sliced_and_leave_the_spool(spark, monkeypatch):
+    """Wide files go through the spool a slice at a time, every line once."""
+    from cartlens.plans import catalog
+    from conftest import SF_SMALL
+
+    held, drained = [], catalog.run_ingest
+
+    def run(spark_, spool, *args, **kwargs):
+        base = spool.removesuffix("/*")
+        held.append(sorted(os.listdir(base)))
+        return drained(spark_, spool, *args, **kwargs)
+
+    monkeypatch.setattr(catalog, "run_ingest", run)
+    lines = catalog.shopping_from_tables(spark, SF_SMALL)
+    n = lines.count()
+    monkeypatch.setattr(catalog, "DROP_CELLS", n * 100)
+    bronze = catalog._wide_drops(spark, SF_SMALL, "ingest_sliced")
+    assert held == [["0"], ["1"], ["2"]] and os.listdir(os.path.dirname(bronze) + "/spool") == []
+    rows = read_landed(spark, bronze, SHOPPING, source_like="part-%")
+    assert rows.exceptAll(lines).count() == 0 and rows.count() == n
+    found = landed_layouts(spark, bronze, SHOPPING, source_like="part-%").collect()
+    assert sorted(r.width for r in found) == [70, 200]
