@@ -90,7 +90,7 @@ def land_batch(files: DataFrame, batch: int, bronze_dir: str, file_bytes: int =
         _file("file_name").alias("source_name"), F.col("_metadata.file_modification_time").alias("source_modified"),
         F.col("_metadata.file_size").alias("source_length"), F.current_date().alias("ingest_date"))
     parts = max(1, -(-sum(f["source_length"] for f in listed) // file_bytes))
-    (lines.coalesce(parts).write.mode("overwrite").partitionBy("ingest_date")
+    (lines.coalesce(parts).write.mode("overwrite").partitionBy("ingest_date").option("compression", "zstd")
      .parquet(f"{bronze_dir.rstrip('/')}/ingest_batch={batch}"))
     files.drop("path").coalesce(1).write.mode("overwrite").parquet(f"{ledger_path(bronze_dir)}/ingest_batch={batch}")
 
@@ -235,7 +235,8 @@ def read_landed(spark: SparkSession, bronze_dir: str, schema: T.StructType,
     """
     bronze, names = _landed(spark, bronze_dir, source_name, source_like, ingest_from, ingest_to), _names(schema)
     if header:
-        bronze = bronze.where(~_header_test(names)).join(_layouts(bronze, names), "source_file", "left")
+        # one row per file, which the drain's driver has listed: the lines themselves stay where they are
+        bronze = bronze.where(~_header_test(names)).join(F.broadcast(_layouts(bronze, names)), "source_file", "left")
         missing = F.raise_error(F.concat(F.lit(f"no header line with {schema.fieldNames()} in "), "source_file"))
         places = F.coalesce("places", missing.cast("array<int>"))
     else:

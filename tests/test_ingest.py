@@ -271,3 +271,13 @@ def test_wide_drops_are_sliced_and_leave_the_spool(spark, monkeypatch):
     assert rows.exceptAll(lines).count() == 0 and rows.count() == n
     found = landed_layouts(spark, bronze, SHOPPING, source_like="part-%").collect()
     assert sorted(r.width for r in found) == [70, 200]
+
+
+def test_landed_lines_are_not_shuffled_to_their_layouts(spark, scratch):
+    spool, bronze, ckpt = (os.path.join(scratch, d) for d in ("spool", "bronze", "ckpt"))
+    os.makedirs(spool)
+    write(spool, "a.csv", f"{HEADER}\ni1,c,F,30,A,1,1.0,Cash,1/1/2022\n")
+    run_ingest(spark, spool, bronze, ckpt)
+    rows = read_landed(spark, bronze, SHOPPING)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.count() == 1 and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
