@@ -263,11 +263,15 @@ def _empty_file(spark, path):
 
 def q_ingest_ledger(spark, sf):
     """Three drains of a file each, the second with an empty file besides: what the
-    ledger holds of each micro-batch, the lines that landed, and of how many files."""
+    ledger holds of each micro-batch, the lines that landed, and of how many files.
+    A file is written by one task, so the lines are made before, by many tasks and once
+    for all drains; the writer reads its file's columns as compressed Parquet."""
     base, lines = shared_path(spark, "ingest_ledger", unique=True), shopping_from_tables(spark, sf)
+    rest = F.coalesce(F.col("invoice_no").cast("long"), F.lit(0)) % 3
+    staged = _staged_apart(spark, "ingest_ledger", lines.withColumn("__rest", rest.cast("int"))
+                           .sortWithinPartitions("__rest", "invoice_no"), "__rest")
     for k in range(3):
-        write_report(lines.where(F.coalesce(F.col("invoice_no").cast("long"), F.lit(0)) % 3 == k),
-                     f"{base}/spool/{k}", single_file=True)
+        write_report(staged.where(F.col("__rest") == k).select(*lines.columns), f"{base}/spool/{k}", single_file=True)
         if k == 1:
             _empty_file(spark, f"{base}/spool/{k}/nothing.csv")
         run_ingest(spark, f"{base}/spool/*", f"{base}/bronze", f"{base}/_checkpoint")

@@ -281,3 +281,23 @@ def test_landed_lines_are_not_shuffled_to_their_layouts(spark, scratch):
     rows = read_landed(spark, bronze, SHOPPING)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert rows.count() == 1 and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_the_writer_of_a_ledger_file_reads_prepared_lines(spark, monkeypatch):
+    """The one task that writes a file joins nothing."""
+    from cartlens.plans import catalog
+    from conftest import SF_SMALL
+
+    plans, write_ = [], catalog.write_report
+
+    def watch(df, path, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write_(df, path, **kwargs)
+
+    monkeypatch.setattr(catalog, "write_report", watch)
+    got = {r.batch: (r.files, r.lines, r.landed_files) for r in catalog.q_ingest_ledger(spark, SF_SMALL).collect()}
+    assert len(plans) == 3 and not any("Join" in p or "Exchange" in p for p in plans)
+    lines = catalog.shopping_from_tables(spark, SF_SMALL, ["invoice_no"])
+    want = {r.k: (1, r["count"] + 1, 1) for r in lines.groupBy(
+        (F.coalesce(F.col("invoice_no").cast("long"), F.lit(0)) % 3).alias("k")).count().collect()}
+    assert got == want
