@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from itertools import groupby
+from itertools import compress, groupby, pairwise
 from operator import itemgetter
 
 import numpy as np
@@ -44,6 +44,8 @@ STRIDE, TRAINER_POSITIONS, ROUNDS, STEP, RATE = 2, 1 << 21, 2, 2048, 0.1
 PIECE = 512
 #: Distinct words that a counting task holds before it passes its counts on.
 HELD_WORDS = 200_000
+#: Words whose ids a task keeps, and positions that are scored together.
+HELD_IDS, SCORED = 100_000, 4096
 
 #: log p(word | id) is summed in steps of 1 / SHARE: the same sum in any order.
 SHARE = 1 << 30
@@ -63,6 +65,16 @@ class Words(dict):
         return VOCAB - HASHED + zlib.crc32(word.encode("utf-8", "surrogatepass")) % HASHED
 
 
+class HeldWords(Words):
+    """The same ids; those of some rarer words are kept once they were looked up."""
+
+    def __missing__(self, word: str) -> int:
+        at = super().__missing__(word)
+        if len(self) < HELD_IDS:
+            self[word] = at
+        return at
+
+
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) over all documents."""
 
@@ -131,6 +143,7 @@ class Network:
     def __init__(self, flat: np.ndarray | None = None):
         size = sum(int(np.prod(s)) for s in self.SHAPES.values())
         self.flat = np.zeros(size, dtype=np.float32) if flat is None else flat
+        self.working, self.slope = {}, None
         at = 0
         for name, shape in self.SHAPES.items():
             n = int(np.prod(shape))
@@ -144,74 +157,123 @@ class Network:
         net.hidden[:] = rng.normal(0, 1 / np.sqrt(2 * SIDE * EMBED), net.hidden.shape)
         return net
 
+    def held(self, name: str, *shape: int) -> np.ndarray:
+        """Working memory that is kept from step to step, with any content."""
+        size = int(np.prod(shape))
+        if name not in self.working or self.working[name].size < size:
+            self.working[name] = np.empty(size, self.flat.dtype)
+        return self.working[name][:size].reshape(shape)
+
+    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """x (n, 2 SIDE EMBED), and h with a row of ones beneath (HIDDEN + 1, n)."""
+        n = len(context)
+        x = self.held("x", context.size, EMBED)
+        np.take(self.embed, context.ravel(), axis=0, out=x, mode="clip")
+        x, h = x.reshape(n, -1), self.held("h", HIDDEN + 1, n)
+        np.matmul(self.hidden.T, x.T, out=h[:HIDDEN])
+        h[:HIDDEN] += self.hidden_0[:, None]
+        np.tanh(h[:HIDDEN], out=h[:HIDDEN])
+        h[HIDDEN] = 1
+        return x, h
+
+    def class_logits(self, h: np.ndarray) -> np.ndarray:
+        z = np.matmul(self.cls.T, h[:HIDDEN], out=self.held("z_cls", CLASSES, h.shape[1]))
+        z += self.cls_0[:, None]
+        return z
+
+    def member_logits(self, h: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        """(MEMBERS, n): positions lie by class, from cut to cut."""
+        own = self.held("own", CLASSES, HIDDEN + 1, MEMBERS)
+        own[:, :HIDDEN], own[:, HIDDEN] = self.own, self.own_0
+        z = self.held("z_own", MEMBERS, h.shape[1])
+        for k, (a, b) in enumerate(pairwise(cuts)):
+            if a < b:
+                np.matmul(own[k].T, h[:, a:b], out=z[:, a:b])
+        return z
+
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probability of each target given its context."""
-        x = self.embed[context].reshape(len(target), -1)
-        h = np.tanh(x @ self.hidden + self.hidden_0)
         group, member = np.divmod(target, MEMBERS)
-        z = h @ self.cls + self.cls_0
-        out = z[np.arange(len(target)), group] - log_sum_exp(z)
-        for k, at in by_class(group):
-            z = h[at] @ self.own[k] + self.own_0[k]
-            out[at] += z[np.arange(len(at)), member[at]] - log_sum_exp(z)
+        order, cuts = by_class(group)
+        _, h = self.forward(context[order])
+        out = np.empty(len(target), self.flat.dtype)
+        out[order] = (softmax(self.class_logits(h), group[order])[0]
+                      + softmax(self.member_logits(h, cuts), member[order])[0])
         return out
 
     def gradient(self, context: np.ndarray, target: np.ndarray) -> tuple[float, Network]:
-        """Mean loss (negative log-probability) and its gradient."""
+        """Mean loss (negative log-probability) and its gradient, which the next call overwrites."""
         n = len(target)
-        x = self.embed[context].reshape(n, -1)
-        h = np.tanh(x @ self.hidden + self.hidden_0)
         group, member = np.divmod(target, MEMBERS)
-        g, loss = Network(), 0.0
-        z = h @ self.cls + self.cls_0
-        d, part = softmax_step(z, group, n)
-        loss += part
-        g.cls[:], g.cls_0[:] = h.T @ d, d.sum(axis=0)
-        dh = d @ self.cls.T
-        for k, at in by_class(group):
-            d, part = softmax_step(h[at] @ self.own[k] + self.own_0[k], member[at], n)
-            loss += part
-            g.own[k], g.own_0[k] = h[at].T @ d, d.sum(axis=0)
-            dh[at] += d @ self.own[k].T
-        dz = dh * (1 - h * h)
-        g.hidden[:], g.hidden_0[:] = x.T @ dz, dz.sum(axis=0)
-        dx = (dz @ self.hidden.T).reshape(-1, EMBED)
-        flat = context.ravel()
+        order, cuts = by_class(group)  # positions lie by class from here on
+        context = context[order]
+        x, h = self.forward(context)
+        if self.slope is None:
+            self.slope = Network(np.zeros_like(self.flat))
+        g = self.slope
+        d, loss = softmax_step(self.class_logits(h), group[order], n)
+        np.matmul(h[:HIDDEN], d.T, out=g.cls)
+        d.sum(axis=1, out=g.cls_0)
+        dh = np.matmul(self.cls, d, out=self.held("dh", HIDDEN, n))
+        d, part = softmax_step(self.member_logits(h, cuts), member[order], n)
+        own, back = self.held("own", CLASSES, HIDDEN + 1, MEMBERS), self.held("back", HIDDEN, n)
+        own[:] = 0
+        for k, (a, b) in enumerate(pairwise(cuts)):
+            if a < b:
+                np.matmul(h[:, a:b], d[:, a:b].T, out=own[k])
+                np.matmul(self.own[k], d[:, a:b], out=back[:, a:b])
+        g.own[:], g.own_0[:] = own[:, :HIDDEN], own[:, HIDDEN]
+        dh += back
+        h = h[:HIDDEN]
+        np.multiply(h, h, out=back)
+        np.subtract(1, back, out=back)
+        dh *= back
+        np.matmul(x.T, dh.T, out=g.hidden)
+        dh.sum(axis=1, out=g.hidden_0)
+        dx = np.matmul(self.hidden, dh, out=self.held("dx", 2 * SIDE * EMBED, n)).reshape(2 * SIDE, EMBED, n)
+        flat = context.T.ravel()
         for j in range(EMBED):
-            g.embed[:, j] = np.bincount(flat, weights=dx[:, j], minlength=VOCAB + 1)
-        return loss, g
+            g.embed[:, j] = np.bincount(flat, weights=dx[:, j].ravel(), minlength=VOCAB + 1)
+        return loss + part, g
 
 
-def log_sum_exp(z: np.ndarray) -> np.ndarray:
-    top = z.max(axis=1, keepdims=True)
-    return np.log(np.exp(z - top).sum(axis=1)) + top[:, 0]
+def softmax(z: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By column of ``z``: the log-probability of the target's row, and the sum of the
+    exponentials (less the largest), by which ``z`` is overwritten."""
+    z -= z.max(axis=0)
+    hit = z[target, np.arange(len(target))]
+    np.exp(z, out=z)
+    total = z.sum(axis=0)
+    return hit - np.log(total), total
 
 
 def softmax_step(z: np.ndarray, target: np.ndarray, n: int) -> tuple[np.ndarray, float]:
-    rows = np.arange(len(target))
-    lse = log_sum_exp(z)
-    loss = float((lse - z[rows, target]).sum()) / n
-    d = np.exp(z - lse[:, None]) / np.float32(n)
-    d[rows, target] -= np.float32(1 / n)
-    return d, loss
+    """The slope of the mean loss by ``z``, written over it, and the loss."""
+    log, total = softmax(z, target)
+    z *= 1 / (total * z.dtype.type(n))
+    z[target, np.arange(len(target))] -= z.dtype.type(1 / n)
+    return z, -float(log.sum()) / n
 
 
-def by_class(group: np.ndarray):
-    order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for k in range(CLASSES):
-        if cuts[k] < cuts[k + 1]:
-            yield k, order[cuts[k]:cuts[k + 1]]
+def by_class(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of positions by class, and where each class begins and the last ends."""
+    order = np.argsort(group.astype(np.uint8), kind="stable")
+    return order, np.concatenate([[0], np.cumsum(np.bincount(group, minlength=CLASSES))])
 
 
 def train(net: Network, pieces) -> int:
     """Adagrad over (n, 2 SIDE + 1) arrays of contexts and targets, in order."""
     seen, squares, rest, width = 0, np.full_like(net.flat, 1e-6), [], 0
+    move = np.empty_like(net.flat)
 
     def step(rows):
         _, g = net.gradient(rows[:, :-1], rows[:, -1])
-        np.add(squares, g.flat * g.flat, out=squares)
-        net.flat -= np.float32(RATE) * g.flat / np.sqrt(squares)
+        np.multiply(g.flat, g.flat, out=move)
+        np.add(squares, move, out=squares)
+        np.sqrt(squares, out=move)
+        np.divide(g.flat, move, out=move)
+        np.multiply(move, np.float32(RATE), out=move)
+        np.subtract(net.flat, move, out=net.flat)
         return len(rows)
 
     for piece in pieces:
@@ -234,7 +296,7 @@ def positions(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: s
     sent = docs.sparkSession.sparkContext.broadcast(dict(words))  # at most VOCAB words
 
     def run(batches):
-        known = Words(sent.value)
+        known = HeldWords(sent.value)
         for part in batch_rows(batches):
             keys, sizes, packed = [], [], []
             for doc, text in zip(part.column("doc").to_pylist(), part.column("text").to_pylist()):
@@ -335,20 +397,20 @@ def score(docs: DataFrame, words: Words, net: Network, id_col: str = "doc_id", t
     sent = docs.sparkSession.sparkContext.broadcast((dict(words), net.flat))
 
     def run(batches):
-        known, net = Words(sent.value[0]), Network(sent.value[1])
+        known, net = HeldWords(sent.value[0]), Network(sent.value[1])
         for part in batch_rows(batches, 64):
             ids, rare, times = [], [], []
             for text in part.column("text").to_pylist():
                 found = tokens(text)
+                ids.append(np.fromiter(map(known.__getitem__, found), np.int64, len(found)))
                 if counted:
-                    sharing = Counter(w for w in found if w not in known)
+                    sharing = Counter(compress(found, (ids[-1] >= VOCAB - HASHED).tolist()))
                     rare.append(list(sharing))
                     times.append(list(sharing.values()))
-                ids.append(np.fromiter(map(known.__getitem__, found), np.int64, len(found)))
             context = np.concatenate([contexts(x) for x in ids])
             target = np.concatenate(ids)
             logs = np.concatenate([np.zeros(0, np.float32)] + [
-                net.log_probs(context[at:at + 16_384], target[at:at + 16_384]) for at in range(0, len(target), 16_384)])
+                net.log_probs(context[at:at + SCORED], target[at:at + SCORED]) for at in range(0, len(target), SCORED)])
             size = np.array([len(x) for x in ids])
             total = np.concatenate([[0.0], np.cumsum(logs, dtype=np.float64)])
             end = np.cumsum(size)
