@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from itertools import compress, groupby, pairwise
+from itertools import compress, groupby, pairwise, repeat
 from operator import itemgetter
 
 import numpy as np
@@ -44,8 +44,8 @@ STRIDE, TRAINER_POSITIONS, ROUNDS, STEP, RATE = 2, 1 << 21, 2, 2048, 0.1
 PIECE = 512
 #: Distinct words that a counting task holds before it passes its counts on.
 HELD_WORDS = 200_000
-#: Words whose ids a task keeps, and positions that are scored together.
-HELD_IDS, SCORED = 100_000, 4096
+#: Positions that are scored together.
+SCORED = 4096
 
 #: log p(word | id) is summed in steps of 1 / SHARE: the same sum in any order.
 SHARE = 1 << 30
@@ -65,14 +65,14 @@ class Words(dict):
         return VOCAB - HASHED + zlib.crc32(word.encode("utf-8", "surrogatepass")) % HASHED
 
 
-class HeldWords(Words):
-    """The same ids; those of some rarer words are kept once they were looked up."""
-
-    def __missing__(self, word: str) -> int:
-        at = super().__missing__(word)
-        if len(self) < HELD_IDS:
-            self[word] = at
-        return at
+def coded(found: list[str], words: dict) -> tuple[np.ndarray, list[str]]:
+    """The ids of a text's tokens by ``words``, and those tokens that share theirs."""
+    ids = np.fromiter(map(words.get, found, repeat(-1)), np.int64, len(found))
+    shared = ids < 0
+    rare = list(compress(found, shared.tolist()))
+    spelled = map(str.encode, rare, repeat("utf-8"), repeat("surrogatepass"))
+    ids[shared] = VOCAB - HASHED + np.fromiter(map(zlib.crc32, spelled), np.int64, len(rare)) % HASHED
+    return ids, rare
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -122,7 +122,8 @@ def with_shares(rows: DataFrame, counts: DataFrame, words: Words) -> DataFrame:
     known = rare.join(total, "id").select("word", F.log(F.col("n") / F.col("total")).alias("log"))
     spelled = -(F.octet_length("word") + 1) * F.lit(float(np.log(257)))
     left = F.coalesce(F.log(F.col("kinds") / F.col("total")), F.lit(0.0))
-    return (rows.join(known, "word", "left").withColumn("id", shared_id()).join(total, "id", "left")
+    # hashed, not sorted: a task holds its part of the rarer words, not the rows
+    return (rows.join(known.hint("shuffle_hash"), "word", "left").withColumn("id", shared_id()).join(total, "id", "left")
             .withColumn("share", F.round(F.coalesce("log", left + spelled) * SHARE).cast("long"))
             .drop("id", "log", "total", "kinds"))
 
@@ -289,20 +290,49 @@ def train(net: Network, pieces) -> int:
     return seen
 
 
-def positions(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, rare, times), one row per input row: the tokens' ids in 16 bits, and
+    the words without an id of their own with how often they occur."""
+    sent = docs.sparkSession.sparkContext.broadcast(dict(words))  # at most VOCAB words
+
+    def run(batches):
+        known = sent.value
+        for part in batch_rows(batches):
+            packed, rare, times = [], [], []
+            for text in part.column("text").to_pylist():
+                ids, sharing = coded(tokens(text), known)
+                sharing = Counter(sharing)
+                packed.append(ids.astype("<u2").tobytes())
+                rare.append(list(sharing))
+                times.append(list(sharing.values()))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(packed, pa.binary()), pa.array(rare, pa.list_(pa.string())),
+                 pa.array(times, pa.list_(pa.int64()))], ["doc_id", "ids", "rare", "times"])
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return map_texts(rows, run, f"doc_id {kind}, ids binary, rare array<string>, times array<long>")
+
+
+def staged_codes(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``encode`` with a number for each row, written once for training and scoring."""
+    return staged(encode(docs, words, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "lm_codes")
+
+
+def positions(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: str = "text",
+              codes: DataFrame | None = None) -> DataFrame:
     """(key, n, ids): every document in pieces of at most PIECE positions, packed as
     16-bit ids with the SIDE ids on either side. The key hashes id and piece, so
-    that copies of one text do not meet in one trainer."""
-    sent = docs.sparkSession.sparkContext.broadcast(dict(words))  # at most VOCAB words
+    that copies of one text do not meet in one trainer. ``codes``: the documents'
+    encode, where it is at hand."""
 
     def run(batches):
-        known = HeldWords(sent.value)
         for part in batch_rows(batches):
             keys, sizes, packed = [], [], []
-            for doc, text in zip(part.column("doc").to_pylist(), part.column("text").to_pylist()):
-                found = tokens(text)
+            for doc, ids in zip(part.column("doc").to_pylist(), part.column("ids").to_pylist()):
+                found = np.frombuffer(ids, dtype="<u2")
                 wide = np.full(len(found) + 2 * SIDE, VOCAB, dtype="<u2")
-                wide[SIDE:SIDE + len(found)] = np.fromiter(map(known.__getitem__, found), np.int64, len(found))
+                wide[SIDE:SIDE + len(found)] = found
                 for at in range(0, len(found), PIECE):
                     piece = wide[at:at + PIECE + 2 * SIDE].tobytes()
                     keys.append(doc ^ zlib.crc32(piece))
@@ -311,8 +341,8 @@ def positions(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()),
                                               pa.array(packed, pa.binary())], ["key", "n", "ids"])
 
-    texts = docs.select(F.xxhash64(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    return map_texts(texts, run, "key long, n long, ids binary")
+    codes = encode(docs, words, id_col, text_col) if codes is None else codes
+    return map_texts(codes.select(F.xxhash64("doc_id").alias("doc"), "ids"), run, "key long, n long, ids binary")
 
 
 def targets(piece: bytes, residue: int) -> np.ndarray:
@@ -345,22 +375,27 @@ def _averaged(spark, parts: DataFrame) -> np.ndarray | None:
     return sum(np.frombuffer(r["flat"], dtype=np.float64) for r in rows) / sum(r["weight"] for r in rows)
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        counts: DataFrame | None = None) -> tuple[Words, Network]:
+def own_words(counts: DataFrame) -> Words:
+    """The most frequent words of ``word_counts``, which have ids of their own."""
+    top = counts.orderBy(F.desc("n"), "word").limit(VOCAB - HASHED).collect()
+    return Words({r["word"]: i for i, r in enumerate(top)})
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: DataFrame | None = None,
+        codes: DataFrame | None = None) -> tuple[Words, Network]:
     """The words with their own id and trained network of a corpus; an empty corpus,
     or one without tokens, gives the untrained network. ``counts``: its word_counts,
-    where they are at hand. The same corpus gives the same network on any layout: a
-    trainer's pieces lie in one file, in a fixed order, and every trainer starts a round
-    from the averaged network, whichever task reads it."""
+    ``codes``: its staged_codes by their own_words, where they are at hand. The same corpus gives
+    the same network on any layout: a trainer's pieces lie in one file, in a fixed order,
+    and every trainer starts a round from the averaged network, whichever task reads it."""
     spark = docs.sparkSession
     counts = word_counts(docs, text_col) if counts is None else counts
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCAB - HASHED).collect()
-    words = Words({r["word"]: i for i, r in enumerate(top)})
+    words = own_words(counts)
     n = counts.agg(F.sum("n").alias("n")).first()["n"] or 0  # every token is a position
     net = Network.fresh()
     trainers = max(1, -(-n // (STRIDE * TRAINER_POSITIONS)))
     # dealt once, a partition and so a file for each trainer, which every round reads back
-    dealt = (positions(docs, words, id_col, text_col)
+    dealt = (positions(docs, words, id_col, text_col, codes)
              .select(F.pmod(F.xxhash64("key"), F.lit(trainers)).cast("int").alias("trainer"), "key", "ids")
              .repartitionById(trainers, "trainer").sortWithinPartitions("trainer", F.xxhash64("key"), "ids"))
     dealt = staged(dealt.select("trainer", "ids"), "lm_dealt") if n else None
@@ -384,29 +419,25 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def score(docs: DataFrame, words: Words, net: Network, id_col: str = "doc_id", text_col: str = "text",
-          counts: DataFrame | None = None) -> DataFrame:
+          counts: DataFrame | None = None, codes: DataFrame | None = None) -> DataFrame:
     """(doc_id, n_tokens, pll, mean_pll), one row per input row.
 
     ``pll``: the sum over all tokens of log p(token | both sides); ``mean_pll``:
     per token. ``counts``: the word_counts of the fitted corpus; without them a word
-    that shares its id counts with the probability of the id. Null and empty texts have no token, pll 0 and a null mean. Ids may
-    be null or repeat; equal texts score alike; other columns are not read;
-    empty in, empty out.
+    that shares its id counts with the probability of the id. ``codes``: the documents'
+    staged_codes by ``words``, where they are at hand. Null and empty texts have no token, pll 0
+    and a null mean. Ids may be null or repeat; equal texts score alike; other columns
+    are not read; empty in, empty out.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast((dict(words), net.flat))
+    sent = docs.sparkSession.sparkContext.broadcast(net.flat)
+    if codes is None:
+        codes = (staged_codes(docs, words, id_col, text_col) if counts is not None  # read again for the rarer words
+                 else encode(docs, words, id_col, text_col).withColumn("row", F.lit(0).cast("long")))
 
     def run(batches):
-        known, net = HeldWords(sent.value[0]), Network(sent.value[1])
+        net = Network(sent.value)
         for part in batch_rows(batches, 64):
-            ids, rare, times = [], [], []
-            for text in part.column("text").to_pylist():
-                found = tokens(text)
-                ids.append(np.fromiter(map(known.__getitem__, found), np.int64, len(found)))
-                if counted:
-                    sharing = Counter(compress(found, (ids[-1] >= VOCAB - HASHED).tolist()))
-                    rare.append(list(sharing))
-                    times.append(list(sharing.values()))
+            ids = [np.frombuffer(x, dtype="<u2").astype(np.int64) for x in part.column("ids").to_pylist()]
             context = np.concatenate([contexts(x) for x in ids])
             target = np.concatenate(ids)
             logs = np.concatenate([np.zeros(0, np.float32)] + [
@@ -415,21 +446,18 @@ def score(docs: DataFrame, words: Words, net: Network, id_col: str = "doc_id", t
             total = np.concatenate([[0.0], np.cumsum(logs, dtype=np.float64)])
             end = np.cumsum(size)
             pll = total[end] - total[end - size]
-            columns = [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(pll, pa.float64())]
-            if counted:
-                columns += [pa.array(rare, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "pll", "rare", "times"][:len(columns)])
-
-    counted = counts is not None
-    found = map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, pll double"
-                                 + ", rare array<string>, times array<long>" * counted)
-    if counted:
-        found = staged(found.withColumn("row", F.monotonically_increasing_id()), "lm_scores")
-        sharing = (found.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row"), part.column("doc_id"), pa.array(size, pa.int64()), pa.array(pll, pa.float64())],
+                ["row", "doc_id", "n_tokens", "pll"])
+
+    found = map_texts(codes.select("row", "doc_id", "ids"), run,
+                      f"row long, doc_id {codes.schema['doc_id'].dataType.simpleString()}, n_tokens long, pll double")
+    if counts is not None:
+        sharing = (codes.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
                    .select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times")))
         add = (with_shares(sharing, counts, words).groupBy("row")
                .agg(F.sum(F.col("times") * F.col("share")).alias("add")))
-        found = (found.select("row", "doc_id", "n_tokens", "pll").join(add, "row", "left")
+        found = (found.join(add, "row", "left")
                  .withColumn("pll", F.col("pll") + F.coalesce(F.col("add") / SHARE, F.lit(0.0))))
     mean = F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens"))
     return found.select("doc_id", "n_tokens", "pll", mean.alias("mean_pll"))

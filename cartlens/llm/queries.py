@@ -88,7 +88,8 @@ def op6_toxicity(spark, sf_dir):
 def op7_lm_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     counts = staged(pseudo_lm.word_counts(docs), "lm_counts")
-    return pseudo_lm.score(docs, *pseudo_lm.fit(docs, counts=counts), counts=counts)
+    codes = pseudo_lm.staged_codes(docs, pseudo_lm.own_words(counts))
+    return pseudo_lm.score(docs, *pseudo_lm.fit(docs, counts=counts, codes=codes), counts=counts, codes=codes)
 
 
 def op8_byte_bpe(spark, sf_dir):

@@ -157,3 +157,36 @@ def test_every_trainer_has_a_network_of_its_own(spark, monkeypatch):
         assert [t for t, _ in round_] == list(range(trainers))
         assert max(w for _, w in round_) < 3 * 10_000 / lm.STRIDE / trainers
     assert sum(w for round_ in seen for _, w in round_) == 10_000
+
+
+def test_training_and_scoring_share_one_coded_pass(spark, monkeypatch):
+    """The same network and scores from the staged ids as from the texts, which are then cut into tokens once."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choices(["a", "b", "c", *(f"w{k}\u00e9" for k in range(300))], k=n)) for n in (1, 40, 600, 1200)]
+    docs = spark.createDataFrame([*enumerate(texts), (1, texts[1]), (None, None), (9, "")], "doc_id long, text string")
+    monkeypatch.setattr(lm, "HASHED", lm.VOCAB - 2)
+    counts = lm.word_counts(docs)
+    words = lm.own_words(counts)
+    codes = lm.staged_codes(docs, words)
+    for r in codes.collect():
+        found = lm.tokens(texts[r.doc_id] if r.doc_id in range(4) else None)
+        assert np.frombuffer(r.ids, "<u2").tolist() == [words[w] for w in found]
+        assert dict(zip(r.rare, r.times)) == Counter(w for w in found if w not in words)
+    plain, net = lm.fit(docs, counts=counts)[1], lm.fit(docs, counts=counts, codes=codes)[1]
+    assert np.array_equal(plain.flat, net.flat)
+    want = sorted(map(str, lm.score(docs, words, net, counts=counts).collect()))
+    monkeypatch.setattr(lm, "tokens", None)  # no text is read again
+    assert sorted(map(str, lm.score(docs, words, net, counts=counts, codes=codes).collect())) == want
+    plan = lm.with_shares(docs.select(F.col("text").alias("word")), counts, words)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan
+
+
+def test_steps_reuse_their_memory():
+    rng = np.random.default_rng(5)
+    net = lm.Network.fresh()
+    context, target = rng.integers(0, lm.VOCAB + 1, (lm.STEP, 4)), rng.integers(0, lm.VOCAB, lm.STEP)
+    _, first = net.gradient(context, target)
+    kept, room = first.flat.copy(), {k: id(v) for k, v in net.working.items()}
+    _, second = net.gradient(context[:7], target[:7])
+    assert {k: id(v) for k, v in net.working.items()} == room and second is first
+    assert np.array_equal(net.gradient(context, target)[1].flat, kept)  # nothing is left of the step between
