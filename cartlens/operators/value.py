@@ -165,7 +165,9 @@ def value_model(train: DataFrame, num_trees: int = TREES, max_depth: int = DEPTH
         raise ValueError("no feature vectors to train the value model on")
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
                                 maxDepth=max_depth, seed=seed)
-    return rf.fit(_laid_out(train, key, partitions))
+    # the copy leaves the training summary behind, which holds the session: once that has
+    # observed a frame (``plans.runs``), a model with its summary cannot be sent to tasks
+    return rf.fit(_laid_out(train, key, partitions)).copy()
 
 
 def _laid_out(train: DataFrame, key: str, partitions: int) -> DataFrame:
