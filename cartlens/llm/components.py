@@ -3,12 +3,43 @@ by alternating large-star and small-star rounds, and the way back to the rows.""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import staged
 
 #: Parts that the rows of one set and the sets of one class are dealt to.
 RUNS = 64
+#: Edges at most that one task finishes; more go through the rounds.
+FEW_EDGES = 1 << 16
+
+
+def least_reachable(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of places 0 to n - 1 the least that each reaches by the links i - j."""
+    root = np.arange(n)
+    while True:
+        now = root.copy()
+        np.minimum.at(now, i, root[j])
+        np.minimum.at(now, j, root[i])
+        now = now[now]
+        if (now == root).all():
+            return root
+        root = now
+
+
+def _in_one_task(edges: DataFrame) -> DataFrame:
+    """``components`` of at most FEW_EDGES edges (u, v)."""
+
+    def run(batches):
+        parts = [(part.column("u").to_numpy(), part.column("v").to_numpy()) for part in batches if part.num_rows]
+        if parts:
+            u, v = map(np.concatenate, zip(*parts))
+            ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+            root = ids[least_reachable(len(ids), at[:len(u)], at[len(u):])]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(root, pa.int64())], ["id", "root"])
+
+    return edges.coalesce(1).mapInArrow(run, "id long, root long")
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
@@ -17,7 +48,9 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     Only ids with an edge to another id appear. Each round shortens the trees
     (O(log^2 n) rounds); minima are taken with map-side partial aggregates, and
     the joins' hot ids are split by adaptive execution. Every round is written
-    to the shared folder; only a count and a checksum reach the driver. Null
+    to the shared folder; only a count and a checksum reach the driver. At most
+    FEW_EDGES edges, from the start or after a round, are finished in one task:
+    rounds over so little are all plans and threads of the driver's. Null
     ends and self loops are left out; no edges give an empty result.
     """
     known = edges.where(F.col(u).isNotNull() & F.col(v).isNotNull() & (F.col(u) != F.col(v)))
@@ -28,6 +61,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
         if mark["n"] == 0 or (mark["n"], mark["x"]) == seen:
             return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(
                 now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
+        if mark["n"] <= FEW_EDGES:
+            return staged(_in_one_task(now), "few_edges")
         seen = (mark["n"], mark["x"])
         # large star: every greater neighbour moves to the smallest neighbour
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

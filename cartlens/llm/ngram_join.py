@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import batch_rows, free_names, map_texts, staged
-from .components import components, settle, sets_of
+from .components import components, least_reachable, settle, sets_of
 from .shingles import mix, shingle_set
 
 #: Trees, min-hashes of a label, and the recall wanted for a pair at the threshold.
@@ -156,18 +156,6 @@ def compare(shingles: list[np.ndarray], left: np.ndarray, right: np.ndarray, thr
     return left[i], right[j]
 
 
-def least_reachable(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    root = np.arange(n)
-    while True:
-        now = root.copy()
-        np.minimum.at(now, i, root[j])
-        np.minimum.at(now, j, root[i])
-        now = now[now]
-        if (now == root).all():
-            return root
-        root = now
-
-
 def verified(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: Fraction) -> DataFrame:
     """(sid, group, doc_id, thash, size, copies) -> (sid, root, links): per set and
     pair of cells, the smallest set it reaches there and its links to rows."""

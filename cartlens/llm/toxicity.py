@@ -38,6 +38,8 @@ STEM = 6
 #: Examples of a block, terms kept as matrices at most, blocks opened first, documents
 #: searched at a time, neighbours that vote, neighbours given as evidence.
 BLOCK, DENSE, FIRST, BATCH, NEIGHBOURS, EVIDENCE = 64, 1024, 2, 64, 16, 3
+#: Bytes of a slice, and parts that the slices are dealt to, when an index goes to the driver.
+SLICE, SLICES = 1 << 18, 32
 #: Examples that others are grouped around, so that like ones share a block.
 LEADERS = 16
 #: More than the rounding error of a similarity in single precision.
@@ -290,6 +292,7 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray, text_col: str = "te
 
     counts = (map_texts(docs.select(F.col(text_col).cast("string").alias("text")), run, "term int, df long")
               .groupBy("term").agg(F.sum("df").alias("df")).toArrow())
+    sent.destroy()
     total = np.zeros(size + 1, dtype=np.int64)
     total[counts["term"].to_numpy()] = counts["df"].to_numpy()
     return int(total[size]), total[:size]
@@ -380,13 +383,19 @@ def _in_one_task(rows: DataFrame, make) -> bytes:
         examples = _Examples([x.as_py() for x in column["doc_id"]], np.array([x.as_py() for x in column["label"]], dtype=float),
                              [x.as_py() for x in column["tie"]], [np.frombuffer(x.as_buffer(), "<u8") for x in column["terms"]],
                              [np.frombuffer(x.as_buffer(), "<i4") for x in column["tf"]])
-        yield pa.RecordBatch.from_arrays([pa.array([make(examples)], pa.binary())], ["value"])
+        made = make(examples)
+        for at in range(0, max(len(made), 1), SLICE):
+            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([made[at:at + SLICE]], pa.binary())], ["at", "value"])
 
-    found = rows.coalesce(1).mapInArrow(run, "value binary").toArrow()["value"]
-    return found[0].as_py() if len(found) else make(_Examples([], np.zeros(0), [], [], []))
+    # many small results: the driver's JVM holds one of them several times over
+    found = rows.coalesce(1).mapInArrow(run, "at long, value binary").repartition(SLICES, "at").toArrow()
+    if not found.num_rows:
+        return make(_Examples([], np.zeros(0), [], [], []))
+    slices = dict(zip(found["at"].to_pylist(), found["value"].to_pylist()))
+    return b"".join(slices[at] for at in sorted(slices))
 
 
-def votes_of(fitted: Fitted, rows: DataFrame) -> DataFrame:
+def votes_of(fitted: Fitted, rows: DataFrame) -> pa.Table:
     """(label, vote) of written example rows; null without a neighbour."""
     sent = sent_index(rows, fitted)
 
@@ -398,7 +407,9 @@ def votes_of(fitted: Fitted, rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column("label"), pa.array([index.vote(x) if x else None for x in near], pa.float64())], ["label", "vote"])
 
-    return rows.select("label", "terms", "tf").mapInArrow(run, "label int, vote double")
+    found = rows.select("label", "terms", "tf").mapInArrow(run, "label int, vote double").toArrow()
+    sent.destroy()
+    return found
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -435,8 +446,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return x.of(np.array([t % 5 != 0 for t in x.ties], dtype=bool))
 
     blind = Fitted(_in_one_task(terms, packed(unseen)))
-    votes = votes_of(blind, terms.where(F.pmod("tie", F.lit(5)) == 0)).toArrow()
-    return Fitted(_in_one_task(terms, packed(lambda x: x)), *calibration(votes["vote"].to_pylist(), votes["label"].to_pylist()))
+    votes = votes_of(blind, terms.where(F.pmod("tie", F.lit(5)) == 0))
+    del blind
+    whole = _in_one_task(terms, packed(lambda x: x))
+    known_terms.destroy()
+    return Fitted(whole, *calibration(votes["vote"].to_pylist(), votes["label"].to_pylist()))
 
 
 def score(docs: DataFrame, index: Fitted, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

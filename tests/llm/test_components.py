@@ -2,6 +2,7 @@
 
 import random
 
+from cartlens.llm import components as components_
 from cartlens.llm.components import components
 
 
@@ -31,3 +32,18 @@ def test_random_graphs_paths_and_stars(spark):
 
 def test_no_edges(spark):
     assert components(spark.createDataFrame([(1, 1)], "u long, v long")).count() == 0
+
+
+def test_few_edges_are_finished_in_one_task(spark, monkeypatch):
+    """The same classes by rounds and in one task; few edges cost two written tables, not two a round."""
+    rng = random.Random(7)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [(-k, -k - 1) for k in range(2, 60)]
+    found, written = {}, []
+    staged = components_.staged
+    monkeypatch.setattr(components_, "staged", lambda df, name: written.append(name) or staged(df, name))
+    for most in (1 << 16, 100, 0):  # at once, after some rounds if any, by rounds alone
+        monkeypatch.setattr(components_, "FEW_EDGES", most)
+        written.clear()
+        found[most] = sorted(tuple(r) for r in components(spark.createDataFrame(edges, "u long, v long")).collect())
+        assert (len(written) == 2) == (most == 1 << 16)
+    assert found[1 << 16] == found[100] == found[0]

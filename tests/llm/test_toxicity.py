@@ -186,3 +186,18 @@ def test_only_exact_copies_are_dropped(spark):
     index = tx.fit(docs, labels)
     # of the eleven equal texts one stays per label
     assert sorted(index.ids.tolist()) == sorted([*range(40), 101])
+
+
+def test_index_reaches_the_driver_in_slices(spark, monkeypatch):
+    """No task's result holds a whole index; put together, it is the same bytes."""
+    monkeypatch.setattr(tx, "SLICE", 1000)
+    rows = spark.createDataFrame([(k, k % 2, k, b"", b"") for k in range(40)], "doc_id long, label int, tie long, terms binary, tf binary")
+    seen = []
+    repartition = type(rows).repartition
+    monkeypatch.setattr(type(rows), "repartition", lambda self, *a: seen.append(repartition(self, *a)) or seen[-1])
+    want = bytes(range(256)) * 100
+    assert tx._in_one_task(rows, lambda x: want) == want
+    assert max(len(r.value) for r in seen[0].collect()) == 1000
+    assert max(sum(len(r.value) for r in part) for part in seen[0].rdd.glom().collect()) < len(want) / 4
+    assert tx._in_one_task(rows, lambda x: b"") == b""
+    assert tx._in_one_task(rows, lambda x: len(x.ids).to_bytes(2, "big")) == (40).to_bytes(2, "big")
