@@ -24,6 +24,7 @@ import zlib
 from collections import Counter
 from itertools import compress, groupby, pairwise, repeat
 from operator import itemgetter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ STRIDE, TRAINER_POSITIONS, ROUNDS, STEP, RATE = 2, 1 << 21, 2, 2048, 0.1
 PIECE = 512
 #: Distinct words that a counting task holds before it passes its counts on.
 HELD_WORDS = 200_000
+#: Rarer words, the most frequent ones, that every task knows with their probabilities.
+KNOWN = 1 << 16
 #: Positions that are scored together.
 SCORED = 4096
 
@@ -65,14 +68,32 @@ class Words(dict):
         return VOCAB - HASHED + zlib.crc32(word.encode("utf-8", "surrogatepass")) % HASHED
 
 
-def coded(found: list[str], words: dict) -> tuple[np.ndarray, list[str]]:
-    """The ids of a text's tokens by ``words``, and those tokens that share theirs."""
+class Shares(NamedTuple):
+    """Rarer words that have a place behind the ids, and by place their id and the
+    ``share`` of ``with_shares``."""
+    places: dict
+    ids: np.ndarray
+    shares: np.ndarray
+
+
+def no_shares() -> Shares:
+    return Shares({}, np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def coded(found: list[str], words: dict, known: Shares | None = None) -> tuple[np.ndarray, list[str], int]:
+    """The ids of a text's tokens by ``words``, those tokens that share theirs without
+    being known, and the sum of the shares of the known. ``words`` holds the places of
+    ``known`` too."""
     ids = np.fromiter(map(words.get, found, repeat(-1)), np.int64, len(found))
-    shared = ids < 0
+    shared, add = ids < 0, 0
+    if known is not None:
+        at = ids >= VOCAB
+        place = ids[at] - VOCAB
+        ids[at], add = known.ids[place], int(known.shares[place].sum())
     rare = list(compress(found, shared.tolist()))
     spelled = map(str.encode, rare, repeat("utf-8"), repeat("surrogatepass"))
     ids[shared] = VOCAB - HASHED + np.fromiter(map(zlib.crc32, spelled), np.int64, len(rare)) % HASHED
-    return ids, rare
+    return ids, rare, add
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -119,15 +140,45 @@ def with_shares(rows: DataFrame, counts: DataFrame, words: Words) -> DataFrame:
     counted (Witten and Bell), which are spelled in bytes of equal probability."""
     rare = rare_words(counts, words)
     total = F.broadcast(id_totals(rare))
-    known = rare.join(total, "id").select("word", F.log(F.col("n") / F.col("total")).alias("log"))
+    known = rare.join(total, "id").select("word", counted().alias("log"))
     spelled = -(F.octet_length("word") + 1) * F.lit(float(np.log(257)))
     left = F.coalesce(F.log(F.col("kinds") / F.col("total")), F.lit(0.0))
     # hashed, not sorted: a task holds its part of the rarer words, not the rows
     return (rows.join(known.hint("shuffle_hash"), "word", "left").withColumn("id", shared_id()).join(total, "id", "left")
-            .withColumn("share", F.round(F.coalesce("log", left + spelled) * SHARE).cast("long"))
+            .withColumn("share", in_steps(F.coalesce("log", left + spelled)))
             .drop("id", "log", "total", "kinds"))
 
 
+def counted():
+    """log p(word | id) of a counted word."""
+    return F.log(F.col("n") / F.col("total"))
+
+
+def in_steps(log):
+    return F.round(log * SHARE).cast("long")
+
+
+def known_shares(counts: DataFrame, words: Words, most: int | None = None) -> Shares:
+    """The shares, as ``with_shares`` has them, of the rarer words that occur most: at
+    most ``most`` (KNOWN if not given), all down to one count. They and a short
+    histogram of the counts reach the driver."""
+    rare, most = rare_words(counts, words), KNOWN if most is None else most
+    # sixteen steps of counts from one power of two to the next
+    rare = rare.withColumn("level", F.floor(F.log2("n") * 16))
+    least, upto = None, 0
+    for r in rare.groupBy("level").agg(F.count(F.lit(1)).alias("kinds")).orderBy(F.desc("level")).collect():
+        upto += r["kinds"]
+        if upto > most:
+            break
+        least = r["level"]
+    if least is None:
+        return no_shares()
+    rows = (rare.where(F.col("level") >= least).join(F.broadcast(id_totals(rare)), "id")
+            .select("word", (VOCAB - HASHED + F.col("id")).cast("long").alias("id"), in_steps(counted()).alias("share")).toArrow())
+    places = {w: VOCAB + i for i, w in enumerate(rows["word"].to_pylist())}
+    return Shares(places, rows["id"].to_numpy(), rows["share"].to_numpy())
+
+
 def contexts(ids: np.ndarray) -> np.ndarray:
     """(n, 2 SIDE): the ids around each position; VOCAB beyond the text's ends."""
     wide = np.concatenate([np.full(SIDE, VOCAB), ids, np.full(SIDE, VOCAB)])
@@ -290,33 +341,42 @@ def train(net: Network, pieces) -> int:
     return seen
 
 
-def encode(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids, rare, times), one row per input row: the tokens' ids in 16 bits, and
-    the words without an id of their own with how often they occur."""
-    sent = docs.sparkSession.sparkContext.broadcast(dict(words))  # at most VOCAB words
+def encode(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: str = "text",
+           known: Shares | None = None) -> DataFrame:
+    """(doc_id, ids, rare, times, add), one row per input row: the tokens' ids in 16 bits,
+    the words without an id of their own with how often they occur, and the shares of
+    those that are ``known`` and not listed, in one sum."""
+    known = no_shares() if known is None else known
+    # at most VOCAB + KNOWN words
+    sent = docs.sparkSession.sparkContext.broadcast((dict(words) | known.places, known._replace(places={})))
 
     def run(batches):
-        known = sent.value
+        words, known = sent.value
         for part in batch_rows(batches):
-            packed, rare, times = [], [], []
+            packed, rare, times, adds = [], [], [], []
             for text in part.column("text").to_pylist():
-                ids, sharing = coded(tokens(text), known)
+                ids, sharing, add = coded(tokens(text), words, known)
                 sharing = Counter(sharing)
                 packed.append(ids.astype("<u2").tobytes())
                 rare.append(list(sharing))
                 times.append(list(sharing.values()))
+                adds.append(add)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(packed, pa.binary()), pa.array(rare, pa.list_(pa.string())),
-                 pa.array(times, pa.list_(pa.int64()))], ["doc_id", "ids", "rare", "times"])
+                 pa.array(times, pa.list_(pa.int64())), pa.array(adds, pa.int64())], ["doc_id", "ids", "rare", "times", "add"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return map_texts(rows, run, f"doc_id {kind}, ids binary, rare array<string>, times array<long>")
+    return map_texts(rows, run, f"doc_id {kind}, ids binary, rare array<string>, times array<long>, add long")
 
 
-def staged_codes(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``encode`` with a number for each row, written once for training and scoring."""
-    return staged(encode(docs, words, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "lm_codes")
+def staged_codes(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: str = "text",
+                 counts: DataFrame | None = None) -> DataFrame:
+    """``encode`` with a number for each row, written once for training and scoring.
+    ``counts``: the word_counts by which the codes will be scored, so that the frequent
+    of the rarer words are summed here and only the others are joined."""
+    known = None if counts is None else known_shares(counts, words)
+    return staged(encode(docs, words, id_col, text_col, known).withColumn("row", F.monotonically_increasing_id()), "lm_codes")
 
 
 def positions(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: str = "text",
@@ -431,7 +491,7 @@ def score(docs: DataFrame, words: Words, net: Network, id_col: str = "doc_id", t
     """
     sent = docs.sparkSession.sparkContext.broadcast(net.flat)
     if codes is None:
-        codes = (staged_codes(docs, words, id_col, text_col) if counts is not None  # read again for the rarer words
+        codes = (staged_codes(docs, words, id_col, text_col, counts) if counts is not None  # read again for the rarer words
                  else encode(docs, words, id_col, text_col).withColumn("row", F.lit(0).cast("long")))
 
     def run(batches):
@@ -447,17 +507,17 @@ def score(docs: DataFrame, words: Words, net: Network, id_col: str = "doc_id", t
             end = np.cumsum(size)
             pll = total[end] - total[end - size]
             yield pa.RecordBatch.from_arrays(
-                [part.column("row"), part.column("doc_id"), pa.array(size, pa.int64()), pa.array(pll, pa.float64())],
-                ["row", "doc_id", "n_tokens", "pll"])
+                [part.column("row"), part.column("doc_id"), pa.array(size, pa.int64()), pa.array(pll, pa.float64()),
+                 part.column("add")], ["row", "doc_id", "n_tokens", "pll", "known"])
 
-    found = map_texts(codes.select("row", "doc_id", "ids"), run,
-                      f"row long, doc_id {codes.schema['doc_id'].dataType.simpleString()}, n_tokens long, pll double")
+    found = map_texts(codes.select("row", "doc_id", "ids", "add"), run,
+                      f"row long, doc_id {codes.schema['doc_id'].dataType.simpleString()}, n_tokens long, pll double, known long")
     if counts is not None:
         sharing = (codes.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
                    .select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times")))
         add = (with_shares(sharing, counts, words).groupBy("row")
                .agg(F.sum(F.col("times") * F.col("share")).alias("add")))
         found = (found.join(add, "row", "left")
-                 .withColumn("pll", F.col("pll") + F.coalesce(F.col("add") / SHARE, F.lit(0.0))))
+                 .withColumn("pll", F.col("pll") + (F.col("known") + F.coalesce("add", F.lit(0))) / SHARE))
     mean = F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens"))
     return found.select("doc_id", "n_tokens", "pll", mean.alias("mean_pll"))

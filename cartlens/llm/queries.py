@@ -88,7 +88,7 @@ def op6_toxicity(spark, sf_dir):
 def op7_lm_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     counts = staged(pseudo_lm.word_counts(docs), "lm_counts")
-    codes = pseudo_lm.staged_codes(docs, pseudo_lm.own_words(counts))
+    codes = pseudo_lm.staged_codes(docs, pseudo_lm.own_words(counts), counts=counts)
     return pseudo_lm.score(docs, *pseudo_lm.fit(docs, counts=counts, codes=codes), counts=counts, codes=codes)
 
 

@@ -190,3 +190,27 @@ def test_steps_reuse_their_memory():
     _, second = net.gradient(context[:7], target[:7])
     assert {k: id(v) for k, v in net.working.items()} == room and second is first
     assert np.array_equal(net.gradient(context, target)[1].flat, kept)  # nothing is left of the step between
+
+
+def test_frequent_rarer_words_are_summed_while_texts_are_coded(spark, monkeypatch):
+    """Only words below the known ones are listed for the join, and the scores are the same."""
+    rng = random.Random(21)
+    texts = [" ".join(rng.choices(["a", "b", "c", "d", *(f"w{k}é" for k in range(300))], [90, 80, 40, 30] + [1] * 300, k=n))
+             for n in (30, 400, 900)]
+    docs = spark.createDataFrame([*enumerate(texts), (1, texts[1]), (None, None), (9, ""), (10, "once c")], "doc_id long, text string")
+    monkeypatch.setattr(lm, "HASHED", lm.VOCAB - 2)
+    counts = lm.word_counts(docs)
+    words, net = lm.fit(docs, counts=counts)
+    monkeypatch.setattr(lm, "KNOWN", 2)
+    known = lm.known_shares(counts, words)
+    assert sorted(known.places) == ["c", "d"]
+    want = {r.word: r.share for r in lm.with_shares(spark.createDataFrame([("c",), ("d",)], "word string"), counts, words).collect()}
+    assert {w: known.shares[k - lm.VOCAB] for w, k in known.places.items()} == want
+    plain, codes = lm.staged_codes(docs, words), lm.staged_codes(docs, words, counts=counts)
+    listed = {w for r in codes.collect() for w in r.rare}
+    assert "once" in listed and not listed & {"a", "b", "c", "d"}
+    assert sorted(map(str, codes.select("doc_id", "ids").collect())) == sorted(map(str, plain.select("doc_id", "ids").collect()))
+    got = [sorted(map(str, lm.score(docs, words, net, counts=counts, codes=x).collect())) for x in (plain, codes)]
+    assert got[0] == got[1]
+    assert not lm.known_shares(counts, words, 0).places  # none, rather than some of one count
+    assert not lm.known_shares(counts.where("false"), words).places
