@@ -21,8 +21,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
-from itertools import compress, groupby, pairwise, repeat
+from functools import lru_cache
+from itertools import groupby, pairwise, repeat
 from operator import itemgetter
 from typing import NamedTuple
 
@@ -53,13 +53,45 @@ SCORED = 4096
 #: log p(word | id) is summed in steps of 1 / SHARE: the same sum in any order.
 SHARE = 1 << 30
 
-TOKEN = re.compile(r"\w+|[^\w\s]+")
+WORD, OTHER = r"\w+", r"[^\w\s]+"
+TOKEN = re.compile(f"{WORD}|{OTHER}")
 
 
 def tokens(text: str | None) -> list[str]:
     return TOKEN.findall((text or "").lower())
 
 
+@lru_cache
+def char_kinds() -> np.ndarray:
+    """By code point: 1 in WORD, 2 in OTHER, 0 in neither."""
+    every, kinds = "".join(map(chr, range(0x110000))), np.zeros(0x110000, np.uint8)
+    for kind, pattern in ((1, WORD), (2, OTHER)):
+        for run in re.finditer(pattern, every):
+            kinds[run.start():run.end()] = kind
+    return kinds
+
+
+def cut(texts: list[str | None], kinds: np.ndarray) -> tuple[pa.StringArray, np.ndarray]:
+    """The ``tokens`` of all texts, one behind the other, and how many each text has.
+    A token is a run of characters of one kind: found by array, with no object per token."""
+    lower = [(t or "").lower() for t in texts]
+    joined = "\n".join(lower)  # of neither kind
+    data = np.frombuffer(joined.encode(), np.uint8)
+    if joined.isascii():
+        ends, kind = np.cumsum([len(t) + 1 for t in lower], dtype=np.int64), kinds[data]
+    else:
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        wide = 1 + (points >= 0x80).view(np.int8) + (points >= 0x800) + (points >= 0x10000)  # bytes of each
+        ends, kind = np.cumsum([len(t.encode()) + 1 for t in lower], dtype=np.int64), np.repeat(kinds[points], wide)
+    none = np.uint8(0)
+    edge = np.flatnonzero(np.diff(kind, prepend=none, append=none))  # a run of one kind lies from edge to edge
+    inside = kind[edge[:-1]] > 0
+    begin, size = edge[:-1][inside], np.diff(edge)[inside]
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    found = pa.StringArray.from_buffers(len(begin), pa.py_buffer(offsets), pa.py_buffer(data[kind > 0]))
+    return found, np.diff(np.searchsorted(begin, ends), prepend=0)
+
+
 class Words(dict):
     """Word -> id. Frequent words have their own (0 is the most frequent);
     others share HASHED ids by crc32."""
@@ -80,39 +112,41 @@ def no_shares() -> Shares:
     return Shares({}, np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def coded(found: list[str], words: dict, known: Shares | None = None) -> tuple[np.ndarray, list[str], int]:
-    """The ids of a text's tokens by ``words``, those tokens that share theirs without
-    being known, and the sum of the shares of the known. ``words`` holds the places of
+def coded(found: pa.StringArray, words: dict, known: Shares) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By word of ``found``: its id by ``words``, the share of a known one (0 of others),
+    and whether it shares its id without being known. ``words`` holds the places of
     ``known`` too."""
-    ids = np.fromiter(map(words.get, found, repeat(-1)), np.int64, len(found))
-    shared, add = ids < 0, 0
-    if known is not None:
-        at = ids >= VOCAB
-        place = ids[at] - VOCAB
-        ids[at], add = known.ids[place], int(known.shares[place].sum())
-    rare = list(compress(found, shared.tolist()))
-    spelled = map(str.encode, rare, repeat("utf-8"), repeat("surrogatepass"))
-    ids[shared] = VOCAB - HASHED + np.fromiter(map(zlib.crc32, spelled), np.int64, len(rare)) % HASHED
-    return ids, rare, add
+    spelled = found.to_numpy(zero_copy_only=False)
+    ids = np.fromiter(map(words.get, spelled, repeat(-1)), np.int64, len(found))
+    shared, at = ids < 0, ids >= VOCAB
+    place, shares = ids[at] - VOCAB, np.zeros(len(found), np.int64)
+    ids[at], shares[at] = known.ids[place], known.shares[place]
+    hashes = np.fromiter(map(zlib.crc32, map(str.encode, spelled[shared])), np.int64, int(shared.sum()))
+    ids[shared] = VOCAB - HASHED + hashes % HASHED
+    return ids, shares, shared
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) over all documents."""
 
-    def run(batches):
-        seen: Counter = Counter()
+    sent = docs.sparkSession.sparkContext.broadcast(char_kinds())
 
-        def flush():
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()),
-                                               pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+    def merged(parts):
+        return pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
+    def run(batches):
+        held, rows = [], 0
         for part in batch_rows(batches):
-            for text in part.column("text").to_pylist():
-                seen.update(tokens(text))
-            if len(seen) > HELD_WORDS:
-                yield flush()
-                seen.clear()
-        yield flush()
+            found = cut(part.column("text").to_pylist(), sent.value)[0].value_counts()
+            held.append(pa.Table.from_arrays([found.field("values"), found.field("counts")], ["word", "n"]))
+            rows += len(found)
+            if rows > 2 * HELD_WORDS:
+                held = [merged(held)]
+                if len(held[0]) > HELD_WORDS:
+                    yield from held.pop().to_batches()
+                rows = sum(map(len, held))
+        if held:
+            yield from merged(held).to_batches()
 
     return (map_texts(docs.select(F.col(text_col).cast("string").alias("text")), run, "word string, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
@@ -181,9 +215,12 @@ def known_shares(counts: DataFrame, words: Words, most: int | None = None) -> Sh
 
 def contexts(ids: np.ndarray) -> np.ndarray:
     """(n, 2 SIDE): the ids around each position; VOCAB beyond the text's ends."""
-    wide = np.concatenate([np.full(SIDE, VOCAB), ids, np.full(SIDE, VOCAB)])
     n = len(ids)
-    return np.stack([wide[k:k + n] for k in range(2 * SIDE + 1) if k != SIDE], axis=1)
+    wide, out = np.full(n + 2 * SIDE, VOCAB, np.int64), np.empty((n, 2 * SIDE), np.int64)
+    wide[SIDE:SIDE + n] = ids
+    for column, k in enumerate((*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1))):
+        out[:, column] = wide[k:k + n]
+    return out
 
 
 class Network:
@@ -348,22 +385,28 @@ def encode(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: str
     those that are ``known`` and not listed, in one sum."""
     known = no_shares() if known is None else known
     # at most VOCAB + KNOWN words
-    sent = docs.sparkSession.sparkContext.broadcast((dict(words) | known.places, known._replace(places={})))
+    sent = docs.sparkSession.sparkContext.broadcast((dict(words) | known.places, known._replace(places={}), char_kinds()))
 
     def run(batches):
-        words, known = sent.value
+        words, known, kinds = sent.value
         for part in batch_rows(batches):
-            packed, rare, times, adds = [], [], [], []
-            for text in part.column("text").to_pylist():
-                ids, sharing, add = coded(tokens(text), words, known)
-                sharing = Counter(sharing)
-                packed.append(ids.astype("<u2").tobytes())
-                rare.append(list(sharing))
-                times.append(list(sharing.values()))
-                adds.append(add)
+            found, size = cut(part.column("text").to_pylist(), kinds)
+            found = found.dictionary_encode()  # each word is looked up once
+            at, spelled = found.indices.to_numpy(), found.dictionary
+            ids, shares, shared = coded(spelled, words, known)
+            ends = np.concatenate([[0], np.cumsum(size)])
+            packed = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer((2 * ends).astype(np.int32)),
+                                                                    pa.py_buffer(ids.astype("<u2")[at])])
+            adds = np.diff(np.concatenate([[0], np.cumsum(shares[at])])[ends])
+            listed = shared[at]
+            text = np.repeat(np.arange(len(size)), size)[listed]
+            pairs, times = np.unique(text * max(1, len(spelled)) + at[listed], return_counts=True)
+            text, word = np.divmod(pairs, max(1, len(spelled)))
+            cuts = pa.array(np.searchsorted(text, np.arange(len(size) + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(packed, pa.binary()), pa.array(rare, pa.list_(pa.string())),
-                 pa.array(times, pa.list_(pa.int64())), pa.array(adds, pa.int64())], ["doc_id", "ids", "rare", "times", "add"])
+                [part.column("doc_id"), packed, pa.ListArray.from_arrays(cuts, spelled.take(pa.array(word))),
+                 pa.ListArray.from_arrays(cuts, pa.array(times, pa.int64())), pa.array(adds, pa.int64())],
+                ["doc_id", "ids", "rare", "times", "add"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -408,9 +451,12 @@ def positions(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: s
 def targets(piece: bytes, residue: int) -> np.ndarray:
     """(n, 2 SIDE + 1): contexts and target of the piece's positions that are
     ``residue`` modulo STRIDE."""
-    wide = np.frombuffer(piece, dtype="<u2").astype(np.int64)
-    at = np.arange(residue, len(wide) - 2 * SIDE, STRIDE)
-    return np.stack([wide[at + k] for k in (*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1), SIDE)], axis=1)
+    wide = np.frombuffer(piece, dtype="<u2")
+    n = len(wide) - 2 * SIDE
+    out = np.empty((len(range(residue, n, STRIDE)), 2 * SIDE + 1), np.int64)
+    for column, k in enumerate((*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1), SIDE)):
+        out[:, column] = wide[residue + k:n + k:STRIDE]
+    return out
 
 
 def _averaged(spark, parts: DataFrame) -> np.ndarray | None:
@@ -497,9 +543,9 @@ def score(docs: DataFrame, words: Words, net: Network, id_col: str = "doc_id", t
     def run(batches):
         net = Network(sent.value)
         for part in batch_rows(batches, 64):
-            ids = [np.frombuffer(x, dtype="<u2").astype(np.int64) for x in part.column("ids").to_pylist()]
+            ids = [np.frombuffer(x, dtype="<u2") for x in part.column("ids").to_pylist()]
             context = np.concatenate([contexts(x) for x in ids])
-            target = np.concatenate(ids)
+            target = np.concatenate(ids).astype(np.int64)
             logs = np.concatenate([np.zeros(0, np.float32)] + [
                 net.log_probs(context[at:at + SCORED], target[at:at + SCORED]) for at in range(0, len(target), SCORED)])
             size = np.array([len(x) for x in ids])

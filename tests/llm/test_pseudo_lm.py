@@ -214,3 +214,39 @@ def test_frequent_rarer_words_are_summed_while_texts_are_coded(spark, monkeypatc
     assert got[0] == got[1]
     assert not lm.known_shares(counts, words, 0).places  # none, rather than some of one count
     assert not lm.known_shares(counts.where("false"), words).places
+
+
+def test_texts_are_cut_by_array_into_the_same_tokens():
+    rng = random.Random(31)
+    kinds = lm.char_kinds()
+    odd = [None, "", "\n", " a", "a\n", "ΑΣ", "ΟΔΟΣ ΣΑΣ", "İx", "é_é!!..  x　日本 語、x", "\x1c\x85a​b", "😀😀a😀", ""]
+    odd += ["".join(chr(rng.choice([rng.randrange(128), rng.randrange(0xd800), rng.randrange(0xe000, 0x110000)]))
+                    for _ in range(rng.randrange(40))) for _ in range(300)]
+    for texts in ([], [None], [""], odd, odd[::-1], ["a b", "", None, "A.b\t"]):
+        found, sizes = lm.cut(texts, kinds)
+        want = [lm.tokens(t) for t in texts]
+        found.validate(full=True)
+        assert found.to_pylist() == [w for x in want for w in x] and sizes.tolist() == [len(x) for x in want]
+
+
+def test_counting_and_coding_hold_no_object_per_token(spark, monkeypatch):
+    rng = random.Random(32)
+    texts = [" ".join(rng.choices(["a", "b", "ß!", *(f"W{k}é" for k in range(200))], k=n)) for n in (1, 30, 600, 900)] + ["", None, "?"]
+    docs = spark.createDataFrame([*enumerate(texts), (1, texts[1])], "doc_id long, text string").repartition(2)
+    every = {r.doc_id: lm.tokens(r.text) for r in docs.collect()}
+    want = Counter(w for r in docs.collect() for w in lm.tokens(r.text))
+    monkeypatch.setattr(lm, "tokens", None)
+    monkeypatch.setattr(lm, "HASHED", lm.VOCAB - 2)
+    for held in (lm.HELD_WORDS, 100, 1):  # merged and passed on more than once
+        monkeypatch.setattr(lm, "HELD_WORDS", held)
+        counts = lm.word_counts(docs)
+        assert {r.word: r.n for r in counts.collect()} == want
+    words = lm.own_words(counts)
+    monkeypatch.setattr(lm, "KNOWN", 60)
+    known = lm.known_shares(counts, words)
+    assert known.places
+    for r in lm.encode(docs, words, known=known).collect():
+        found = every[r.doc_id]
+        assert np.frombuffer(r.ids, "<u2").tolist() == [words[w] for w in found]
+        assert dict(zip(r.rare, r.times)) == Counter(w for w in found if w not in words and w not in known.places)
+        assert r.add == sum(int(known.shares[known.places[w] - lm.VOCAB]) for w in found if w in known.places)
