@@ -270,7 +270,7 @@ class Network:
         z += self.cls_0[:, None]
         return z
 
-    def member_logits(self, h: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    def member_logits(self, h: np.ndarray, cuts: list[int]) -> np.ndarray:
         """(MEMBERS, n): positions lie by class, from cut to cut."""
         own = self.held("own", CLASSES, HIDDEN + 1, MEMBERS)
         own[:, :HIDDEN], own[:, HIDDEN] = self.own, self.own_0
@@ -295,7 +295,7 @@ class Network:
         n = len(target)
         group, member = np.divmod(target, MEMBERS)
         order, cuts = by_class(group)  # positions lie by class from here on
-        context = context[order]
+        context = np.take(context, order, axis=0)
         x, h = self.forward(context)
         if self.slope is None:
             self.slope = Network(np.zeros_like(self.flat))
@@ -306,11 +306,13 @@ class Network:
         dh = np.matmul(self.cls, d, out=self.held("dh", HIDDEN, n))
         d, part = softmax_step(self.member_logits(h, cuts), member[order], n)
         own, back = self.held("own", CLASSES, HIDDEN + 1, MEMBERS), self.held("back", HIDDEN, n)
-        own[:] = 0
         for k, (a, b) in enumerate(pairwise(cuts)):
             if a < b:
-                np.matmul(h[:, a:b], d[:, a:b].T, out=own[k])
-                np.matmul(self.own[k], d[:, a:b], out=back[:, a:b])
+                mine = d[:, a:b]
+                np.matmul(h[:, a:b], mine.T, out=own[k])
+                np.matmul(self.own[k], mine, out=back[:, a:b])
+            else:
+                own[k] = 0
         g.own[:], g.own_0[:] = own[:, :HIDDEN], own[:, HIDDEN]
         dh += back
         h = h[:HIDDEN]
@@ -330,7 +332,7 @@ def softmax(z: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """By column of ``z``: the log-probability of the target's row, and the sum of the
     exponentials (less the largest), by which ``z`` is overwritten."""
     z -= z.max(axis=0)
-    hit = z[target, np.arange(len(target))]
+    hit = z.ravel()[places(z, target)]
     np.exp(z, out=z)
     total = z.sum(axis=0)
     return hit - np.log(total), total
@@ -340,14 +342,20 @@ def softmax_step(z: np.ndarray, target: np.ndarray, n: int) -> tuple[np.ndarray,
     """The slope of the mean loss by ``z``, written over it, and the loss."""
     log, total = softmax(z, target)
     z *= 1 / (total * z.dtype.type(n))
-    z[target, np.arange(len(target))] -= z.dtype.type(1 / n)
+    z.reshape(-1)[places(z, target)] -= z.dtype.type(1 / n)
     return z, -float(log.sum()) / n
 
 
-def by_class(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def places(z: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Where each column's target lies in ``z`` read row by row."""
+    n = z.shape[1]
+    return target * n + np.arange(n)
+
+
+def by_class(group: np.ndarray) -> tuple[np.ndarray, list[int]]:
     """The order of positions by class, and where each class begins and the last ends."""
     order = np.argsort(group.astype(np.uint8), kind="stable")
-    return order, np.concatenate([[0], np.cumsum(np.bincount(group, minlength=CLASSES))])
+    return order, [0, *np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()]
 
 
 def train(net: Network, pieces) -> int:
