@@ -28,6 +28,8 @@ from __future__ import annotations
 
 import re
 import time
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -39,6 +41,8 @@ from ..schemas import BRONZE, LEDGER, SPOOL_FILES
 ANY_AGE = "36500d"
 #: Source bytes that share a bronze file at most, about.
 FILE_BYTES = 256 << 20
+#: ... and a fraction of that at least, about, if there are many.
+SMALLER = 8
 
 
 class RedroppedFiles(RuntimeError):
@@ -47,7 +51,8 @@ class RedroppedFiles(RuntimeError):
 
 def _file(part: str):
     """The path or name of a row's file, as it is (Spark gives it URL-encoded)."""
-    return F.url_decode(F.replace(F.col(f"_metadata.{part}"), F.lit("+"), F.lit("%2B")))
+    given = F.col(f"_metadata.{part}")
+    return F.when(given.contains("%"), F.url_decode(F.replace(given, F.lit("+"), F.lit("%2B")))).otherwise(given)
 
 
 def ledger_path(bronze_dir: str) -> str:
@@ -89,8 +94,11 @@ def land_batch(files: DataFrame, batch: int, bronze_dir: str, file_bytes: int =
         F.col("value").alias("line"), _file("file_path").alias("source_file"),
         _file("file_name").alias("source_name"), F.col("_metadata.file_modification_time").alias("source_modified"),
         F.col("_metadata.file_size").alias("source_length"), F.current_date().alias("ingest_date"))
-    parts = max(1, -(-sum(f["source_length"] for f in listed) // file_bytes))
+    size = sum(f["source_length"] for f in listed)
+    # as many tasks as there are cores, unless their files would be small
+    parts = max(1, -(-size // file_bytes), min(spark.sparkContext.defaultParallelism, size * SMALLER // file_bytes))
     (lines.coalesce(parts).write.mode("overwrite").partitionBy("ingest_date").option("compression", "zstd")
+     .option("parquet.column.statistics.enabled#line", "false")  # no one looks for lines by their order
      .parquet(f"{bronze_dir.rstrip('/')}/ingest_batch={batch}"))
     files.drop("path").coalesce(1).write.mode("overwrite").parquet(f"{ledger_path(bronze_dir)}/ingest_batch={batch}")
 
@@ -150,34 +158,50 @@ def run_ingest(spark: SparkSession, spool_dir: str, bronze_dir: str, checkpoint_
     return query
 
 
-#: A field behind its comma: quoted (a quote inside is doubled or has a backslash
-#: before it), or everything up to the next comma.
-_FIELD = r',(?:"[^"\\]*+(?:(?:\\.|"")[^"\\]*+)*+"|[^,]*+)'
+#: A field behind its comma: quoted (a quote inside is doubled, so that one quoted part
+#: follows another, or has a backslash before it), or everything up to the next comma.
+_FIELD = r',(?:(?:"[^"\\]*(?:\\.[^"\\]*)*+")++(?!")|[^,]*)'
+
+
+def _cuts(line):
+    """A CSV line as an array of its fields, however many: split at commas; a line with a
+    quote is cut by pattern, and each of its fields still has its comma and quotes."""
+    return (F.when(line.contains('"'), F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(0)))
+            .otherwise(F.split(line, ",")))
+
+
+def _plain(f):
+    """The text of a field of ``_cuts``: one split at commas holds none."""
+    inner = F.substr(f, F.lit(3), F.length(f) - 3)
+    return (F.when(~f.startswith(","), f)
+            .when(f.rlike(r'^,".*"$') & (F.length(f) > 2), F.regexp_replace(inner, r'\\(.)|"(")', "$1$2"))
+            .otherwise(F.substr(f, F.lit(2))))
 
 
 def fields(line):
     """A CSV line as an array of its texts, however many: split at commas; a line
     with a quote is cut by pattern, and quotes are taken off. A quote that is not
     closed is an ordinary character."""
-    line = F.col(line) if isinstance(line, str) else line
-
-    def plain(f):
-        inner = F.substr(f, F.lit(3), F.length(f) - 3)
-        return (F.when(f.rlike(r'^,".*"$') & (F.length(f) > 2), F.regexp_replace(inner, r'\\(.)|"(")', "$1$2"))
-                .otherwise(F.substr(f, F.lit(2))))
-
-    quoted = F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(0)), plain)
-    return F.when(line.contains('"'), quoted).otherwise(F.split(line, ","))
+    return F.transform(_cuts(F.col(line) if isinstance(line, str) else line), _plain)
 
 
 def _norm(c):
     return F.regexp_replace(F.lower(c), r'[\s"\ufeff]', "")
 
 
+def _literal(c: str) -> str:
+    """A pattern of this character alone."""
+    return c if c.isalnum() else "\\" + c if c.isascii() else f"\\x{{{ord(c):x}}}"
+
+
 def _header_test(names: list[str]):
     """Whether ``line`` names every one of ``names`` (normalised). Only lines that hold
-    the first name at all are looked at closely."""
-    near = F.translate(F.lower("line"), " \t\"\ufeff", "").contains(names[0])
+    the first name at all are looked at closely, and for it only those with every
+    character of it that has no case."""
+    line, gap = F.col("line"), "[ \t\"\ufeff]*+"
+    near = F.lower("line").rlike(gap.join(map(_literal, names[0])))
+    for c in sorted({c for c in names[0] if c.isascii() and not c.isalpha()}):
+        near = line.contains(c) & near
     tokens = F.transform(fields("line"), _norm)
     return F.when(near, F.array_size(F.array_except(F.array(*map(F.lit, names)), tokens)) == 0).otherwise(False)
 
@@ -192,7 +216,9 @@ def _landed(spark, bronze_dir, source_name, source_like, ingest_from, ingest_to)
         bronze = bronze.where(F.col("source_name") == source_name)
     if source_like is not None:
         bronze = bronze.where(F.col("source_name").like(source_like))
-    bronze = bronze.withColumn("line", F.regexp_replace("line", "\r$", ""))
+    line, ends = F.col("line"), ("\r", "\r\x85", "\r\u2028", "\r\u2029")  # "$" may stand before a line's end
+    returned = reduce(or_, [line.endswith(e) for e in ends])
+    bronze = bronze.withColumn("line", F.when(returned, F.regexp_replace("line", "\r$", "")).otherwise(line))
     return bronze.where(F.trim("line") != "")
 
 
@@ -241,8 +267,9 @@ def read_landed(spark: SparkSession, bronze_dir: str, schema: T.StructType,
         places = F.coalesce("places", missing.cast("array<int>"))
     else:
         places = F.array(*[F.lit(k + 1) for k in range(len(names))])
-    cells = bronze.withColumn("cells", fields("line")).withColumn("places", places)
-    text = [F.nullif(F.get("cells", F.get("places", F.lit(k)) - 1), F.lit("")) for k in range(len(names))]
+    # a line is cut once; quotes are taken off the fields that are read
+    cells = bronze.withColumn("cells", _cuts(F.col("line"))).withColumn("places", places)
+    text = [F.nullif(_plain(F.get("cells", F.get("places", F.lit(k)) - 1)), F.lit("")) for k in range(len(names))]
     cast = [t.try_cast(f.dataType) for t, f in zip(text, schema.fields)]
     rejected = F.greatest(*[(t.isNotNull() & c.isNull()) for t, c in zip(text, cast)], F.lit(False))
     return cells.select(*[c.alias(f.name) for c, f in zip(cast, schema.fields)],

@@ -1,4 +1,6 @@
 import os
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -301,3 +303,56 @@ def test_the_writer_of_a_ledger_file_reads_prepared_lines(spark, monkeypatch):
     want = {r.k: (1, r["count"] + 1, 1) for r in lines.groupBy(
         (F.coalesce(F.col("invoice_no").cast("long"), F.lit(0)) % 3).alias("k")).count().collect()}
     assert got == want
+
+
+OLD_FIELD = r',(?:"[^"\\]*+(?:(?:\\.|"")[^"\\]*+)*+"|[^,]*+)'
+
+
+def cut(line):
+    """The fields of a line by the plain rules, one pattern for all."""
+    if '"' not in line:
+        return line.split(",")
+    found = re.findall(OLD_FIELD, "," + line)
+    return [re.sub(r'\\(.)|"(")', r"\1\2", f[2:-1]) if len(f) > 2 and re.search(r'^,".*"$', f) else f[1:] for f in found]
+
+
+def test_fields_of_odd_lines_are_cut_as_before(spark):
+    draw = random.Random(7)
+    lines = ["".join(draw.choices('ab",\\ ', weights=(3, 2, 5, 4, 2, 1), k=draw.randint(1, 24))) for _ in range(4000)]
+    df = spark.createDataFrame([(line,) for line in lines], "line string")
+    for r in df.select("line", fields("line").alias("cells")).collect():
+        assert r.cells == cut(r.line), r.line
+
+
+def test_quotes_are_taken_off_the_bound_fields_only(spark, scratch):
+    """A line is cut once, and nothing is done to each of its fields."""
+    spool, bronze, ckpt = (os.path.join(scratch, d) for d in ("spool", "bronze", "ckpt"))
+    os.makedirs(spool)
+    wide = ",".join(f"other{k}" for k in range(90))
+    write(spool, "a.csv", f'{wide},{HEADER}\n' + '"a, ""b"" \\"c\\"",' * 90 + '"i,1",c,"F",30,"A ""B"" \\"C\\"",1,1.0,Cash,1/1/2022\n')
+    run_ingest(spark, spool, bronze, ckpt)
+    rows = read_landed(spark, bronze, SHOPPING)
+    assert tuple(rows.first()) == ("i,1", "c", "F", 30, 'A "B" "C"', 1, 1.0, "Cash", "1/1/2022")
+    made = [p for p in rows._jdf.queryExecution().optimizedPlan().toString().split("\n") if " AS cells#" in p]
+    assert len(made) == 1 and "lambdafunction" not in made[0]
+
+
+def test_headers_are_found_however_they_are_written(spark, scratch):
+    spool, bronze, ckpt = (os.path.join(scratch, d) for d in ("spool", "bronze", "ckpt"))
+    os.makedirs(spool)
+    rest = ",".join(SHOPPING.fieldNames()[1:])
+    for k, first in enumerate(["invoice_no", "\ufeffInvoice_No", ' "in voice_\tNO" ', '"invoice_no"', "INVOICE_NO"]):
+        write(spool, f"f{k}.csv", f"{first},{rest}\ni{k},c_invoice_n,F,30,A,1,1.0,Cash,1/1/2022\n")
+    run_ingest(spark, spool, bronze, ckpt)
+    assert sorted(r.invoice_no for r in read_landed(spark, bronze, SHOPPING).collect()) == [f"i{k}" for k in range(5)]
+    assert [(r.width, r.files) for r in landed_layouts(spark, bronze, SHOPPING).collect()] == [(9, 5)]
+
+
+def test_a_batch_of_much_text_lands_in_many_tasks(spark, scratch):
+    spool, bronze, ckpt = (os.path.join(scratch, d) for d in ("spool", "bronze", "ckpt"))
+    os.makedirs(spool)
+    for k in range(8):
+        write(spool, f"f{k}.csv", "".join(f"{k},{i},{'x' * 90}\n" for i in range(10_000)))  # 1 MB
+    run_ingest(spark, spool, bronze, ckpt, file_bytes=8 << 20)
+    parts = [f for _, _, fs in os.walk(bronze) for f in fs if f.endswith(".parquet")]
+    assert len(parts) == 4 and spark.read.parquet(bronze).count() == 80_000
