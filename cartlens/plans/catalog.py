@@ -155,13 +155,13 @@ def q_enrich_dates(spark, sf):
                      "valid_date", "month", "year", "day_of_week", "age_group")
 
 
-def _drain(spark, name, *drops):
+def _drain(spark, name, *drops, fmt="csv"):
     """Write each frame into a spool folder and drain it into bronze, one after
     the other; a frame may come with the age in days its files shall have. Files
     leave the spool when they have landed, so it holds one frame's at a time."""
     base = shared_path(spark, name, unique=True)
     for k, (df, age) in enumerate(drops):
-        write_report(df, f"{base}/spool/{k}")
+        write_report(df, f"{base}/spool/{k}", fmt)
         if age:
             _backdate(spark, f"{base}/spool/{k}", age)
         run_ingest(spark, f"{base}/spool/*", f"{base}/bronze", f"{base}/_checkpoint")
@@ -170,9 +170,18 @@ def _drain(spark, name, *drops):
 
 
 def _staged_apart(spark, name, df, *by):
-    """``df`` written once, in a folder for each value of the columns ``by``, and read back."""
-    path = shared_path(spark, name, "lines", unique=True)
-    df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
+    """``df`` written once, in a folder for each value of the columns ``by``, and read back.
+    What was shuffled for it is removed then."""
+    path, tidy = shared_path(spark, name, "lines", unique=True), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(tidy, None)
+    spark.conf.set(tidy, "true")
+    try:
+        df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
+    finally:
+        if was is None:
+            spark.conf.unset(tidy)
+        else:
+            spark.conf.set(tidy, was)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -220,10 +229,27 @@ def q_ingest_rejects(spark, sf):
             .agg(F.sum("lines").alias("lines"), F.sum("rejected").alias("rejected")))
 
 
-def _wide(df, width, text):
-    """The columns in reverse order behind and between foreign ones, ``width`` in all."""
+def _rendered(columns, groups):
+    """``columns`` as the CSV sink writes them, a group of neighbours at a time: one of
+    constants only is rendered once, not for every line."""
+    ends = [sum(groups[:k + 1]) for k in range(len(groups))]
+    return F.concat_ws(",", *[F.to_csv(F.struct(*columns[end - n:end])) for n, end in zip(groups, ends) if n])
+
+
+def _wide(df, width, text, empty=False):
+    """The columns in reverse order behind and between foreign ones, ``width`` in all, as the
+    lines of CSV files: a header is the first line of every task, or of one if all are ``empty``."""
     foreign = [F.lit(text).alias(f"other{k}") for k in range(width - len(df.columns))]
-    return df.select(*foreign[:-3], *df.columns[:3:-1], *foreign[-3:], *df.columns[3::-1])
+    mine = [F.col(c) for c in df.columns]
+    columns = [*foreign[:-3], *mine[:3:-1], *foreign[-3:], *mine[3::-1]]
+    groups = [len(foreign) - 3, len(mine) - 4, 3, 4]
+    named = df.select(*columns).columns
+    head = _rendered([F.lit(n).alias(n) for n in named], [width])
+    if empty:
+        return df.sparkSession.range(0, 1, 1, 1).select(head.alias("line"))
+    first = F.monotonically_increasing_id() % (1 << 33) == 0  # the task's rows are numbered from here on
+    line = _rendered(columns, groups)
+    return df.select(F.explode(F.when(first, F.array(head, line)).otherwise(F.array(line))).alias("line"))
 
 
 def _wide_drops(spark, sf, name):
@@ -236,12 +262,17 @@ def _wide_drops(spark, sf, name):
     line = F.xxhash64(*lines.columns)
     number = F.when(far, F.pmod(line, F.lit(slices[200]))).otherwise(F.pmod(line, F.lit(slices[70])))
     file = F.pmod(F.xxhash64(F.lit(1), *lines.columns), F.lit(DROP_FILES))
+    # a slice's files lie in as many tasks, each slice's in others
+    tasks = max(DROP_FILES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    task = F.pmod(F.xxhash64("__width", "__slice") + file, F.lit(tasks)).cast("int")
     staged = _staged_apart(spark, name, lines.withColumns(
-        {"__width": F.when(far, 200).otherwise(70), "__slice": number.cast("int")}).repartition("__width", "__slice", file),
+        {"__width": F.when(far, 200).otherwise(70), "__slice": number.cast("int")}).repartitionById(tasks, task),
         "__width", "__slice")
-    drops = [(_wide(staged.where((F.col("__width") == width) & (F.col("__slice") == k)).select(*lines.columns), width, text), 0)
+    full = {tuple(r) for r in staged.select("__width", "__slice").distinct().collect()}
+    drops = [(_wide(staged.where((F.col("__width") == width) & (F.col("__slice") == k)).select(*lines.columns), width, text,
+                    empty=(width, k) not in full), 0)
              for width, text in ((70, "x"), (200, 'a, "b" c')) for k in range(slices[width])]
-    return _drain(spark, name, *drops)
+    return _drain(spark, name, *drops, fmt="text")
 
 
 def q_ingest_wide(spark, sf):

@@ -356,3 +356,30 @@ def test_a_batch_of_much_text_lands_in_many_tasks(spark, scratch):
     run_ingest(spark, spool, bronze, ckpt, file_bytes=8 << 20)
     parts = [f for _, _, fs in os.walk(bronze) for f in fs if f.endswith(".parquet")]
     assert len(parts) == 4 and spark.read.parquet(bronze).count() == 80_000
+
+
+@pytest.mark.parametrize("width, text", [(70, "x"), (200, 'a, "b" c')])
+def test_wide_files_are_those_of_the_csv_sink(spark, scratch, width, text):
+    """The foreign columns are rendered once for all lines, not cell by cell."""
+    from cartlens.plans import catalog
+
+    odd = [("1", "2", "F", 3, 'A, "b"', 4, 5.5, 'Ca"sh', "1/1/2020"), (None,) * 9, ("", " x ", "", 3, "#c\\", None, 1e10, "\\", "1,1")]
+    df = spark.createDataFrame(odd * 5, SHOPPING)
+    foreign = [F.lit(text).alias(f"other{k}") for k in range(width - 9)]
+    for name, some, empty in (("all", df, False), ("none", df.where("false"), True)):
+        write_report(some.select(*foreign[:-3], *df.columns[:3:-1], *foreign[-3:], *df.columns[3::-1]), f"{scratch}/csv/{name}")
+        lines = catalog._wide(some, width, text, empty)
+        assert lines.columns == ["line"]
+        write_report(lines, f"{scratch}/text/{name}", "text")
+        files = [[open(f"{scratch}/{kind}/{name}/{f}", "rb").read() for f in sorted(os.listdir(f"{scratch}/{kind}/{name}")) if f.startswith("part-")]
+                 for kind in ("csv", "text")]
+        assert files[0] == files[1]
+
+
+def test_a_slices_files_are_written_by_as_many_tasks(spark):
+    from cartlens.plans import catalog
+    from conftest import SF_SMALL
+
+    bronze = catalog._wide_drops(spark, SF_SMALL, "ingest_even")
+    even = min(catalog.DROP_FILES, spark.sparkContext.defaultParallelism)
+    assert [r.files for r in landed_layouts(spark, bronze, SHOPPING, source_like="part-%").collect()] == [even] * 2
